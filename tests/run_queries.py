@@ -31,7 +31,7 @@ if __name__ == "__main__":
                 got = QUERIES[name](spark, folder).collect()
                 ok, note = len(got) > 0, f"{len(got)} rows (rows only) {got[:1]}"[:300]
         except Exception as e:
-            ok, note = False, "".join(traceback.format_exception(e))[-1800:]
+            ok, note = False, "".join(traceback.format_exception(e))[-700:]
         print(f"{'ok ' if ok else 'BAD'} {name} {time.time() - start:.1f}s {note}", flush=True)
         bad += [] if ok else [name]
     print("failed:", bad)

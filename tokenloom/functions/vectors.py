@@ -114,7 +114,7 @@ def dense(v: Column, weight: Sequence[Sequence[float]], bias: Sequence[float] |
         F.struct(F.lit(row).cast("array<double>").alias("w"), F.lit(b).alias("b"))
         for row, b in zip(*_layer(weight, bias))
     ]
-    return F.transform(F.array(*layer), lambda r: dot(r["w"], doubles(v)) + r["b"])
+    return once(doubles(v), lambda x: F.transform(F.array(*layer), lambda r: dot(r["w"], x) + r["b"]))
 
 
 def linear(v: Column, weight: Sequence[Sequence[float]], bias: Sequence[float] | None = None) -> Column:
