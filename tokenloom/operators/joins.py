@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-# A key is hot when it holds more than 1/HOT_SHARE of the rows, so there are
-# never more than HOT_SHARE hot keys.
-HOT_SHARE = 1000
 
 
 def _width(field: T.StructField) -> Column:
@@ -42,26 +39,13 @@ def lookup(
 
     `table` should be stored (a source, or the result of `materialize`), since
     its size is measured first. Up to `max_bytes` it is broadcast and `facts`
-    is not shuffled. Above that, the few keys that hold more than a thousandth
-    of `facts` each are looked up in a broadcast of their own (at most
-    `HOT_SHARE` rows), and only the rest goes through a shuffle join, in which
-    no key is large any more. Every row of `facts` takes exactly one of the
-    two ways.
+    is not shuffled. Above that both sides are shuffled by key; `table` cannot
+    be skewed, its keys being unique, and a key that fills much of `facts` is
+    split over several tasks by adaptive execution, which the session of
+    `tokenloom.session` has on.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"lookup supports left and inner, not {how!r}")
     if table_bytes(table) <= max_bytes:
-        return facts.join(F.broadcast(table), on, how)
-    per_key = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    total = per_key.agg(F.sum("_rows").alias("n")).first()["n"] or 0
-    no_null = F.lit(True)
-    for key in on:
-        no_null = no_null & F.col(key).isNotNull()
-    hot = per_key.filter(no_null & (F.col("_rows") * HOT_SHARE > total)).select(*on)
-    hot_rows = table.join(F.broadcast(hot), on, "inner")
-    marked = facts.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), on, "left")
-    # A missing key matches nothing, so those rows need no shuffle either.
-    apart = F.col("_hot").isNotNull() | ~no_null
-    from_hot = marked.filter(apart).drop("_hot").join(F.broadcast(hot_rows), on, how)
-    rest = marked.filter(~apart).drop("_hot").join(table, on, how)
-    return from_hot.unionByName(rest)
+        table = F.broadcast(table)
+    return facts.join(table, on, how)

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tokenloom.functions import arrays, text
-from tokenloom.operators.joins import lookup
+from tokenloom.operators.joins import BROADCAST_BYTES, lookup, table_bytes
 from tokenloom.session import materialize
 
 # Reserved at the top of the id range, in this order; the last one is the pad id.
@@ -85,12 +88,63 @@ def token_ids(df: DataFrame, token: str, vocabulary: Vocabulary, out: str = "id"
     return coded.withColumn(out, F.coalesce(out, F.lit(vocabulary.unknown_id).cast("bigint"))).drop(token)
 
 
-def encode(df: DataFrame, key: Sequence[str], tokens: Column, vocabulary: Vocabulary, out: str = "ids") -> DataFrame:
+def _columns(vocabulary: Vocabulary) -> tuple[pa.Array, np.ndarray]:
+    """Tokens and ids as arrays, for use inside tasks; call only after a check of the size."""
+    entries = vocabulary.table.select("token", "id").toArrow()
+    return entries.column("token").combine_chunks(), entries.column("id").to_numpy()
+
+
+def _like(lists: pa.ListArray, flat: pa.Array) -> pa.ListArray:
+    """`flat` cut into the same lists; a missing list stays missing."""
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype("int32")
+    return pa.ListArray.from_arrays(pa.array(offsets), flat, mask=lists.is_null())
+
+
+def _encoder(vocabulary: Vocabulary) -> Callable[[Column], Column]:
+    sc = vocabulary.table.sparkSession.sparkContext
+    shared, unknown = sc.broadcast(_columns(vocabulary)), vocabulary.unknown_id
+
+    @F.arrow_udf("array<bigint>")
+    def code(tokens: pa.Array) -> pa.Array:
+        entries, ids = shared.value
+        found = pc.index_in(tokens.flatten(), value_set=entries)
+        at = pc.fill_null(found, -1).to_numpy(zero_copy_only=False)
+        return _like(tokens, pa.array(np.where(at >= 0, ids[at], unknown), pa.int64()))
+
+    return code
+
+
+def _decoder(vocabulary: Vocabulary) -> Callable[[Column], Column]:
+    sc = vocabulary.table.sparkSession.sparkContext
+    shared = sc.broadcast(_columns(vocabulary))
+
+    @F.arrow_udf("array<string>")
+    def name(ids: pa.Array) -> pa.Array:
+        entries, known = shared.value
+        at = pc.index_in(ids.flatten(), value_set=pa.array(known, pa.int64()))
+        return _like(ids, pc.fill_null(entries.take(at), text.UNKNOWN_MARKER))
+
+    return name
+
+
+def encode(
+    df: DataFrame,
+    key: Sequence[str],
+    tokens: Column,
+    vocabulary: Vocabulary,
+    out: str = "ids",
+    max_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
     """Token arrays to id arrays, as `key` and `out`; `key` must be unique.
 
-    The regrouping combines inside each task first, so what is shuffled is one
-    array per row.
+    A vocabulary of up to `max_bytes` is sent to the tasks and looked up there
+    in Arrow batches, without a shuffle. A larger one is joined token by token;
+    the regrouping then combines inside each task first, so what is shuffled is
+    one array per row.
     """
+    if table_bytes(vocabulary.table) <= max_bytes:
+        return df.select(*key, _encoder(vocabulary)(tokens).alias(out))
     long = df.select(*key, F.posexplode_outer(tokens).alias("_pos", "_token"))
     coded = token_ids(long, "_token", vocabulary, "_id")
     placed = F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_id"))
@@ -98,10 +152,22 @@ def encode(df: DataFrame, key: Sequence[str], tokens: Column, vocabulary: Vocabu
     return grouped.select(*key, F.col("_s")["_id"].alias(out))
 
 
-def decode(df: DataFrame, key: Sequence[str], ids: Column, vocabulary: Vocabulary, separator: str = " ") -> DataFrame:
-    """Id arrays to text; ids outside the vocabulary become the unknown marker."""
+def decode(
+    df: DataFrame,
+    key: Sequence[str],
+    ids: Column,
+    vocabulary: Vocabulary,
+    separator: str = " ",
+    max_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Id arrays to text; ids outside the vocabulary become the unknown marker.
+
+    Works in the same two ways as `encode`.
+    """
+    if table_bytes(vocabulary.table) <= max_bytes:
+        return df.select(*key, F.array_join(_decoder(vocabulary)(ids), separator).alias("text"))
     long = df.select(*key, F.posexplode_outer(ids).alias("_pos", "id"))
-    named = lookup(long, vocabulary.table.select("id", "token"), ["id"], "left")
+    named = lookup(long, vocabulary.table.select("id", "token"), ["id"], "left", max_bytes)
     token = F.coalesce("token", F.lit(text.UNKNOWN_MARKER))
     placed = F.when(F.col("_pos").isNotNull(), F.struct(F.col("_pos"), token.alias("token")))
     grouped = named.groupBy(*key).agg(F.array_sort(F.collect_list(placed)).alias("_s"))

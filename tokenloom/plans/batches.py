@@ -11,17 +11,17 @@ from tokenloom.operators.packing import pack_sequences
 from tokenloom.operators.vocabulary import decode, encode, fit_vocabulary
 from tokenloom.plans.preparation import PAIRS_SQL, _pairs
 from tokenloom.plans.registry import DOC_IDS_SQL, PAD_ID, TOKENS_SQL, list_md5, query, r_sql, rounded, vector_marks, vector_marks_sql
-from tokenloom.sources.corpus import table
+from tokenloom.sources.corpus import documents, table
 
 BATCHED_SQL = "(SELECT *, (row_number() OVER (ORDER BY doc_id) - 1) // {n} AS batch_id FROM {source})"
 
 
 def _doc_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", text.tokens(F.col("text")).alias("t"))
+    return documents(spark, sf).select("doc_id", text.tokens(F.col("text")).alias("t"))
 
 
 def _doc_ids(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents")
+    docs = documents(spark, sf)
     tokens = text.tokens(F.col("text"))
     return encode(docs, ["doc_id"], tokens, fit_vocabulary(docs, tokens))
 
@@ -47,11 +47,14 @@ def document_ids(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "detokenized_documents",
     f"""
-    SELECT doc_id, md5(array_to_string(regexp_extract_all(text, {TOKENS_SQL}), ' ')) AS text_md5 FROM documents
+    WITH {DOC_IDS_SQL},
+    named AS (SELECT l.doc_id, l.pos, coalesce(v.token, '<|unknown|>') AS token FROM long l LEFT JOIN vocab v ON v.token = l.token),
+    back AS (SELECT doc_id, string_agg(token, ' ' ORDER BY pos) AS text FROM named GROUP BY doc_id)
+    SELECT doc_id, md5(coalesce(back.text, '')) AS text_md5 FROM docs LEFT JOIN back USING (doc_id)
     """,
 )
 def detokenized_documents(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents")
+    docs = documents(spark, sf)
     tokens = text.tokens(F.col("text"))
     vocabulary = fit_vocabulary(docs, tokens)
     back = decode(encode(docs, ["doc_id"], tokens, vocabulary), ["doc_id"], F.col("ids"), vocabulary)

@@ -10,7 +10,7 @@ from tokenloom.operators import conversations as C
 from tokenloom.operators.order import every_nth, row_slice, with_row_index
 from tokenloom.operators.vocabulary import encode, fit_vocabulary
 from tokenloom.plans.registry import TOKENS_SQL, list_md5, query, vocabulary_sql
-from tokenloom.sources.corpus import read_corpus, table
+from tokenloom.sources.corpus import documents, read_corpus, table
 
 TURN_SQL = "'<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10)"
 LAST_SQL = "(SELECT conv_id, max(turn) AS last_turn, arg_max(role, turn) AS last_role FROM conversations GROUP BY conv_id)"
@@ -182,7 +182,7 @@ def example_builder(spark: SparkSession, sf: str) -> DataFrame:
 )
 def custom_tokenizer(spark: SparkSession, sf: str) -> DataFrame:
     encode_bytes = text.batch_tokenizer(utf8_bytes)
-    docs = table(spark, sf, "documents").select("doc_id", encode_bytes(F.col("text")).alias("ids"))
+    docs = documents(spark, sf).select("doc_id", encode_bytes(F.col("text")).alias("ids"))
     return docs.select("doc_id", F.size("ids").cast("bigint").alias("n_ids"))
 
 
@@ -284,7 +284,7 @@ def turn_rendering(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def document_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", text.tokens(F.col("text")).alias("t"))
+    docs = documents(spark, sf).select("doc_id", text.tokens(F.col("text")).alias("t"))
     return docs.select("doc_id", F.size("t").cast("bigint").alias("n_tokens"), F.md5(F.array_join("t", " ")).alias("tokens_md5"))
 
 
@@ -406,6 +406,6 @@ def row_positions(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def token_positions(spark: SparkSession, sf: str) -> DataFrame:
-    at = table(spark, sf, "documents").select("doc_id", arrays.positions(text.tokens(F.col("text"))).alias("at"))
+    at = documents(spark, sf).select("doc_id", arrays.positions(text.tokens(F.col("text"))).alias("at"))
     summed = F.aggregate("at", F.lit(0).cast("bigint"), lambda a, x: a + x)
     return at.select("doc_id", F.size("at").cast("bigint").alias("n"), summed.alias("position_sum"))

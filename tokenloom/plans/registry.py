@@ -31,13 +31,14 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 # Rounding to six places makes sums independent of the order they were added
-# in; adding 0.0 turns a negative zero into zero.
+# in. It is spelled out because `round` treats halves differently in the two
+# engines: decimal digits in one, binary fractions in the other.
 def rounded(x: Column) -> Column:
-    return F.round(x, 6) + F.lit(0.0)
+    return F.floor(x * 1e6 + 0.5).cast("double") / 1e6
 
 
 def r_sql(x: str) -> str:
-    return f"round({x}, 6) + 0.0::DOUBLE"
+    return f"floor(({x})::DOUBLE * 1e6 + 0.5) / 1e6"
 
 
 def vector_marks(v: Column) -> list[Column]:

@@ -12,7 +12,7 @@ from tokenloom.plans.batches import BATCHED_SQL
 from tokenloom.plans.preparation import TURN_SQL
 from tokenloom.plans.registry import DOC_IDS_SQL, PAD_ID, TOKENS_SQL, list_md5, query, rounded
 from tokenloom.session import materialize, scratch_path
-from tokenloom.sources.corpus import table, table_stream
+from tokenloom.sources.corpus import documents, table, table_stream
 from tokenloom.streaming import streams as S
 
 
@@ -44,7 +44,7 @@ def streamed_turns(spark: SparkSession, sf: str) -> DataFrame:
 )
 def streamed_padding(spark: SparkSession, sf: str) -> DataFrame:
     """Batch and pad the documents of each arriving chunk; here all arrive in one."""
-    docs = table(spark, sf, "documents")
+    docs = documents(spark, sf)
     tokens = text.tokens(F.col("text"))
     ids = materialize(encode(docs, ["doc_id"], tokens, fit_vocabulary(docs, tokens)).coalesce(1), "ids.parquet")
     folder = ids.inputFiles()[0].rsplit("/", 1)[0]

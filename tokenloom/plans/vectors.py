@@ -15,7 +15,7 @@ from tokenloom.operators.vocabulary import fit_vocabulary, token_ids
 from tokenloom.plans.registry import DOC_IDS_SQL, query, r_sql, rounded, vector_marks, vector_marks_sql
 from tokenloom.session import scratch_path
 from tokenloom.sources import stores
-from tokenloom.sources.corpus import table
+from tokenloom.sources.corpus import documents, table
 
 E_SQL = "e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings)"
 CONTEXT = 128
@@ -114,7 +114,7 @@ def normalized_rows(spark: SparkSession, sf: str) -> DataFrame:
 )
 def embedded_tokens(spark: SparkSession, sf: str) -> DataFrame:
     """Look up a vector for every token of every document."""
-    docs, vectors = table(spark, sf, "documents"), table(spark, sf, "embeddings")
+    docs, vectors = documents(spark, sf), table(spark, sf, "embeddings")
     tokens = text.tokens(F.col("text"))
     vocabulary = fit_vocabulary(docs, tokens)
     long = docs.select("doc_id", F.posexplode(tokens).alias("pos", "token"))
@@ -204,7 +204,7 @@ def softmax_rows(spark: SparkSession, sf: str) -> DataFrame:
     "softmax_groups",
     """
     WITH s AS (SELECT event_id, user_id, exp(value / 50 - max(value / 50) OVER (PARTITION BY user_id)) AS w FROM events)
-    SELECT event_id, user_id, round(w / sum(w) OVER (PARTITION BY user_id), 6) + 0.0::DOUBLE AS weight FROM s
+    SELECT event_id, user_id, floor(w / sum(w) OVER (PARTITION BY user_id) * 1e6 + 0.5) / 1e6 AS weight FROM s
     """,
 )
 def softmax_groups(spark: SparkSession, sf: str) -> DataFrame:

@@ -28,6 +28,16 @@ def read_corpus(
     return df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a part of a table that is stored in fewer pieces than there are cores.
+
+    Meant for heavy work on single rows, such as tokenizing. A table of many
+    files already has more pieces than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -36,3 +46,8 @@ def table_stream(spark: SparkSession, folder: str, name: str, **options: str) ->
     """The same table as a stream of files, whether it is one file or a folder."""
     schema = table(spark, folder, name).schema
     return spark.readStream.schema(schema).options(**options).parquet(f"{folder}/{name}.parquet*")
+
+
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Document ids and texts, spread over the cores."""
+    return spread(table(spark, folder, "documents").select("doc_id", "text"))
