@@ -166,9 +166,10 @@ def decode(
     """
     if table_bytes(vocabulary.table) <= max_bytes:
         return df.select(*key, F.array_join(_decoder(vocabulary)(ids), separator).alias("text"))
-    long = df.select(*key, F.posexplode_outer(ids).alias("_pos", "id"))
-    named = lookup(long, vocabulary.table.select("id", "token"), ["id"], "left", max_bytes)
-    token = F.coalesce("token", F.lit(text.UNKNOWN_MARKER))
+    long = df.select(*key, F.posexplode_outer(ids).alias("_pos", "_entry"))
+    names = vocabulary.table.select(F.col("id").alias("_entry"), F.col("token").alias("_token"))
+    named = lookup(long, names, ["_entry"], "left", max_bytes)
+    token = F.coalesce("_token", F.lit(text.UNKNOWN_MARKER))
     placed = F.when(F.col("_pos").isNotNull(), F.struct(F.col("_pos"), token.alias("token")))
     grouped = named.groupBy(*key).agg(F.array_sort(F.collect_list(placed)).alias("_s"))
     return grouped.select(*key, F.array_join(F.col("_s")["token"], separator).alias("text"))
