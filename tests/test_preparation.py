@@ -85,9 +85,9 @@ def test_examples_mask_exactly_the_prompt(spark):
 
 
 def test_assembled_examples_lose_nothing(spark):
-    turns = spark.range(60).selectExpr("id div 6 AS conv_id", "id % 6 AS turn", "id % 6 AS last_turn_of", "5L AS last_turn")
-    encoded = turns.select("conv_id", "turn", F.transform(F.sequence(F.lit(1), F.col("turn") + 3), lambda x: x + 10 * F.col("turn")).alias("ids"))
-    labelled = C.label_turns(turns, encoded)
+    turns = spark.range(60).selectExpr("id div 6 AS conv_id", "id % 6 AS turn", "5L AS last_turn")
+    encoded = turns.select("*", F.transform(F.sequence(F.lit(1), F.col("turn") + 3), lambda x: x + 10 * F.col("turn")).alias("ids"))
+    labelled = C.label_turns(encoded)
     chunks = C.assemble_examples(labelled, 10).orderBy("conv_id", "chunk_no").collect()
     whole = [x + 10 * t for t in range(6) for x in range(1, t + 4)]
     labels = [x if x > 50 else -100 for x in whole]

@@ -11,6 +11,12 @@ VOCABULARY_SIZE = 100_277
 PAD_ID = VOCABULARY_SIZE - 1
 
 
+def whole(x: Column | str, n: int) -> Column:
+    """How often `n` goes into the whole number `x`, without a detour over fractions."""
+    x = F.col(x) if isinstance(x, str) else x
+    return F.call_function("div", x, F.lit(n).cast("bigint"))
+
+
 def masked_labels(ids: Column, prompt_length: Column, ignore: int = IGNORE_ID) -> Column:
     """Ids with the first `prompt_length` of them replaced by the ignore id."""
     return F.transform(ids, lambda x, i: F.when(i < prompt_length, F.lit(ignore).cast("bigint")).otherwise(x))

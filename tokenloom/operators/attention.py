@@ -17,13 +17,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tokenloom.functions.arrays import whole
 from tokenloom.operators.order import with_row_index
 
 
 def cut_sequences(df: DataFrame, order: str, context: int, group: str | Sequence[str] = ()) -> DataFrame:
     """Add `seq_no` and the place `pos` in the sequence, per group along `order`."""
     rows = with_row_index(df, order, group, name="_idx")
-    out = rows.withColumn("seq_no", F.floor(F.col("_idx") / context)).withColumn("pos", F.col("_idx") % context)
+    out = rows.withColumn("seq_no", whole("_idx", context)).withColumn("pos", F.col("_idx") % context)
     return out.drop("_idx")
 
 

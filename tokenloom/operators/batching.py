@@ -17,7 +17,7 @@ def with_batch(df: DataFrame, order: str | Sequence[str], size: int) -> DataFram
     if size < 1:
         raise ValueError("size must be positive")
     out = with_row_index(df, order, name="_idx")
-    out = out.withColumn("batch_id", F.floor(F.col("_idx") / size)).withColumn("slot", F.col("_idx") % size)
+    out = out.withColumn("batch_id", arrays.whole("_idx", size)).withColumn("slot", F.col("_idx") % size)
     return out.drop("_idx")
 
 
@@ -72,7 +72,7 @@ def accumulate(
     `keep_incomplete`.
     """
     rows = with_row_index(df.select(order, value.cast("double").alias("_v")), order, name="_idx")
-    out = rows.groupBy(F.floor(F.col("_idx") / steps).alias("step")).agg(
+    out = rows.groupBy(arrays.whole("_idx", steps).alias("step")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("_v") / steps).alias("loss")
     )
     return out if keep_incomplete else out.filter(F.col("n_rows") == steps)

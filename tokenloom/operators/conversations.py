@@ -80,17 +80,14 @@ def supervised_tokens(turns: DataFrame, pattern: str = text.TOKEN_PATTERN) -> Da
     of partial sums; the texts stay where they are.
     """
     n = F.size(text.tokens(text.render_turn(F.col("role"), F.col("text")), pattern)).cast("bigint")
-    counted = turns.select("conv_id", "turn", "role", n.alias("n"))
+    counted = turns.select("conv_id", "turn", (F.col("role") == "assistant").alias("answers"), n.alias("n"))
     per = counted.groupBy("conv_id").agg(
         F.sum("n").alias("n_tokens"),
-        F.max_by(F.struct("role", "n"), F.col("turn")).alias("last"),
+        F.max_by("n", "turn").alias("n_supervised"),
+        F.max_by("answers", "turn").alias("kept"),
     )
-    kept = per.filter(F.col("last.role") == "assistant")
-    return kept.select(
-        "conv_id",
-        "n_tokens",
-        (F.col("n_tokens") - F.col("last.n")).alias("n_prompt"),
-        F.col("last.n").alias("n_supervised"),
+    return per.filter("kept").select(
+        "conv_id", "n_tokens", (F.col("n_tokens") - F.col("n_supervised")).alias("n_prompt"), "n_supervised"
     )
 
 
@@ -165,17 +162,16 @@ def build_examples(
     return out.withColumn("labels", arrays.masked_labels(F.col("input_ids"), F.col("_n_prompt"), ignore)).drop("_n_prompt")
 
 
-def label_turns(turns: DataFrame, encoded: DataFrame, ignore: int = arrays.IGNORE_ID) -> DataFrame:
+def label_turns(encoded: DataFrame, ignore: int = arrays.IGNORE_ID) -> DataFrame:
     """Flat form of the label mask: per turn, `input_ids` and `labels`.
 
-    `turns` are checked turns (with `last_turn`), `encoded` holds the ids of
-    each rendered turn. All turns but the last are prompt.
+    `encoded` has conv_id, turn, last_turn and the ids of the rendered turn;
+    `last_turn` comes from `check_turns`. All turns but the last are prompt.
     """
     ids = F.col("ids")
     hidden = F.transform(ids, lambda _: F.lit(ignore).cast("bigint"))
-    joined = turns.select("conv_id", "turn", "last_turn").join(encoded, ["conv_id", "turn"], "inner")
     labels = F.when(F.col("turn") < F.col("last_turn"), hidden).otherwise(ids)
-    return joined.select("conv_id", "turn", ids.alias("input_ids"), labels.alias("labels"))
+    return encoded.select("conv_id", "turn", ids.alias("input_ids"), labels.alias("labels"))
 
 
 def assemble_examples(labelled: DataFrame, chunk: int) -> DataFrame:

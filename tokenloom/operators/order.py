@@ -104,31 +104,23 @@ def with_running_total(
 ) -> DataFrame:
     """Add the total of `measure` over all earlier rows, per `group` if given.
 
-    `order` must be unique within a group. Shuffles `df` once, by group and
-    range; the totals of the ranges are a small table of their own.
+    `order` must be unique within a group. `df` is shuffled once, by group and
+    range. What came before each range joins it as one extra first row, so
+    that a single running sum inside the range gives the answer.
     """
     order, group = _names(order), _names(group)
     out, ranges = cut_into_ranges(df, order, rows_per_range)
-    out = out.withColumn("_measure", measure.cast("long"))
+    out = out.withColumn("_measure", measure.cast("long")).withColumn("_row", F.lit(1))
     keys = [*group, "_range"]
-    earlier_rows = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    within = F.coalesce(F.sum("_measure").over(earlier_rows), F.lit(0).cast("long"))
-    ranked = out.withColumn(name, within)
-    if ranges == 1:
-        return ranked.drop("_measure", "_range")
-    totals = out.groupBy(*keys).agg(F.sum("_measure").alias("_total"))
-    earlier_ranges = W.partitionBy(*(group or [F.lit(0)])).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    before = totals.select(
-        *[F.col(k).alias(f"_b_{k}") for k in keys],
-        F.coalesce(F.sum("_total").over(earlier_ranges), F.lit(0).cast("long")).alias("_before"),
-    )
-    if not group:
-        before = F.broadcast(before)  # one row per range
-    same = F.lit(True)
-    for key in keys:
-        same = same & F.col(key).eqNullSafe(F.col(f"_b_{key}"))
-    joined = ranked.join(before, same, "inner").withColumn(name, F.col(name) + F.col("_before"))
-    return joined.drop("_measure", "_range", "_before", *[f"_b_{k}" for k in keys])
+    if ranges > 1:
+        totals = out.groupBy(*keys).agg(F.sum("_measure").alias("_total"))
+        # At most one row per range in each of these windows.
+        earlier = W.partitionBy(*(group or [F.lit(0)])).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+        before = totals.select(*keys, F.sum("_total").over(earlier).alias("_measure"), F.lit(0).alias("_row"))
+        out = out.unionByName(before.filter(F.col("_measure").isNotNull()), allowMissingColumns=True)
+    running = W.partitionBy(*keys).orderBy("_row", *order).rowsBetween(W.unboundedPreceding, -1)
+    summed = out.withColumn(name, F.coalesce(F.sum("_measure").over(running), F.lit(0).cast("long")))
+    return summed.filter(F.col("_row") == 1).drop("_measure", "_row", "_range")
 
 
 def with_row_index(

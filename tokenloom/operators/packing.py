@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tokenloom.functions.arrays import whole
 from tokenloom.operators.order import with_running_total
 
 
@@ -27,7 +28,7 @@ def pack(
     if size < 1:
         raise ValueError("size must be positive")
     first, length = columns[0], F.size(columns[0])
-    lo, hi = F.floor(F.col(start) / size), F.floor((F.col(start) + length - 1) / size)
+    lo, hi = whole(start, size), whole(F.col(start) + length - 1, size)
 
     def piece(p):
         begin = F.greatest(p * size - F.col(start), F.lit(0))

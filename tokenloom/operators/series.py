@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions import vectors as V
+from tokenloom.functions.arrays import whole
 from tokenloom.session import materialize
 
 Matrix = Sequence[Sequence[float]]
@@ -56,7 +57,7 @@ def convolve(
             sum((F.lit(float(weight[o][c][j])) * F.col(name) for c, name in enumerate(channels)), F.lit(0.0))
             for o in range(len(weight))
         ]
-        place = F.when(lands, F.floor(start / stride)).alias("idx")
+        place = F.when(lands, whole(start, stride)).alias("idx")
         shares.append(F.struct(place, *[s.alias(n) for s, n in zip(sums, names)]))
     spread = values.select(*key, F.inline(F.array(*shares))).filter(F.col("idx").isNotNull())
     # An output whose window runs past the right padding got fewer than `kernel` shares.
@@ -67,7 +68,7 @@ def convolve(
 
 def max_pool(df: DataFrame, key: Sequence[str], index: str, channels: Sequence[str], size: int) -> DataFrame:
     """Largest value of each `size` consecutive positions; an incomplete tail is left out."""
-    block = F.floor(F.col(index) / size).alias("idx")
+    block = whole(index, size).alias("idx")
     out = df.groupBy(*key, block).agg(F.count(F.lit(1)).alias("_n"), *[F.max(c).alias(c) for c in channels])
     return out.filter(F.col("_n") == size).drop("_n")
 
@@ -114,7 +115,7 @@ def fold_sequences(
     """
     pieces = df.select(
         *key,
-        F.floor(F.col(index) / timesteps).alias("seq_no"),
+        whole(index, timesteps).alias("seq_no"),
         (F.col(index) % timesteps).alias("_pos"),
         V.doubles(features).alias("_x"),
     )
@@ -142,9 +143,9 @@ def fold_series(
     task holds more than n rows of a key. Where sequences may be cut, prefer
     `fold_sequences`, which needs one round.
     """
-    rounds = F.floor(F.col(index) / rows_per_round)
+    rounds = whole(index, rows_per_round)
     rows = df.select(*key, rounds.alias("_round"), F.col(index).alias("_pos"), V.doubles(features).alias("_x"))
-    rows = materialize(rows, "series")
+    rows = materialize(rows, "series", partition_by="_round")
     last = rows.agg(F.max("_round").alias("r")).first()["r"]
     zero = F.lit([0.0] * hidden).cast("array<double>")
     if last is None:

@@ -324,7 +324,7 @@ def _labelled(spark: SparkSession, sf: str) -> DataFrame:
     turns = table(spark, sf, "conversations")
     tokens = text.tokens(text.render_turn(F.col("role"), F.col("text")))
     vocabulary = fit_vocabulary(turns, tokens)
-    return C.label_turns(C.check_turns(turns).kept, encode(turns, ["conv_id", "turn"], tokens, vocabulary))
+    return C.label_turns(encode(C.check_turns(turns).kept, ["conv_id", "turn", "last_turn"], tokens, vocabulary))
 
 
 @query(

@@ -11,7 +11,7 @@ from tokenloom.plans import sequences as Q
 from tokenloom.plans.batches import BATCHED_SQL
 from tokenloom.plans.preparation import TURN_SQL
 from tokenloom.plans.registry import DOC_IDS_SQL, PAD_ID, TOKENS_SQL, list_md5, query, rounded
-from tokenloom.session import materialize, scratch_path
+from tokenloom.session import scratch_path
 from tokenloom.sources.corpus import documents, table, table_stream
 from tokenloom.streaming import streams as S
 
@@ -46,10 +46,10 @@ def streamed_padding(spark: SparkSession, sf: str) -> DataFrame:
     """Batch and pad the documents of each arriving chunk; here all arrive in one."""
     docs = documents(spark, sf)
     tokens = text.tokens(F.col("text"))
-    ids = materialize(encode(docs, ["doc_id"], tokens, fit_vocabulary(docs, tokens)).coalesce(1), "ids.parquet")
-    folder = ids.inputFiles()[0].rsplit("/", 1)[0]
-    path = scratch_path(spark, "padded")
-    S.pad_arrivals(spark.readStream.schema(ids.schema).parquet(folder), "doc_id", "ids", 8, path)
+    ids = encode(docs, ["doc_id"], tokens, fit_vocabulary(docs, tokens))
+    arriving, path = scratch_path(spark, "ids"), scratch_path(spark, "padded")
+    ids.write.parquet(arriving)
+    S.pad_arrivals(spark.readStream.schema(ids.schema).parquet(arriving), "doc_id", "ids", 8, path)
     out = spark.read.parquet(path)
     return out.select(
         "doc_id", "batch_id", F.col("width").cast("bigint").alias("width"),

@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "tokenloom", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with adaptive execution and skew-join handling on, and UTC time."""
+    """A session with adaptive execution and skew-join handling on, UTC time, and stream state on disk."""
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
         **conf,
     }
     builder = SparkSession.builder.appName(app)
@@ -47,12 +50,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tokenloom/{uuid.uuid4().hex}/{name}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     Cuts the lineage in a way that survives lost executors, and leaves a
     columnar table whose later readers still get column pruning and statistics.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=partition_by)
     return df.sparkSession.read.schema(df.schema).parquet(path)
