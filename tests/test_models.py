@@ -145,10 +145,11 @@ def test_thirty_two_values_give_thirty_three_then_sixteen(spark):
 
 
 def gated(x):
-    step = streams.gated_numpy_cell(Q.WX, Q.BX, Q.WH, Q.WXZ, Q.BZ, Q.WHZ)
+    wx, b, wh, wxz, bz, whz = (np.array(m) for m in (Q.WX, Q.BX, Q.WH, Q.WXZ, Q.BZ, Q.WHZ))
     h = np.zeros(3)
     for row in x:
-        h = step(h, row)
+        z = 1 / (1 + np.exp(-(wxz @ row + bz + whz @ h)))
+        h = z * h + (1 - z) * np.maximum(wx @ row + b + wh @ h, 0)
     return h
 
 
@@ -276,15 +277,21 @@ def arrivals(spark, *parts):
 def test_fold_carries_state_over_arrivals(spark):
     rng = np.random.default_rng(9)
     x = rng.normal(size=(60, 2))
-    rows = [(i % 3, i, float(v[0]), float(v[1])) for i, v in enumerate(x)]
-    schema = "u int, t bigint, a double, b double"
-    early, later = spark.createDataFrame(rows[:31], schema), spark.createDataFrame(rows[31:] + [(0, 2, 9.0, 9.0)], schema)
-    cell = streams.gated_numpy_cell(Q.WX, Q.BX, Q.WH, Q.WXZ, Q.BZ, Q.WHZ)
-    states = streams.fold_stream(arrivals(spark, early, later), "u", "t", ["a", "b"], cell, 3)
-    out = {r.u: r for r in streams.latest_states(streams.run_to_table(states, "states"), "u").collect()}
+    rows = [(i % 3, i, v.tolist()) for i, v in enumerate(x)]
+    schema = "u int, t bigint, v array<double>"
+    # user 7 comes in the first part only, user 8 in the second only
+    early = spark.createDataFrame(rows[:31] + [(7, 5, [1.0, 2.0])], schema)
+    later = spark.createDataFrame(rows[31:] + [(0, 2, [9.0, 9.0]), (8, 1, [0.5, 0.5])], schema)
+    cell = R.gated_cell(Q.WX, Q.BX, Q.WH, Q.WXZ, Q.BZ, Q.WHZ)
+    path = scratch_path(spark, "folded")
+    out = streams.fold_stream(arrivals(spark, early, later), "u", "t", F.col("v"), cell, 3, path, rows_per_round=4)
+    out = {r.u: r for r in out.collect()}
+    assert set(out) == {0, 1, 2, 7, 8}
     for u in range(3):
         assert out[u].n_steps == 20 and out[u].h == pytest.approx(gated(x[u::3]).tolist())
-    assert (out[0].n_late, out[1].n_late) == (1, 0)
+        assert out[u].last_order == 57 + u
+    assert out[7].h == pytest.approx(gated([np.array([1.0, 2.0])]).tolist()) and out[8].n_steps == 1
+    assert [out[u].n_late for u in (0, 1, 7, 8)] == [1, 0, 0, 0]
 
 
 def test_padding_per_arrival(spark):

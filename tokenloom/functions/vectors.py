@@ -6,12 +6,15 @@ import math
 from collections.abc import Callable, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tokenloom.functions import lists
+
 Activation = Callable[[Column], Column]
-WIDE_LAYER = 1024
+# Number of weights from which on a batch-wise matrix product is the faster way.
+WIDE_LAYER = 256
 # The usual defaults of batch and layer normalization and of the
 # leaky rectifier.
 NORM_EPS = 1e-5
@@ -128,11 +131,10 @@ def linear(v: Column, weight: Sequence[Sequence[float]], bias: Sequence[float] |
 def _wide_linear(rows: list[list[float]], offsets: list[float]) -> Callable[[Column], Column]:
     w, b = np.array(rows), np.array(offsets)
 
-    @F.pandas_udf("array<double>")
-    def product(v: pd.Series) -> pd.Series:
-        if v.empty:
-            return pd.Series([], dtype=object)
-        return pd.Series(list(np.stack(v.to_numpy()).astype(float) @ w.T + b))
+    @F.arrow_udf("array<double>")
+    def product(v: pa.Array) -> pa.Array:
+        out = lists.numbers(v).reshape(-1, w.shape[1]) @ w.T + b
+        return lists.regroup(out.ravel(), np.where(v.is_null(), 0, len(b)), v.is_null())
 
     return product
 

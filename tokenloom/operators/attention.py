@@ -13,10 +13,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tokenloom.functions import lists
 from tokenloom.functions.arrays import whole
 from tokenloom.operators.order import with_row_index
 
@@ -64,18 +65,19 @@ def attention(
     def project(x: np.ndarray, name: str) -> np.ndarray:
         return x @ given[name].T if name in given else x
 
-    def one(flat: np.ndarray, rows: int) -> np.ndarray:
-        x = np.asarray(flat, dtype=float).reshape(rows, -1)
+    def one(x: np.ndarray) -> np.ndarray:
         q, k, v = (project(x, n) for n in "qkv")
         if q.shape[1] % heads:
             raise ValueError("vector width is not a multiple of heads")
-        split = [m.reshape(rows, heads, -1).swapaxes(0, 1) for m in (q, k, v)]
-        mixed = _attend(*split, causal).swapaxes(0, 1).reshape(rows, -1)
-        return project(mixed, "o").ravel()
-
-    @F.pandas_udf("array<double>")
-    def run(flat: pd.Series, rows: pd.Series) -> pd.Series:
-        return pd.Series([one(f, n) for f, n in zip(flat, rows)], dtype=object)
+        split = [m.reshape(len(x), heads, -1).swapaxes(0, 1) for m in (q, k, v)]
+        return project(_attend(*split, causal).swapaxes(0, 1).reshape(len(x), -1), "o").ravel()
+
+    @F.arrow_udf("array<double>")
+    def run(flat: pa.Array, rows: pa.Array) -> pa.Array:
+        ends = np.cumsum(lists.lengths(flat))[:-1]
+        parts = np.split(lists.numbers(flat), ends)
+        out = [one(x.reshape(n, -1)) for x, n in zip(parts, rows.to_numpy())]
+        return lists.regroup(np.concatenate(out), np.array([len(y) for y in out]), flat.is_null())
 
     members = F.array_sort(F.collect_list(F.struct("pos", *keep, F.col(vector).alias("_v"))))
     gathered = df.groupBy(*sequence).agg(members.alias("_m"))

@@ -90,10 +90,18 @@ def gated_cell(wx: Matrix, b: Sequence[float], wh: Matrix, wxz: Matrix, bz: Sequ
     return step
 
 
-def _fold_piece(pieces: DataFrame, by: Sequence[str], cell: Cell, start: Column) -> DataFrame:
-    steps = F.array_sort(F.collect_list(F.struct("_pos", "_x")))
-    folded = pieces.groupBy(*by).agg(steps.alias("_s"), F.count(F.lit(1)).alias("n_steps"))
-    return folded, F.aggregate(F.col("_s"), start, lambda h, s: cell(h, s["_x"]))
+def _gather(pieces: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The steps of each piece in order, as `_s`; the caller has bounded their number."""
+    steps = F.array_sort(F.collect_list(F.struct("_pos", "_x"))).alias("_s")
+    return pieces.groupBy(*by).agg(steps, F.count(F.lit(1)).alias("_n"))
+
+
+def _zero(hidden: int) -> Column:
+    return F.lit([0.0] * hidden).cast("array<double>")
+
+
+def _run(cell: Cell, start: Column) -> Column:
+    return F.aggregate(F.col("_s"), start, lambda h, s: cell(h, s["_x"]))
 
 
 def fold_sequences(
@@ -119,10 +127,9 @@ def fold_sequences(
         (F.col(index) % timesteps).alias("_pos"),
         V.doubles(features).alias("_x"),
     )
-    zero = F.lit([0.0] * hidden).cast("array<double>")
-    folded, state = _fold_piece(pieces, [*key, "seq_no"], cell, zero)
+    state = _run(cell, _zero(hidden))
     h = state if readout is None else V.linear(state, *readout)
-    return folded.select(*key, "seq_no", "n_steps", h.alias("h"))
+    return _gather(pieces, [*key, "seq_no"]).select(*key, "seq_no", F.col("_n").alias("n_steps"), h.alias("h"))
 
 
 def fold_series(
@@ -134,6 +141,7 @@ def fold_series(
     hidden: int,
     rows_per_round: int = 100_000,
     readout: tuple[Matrix, Sequence[float]] | None = None,
+    start: DataFrame | None = None,
 ) -> DataFrame:
     """Run a recurrent cell over each key's whole series, carrying the state on.
 
@@ -142,26 +150,29 @@ def fold_series(
     round r-1, so there are as many rounds as the longest series needs and no
     task holds more than n rows of a key. Where sequences may be cut, prefer
     `fold_sequences`, which needs one round.
+
+    `start` may hold earlier states (key, n_steps, h) to go on from; its keys
+    are kept even if `df` has no rows for them.
     """
-    rounds = whole(index, rows_per_round)
-    rows = df.select(*key, rounds.alias("_round"), F.col(index).alias("_pos"), V.doubles(features).alias("_x"))
+    rounds = whole(index, rows_per_round).alias("_round")
+    rows = df.select(*key, rounds, F.col(index).alias("_pos"), V.doubles(features).alias("_x"))
     rows = materialize(rows, "series", partition_by="_round")
     last = rows.agg(F.max("_round").alias("r")).first()["r"]
-    zero = F.lit([0.0] * hidden).cast("array<double>")
-    if last is None:
-        last = 0
-    states = None
-    for r in range(last + 1):
-        folded, from_zero = _fold_piece(rows.filter(F.col("_round") == r), key, cell, zero)
+    states = None if start is None else start.select(*key, "n_steps", F.col("h").alias("_h"))
+    for r in range(0 if last is None else last + 1):
+        pieces = _gather(rows.filter(F.col("_round") == r).drop("_round"), key)
         if states is None:
-            states = folded.select(*key, F.col("n_steps"), from_zero.alias("_h"))
-        else:
-            joined = states.join(folded.select(*key, F.col("n_steps").alias("_more"), "_s"), list(key), "left")
-            carried = F.aggregate(F.coalesce("_s", F.array().cast(folded.schema["_s"].dataType)), F.col("_h"), lambda h, s: cell(h, s["_x"]))
-            states = joined.select(
-                *key, (F.col("n_steps") + F.coalesce("_more", F.lit(0))).alias("n_steps"), carried.alias("_h")
-            )
+            states = pieces.select(*key, F.col("_n").alias("n_steps"), _run(cell, _zero(hidden)).alias("_h"))
+            continue
+        # Only the first round can bring keys that have no state yet.
+        joined = states.join(pieces, list(key), "full" if r == 0 else "left")
+        h = F.coalesce("_h", _zero(hidden))
+        n = F.coalesce("n_steps", F.lit(0)) + F.coalesce("_n", F.lit(0))
+        moved = F.when(F.col("_s").isNull(), h).otherwise(_run(cell, h))
+        states = joined.select(*key, n.alias("n_steps"), moved.alias("_h"))
         if (r + 1) % STEPS_PER_TABLE == 0 and r < last:
             states = materialize(states, "states")
+    if states is None:
+        states = df.select(*key, F.lit(0).cast("bigint").alias("n_steps"), _zero(hidden).alias("_h")).limit(0)
     h = F.col("_h") if readout is None else V.linear(F.col("_h"), *readout)
     return states.select(*key, "n_steps", h.alias("h"))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tokenloom.functions import arrays, text
+from tokenloom.functions import arrays, lists, text
 from tokenloom.operators.joins import BROADCAST_BYTES, lookup, table_bytes
 from tokenloom.session import materialize
 
@@ -94,13 +94,6 @@ def _columns(vocabulary: Vocabulary) -> tuple[pa.Array, np.ndarray]:
     return entries.column("token").combine_chunks(), entries.column("id").to_numpy()
 
 
-def _like(lists: pa.ListArray, flat: pa.Array) -> pa.ListArray:
-    """`flat` cut into the same lists; a missing list stays missing."""
-    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
-    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype("int32")
-    return pa.ListArray.from_arrays(pa.array(offsets), flat, mask=lists.is_null())
-
-
 def _encoder(vocabulary: Vocabulary) -> Callable[[Column], Column]:
     sc = vocabulary.table.sparkSession.sparkContext
     shared, unknown = sc.broadcast(_columns(vocabulary)), vocabulary.unknown_id
@@ -110,7 +103,7 @@ def _encoder(vocabulary: Vocabulary) -> Callable[[Column], Column]:
         entries, ids = shared.value
         found = pc.index_in(tokens.flatten(), value_set=entries)
         at = pc.fill_null(found, -1).to_numpy(zero_copy_only=False)
-        return _like(tokens, pa.array(np.where(at >= 0, ids[at], unknown), pa.int64()))
+        return lists.regroup(np.where(at >= 0, ids[at], unknown), lists.lengths(tokens), tokens.is_null())
 
     return code
 
@@ -123,7 +116,7 @@ def _decoder(vocabulary: Vocabulary) -> Callable[[Column], Column]:
     def name(ids: pa.Array) -> pa.Array:
         entries, known = shared.value
         at = pc.index_in(ids.flatten(), value_set=pa.array(known, pa.int64()))
-        return _like(ids, pc.fill_null(entries.take(at), text.UNKNOWN_MARKER))
+        return lists.regroup(pc.fill_null(entries.take(at), text.UNKNOWN_MARKER), lists.lengths(ids), ids.is_null())
 
     return name
 

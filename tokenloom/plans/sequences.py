@@ -157,12 +157,12 @@ def _sequences_sql(cell) -> str:
 
 
 
-def _features():
+def features():
     return F.array(F.col("value") / 100, (F.col("event_type") == "purchase").cast("double"))
 
 
 def _folded_sequences(spark: SparkSession, sf: str, cell: R.Cell) -> DataFrame:
-    out = R.fold_sequences(_series(spark, sf), ["user_id"], "idx", _features(), cell, 3, TIMESTEPS, READOUT)
+    out = R.fold_sequences(_series(spark, sf), ["user_id"], "idx", features(), cell, 3, TIMESTEPS, READOUT)
     y = [rounded(F.col("h")[i]).alias(f"y{i}") for i in range(2)]
     return out.select("user_id", "seq_no", "n_steps", *y)
 
@@ -188,5 +188,5 @@ SERIES_SQL = f"""
 def gated_series(spark: SparkSession, sf: str) -> DataFrame:
     """The gated fold over each user's whole series, 32 rows a round."""
     cell = R.gated_cell(WX, BX, WH, WXZ, BZ, WHZ)
-    out = R.fold_series(_series(spark, sf), ["user_id"], "idx", _features(), cell, 3, rows_per_round=32)
+    out = R.fold_series(_series(spark, sf), ["user_id"], "idx", features(), cell, 3, rows_per_round=32)
     return out.select("user_id", "n_steps", *[rounded(F.col("h")[i]).alias(f"h{i}") for i in range(3)])

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.functions import arrays, text
+from tokenloom.operators import series as R
 from tokenloom.operators.vocabulary import encode, fit_vocabulary
 from tokenloom.plans import sequences as Q
 from tokenloom.plans.batches import BATCHED_SQL
@@ -61,13 +62,9 @@ def streamed_padding(spark: SparkSession, sf: str) -> DataFrame:
 def streamed_fold(spark: SparkSession, sf: str) -> DataFrame:
     """The gated fold with state carried from chunk to chunk, per user."""
     events = table_stream(spark, sf, "events", maxFilesPerTrigger="1")
-    rows = events.select(
-        "user_id", "event_id", (F.col("value") / 100).alias("amount"),
-        (F.col("event_type") == "purchase").cast("double").alias("bought"),
-    )
-    cell = S.gated_numpy_cell(Q.WX, Q.BX, Q.WH, Q.WXZ, Q.BZ, Q.WHZ)
-    states = S.fold_stream(rows, "user_id", "event_id", ["amount", "bought"], cell, 3)
-    out = S.latest_states(S.run_to_table(states, "states"), "user_id")
+    cell = R.gated_cell(Q.WX, Q.BX, Q.WH, Q.WXZ, Q.BZ, Q.WHZ)
+    path = scratch_path(spark, "folded")
+    out = S.fold_stream(events, "user_id", "event_id", Q.features(), cell, 3, path)
     return out.select("user_id", "n_steps", *[rounded(F.col("h")[i]).alias(f"h{i}") for i in range(3)])
 
 

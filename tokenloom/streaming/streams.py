@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tokenloom.functions import arrays, text
 from tokenloom.operators.batching import pad_batches, with_batch
-from tokenloom.session import scratch_path
+from tokenloom.operators.conversations import guard_markers
+from tokenloom.operators.joins import lookup
+from tokenloom.operators.order import with_row_index
+from tokenloom.operators.series import Cell, fold_series
+from tokenloom.session import materialize, scratch_path
 
 
 def prepare_turns(turns: DataFrame, marker_mode: str = "allow") -> DataFrame:
@@ -20,8 +21,6 @@ def prepare_turns(turns: DataFrame, marker_mode: str = "allow") -> DataFrame:
 
     Row by row throughout, so the same call serves tables and streams.
     """
-    from tokenloom.operators.conversations import guard_markers
-
     role = text.map_role(F.col("role"))
     out = guard_markers(turns.filter(role.isNotNull() & F.col("text").isNotNull()), "text", marker_mode)
     rendered = text.render_turn(role, F.col("text"))
@@ -69,60 +68,60 @@ def first_writes_stream(stream: DataFrame, key: Sequence[str], time: str, delay:
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(key))
 
 
-NumpyCell = Callable[[np.ndarray, np.ndarray], np.ndarray]
-
-
-def gated_numpy_cell(wx, b, wh, wxz, bz, whz) -> NumpyCell:
-    """The gated cell of `tokenloom.operators.series`, for use inside stream state."""
-    wx, b, wh, wxz, bz, whz = (np.asarray(m, dtype=float) for m in (wx, b, wh, wxz, bz, whz))
-
-    def step(h: np.ndarray, x: np.ndarray) -> np.ndarray:
-        z = 1.0 / (1.0 + np.exp(-(wxz @ x + bz + whz @ h)))
-        return z * h + (1.0 - z) * np.maximum(wx @ x + b + wh @ h, 0.0)
-
-    return step
-
-
 def fold_stream(
-    stream: DataFrame, key: str, order: str, features: Sequence[str], cell: NumpyCell, hidden: int
+    stream: DataFrame,
+    key: str,
+    order: str,
+    features: Column,
+    cell: Cell,
+    hidden: int,
+    path: str,
+    rows_per_round: int = 100_000,
 ) -> DataFrame:
-    """Recurrent fold with the state of each key carried from chunk to chunk.
-
-    Rows of a key are put in order within a chunk and must not arrive after a
-    later row of an earlier chunk; such late rows cannot be folded in any more
-    and are counted in `n_late`. Emits the state of each key that got rows:
-    key, n_steps, n_late, last_order, h. Limit the size of a chunk with the
-    source option `maxFilesPerTrigger` or `maxBytesPerTrigger`.
+    """Recurrent fold whose states are carried from chunk to chunk.
+
+    The states after chunk n are the table `chunk=n` below `path`: key,
+    n_steps, n_late, last_order, h. Each chunk goes on from the table of the
+    chunk before and replaces its own when it is run again, so a retry changes
+    nothing. Within a chunk rows are put in order, however many a key has. A
+    row that arrives after a later row of an earlier chunk can no longer be
+    folded in; it is counted in `n_late`. Returns the last states.
     """
+    spark = stream.sparkSession
+    latest = []
 
-    def update(
-        group: tuple, chunks: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        n_steps, n_late, last, saved = state.get if state.exists else (0, 0, None, [0.0] * hidden)
-        h = np.asarray(saved, dtype=float)
-        rows = pd.concat(list(chunks)).sort_values(order)
-        fresh = rows if last is None else rows[rows[order] > last]
-        n_late += len(rows) - len(fresh)
-        for x in fresh[list(features)].to_numpy(dtype=float):
-            h = cell(h, x)
-        if len(fresh):
-            last = int(fresh[order].iloc[-1])
-        n_steps += len(fresh)
-        state.update((n_steps, n_late, last, h.tolist()))
-        out = {key: [group[0]], "n_steps": [n_steps], "n_late": [n_late], "last_order": [last], "h": [h.tolist()]}
-        yield pd.DataFrame(out)
-
-    kind = stream.schema[key].dataType.simpleString()
-    state = "n_steps bigint, n_late bigint, last_order bigint, h array<double>"
-    return (
-        stream.select(key, order, *features)
-        .groupBy(key)
-        .applyInPandasWithState(update, f"{key} {kind}, {state}", state, "append", GroupStateTimeout.NoTimeout)
-    )
-
+    def one_chunk(chunk: DataFrame, number: int) -> None:
+        rows = materialize(chunk.select(key, order, features.alias("_features")), "chunk")
+        earlier = rows.sparkSession.read.parquet(f"{path}/chunk={number - 1}") if number else None
+        if earlier is None:
+            marked = rows.withColumn("_late", F.lit(False))
+        else:
+            seen = lookup(rows, earlier.select(key, "last_order"), [key])
+            marked = seen.withColumn("_late", F.coalesce(F.col(order) <= F.col("last_order"), F.lit(False)))
+        indexed = with_row_index(marked.filter(~F.col("_late")).select(key, order, "_features"), order, key, "_idx")
+        folded = fold_series(
+            indexed, [key], "_idx", F.col("_features"), cell, hidden, rows_per_round, start=earlier
+        )
+        new = marked.groupBy(key).agg(
+            F.max(F.when(~F.col("_late"), F.col(order))).alias("_last"), F.sum(F.col("_late").cast("bigint")).alias("_late")
+        )
+        states = folded.join(new, key, "left")
+        if earlier is None:
+            states = states.withColumn("n_late", F.lit(0).cast("bigint")).withColumn("last_order", F.col("_last"))
+        else:
+            states = states.join(earlier.select(key, "n_late", "last_order"), key, "left")
+        late = F.coalesce("n_late", F.lit(0)) + F.coalesce("_late", F.lit(0))
+        last = F.greatest("last_order", "_last")
+        out = states.select(key, "n_steps", late.alias("n_late"), last.alias("last_order"), "h")
+        out.write.mode("overwrite").parquet(f"{path}/chunk={number}")
+        latest.append(number)
 
-def latest_states(emitted: DataFrame, key: str) -> DataFrame:
-    """The last emitted state of each key."""
-    columns = [c for c in emitted.columns if c != key]
-    last = F.max_by(F.struct(*columns), F.col("n_steps") + F.col("n_late")).alias("_s")
-    return emitted.groupBy(key).agg(last).select(key, *[F.col("_s")[c].alias(c) for c in columns])
+    query = (
+        stream.writeStream.foreachBatch(one_chunk)
+        .option("checkpointLocation", f"{path}-progress")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    last = latest[-1] if latest else spark.read.parquet(path).agg(F.max("chunk")).first()[0]
+    return spark.read.parquet(f"{path}/chunk={last}")
