@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 from textwrap import dedent
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions import text
 from tokenloom.functions import vectors as V
+from tokenloom.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,7 +24,13 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name!r} is registered twice")
-        QUERIES[name] = fn
+
+        @wraps(fn)
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, folder)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = dedent(sql).strip()
         return fn

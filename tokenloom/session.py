@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,7 +28,27 @@ def build_session(app: str = "tokenloom", master: str | None = None, **conf: str
         builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the Python workers import this package, wherever the session was started.
+
+    Spark copies the file to the executors, as with `--py-files`.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    if package.is_dir():  # not when the package itself was shipped as a file
+        staged = Path(tempfile.mkdtemp(prefix="tokenloom-ship-")) / package.name
+        spark.sparkContext.addPyFile(shutil.make_archive(str(staged), "zip", package.parent, package.name))
+    _SHIPPED.add(app)
 
 
 def shared_dir(spark: SparkSession) -> str:
