@@ -44,7 +44,7 @@ def pad_batches(df: DataFrame, ids: str, pad: int = arrays.PAD_ID) -> DataFrame:
     return df.withColumn("width", width).withColumn(ids, arrays.pad_right(F.col(ids), F.col("width"), pad))
 
 
-def first_batches(df: DataFrame, order: str, size: int, batches: int, near: int = 100_000) -> DataFrame:
+def first_batches(df: DataFrame, order: str, size: int, batches: int, near: int = 10_000) -> DataFrame:
     """The rows of the first `batches` batches, with `batch_id` and `slot`."""
     rows = size * batches
     head = df.orderBy(order).limit(rows) if rows <= near else df

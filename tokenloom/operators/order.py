@@ -134,7 +134,7 @@ def with_row_index(
     return with_running_total(df, order, F.lit(1), name, group, rows_per_range)
 
 
-def row_slice(df: DataFrame, order: str, start: int, stop: int, near: int = 100_000) -> DataFrame:
+def row_slice(df: DataFrame, order: str, start: int, stop: int, near: int = 10_000) -> DataFrame:
     """Rows `[start, stop)` along the unique key `order`.
 
     Near the beginning this is a top-n; further in, positions are worked out
