@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from tokenloom.functions import lists
 
 Activation = Callable[[Column], Column]
+# Weight rows, bias, activation.
+Layer = tuple[Sequence[Sequence[float]], Sequence[float] | None, Activation]
 # Number of weights from which on a batch-wise matrix product is the faster way.
 WIDE_LAYER = 256
 # The usual defaults of batch and layer normalization and of the
@@ -143,9 +145,7 @@ def activate(v: Column, activation: Activation) -> Column:
     return F.transform(v, activation)
 
 
-def perceptron(
-    v: Column, layers: Sequence[tuple[Sequence[Sequence[float]], Sequence[float] | None, Activation]]
-) -> Column:
+def perceptron(v: Column, layers: Sequence[Layer]) -> Column:
     """Score stored layers `(weight, bias, activation)` one after the other."""
     out = v
     for weight, bias, activation in layers:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions import lists
 from tokenloom.functions.arrays import whole
+from tokenloom.functions.vectors import Layer, layer_norm, perceptron
 from tokenloom.operators.order import with_row_index
 
 
@@ -89,3 +90,24 @@ def attention(
         return F.struct(*kept, F.slice(F.col("_y"), i * width + 1, width).alias(out))
 
     return mixed.select(*sequence, F.inline(F.transform("_m", row)))
+
+
+def encoder_layer(
+    df: DataFrame,
+    sequence: Sequence[str],
+    vector: str,
+    keep: Sequence[str],
+    feed_forward: Sequence[Layer],
+    heads: int = 1,
+    causal: bool = False,
+    weights: dict[str, Sequence[Sequence[float]]] | None = None,
+) -> DataFrame:
+    """Score a stored encoder layer: attention, then a feed-forward net, each added to its input and normalized.
+
+    `feed_forward` are layers as for `vectors.perceptron`; the last one must
+    give back the width of the vectors.
+    """
+    mixed = attention(df, sequence, vector, [*keep, vector], heads, causal, weights, out="_a")
+    first = mixed.withColumn("_a", layer_norm(F.col("_a"), F.col(vector)))
+    fed = first.withColumn("_f", perceptron(F.col("_a"), feed_forward))
+    return fed.withColumn(vector, layer_norm(F.col("_f"), F.col("_a"))).drop("_a", "_f")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenloom.functions import text
 from tokenloom.functions import vectors as V
 from tokenloom.operators import statistics as S
-from tokenloom.operators.attention import attention, cut_sequences
+from tokenloom.operators.attention import attention, cut_sequences, encoder_layer
 from tokenloom.operators.vocabulary import fit_vocabulary, token_ids
 from tokenloom.plans.registry import DOC_IDS_SQL, query, r_sql, rounded, vector_marks, vector_marks_sql
 from tokenloom.session import scratch_path
@@ -129,7 +129,8 @@ def embedded_tokens(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _attention_sql(causal: bool = False, heads: int = 1) -> str:
+def _attention_ctes(causal: bool = False, heads: int = 1) -> str:
+    """label, seq_no, pos, vec_id, v in `s`; vec_id, a (the attended vector) in `a`."""
     width = 64 // heads
     mask = "AND k.pos <= q.pos" if causal else ""
     return f"""
@@ -141,7 +142,11 @@ def _attention_sql(causal: bool = False, heads: int = 1) -> str:
     w AS (SELECT vec_id, head, part, exp(score - max(score) OVER (PARTITION BY vec_id, head)) AS w FROM p),
     x AS (SELECT vec_id, head, w, unnest(part) AS x, generate_subscripts(part, 1) AS d FROM w),
     y AS (SELECT vec_id, head, d, sum(w * x) / sum(w) AS y FROM x GROUP BY vec_id, head, d),
-    a AS (SELECT vec_id, list(y ORDER BY head, d) AS a FROM y GROUP BY vec_id)
+    a AS (SELECT vec_id, list(y ORDER BY head, d) AS a FROM y GROUP BY vec_id)"""
+
+
+def _attention_sql(causal: bool = False, heads: int = 1) -> str:
+    return f"""{_attention_ctes(causal, heads)}
     SELECT label, seq_no, pos, vec_id, {vector_marks_sql('a')} FROM a JOIN s USING (vec_id)
     """
 
@@ -218,6 +223,13 @@ def weight_rule(rows: int, columns: int, salt: int) -> list[list[float]]:
     return [[((i * 7 + j * 3 + salt) % 11 - 5) / 64 for j in range(columns)] for i in range(rows)]
 
 
+def norm_ctes(source: str, v: str, out: str) -> str:
+    """Row normalization of the 64-wide list `v` of `source`, as `out` in a table of that name."""
+    return f"""{out}_c AS (SELECT *, list_transform({v}, lambda x: x - list_sum({v}) / 64) AS centred FROM {source}),
+    {out} AS (SELECT * EXCLUDE (centred), list_transform(centred, lambda x: x
+        / sqrt(list_sum(list_transform(centred, lambda y: y * y)) / 64 + 1e-5)) AS {out} FROM {out}_c)"""
+
+
 def weight_sql(rows: int, columns: int, salt: int, v: str) -> str:
     entry = f"((i * 7 + j * 3 + {salt}) % 11 - 5)::DOUBLE / 64"
     row = f"list_transform(range({columns}), lambda j: {entry})"
@@ -241,6 +253,27 @@ def perceptron_scores(spark: SparkSession, sf: str) -> DataFrame:
     return _marked(e.withColumn("v", V.perceptron(F.col("v"), layers)), "v", "vec_id")
 
 
+@query(
+    "encoder_layer",
+    f"""{_attention_ctes(heads=8)},
+    r1 AS (SELECT vec_id, list_transform(a, lambda x, i: x + v[i]) AS u FROM a JOIN e USING (vec_id)),
+    {norm_ctes('r1', 'u', 'n1')},
+    f1 AS (SELECT vec_id, n1, {weight_sql(32, 64, 4, 'n1')} AS h FROM n1),
+    f2 AS (SELECT vec_id, n1, {weight_sql(32, 32, 5, 'list_transform(h, lambda x: greatest(x, 0))')} AS h FROM f1),
+    f3 AS (SELECT vec_id, n1, {weight_sql(64, 32, 6, 'h')} AS h FROM f2),
+    r2 AS (SELECT vec_id, list_transform(h, lambda x, i: x + n1[i]) AS w FROM f3),
+    {norm_ctes('r2', 'w', 'n2')}
+    SELECT vec_id, {vector_marks_sql('n2')} FROM n2
+    """,
+)
+def encoder_layer_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Eight-head attention and a three-layer feed-forward net, with residuals and normalization."""
+    shapes = [(32, 64, 4, V.relu), (32, 32, 5, V.identity), (64, 32, 6, V.identity)]
+    layers = [(weight_rule(r, c, s), [i / 100 for i in range(r)], act) for r, c, s, act in shapes]
+    rows = cut_sequences(_embeddings(spark, sf), "vec_id", CONTEXT, "label")
+    return _marked(encoder_layer(rows, ["label", "seq_no"], "v", ["vec_id"], layers, heads=8), "v", "vec_id")
+
+
 @query(
     "position_features",
     f"""
