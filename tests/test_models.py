@@ -121,7 +121,9 @@ def convolved(x, w, b, stride, padding):
 
 
 @pytest.mark.parametrize("kernel,stride,padding", [(2, 1, 1), (3, 2, 0), (3, 3, 2), (2, 1, 4)])
-def test_convolution_against_matrices(spark, kernel, stride, padding):
+@pytest.mark.parametrize("block", [1024, 8])
+def test_convolution_against_matrices(spark, monkeypatch, kernel, stride, padding, block):
+    monkeypatch.setattr(R, "BLOCK", block)
     rng = np.random.default_rng(4)
     x, w, b = rng.normal(size=(3, 32)), rng.normal(size=(2, 3, kernel)), rng.normal(size=2)
     rows = [("u", i, *x[:, i].tolist()) for i in range(32)]

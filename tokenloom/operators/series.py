@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tokenloom.functions import vectors as V
@@ -14,6 +15,7 @@ from tokenloom.session import materialize
 Matrix = Sequence[Sequence[float]]
 Cell = Callable[[Column, Column], Column]
 STEPS_PER_TABLE = 10
+BLOCK = 1024
 
 
 def convolve(
@@ -33,37 +35,55 @@ def convolve(
     from input channel c to output channel o. Output `idx` runs over
     0..floor((L + 2 padding - k) / stride), with columns y0, y1, ...
 
-    Every value is sent to the outputs it takes part in and summed there, first
-    inside the task; a long series is never brought together in one place.
+    The series is cut into blocks, and each block also gets the first rows of
+    the next one, as far as the kernel reaches. So a window inside the block
+    sees all it needs, one shuffle moves hardly more than the rows themselves,
+    and a long series is never brought together in one place.
     """
-    kernel = len(weight[0][0])
+    kernel, p = len(weight[0][0]), padding
     bias = bias if bias is not None else [0.0] * len(weight)
     if padding < 0 or stride < 1:
         raise ValueError("padding must not be negative, stride must be positive")
     names = [f"y{o}" for o in range(len(weight))]
-    # One zero row per padded place, so that windows of padding only exist too.
-    lengths = df.groupBy(*key).agg((F.max(index) + 1).alias("_len"))
-    values = df.select(*key, F.col(index).cast("bigint").alias("_i"), *[F.col(c).cast("double").alias(c) for c in channels])
-    if padding:
-        right = F.sequence(F.col("_len"), F.col("_len") + padding - 1)
-        left = F.sequence(F.lit(-padding).cast("bigint"), F.lit(-1).cast("bigint"))
-        zeros = lengths.select(*key, F.explode(F.concat(left, right)).alias("_i"), *[F.lit(0.0).alias(c) for c in channels])
-        values = values.unionByName(zeros)
-    shares = []
-    for j in range(kernel):
-        start = F.col("_i") + padding - j
-        lands = (start >= 0) & (start % stride == 0)
-        sums = [
-            sum((F.lit(float(weight[o][c][j])) * F.col(name) for c, name in enumerate(channels)), F.lit(0.0))
-            for o in range(len(weight))
-        ]
-        place = F.when(lands, whole(start, stride)).alias("idx")
-        shares.append(F.struct(place, *[s.alias(n) for s, n in zip(sums, names)]))
-    spread = values.select(*key, F.inline(F.array(*shares))).filter(F.col("idx").isNotNull())
-    # An output whose window runs past the right padding got fewer than `kernel` shares.
-    summed = spread.groupBy(*key, "idx").agg(F.count(F.lit(1)).alias("_shares"), *[F.sum(n).alias(n) for n in names])
-    full = summed.filter(F.col("_shares") == kernel)
-    return full.select(*key, "idx", *[activation(F.col(n) + float(b)).alias(n) for n, b in zip(names, bias)])
+    block, reach = max(BLOCK, 4 * kernel), max(kernel - 1, 1)
+
+    # The first row of a series also stands for the padding before it.
+    index_of = F.col(index).cast("bigint")
+    places = F.when(index_of == 0, F.sequence(F.lit(0), F.lit(p)).cast("array<bigint>")).otherwise(F.array(index_of + p))
+    raw = df.select(*key, F.explode(places).alias("_pos"), *[F.col(c).cast("double").alias(c) for c in channels])
+    padded = raw.select(*key, "_pos", *[F.when(F.col("_pos") < p, 0.0).otherwise(F.col(c)).alias(c) for c in channels])
+
+    own = whole("_pos", block)
+    also_before = (F.col("_pos") % block < reach) & (own > 0)
+    blocks = F.when(also_before, F.array(own, own - 1)).otherwise(F.array(own))
+    rows = padded.withColumn("_block", F.explode(blocks))
+    ahead = W.partitionBy(*key, "_block").orderBy("_pos")
+
+    def output(o: int) -> Column:
+        total = F.lit(float(bias[o]))
+        for c, name in enumerate(channels):
+            for j in range(kernel):
+                value = F.lead(name, j, 0.0).over(ahead) if j else F.col(name)
+                total = total + F.lit(float(weight[o][c][j])) * value
+        return activation(total)
+
+    # Up to `p` values may be missing at the end: they are padding.
+    needed = kernel - 1 - p
+    complete = F.lead("_pos", needed).over(ahead).isNotNull() if needed > 0 else F.lit(True)
+    worked = rows.select(
+        *key,
+        "_pos",
+        (own == F.col("_block")).alias("_own"),
+        complete.alias("_complete"),
+        F.lead("_pos", 1).over(ahead).isNull().alias("_last"),
+        *[output(o).alias(n) for o, n in enumerate(names)],
+    ).filter("_own")
+    out = worked.filter("_complete").select(*key, "_pos", *names)
+    if p >= kernel:  # windows that lie in the padding after the last row
+        beyond = F.explode(F.sequence(F.col("_pos") + 1, F.col("_pos") + p - kernel + 1)).alias("_pos")
+        empty = [activation(F.lit(float(b))).alias(n) for n, b in zip(names, bias)]
+        out = out.unionByName(worked.filter("_last").select(*key, beyond, *empty))
+    return out.filter(F.col("_pos") % stride == 0).select(*key, whole("_pos", stride).alias("idx"), *names)
 
 
 def max_pool(df: DataFrame, key: Sequence[str], index: str, channels: Sequence[str], size: int) -> DataFrame:
