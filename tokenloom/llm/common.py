@@ -128,3 +128,7 @@ def components(edges: DataFrame, a: str, b: str, rounds: int = 60) -> DataFrame:
 
 def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda x, y: x | y, conditions, F.lit(False))
+
+
+def all_of(conditions: list[Column]) -> Column:
+    return reduce(lambda x, y: x & y, conditions, F.lit(True))

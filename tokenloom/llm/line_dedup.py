@@ -5,33 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tokenloom.llm.common import all_of, any_of
 from tokenloom.operators.joins import lookup
 from tokenloom.session import materialize
 
 MARK = "\x00"
 # A line ends behind any of these. Sentences and clauses count as lines, so
 # that a passage set into the middle of another line is still found.
-ENDS = ("\n", ". ", ", ", "! ", "? ")
+LINE_END = r"[\n.,!?](?:(?<=\n)| )"
+BARE_END = r"[\n.,!?](?:(?<=\n)|[ \n]|\z)"
 GRAM = 2  # lines hashed together
 WINDOW = 3  # grams of which one is selected: any shared run of GRAM + WINDOW - 1 lines has a shared fingerprint
-MIN_CHARS = 150  # a shorter run stays
+MIN_GRAM = 40  # bytes; fewer are no fingerprint: very short lines meet by chance everywhere
+MIN_BYTES = 150  # without line ends; a shorter run stays
 
 
 def lines(text: Column) -> Column:
-    """The lines of a text, ends included: joined they are the text again. Null gives none."""
-    marked = text
-    for end in ENDS:
-        marked = F.replace(marked, F.lit(end), F.lit(end + MARK))
-    quick = F.split(marked, MARK)
-    any_end = "|".join(f"(?<={end})" for end in ("\\n", "\\. ", ", ", "! ", "\\? "))
-    found = F.when(F.contains(text, F.lit(MARK)), F.split(text, any_end)).otherwise(quick)
-    found = F.when(found[F.size(found) - 1] == "", F.slice(found, 1, F.size(found) - 1)).otherwise(found)
-    return F.when(text.isNull() | (text == ""), F.expr("cast(array() as array<string>)")).otherwise(found)
+    """The lines of a text, ends included: joined they are the text again. An empty text is one empty line."""
+    quick = F.split(F.regexp_replace(text, LINE_END + r"(?!\z)", "$0" + MARK), MARK)
+    return F.when(F.contains(text, F.lit(MARK)), F.split(text, r"(?<=\n|[.,!?] )(?!\z)")).otherwise(quick)
 
 
-def line_hashes(found: Column) -> Column:
-    """Lines that differ in case or in white space at their ends are equal."""
-    return F.transform(found, lambda s: F.xxhash64(F.lower(F.btrim(s, F.lit(" \t\r\n")))))
+def bare_lines(text: Column) -> Column:
+    """The same lines without their ends; there may be one more, empty, at the end."""
+    return F.split(text, BARE_END)
 
 
 def _documents(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -40,49 +37,54 @@ def _documents(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.struct(F.col(key).alias("id"), F.xxhash64(body).alias("copy")).alias("d"), body.alias("text"))
 
 
-def fingerprints(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, min_chars: int = MIN_CHARS) -> DataFrame:
+def fingerprints(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, min_bytes: int = MIN_BYTES) -> DataFrame:
     """d, fp, pos: window minima of the gram hashes, and every line that alone is long enough.
 
     Of equal minima the leftmost is selected. Short texts are one window; texts
     with fewer than `gram` lines have long lines only.
     """
-    rows = docs.select("d", lines(F.col("text")).alias("s"))
-    rows = rows.select("d", line_hashes(F.col("s")).alias("h"), F.transform("s", F.char_length).alias("n"))
-    count = F.size("h") - gram + 1
+    rows = docs.filter("text is not null").select("d", bare_lines(F.col("text")).alias("s"))
+    rows = rows.select("d", F.transform("s", lambda x: F.xxhash64(x)).alias("h"), F.transform("s", F.octet_length).alias("n"))
+    upto = lambda n: F.when(n >= 0, F.sequence(F.lit(0), n)).otherwise(F.array().cast("array<int>"))
+    size = lambda i: sum((F.get("n", i + j) for j in range(1, gram)), F.get("n", i))
     grams = F.transform(
-        F.sequence(F.lit(0), count - 1), lambda i: F.struct(F.xxhash64(*[F.get("h", i + j) for j in range(gram)]).alias("fp"), i.alias("pos"))
+        upto(F.size("h") - gram),
+        lambda i: F.when(size(i) >= MIN_GRAM, F.xxhash64(*[F.get("h", i + j) for j in range(gram)])),
     )
-    none = F.expr("cast(array() as array<struct<fp: bigint, pos: int>>)")
-    rows = rows.select("d", "h", "n", F.when(count > 0, grams).otherwise(none).alias("g"))
-    starts = F.sequence(F.lit(1), F.greatest(F.size("g") - window + 1, F.lit(1)))
-    minima = F.array_distinct(F.transform(starts, lambda i: F.array_min(F.slice("g", i, window))))
-    alone = F.filter(
-        F.transform("h", lambda h, i: F.when(F.get("n", i) >= min_chars, F.struct(F.xxhash64(h, F.lit("alone")).alias("fp"), i.alias("pos")))),
-        lambda x: x.isNotNull(),
-    )
-    chosen = F.concat(F.when(F.size("g") > 0, minima).otherwise(none), alone)
-    return rows.select("d", F.explode(chosen).alias("x")).select("d", "x.fp", "x.pos")
+    rows = rows.select("d", "h", "n", grams.alias("g"))
+
+    def minimum(i: Column) -> Column:
+        """Whether the gram at `i` is the leftmost minimum of a window; windows at the ends may be shorter."""
+        x = F.get("g", i)
+        before = [F.coalesce(x < F.get("g", i - j), F.lit(True)) for j in range(1, window)]
+        behind = [F.coalesce(x <= F.get("g", i + j), F.lit(True)) for j in range(1, window)]
+        return x.isNotNull() & any_of([all_of(before[:k] + behind[: window - 1 - k]) for k in range(window)])
+
+    chosen = F.transform(F.filter(upto(F.size("g") - 1), minimum), lambda i: F.struct(F.get("g", i).alias("fp"), i.alias("pos")))
+    alone = F.filter(F.transform("n", lambda c, i: F.when(c >= min_bytes, i).otherwise(-1)), lambda i: i >= 0)
+    alone = F.transform(alone, lambda i: F.struct(F.xxhash64(F.get("h", i), F.lit("alone")).alias("fp"), i.alias("pos")))
+    return rows.select("d", F.explode(F.concat(chosen, alone)).alias("x")).select("d", "x.fp", "x.pos")
 
 
-def repeated_runs(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, min_chars: int = MIN_CHARS) -> DataFrame:
+def repeated_runs(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, min_bytes: int = MIN_BYTES) -> DataFrame:
     """d, runs (start, end): the lines of each document of `docs` (d, text) that repeat earlier ones.
 
     A fingerprint's earliest place, by key and position, is met by all its
     later places: as many rows as places, however common a line is. Places at
     one distance from the same earlier document are one alignment; along it the
     match is extended both ways to the ends of all equal runs, and those of at
-    least `min_chars` characters count.
+    least `min_bytes` bytes count.
     """
-    found = materialize(fingerprints(docs, gram, window, min_chars), "line_fingerprints")
+    found = materialize(fingerprints(docs, gram, window, min_bytes), "line_fingerprints")
     firsts = found.groupBy("fp").agg(F.min(F.struct("d", "pos")).alias("first"), F.count("*").alias("n")).filter("n > 1")
     later = found.join(firsts.select("fp", "first"), "fp").filter("not (d <=> first.d and pos = first.pos)")
     aligned = later.select("d", F.col("first.d").alias("e"), (F.col("pos") - F.col("first.pos")).alias("shift")).distinct()
     aligned = materialize(aligned, "alignments")
 
     touched = materialize(aligned.select("d").union(aligned.select(F.col("e").alias("d"))).distinct(), "touched")
-    held = lookup(docs, touched, ["d"], "inner").select("d", lines(F.col("text")).alias("s"))
-    held = held.select("d", line_hashes(F.col("s")).alias("h"), F.transform("s", F.char_length).alias("n"))
-    held = materialize(held.dropDuplicates(["d"]), "touched_lines")
+    held = lookup(docs, touched, ["d"], "inner").distinct().select("d", bare_lines(F.col("text")).alias("s"))
+    held = held.select("d", F.transform("s", lambda x: F.xxhash64(x)).alias("h"), F.transform("s", F.octet_length).alias("n"))
+    held = materialize(held, "touched_lines")
     earlier = held.select(F.col("d").alias("e"), F.col("h").alias("h0"))
     pairs = aligned.join(held, "d").join(earlier, "e")
 
@@ -98,7 +100,7 @@ def repeated_runs(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, min_c
     )
     runs = F.filter(runs, lambda r: r["end"] > r["start"])
     chars = lambda r: F.aggregate(F.slice("n", r["start"] + 1, r["end"] - r["start"]), F.lit(0), lambda x, y: x + y)
-    runs = pairs.select("d", F.explode(F.filter(runs, lambda r: chars(r) >= min_chars)).alias("run"))
+    runs = pairs.select("d", F.explode(F.filter(runs, lambda r: chars(r) >= min_bytes)).alias("run"))
     return runs.groupBy("d").agg(F.sort_array(F.collect_set("run")).alias("runs"))
 
 
@@ -108,9 +110,9 @@ def without_repeats(
     text: str = "text",
     gram: int = GRAM,
     window: int = WINDOW,
-    min_chars: int = MIN_CHARS,
+    min_bytes: int = MIN_BYTES,
 ) -> DataFrame:
-    """`docs` with later repeated runs deleted from `text`, and `__lines`, `__deleted` (lines).
+    """`docs` with later repeated runs deleted from `text`, and `__deleted`, how many lines that were.
 
     Earlier means a smaller key (null first), then the position; repeats inside
     one text count too. A run that is deleted always stays somewhere earlier,
@@ -119,7 +121,7 @@ def without_repeats(
     other columns stay.
     """
     parts = _documents(docs, key, text)
-    runs = materialize(repeated_runs(parts, gram, window, min_chars), "repeated_runs")
+    runs = materialize(repeated_runs(parts, gram, window, min_bytes), "repeated_runs")
     body = F.col(text).cast("string")
     named = docs.withColumn("__d", F.struct(F.col(key).alias("id"), F.xxhash64(body).alias("copy")))
     joined = lookup(named, runs.select(F.col("d").alias("__d"), F.col("runs").alias("__runs")), ["__d"])
@@ -127,6 +129,5 @@ def without_repeats(
     joined = joined.withColumn("__all", F.when(F.col("__runs").isNotNull(), lines(body)))
     joined = joined.withColumn("__kept", F.filter("__all", lambda s, i: ~inside(i)))
     changed = F.when(F.col("__runs").isNull(), body).otherwise(F.array_join("__kept", ""))
-    count = F.coalesce(F.size("__all"), F.size(lines(body)), F.lit(0)).cast("long")
     deleted = F.coalesce(F.size("__all") - F.size("__kept"), F.lit(0)).cast("long")
-    return joined.select(*[changed.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns], count.alias("__lines"), deleted.alias("__deleted"))
+    return joined.select(*[changed.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns], deleted.alias("__deleted"))

@@ -161,7 +161,6 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     kept = line_dedup.without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
     return kept.select(
         "doc_id",
-        F.col("__lines").alias("n_lines"),
         F.col("__deleted").alias("n_deleted"),
         F.char_length("text").cast("long").alias("n_chars_kept"),
         F.sha2("text", 256).alias("text_sha256"),
