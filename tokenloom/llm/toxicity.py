@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 TOKEN = re.compile(r"[^\W\d_]+|[.!?\n]")
 STOPS = frozenset(".!?\n")
 FEATURES = 1 << 20  # hashed features of a word
-SAMPLE = 2000  # labelled rows of each class that the model is fitted on, at most
+SAMPLE = 1500  # labelled rows of each class that the model is fitted on, at most
 CLEAN_SENTENCES = 8_000  # sentences without a toxic word among them, at most
 STEPS = 30
 CACHE_ROWS = 300_000
@@ -55,53 +55,48 @@ class _Emissions(dict):
         return value
 
 
-def chains(emissions: np.ndarray, starts: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Marginals of the toxic tag, log P(all clean) of each chain, and the expected moves (2 x 2).
+def chains(emissions: np.ndarray, starts: np.ndarray, moves: np.ndarray, counts: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Log odds of the toxic tag's marginal at each place, and (with `counts`) the expected moves (2 x 2).
 
     Chains begin at `starts` in the flat array. Forward and backward steps run
-    over all chains of like length side by side, one position at a time.
+    over all chains of like length side by side, one position at a time. With
+    two tags each step only needs the ratio of toxic to clean.
     """
     lengths = np.diff(np.append(starts, len(emissions)))
-    marginal = np.zeros(len(emissions))
-    clean = np.zeros(len(starts))
-    expected = np.zeros((2, 2))
+    odds, expected = np.zeros(len(emissions)), np.zeros((2, 2))
+    grown, (m00, m01), (m10, m11) = np.exp(np.clip(emissions, -40, 40)), *np.exp(np.clip(moves, -20, 20))
     order = np.argsort(lengths, kind="stable")
-    order = order[lengths[order] > 0]
     at = 0
     while at < len(order):
-        upto = at + 1  # chains of at most twice the length of the shortest, and not too many
+        # Chains of up to twice the length of the shortest, and not too many.
         limit = max(2 * lengths[order[at]], 8)
-        upto = max(upto, int(np.searchsorted(lengths[order], limit, side="right")))
-        longest = lengths[order[upto - 1]]
-        upto = min(upto, at + max(1, BATCH_TOKENS // int(longest)))
-        pick = order[at:upto]
-        at = upto
-        n, steps = lengths[pick], int(lengths[pick].max())
-        place = starts[pick][None, :] + np.minimum(np.arange(steps)[:, None], n[None, :] - 1)
-        e = emissions[place]
-        live = np.arange(steps)[:, None] < n[None, :]
-        fwd = np.empty((steps, 2, len(pick)))
-        fwd[0] = np.stack([np.zeros(len(pick)), e[0]])
+        upto = int(np.searchsorted(lengths[order], limit, side="right"))
+        upto = min(upto, at + max(1, BATCH_TOKENS // int(lengths[order[upto - 1]])))
+        pick, at = order[at:upto], upto
+        n, steps = lengths[pick], int(lengths[pick[-1]])
+        first = starts[pick]
+        forward = np.empty((steps, len(pick)))
+        ratio = grown[first]
+        forward[0] = ratio
         for t in range(1, steps):
-            a, b = fwd[t - 1]
-            fwd[t, 0] = np.logaddexp(a + moves[0, 0], b + moves[1, 0])
-            fwd[t, 1] = np.logaddexp(a + moves[0, 1], b + moves[1, 1]) + e[t]
-            fwd[t] = np.where(live[t], fwd[t], fwd[t - 1])
-        z = np.logaddexp(fwd[-1, 0], fwd[-1, 1])
-        back = np.zeros((2, len(pick)))
+            # Chains are sorted by length: the ones that are still going on stand last.
+            live = int(np.searchsorted(n, t, side="right"))
+            r = ratio[live:]
+            ratio[live:] = grown[first[live:] + t] * (m01 + r * m11) / (m00 + r * m10)
+            forward[t, live:] = ratio[live:]
+        back = np.ones(len(pick))
         for t in range(steps - 1, -1, -1):
-            p = np.exp(fwd[t, 1] + back[1] - z)
-            marginal[place[t][live[t]]] = p[live[t]]
+            live = int(np.searchsorted(n, t, side="right"))
+            place = first[live:] + t
+            odds[place] = np.log(forward[t, live:] * back[live:])
             if t:
-                into = np.stack([back[0], back[1] + e[t]])
-                for i in (0, 1):
-                    for j in (0, 1):
-                        x = np.exp(fwd[t - 1, i] + moves[i, j] + into[j] - z)
-                        expected[i, j] += x[live[t]].sum()
-                before = np.stack([np.logaddexp(moves[i, 0] + into[0], moves[i, 1] + into[1]) for i in (0, 1)])
-                back = np.where(live[t], before, back)
-        clean[pick] = (n - 1) * moves[0, 0] - z
-    return np.clip(marginal, 0.0, 1.0), np.minimum(clean, 0.0), expected
+                x = grown[place] * back[live:]
+                back[live:] = (m10 + m11 * x) / (m00 + m01 * x)
+                if counts:
+                    r = forward[t - 1, live:]
+                    parts = np.stack([np.full(len(x), m00), m01 * x, r * m10, r * m11 * x])
+                    expected += (parts / parts.sum(axis=0)).sum(axis=1).reshape(2, 2)
+    return odds, expected
 
 
 def _split(values: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -114,17 +109,14 @@ def _split(values: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def log_odds(texts: list[str], model: Model, cache: _Emissions) -> np.ndarray:
-    """Of each text: the log odds of a toxic word in its most toxic sentence; -30 without words."""
-    words = [TOKEN.findall(t.lower()) for t in texts]
-    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-    values = np.fromiter((cache[w] for ws in words for w in ws), dtype=np.float64, count=int(sizes.sum()))
-    e, starts, of = _split(values, np.repeat(np.arange(len(texts)), sizes))
+    """Of each text: the log odds of the marginal of its most toxic word; -30 without words."""
+    values = [np.array(list(map(cache.__getitem__, TOKEN.findall(t.lower()))), dtype=np.float64) for t in texts]
+    sizes = [len(v) for v in values]
+    e, starts, of = _split(np.concatenate([np.zeros(0), *values]), np.repeat(np.arange(len(texts)), sizes))
     out = np.full(len(texts), -30.0)
     if len(e):
-        _, clean, _ = chains(e, starts, model.moves)
-        some = -np.expm1(clean)
-        odds = np.log(np.maximum(some, 1e-13)) - clean
-        np.maximum.at(out, of, np.clip(odds, -30, 30))
+        odds, _ = chains(e, starts, model.moves)
+        np.maximum.at(out, of, np.clip(np.maximum.reduceat(odds, starts), -30, 30))
     return out
 
 
@@ -135,7 +127,7 @@ def spans(text: str, model: Model, cache: _Emissions, above: float = 0.5) -> lis
     e, starts, _ = _split(values, np.zeros(len(values), dtype=int))
     if not len(e):
         return []
-    marginal, _, _ = chains(e, starts, model.moves)
+    marginal = 1 / (1 + np.exp(-chains(e, starts, model.moves)[0]))
     words = [m for m, v in zip(found, values, strict=True) if v == v]
     return [(m.start(), m.end(), round(float(p), 6)) for m, p in zip(words, marginal, strict=True) if p >= above]
 
@@ -153,20 +145,18 @@ def fit(texts: list[str], toxic: list[int], steps: int = STEPS) -> Model:
     if not len(texts) or y.min() == y.max():
         return model
     model.known = True
-    words = [TOKEN.findall(t.lower()) for t in texts]
     names: dict[str, int] = {}
-    ids = [np.array([names.setdefault(w, len(names)) for w in ws], dtype=np.int64) for ws in words]
-    stop = np.array([w in STOPS for w in names])
+    ids = [np.array([names.setdefault(w, len(names)) for w in TOKEN.findall(t.lower())], dtype=np.int32) for t in texts]
+    stop = np.array([w in STOPS for w in names], dtype=bool)
+    if stop.all():
+        return model
     seen = np.zeros((2, len(names)))
     for row, label in zip(ids, y, strict=True):
         seen[label, np.unique(row)] += 1
-    before, after = set(), set()
-    for row, label in zip(ids, y, strict=True):
-        if label:
-            before.update(zip(row[1:].tolist(), row[:-1].tolist(), strict=True))
-            after.update(zip(row[:-1].tolist(), row[1:].tolist(), strict=True))
-    company = [np.bincount([w for w, _ in pairs], minlength=len(names)) for pairs in (before, after)]
-    apart = np.minimum(*company)
+    toxic_rows = [row.astype(np.int64) for row, label in zip(ids, y, strict=True) if label]
+    pairs = np.unique(np.concatenate([row[:-1] * len(names) + row[1:] for row in toxic_rows if len(row)]))
+    left, right = (np.bincount(side, minlength=len(names)) for side in np.divmod(pairs, len(names)))
+    apart = np.minimum(left, right)
     n0, n1 = (y == 0).sum(), (y == 1).sum()
     lift = np.log((seen[1] + 0.3) / (n1 + 0.6)) - np.log((seen[0] + 0.3) / (n0 + 0.6))
     marked = (lift >= 1.8) & (apart >= max(5, 0.015 * n1)) & (seen[1] / n1 >= 8 * seen[0] / n0) & ~stop
@@ -188,10 +178,9 @@ def fit(texts: list[str], toxic: list[int], steps: int = STEPS) -> Model:
     flat, chain, tag = flat[pick], chain[pick], tag[pick].astype(np.int64)
     starts = np.flatnonzero(np.concatenate([[True], chain[1:] != chain[:-1]]))
 
-    features = [word_features(w) for w in names]
-    owner = np.repeat(np.arange(len(names)), [len(f) for f in features])
-    feature = np.concatenate([np.array(f, dtype=np.int64) for f in features])
-    local, feature = np.unique(feature, return_inverse=True)
+    hashed = np.array([word_features(w) for w in names], dtype=np.int32)
+    owner = np.repeat(np.arange(len(names)), hashed.shape[1])
+    local, feature = np.unique(hashed.ravel(), return_inverse=True)
     w, bias, moves = np.zeros(len(local)), -3.0, np.zeros((2, 2))
     inner = np.ones(len(flat), dtype=bool)
     inner[starts] = False
@@ -202,7 +191,8 @@ def fit(texts: list[str], toxic: list[int], steps: int = STEPS) -> Model:
     for step in range(1, steps + 1):
         w, bias, moves = theta[: len(local)], theta[len(local)], theta[len(local) + 1 :].reshape(2, 2)
         e = (bias + np.bincount(owner, w[feature], len(names)))[flat]
-        marginal, _, expected = chains(e, starts, moves)
+        odds, expected = chains(e, starts, moves, counts=True)
+        marginal = 1 / (1 + np.exp(-odds))
         wrong = gold - np.bincount(flat, marginal, len(names))
         gradient = np.concatenate([np.bincount(feature, wrong[owner], len(local)) - 0.1 * w, [wrong.sum()], (seen_moves - expected).ravel() - moves.ravel()])
         mean = 0.9 * mean + 0.1 * gradient
@@ -210,7 +200,8 @@ def fit(texts: list[str], toxic: list[int], steps: int = STEPS) -> Model:
         theta = theta + 0.3 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-6)
     model.weights[local] = theta[: len(local)]
     model.bias, model.moves = float(theta[len(local)]), theta[len(local) + 1 :].reshape(2, 2)
-    odds = log_odds(texts, model, _Emissions(model))
+    cache = _Emissions(model)
+    odds = np.concatenate([log_odds(texts[k : k + 100], model, cache) for k in range(0, len(texts), 100)])
     model.slope, model.offset = _calibrate(odds, y)
     return model
 
