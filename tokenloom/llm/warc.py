@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenloom.operators.joins import lookup
 from tokenloom.session import materialize
 
 CHUNK = 1 << 20
@@ -95,12 +96,13 @@ def with_roles(chunks: DataFrame, least: int = 0) -> DataFrame:
 
     Among records with equal payloads of at least `least` bytes that with the
     smallest id is the response and the others revisit it; null ids come last.
-    The table of first records has one row per payload, so a payload that very
-    many records share is skewed on one side of the join only.
+    The table of first records has one row per payload and is broadcast if its
+    measured size allows; beyond that a payload that very many records share is
+    skewed on one side of the join only.
     """
     heads = chunks.filter("chunk_no = 0")
     firsts = heads.groupBy("digest", "size").agg(F.min("id").alias("first"))
-    rows = chunks.join(firsts, ["digest", "size"])
+    rows = lookup(chunks, materialize(firsts, "first_records"), ["digest", "size"], "inner")
     response = (F.col("size") < least) | F.col("id").eqNullSafe(F.col("first"))
     rows = rows.withColumn("record_type", F.when(response, "response").otherwise("revisit"))
     rows = rows.withColumn("refers_to", F.when(~response, F.col("first"))).drop("first")
