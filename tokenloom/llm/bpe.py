@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SHORT = 64  # bytes; a longer pre-token goes through the rank queue and is not remembered
-CACHE_ROWS = 200_000  # pre-tokens of one generation; a worker remembers two
-OUT_BYTES = 4 << 20
+CACHE_ROWS = 120_000  # pre-tokens of one generation; a worker remembers two
+OUT_BYTES = 2 << 20
 STEP = 100_000  # pre-tokens of a text handled at a time
 
 
@@ -189,54 +189,62 @@ def _slices(sizes: list[int]) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
+def _encoded(coder: Tokenizer, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """key, ids of batches of key, text; batches are cut by size, so long texts do not pile up."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+        for start, end in _slices(sizes):
+            part = batch.slice(start, end - start)
+            packed = [coder.encode(x or "") for x in part.column(1).to_pylist()]
+            ends = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int32)
+            flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(packed))])
+            lists = pa.ListArray.from_arrays(pa.array(ends), flat)
+            yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["key", "ids"])
+
+
+def _decoded(coder: Tokenizer, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """key, ids, decoded of batches of key, ids."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.multiply(pc.list_value_length(batch.column(1)), 8), 0).to_pylist()
+        for start, end in _slices(sizes):
+            part = batch.slice(start, end - start)
+            texts = [coder.decode(x.values.to_numpy().tolist() if x.is_valid else ()) for x in part.column(1)]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=["key", "ids", "decoded"])
+
+
+def _kind(rows: DataFrame) -> str:
+    return rows.schema["key"].dataType.simpleString()
+
+
 def encode(docs: DataFrame, file: bytes, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, ids (array of int): every whole text encoded, without special tokens; null counts as empty.
 
-    One pass, no shuffle. The ranks go to the tasks with the function. Batches
-    are cut by size, so long texts do not pile up.
+    One pass, no shuffle. The ranks go to the tasks with the function.
     """
-
-    def run(batches):
-        coder = _tokenizer(file, pattern)
-        for batch in batches:
-            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
-            for start, end in _slices(sizes):
-                part = batch.slice(start, end - start)
-                packed = [coder.encode(x or "") for x in part.column(1).to_pylist()]
-                ends = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int32)
-                flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(packed))])
-                lists = pa.ListArray.from_arrays(pa.array(ends), flat)
-                yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["key", "ids"])
-
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    coded = rows.mapInArrow(run, f"key {rows.schema['key'].dataType.simpleString()}, ids array<int>")
+    coded = rows.mapInArrow(lambda batches: _encoded(_tokenizer(file, pattern), batches), f"key {_kind(rows)}, ids array<int>")
     return coded.withColumnRenamed("key", key)
 
 
 def decode(coded: DataFrame, file: bytes, pattern: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """key, ids, decoded (binary) of every row; null ids are none, and an id without a token raises."""
-
-    def run(batches):
-        coder = _tokenizer(file, pattern)
-        for batch in batches:
-            lists = batch.column(1)
-            sizes = pc.fill_null(pc.multiply(pc.list_value_length(lists), 8), 0).to_pylist()
-            for start, end in _slices(sizes):
-                part = batch.slice(start, end - start)
-                texts = [coder.decode(x.values.to_numpy().tolist() if x.is_valid else ()) for x in part.column(1)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=["key", "ids", "decoded"])
-
     rows = coded.select(F.col(key).alias("key"), F.col(ids).cast("array<int>").alias("ids"))
-    kind = rows.schema["key"].dataType.simpleString()
-    done = rows.mapInArrow(run, f"key {kind}, ids array<int>, decoded binary")
+    schema = f"key {_kind(rows)}, ids array<int>, decoded binary"
+    done = rows.mapInArrow(lambda batches: _decoded(_tokenizer(file, pattern), batches), schema)
     return done.select(F.col("key").alias(key), F.col("ids").alias(ids), "decoded")
 
 
 def round_trip(docs: DataFrame, file: bytes, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, n_tokens, ids_sha256, decoded_sha256: what `encode` and then `decode` make of every row."""
-    done = decode(encode(docs, file, pattern, key, text), file, pattern, key)
+    """key, n_tokens, ids_sha256, decoded_sha256: what encoding and then decoding make of every row, in one pass."""
+
+    def run(batches):
+        coder = _tokenizer(file, pattern)
+        return _decoded(coder, _encoded(coder, batches))
+
+    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    done = rows.mapInArrow(run, f"key {_kind(rows)}, ids array<int>, decoded binary")
     return done.select(
-        key,
+        F.col("key").alias(key),
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +18,8 @@ FEATURES = 1 << 20  # hashed features of a word
 SAMPLE = 1500  # labelled rows of each class that the model is fitted on, at most
 CLEAN_SENTENCES = 8_000  # sentences without a toxic word among them, at most
 STEPS = 30
-CACHE_ROWS = 300_000
-BATCH_TOKENS = 1 << 20  # tokens of which the marginals are worked out at a time
+CACHE_ROWS = 200_000
+BATCH_TOKENS = 1 << 20  # bytes of text, or places of chains, worked on at a time
 
 
 def word_features(word: str) -> list[int]:
@@ -242,14 +243,14 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     def run(batches):
         cache = _Emissions(model)
         for batch in batches:
-            texts = [x or "" for x in batch.column(1).to_pylist()]
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
             start = 0
-            while start < len(texts):
+            while start < len(sizes):
                 end, held = start, 0
-                while end < len(texts) and (end == start or held + len(texts[end]) <= 4 * BATCH_TOKENS):
-                    held += len(texts[end])
+                while end < len(sizes) and (end == start or held + sizes[end] <= BATCH_TOKENS):
+                    held += sizes[end]
                     end += 1
-                part = texts[start:end]
+                part = [x or "" for x in batch.column(1).slice(start, end - start).to_pylist()]
                 odds = log_odds(part, model, cache)
                 p = 1 / (1 + np.exp(-np.clip(model.slope * odds + model.offset, -30, 30))) if model.known else np.zeros(len(part))
                 columns = [batch.column(0).slice(start, end - start), pa.array(p)]
