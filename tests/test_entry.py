@@ -1,11 +1,12 @@
 """The driver contract."""
 
 import __spark_entry__ as entry
+from tokenloom.plans import QUERIES
 
 
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert len(entry.queries()) == 81
+    assert len(QUERIES) == 81 and set(QUERIES) <= set(entry.queries())
 
 
 def test_entry_gives_the_flagship_rows(spark):
