@@ -218,7 +218,7 @@ def test_learning(spark):
     assert one == pytest.approx(values[:-1].sum() / 6)
     real = spark.createDataFrame([(v.tolist(),) for v in x], "v array<double>")
     moved = spark.createDataFrame([((v + 2).tolist(),) for v in x], "v array<double>")
-    assert L.fit_discriminator(real, moved, "v", hidden=4).auc > 0.95
+    assert L.fit_discriminator(real, moved, "v", "v", hidden=4).auc > 0.95
 
 
 def test_first_write_wins(spark):

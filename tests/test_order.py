@@ -77,10 +77,30 @@ def test_running_total_leaves_the_row_itself_out(spark):
         total += r.n
 
 
-@pytest.mark.parametrize("near", [10_000, 0])
-def test_slice_near_and_far(spark, near):
-    df = spark.range(5000).selectExpr("id * 3 AS k")
-    assert sorted(r.k for r in O.row_slice(df, "k", 100, 200, near).collect()) == [3 * i for i in range(100, 200)]
+@pytest.mark.parametrize("rows", [300, 5000])
+def test_slice_of_few_and_many_rows(spark, rows):
+    df = spark.range(rows).selectExpr("id * 3 AS k")
+    assert sorted(r.k for r in O.row_slice(df, "k", 100, 200).collect()) == [3 * i for i in range(100, 200)]
+    assert O.row_slice(df, "k", rows, rows + 5).count() == 0
+
+
+@pytest.mark.parametrize("rows", [1000, 3000])
+def test_a_text_key_is_refused_at_any_size(spark, rows):
+    with pytest.raises(TypeError):
+        O.with_row_index(spark.range(rows).selectExpr("string(id) AS k"), "k").count()
+
+
+@pytest.mark.parametrize("limit", [10**9, 0])
+def test_lookup_meets_null_with_null_if_asked(spark, limit):
+    facts = spark.range(100).selectExpr("id", "if(id % 4 = 0, null, id % 4) AS k")
+    sizes = facts.groupBy("k").count()
+    assert lookup(facts, sizes, ["k"], "inner", limit, null_safe=True).columns == ["id", "k", "count"]
+    assert [r["count"] for r in lookup(facts, sizes, ["k"], "inner", limit, null_safe=True).collect()] == [25] * 100
+
+
+def test_structs_count_in_table_bytes(spark):
+    df = spark.range(10).selectExpr("named_struct('s', repeat('x', 1000)) AS x", "map(1, repeat('x', 500)) AS m")
+    assert table_bytes(df) > 10 * 1500
 
 
 def test_every_nth(spark):

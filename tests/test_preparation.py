@@ -125,7 +125,6 @@ def test_epochs_and_stops(spark):
     rows = B.repeat_epochs(df, "k", 2, rows_per_epoch=3).orderBy("step").collect()
     assert [(r.epoch, r.k, r.step) for r in rows] == [(0, 0, 0), (0, 2, 1), (0, 4, 2), (1, 0, 3), (1, 2, 4), (1, 4, 5)]
     assert B.first_batches(df, "k", 4, 2).count() == 8
-    assert B.first_batches(df, "k", 4, 2, near=0).count() == 8
 
 
 def test_accumulation_drops_the_incomplete_step(spark):

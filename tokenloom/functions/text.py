@@ -76,11 +76,13 @@ def generation_header(role: str = "assistant") -> Column:
 
 
 def render_chat(messages: Column, add_generation_prompt: bool = False, default_system: str | None = None) -> Column:
-    """All turns of a message array as ChatML text.
+    """All turns of a message array as ChatML text; null if a role or a content is missing.
 
     With `default_system`, that system turn opens every chat that has none.
     """
     text = F.array_join(F.transform(messages, lambda m: render_turn(m["role"], m["content"])), "")
+    whole = F.forall(messages, lambda m: m["role"].isNotNull() & m["content"].isNotNull())
+    text = F.when(whole, text)
     if default_system is not None:
         opening = render_turn(F.lit("system"), F.lit(default_system))
         has_system = F.coalesce(F.try_element_at(messages, F.lit(1))["role"] == "system", F.lit(False))
@@ -102,11 +104,14 @@ def batch_tokenizer(encode_batch: Callable[[list[str]], list[list[int]]]) -> Cal
     """Make any batch tokenizer usable as a column function.
 
     `encode_batch` takes a list of texts and returns a list of id lists; Spark
-    hands it Arrow batches inside the tasks.
+    hands it Arrow batches inside the tasks. A null text has null ids.
     """
 
     @F.pandas_udf("array<bigint>")
     def encode(text: pd.Series) -> pd.Series:
-        return pd.Series(encode_batch(text.tolist()))
+        known = text.notna()
+        out = pd.Series([None] * len(text), index=text.index, dtype=object)
+        out[known] = pd.Series(encode_batch(text[known].tolist()), index=text.index[known], dtype=object)
+        return out
 
     return encode

@@ -123,8 +123,13 @@ def dense(v: Column, weight: Sequence[Sequence[float]], bias: Sequence[float] |
 
 
 def linear(v: Column, weight: Sequence[Sequence[float]], bias: Sequence[float] | None = None) -> Column:
-    """As `dense`, but wide layers go through Arrow batches, one matrix product each."""
+    """As `dense`, but wide layers go through Arrow batches, one matrix product each.
+
+    A vector of another length stops the job, whichever way it goes.
+    """
     rows, offsets = _layer(weight, bias)
+    fits = v.isNull() | (F.size(v) == len(rows[0]))
+    v = F.when(fits, v).otherwise(F.raise_error(F.lit(f"the layer takes vectors of {len(rows[0])} entries")))
     if len(rows) * len(rows[0]) > WIDE_LAYER:
         return _wide_linear(rows, offsets)(v)
     return dense(v, rows, offsets)

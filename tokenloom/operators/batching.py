@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tokenloom.functions import arrays
-from tokenloom.operators.order import with_row_index
+from tokenloom.operators.order import row_slice, with_row_index
 
 
 def with_batch(df: DataFrame, order: str | Sequence[str], size: int) -> DataFrame:
@@ -44,21 +44,19 @@ def pad_batches(df: DataFrame, ids: str, pad: int = arrays.PAD_ID) -> DataFrame:
     return df.withColumn("width", width).withColumn(ids, arrays.pad_right(F.col(ids), F.col("width"), pad))
 
 
-def first_batches(df: DataFrame, order: str, size: int, batches: int, near: int = 10_000) -> DataFrame:
-    """The rows of the first `batches` batches, with `batch_id` and `slot`."""
-    rows = size * batches
-    head = df.orderBy(order).limit(rows) if rows <= near else df
-    return with_batch(head, order, size).filter(F.col("batch_id") < batches)
+def first_batches(df: DataFrame, order: str, size: int, batches: int) -> DataFrame:
+    """The rows of the first `batches` batches, with `batch_id` and `slot`; only they are indexed in full."""
+    return with_batch(row_slice(df, order, 0, size * batches), order, size)
 
 
 def repeat_epochs(df: DataFrame, order: str, epochs: int, rows_per_epoch: int | None = None) -> DataFrame:
     """The same leading rows once per epoch, unshuffled, with a global `step`."""
     indexed = with_row_index(df, order, name="idx")
-    n = F.lit(rows_per_epoch).cast("bigint")
-    if rows_per_epoch is None:
-        n = F.lit(df.count()).cast("bigint")
-    else:
+    rows = df.count()
+    if rows_per_epoch is not None:
+        rows = min(rows, rows_per_epoch)
         indexed = indexed.filter(F.col("idx") < rows_per_epoch)
+    n = F.lit(rows).cast("bigint")
     epoch = F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch")
     return indexed.select("*", epoch).withColumn("step", F.col("epoch") * n + F.col("idx"))
 

@@ -68,7 +68,7 @@ def last_turns(
 def check_turns(turns: DataFrame, key: str = "conv_id", **columns: str) -> Split:
     """Keep the turns of conversations that end on an assistant turn."""
     verdict = materialize(last_turns(turns, key, **columns).select(key, "last_turn", "reason"), "last_turns")
-    marked = lookup(turns, verdict, [key], "inner")
+    marked = lookup(turns, verdict, [key], "inner", null_safe=True)
     return Split(marked.filter(F.col("reason").isNull()).drop("reason"), marked.filter(F.col("reason").isNotNull()))
 
 
@@ -77,7 +77,8 @@ def supervised_tokens(turns: DataFrame, pattern: str = text.TOKEN_PATTERN) -> Da
 
     A rendered turn ends in a line break, which no token spans, so the counts
     of the turns add up to the count of the rendered conversation. One shuffle
-    of partial sums; the texts stay where they are.
+    of partial sums; the texts stay where they are. As in `check_turns`, a
+    conversation with a missing role or text is not kept.
     """
     n = F.size(text.tokens(text.render_turn(F.col("role"), F.col("text")), pattern)).cast("bigint")
     counted = turns.select("conv_id", "turn", (F.col("role") == "assistant").alias("answers"), n.alias("n"))
@@ -85,8 +86,9 @@ def supervised_tokens(turns: DataFrame, pattern: str = text.TOKEN_PATTERN) -> Da
         F.sum("n").alias("n_tokens"),
         F.max_by("n", "turn").alias("n_supervised"),
         F.max_by("answers", "turn").alias("kept"),
+        F.max(F.col("n").isNull()).alias("missing"),
     )
-    return per.filter("kept").select(
+    return per.filter("kept and not missing").select(
         "conv_id", "n_tokens", (F.col("n_tokens") - F.col("n_supervised")).alias("n_prompt"), "n_supervised"
     )
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.classification import MultilayerPerceptronClassificationModel, MultilayerPerceptronClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -96,22 +97,36 @@ def fit_autoencoder(df: DataFrame, vector: str, code_width: int) -> LinearAutoen
 
 @dataclass(frozen=True)
 class Discriminator:
-    model: Perceptron
+    models: list[Perceptron]
     scored: DataFrame
     auc: float
 
 
 def fit_discriminator(
-    real: DataFrame, other: DataFrame, vector: str, hidden: int = 16, iterations: int = 60, seed: int = 7
+    real: DataFrame,
+    other: DataFrame,
+    vector: str,
+    key: str,
+    hidden: int = 16,
+    iterations: int = 60,
+    folds: int = 3,
+    seed: int = 7,
 ) -> Discriminator:
-    """Tell rows of two tables apart.
+    """Tell rows of two tables apart, judged on rows the model has not seen.
 
-    `scored` has the rows of both with `is_real` and `p_real`. An `auc` near
-    0.5 means the tables look alike, near 1 that they differ.
+    Rows fall into `folds` parts by a hash of `key`, and each part is scored by
+    a model of the others. `scored` has the rows of both with `is_real` and
+    `p_real`. An `auc` near 0.5 means the tables look alike, near 1 that they
+    differ; it is the mean over the parts.
     """
     both = real.withColumn("is_real", F.lit(1)).unionByName(other.withColumn("is_real", F.lit(0)))
-    model = fit_perceptron(both, vector, "is_real", 2, [hidden], iterations=iterations, seed=seed)
-    scored = model.predict(both).withColumn("p_real", F.col("probability")[1]).drop("probability", "prediction")
-    judged = scored.select("p_real", F.col("is_real").cast("double").alias("label"))
-    auc = BinaryClassificationEvaluator(rawPredictionCol="p_real", labelCol="label").evaluate(judged)
-    return Discriminator(model, scored, auc)
+    both = both.withColumn("_fold", F.pmod(F.xxhash64(key), F.lit(folds)))
+    judge = BinaryClassificationEvaluator(rawPredictionCol="p_real", labelCol="label")
+    width, models, parts, areas = vector_width(both, vector), [], [], []
+    for fold in range(folds):
+        seen, unseen = both.filter(F.col("_fold") != fold), both.filter(F.col("_fold") == fold)
+        models.append(fit_perceptron(seen, vector, "is_real", 2, [hidden], width, iterations, seed))
+        part = models[-1].predict(unseen).withColumn("p_real", F.col("probability")[1])
+        parts.append(part.drop("probability", "prediction", "_fold"))
+        areas.append(judge.evaluate(parts[-1].select("p_real", F.col("is_real").cast("double").alias("label"))))
+    return Discriminator(models, reduce(DataFrame.unionByName, parts), sum(areas) / folds)

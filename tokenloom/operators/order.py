@@ -75,11 +75,11 @@ def cut_into_ranges(
     range of its own, which the second order column then cuts further.
     """
     order = _names(order)
+    first = _as_double(df, order[0])
     rows = df.count()
     ranges = min(max_ranges, math.ceil(rows / rows_per_range))
     if ranges <= 1:
         return df.withColumn("_range", F.lit(0)), 1
-    first = _as_double(df, order[0])
     points = _cut_points(df, first, ranges, rows)
     hot = sorted({a for a, b in zip(points, points[1:]) if a == b and abs(a) < EXACT_DOUBLE})
     points += [math.nextafter(p, math.inf) for p in hot]
@@ -134,19 +134,21 @@ def with_row_index(
     return with_running_total(df, order, F.lit(1), name, group, rows_per_range)
 
 
-def row_slice(df: DataFrame, order: str, start: int, stop: int, near: int = 10_000) -> DataFrame:
+def row_slice(df: DataFrame, order: str, start: int, stop: int) -> DataFrame:
     """Rows `[start, stop)` along the unique key `order`.
 
-    Near the beginning this is a top-n; further in, positions are worked out
-    on the key column alone and only the rows of the slice are read in full.
+    Positions are worked out on the key column alone. A slice is one stretch of
+    the key, so its first and last key become a filter that the scan can use,
+    and no payload is shuffled.
     """
     if not 0 <= start <= stop:
         raise ValueError("need 0 <= start <= stop")
-    if stop <= near:
-        return df.orderBy(order).offset(start).limit(stop - start)
     keys = with_row_index(df.select(order), order, name="_idx")
-    wanted = keys.filter((F.col("_idx") >= start) & (F.col("_idx") < stop)).select(order)
-    return df.join(wanted, order, "left_semi")
+    wanted = keys.filter((F.col("_idx") >= start) & (F.col("_idx") < stop))
+    ends = wanted.agg(F.min(order).alias("first"), F.max(order).alias("last")).first()
+    if ends["first"] is None:
+        return df.limit(0)
+    return df.filter(F.col(order).between(F.lit(ends["first"]), F.lit(ends["last"])))
 
 
 def every_nth(df: DataFrame, order: str | Sequence[str], n: int, name: str = "idx") -> DataFrame:

@@ -185,7 +185,10 @@ def fold_series(
             states = pieces.select(*key, F.col("_n").alias("n_steps"), _run(cell, _zero(hidden)).alias("_h"))
             continue
         # Only the first round can bring keys that have no state yet.
-        joined = states.join(pieces, list(key), "full" if r == 0 else "left")
+        named = {k: f"_piece_{k}" for k in key}
+        same = [F.col(k).eqNullSafe(F.col(p)) for k, p in named.items()]  # a null key is a series like any other
+        joined = states.join(pieces.withColumnsRenamed(named), same, "full" if r == 0 else "left")
+        joined = joined.withColumns({k: F.coalesce(k, p) for k, p in named.items()})
         h = F.coalesce("_h", _zero(hidden))
         n = F.coalesce("n_steps", F.lit(0)) + F.coalesce("_n", F.lit(0))
         moved = F.when(F.col("_s").isNull(), h).otherwise(_run(cell, h))

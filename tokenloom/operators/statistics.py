@@ -28,7 +28,7 @@ def clip_by_norm(df: DataFrame, vector: str, max_norm: float = 1.0, by: Sequence
     """Scale all vectors of a group by one factor so that their norm is at most `max_norm`."""
     norms = global_norm(df, vector, by)
     if by:
-        joined = lookup(df, materialize(norms, "norms"), list(by), "inner")
+        joined = lookup(df, materialize(norms, "norms"), list(by), "inner", null_safe=True)
     else:
         joined = df.withColumn("norm", F.lit(norms.first()["norm"]))
     factor = F.least(F.lit(1.0), max_norm / (F.col("norm") + CLIP_EPS))
@@ -67,7 +67,7 @@ def fit_standardizer(df: DataFrame, vector: str, eps: float = V.NORM_EPS) -> Sta
 def standardize_groups(df: DataFrame, vector: str, by: Sequence[str], eps: float = V.NORM_EPS) -> DataFrame:
     """Standardize each vector entry within its group."""
     stats = materialize(_moments(df, vector, by), "moments")
-    joined = lookup(df, stats, list(by), "inner")
+    joined = lookup(df, stats, list(by), "inner", null_safe=True)
     centred = F.zip_with(V.doubles(F.col(vector)), F.col("_mean"), lambda x, m: x - m)
     out = F.zip_with(centred, F.col("_variance"), lambda x, var: x / F.sqrt(var + eps))
     return joined.withColumn(vector, out).drop("_mean", "_variance")
@@ -81,9 +81,9 @@ def softmax_by(df: DataFrame, score: Column, by: Sequence[str], out: str = "weig
     """
     scored = df.withColumn("_s", score.cast("double"))
     tops = materialize(scored.groupBy(*by).agg(F.max("_s").alias("_top")), "tops")
-    lifted = lookup(scored, tops, list(by), "inner").withColumn("_e", F.exp(F.col("_s") - F.col("_top")))
+    lifted = lookup(scored, tops, list(by), "inner", null_safe=True).withColumn("_e", F.exp(F.col("_s") - F.col("_top")))
     sums = materialize(lifted.groupBy(*by).agg(F.sum("_e").alias("_z")), "sums")
-    joined = lookup(lifted, sums, list(by), "inner")
+    joined = lookup(lifted, sums, list(by), "inner", null_safe=True)
     return joined.withColumn(out, F.col("_e") / F.col("_z")).drop("_s", "_top", "_e", "_z")
 
 

@@ -138,11 +138,11 @@ def encode(
     """
     if table_bytes(vocabulary.table) <= max_bytes:
         return df.select(*key, _encoder(vocabulary)(tokens).alias(out))
-    long = df.select(*key, F.posexplode_outer(tokens).alias("_pos", "_token"))
+    long = df.select(*key, tokens.isNull().alias("_none"), F.posexplode_outer(tokens).alias("_pos", "_token"))
     coded = token_ids(long, "_token", vocabulary, "_id")
     placed = F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_id"))
-    grouped = coded.groupBy(*key).agg(F.array_sort(F.collect_list(placed)).alias("_s"))
-    return grouped.select(*key, F.col("_s")["_id"].alias(out))
+    grouped = coded.groupBy(*key).agg(F.array_sort(F.collect_list(placed)).alias("_s"), F.max("_none").alias("_none"))
+    return grouped.select(*key, F.when(~F.col("_none"), F.col("_s")["_id"]).alias(out))
 
 
 def decode(
@@ -159,10 +159,10 @@ def decode(
     """
     if table_bytes(vocabulary.table) <= max_bytes:
         return df.select(*key, F.array_join(_decoder(vocabulary)(ids), separator).alias("text"))
-    long = df.select(*key, F.posexplode_outer(ids).alias("_pos", "_entry"))
+    long = df.select(*key, ids.isNull().alias("_none"), F.posexplode_outer(ids).alias("_pos", "_entry"))
     names = vocabulary.table.select(F.col("id").alias("_entry"), F.col("token").alias("_token"))
     named = lookup(long, names, ["_entry"], "left", max_bytes)
     token = F.coalesce("_token", F.lit(text.UNKNOWN_MARKER))
     placed = F.when(F.col("_pos").isNotNull(), F.struct(F.col("_pos"), token.alias("token")))
-    grouped = named.groupBy(*key).agg(F.array_sort(F.collect_list(placed)).alias("_s"))
-    return grouped.select(*key, F.array_join(F.col("_s")["token"], separator).alias("text"))
+    grouped = named.groupBy(*key).agg(F.array_sort(F.collect_list(placed)).alias("_s"), F.max("_none").alias("_none"))
+    return grouped.select(*key, F.when(~F.col("_none"), F.array_join(F.col("_s")["token"], separator)).alias("text"))

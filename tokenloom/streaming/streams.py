@@ -96,7 +96,7 @@ def fold_stream(
         if earlier is None:
             marked = rows.withColumn("_late", F.lit(False))
         else:
-            seen = lookup(rows, earlier.select(key, "last_order"), [key])
+            seen = lookup(rows, earlier.select(key, "last_order"), [key], null_safe=True)
             marked = seen.withColumn("_late", F.coalesce(F.col(order) <= F.col("last_order"), F.lit(False)))
         indexed = with_row_index(marked.filter(~F.col("_late")).select(key, order, "_features"), order, key, "_idx")
         folded = fold_series(
