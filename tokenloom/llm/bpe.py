@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SHORT = 64  # bytes; a longer pre-token goes through the rank queue and is not remembered
-CACHE_ROWS = 120_000  # pre-tokens of one generation; a worker remembers two
+CACHE_ROWS = 240_000  # pre-tokens of one generation; a worker remembers two
 OUT_BYTES = 2 << 20
 STEP = 100_000  # pre-tokens of a text handled at a time
 
