@@ -286,12 +286,11 @@ def test_fold_carries_state_over_arrivals(spark):
     later = spark.createDataFrame(rows[31:] + [(0, 2, [9.0, 9.0]), (8, 1, [0.5, 0.5])], schema)
     cell = R.gated_cell(Q.WX, Q.BX, Q.WH, Q.WXZ, Q.BZ, Q.WHZ)
     path = scratch_path(spark, "folded")
-    out = streams.fold_stream(arrivals(spark, early, later), "u", "t", F.col("v"), cell, 3, path, rows_per_round=4)
-    out = {r.u: r for r in out.collect()}
+    streams.fold_stream(arrivals(spark, early, later), "u", ["t"], F.col("v"), cell, 3, path)
+    out = {r.u: r for r in streams.fold_states(spark, "u", path).collect()}
     assert set(out) == {0, 1, 2, 7, 8}
     for u in range(3):
         assert out[u].n_steps == 20 and out[u].h == pytest.approx(gated(x[u::3]).tolist())
-        assert out[u].last_order == 57 + u
     assert out[7].h == pytest.approx(gated([np.array([1.0, 2.0])]).tolist()) and out[8].n_steps == 1
     assert [out[u].n_late for u in (0, 1, 7, 8)] == [1, 0, 0, 0]
 
@@ -307,9 +306,23 @@ def test_padding_per_arrival(spark):
 
 def test_first_writes_on_a_stream(spark):
     df = spark.range(40).selectExpr("id % 10 AS k", "timestamp_seconds(1700000000 + id) AS t", "id")
+    late = spark.sql("SELECT bigint(0) AS k, timestamp_seconds(1700000000) AS t, bigint(-5) AS id UNION ALL SELECT null, null, 50 UNION ALL SELECT null, null, 49")
+    path = scratch_path(spark, "firsts")
+    stream = arrivals(spark, df.filter("id < 20"), df.filter("id >= 20").union(late))
+    streams.first_writes_arrivals(stream, ["k"], "id", "t", "1 HOUR", path)
+    firsts = {r.k: (r.id, r.chunk, r.n_dropped) for r in spark.read.parquet(f"{path}/firsts").collect()}
+    assert firsts == {**{k: (k, 0, 1) for k in range(10)}, None: (49, 1, 1)}
+    dropped = {r.k: r.n_dropped for r in spark.read.parquet(f"{path}/dropped").collect()}
+    assert dropped == {k: 3 if k == 0 else 2 for k in range(10)}
+
+
+def test_a_first_write_is_forgotten_after_the_delay(spark):
+    df = spark.range(40).selectExpr("id % 10 AS k", "timestamp_seconds(1700000000 + id) AS t", "id")
+    path = scratch_path(spark, "firsts")
     stream = arrivals(spark, df.filter("id < 20"), df.filter("id >= 20"))
-    out = streams.run_to_table(streams.first_writes_stream(stream, ["k"], "t", "1 hour"), "firsts").collect()
-    assert len(out) == 10 and len({r.k for r in out}) == 10
+    streams.first_writes_arrivals(stream, ["k"], "id", "t", "12 SECONDS", path)
+    firsts = sorted((r.chunk, r.id) for r in spark.read.parquet(f"{path}/firsts").collect())
+    assert firsts == [(0, k) for k in range(10)] + [(1, 20 + k) for k in range(7)]  # 19 - 12 = 7 is still known
 
 
 def test_stream_and_table_agree_on_turns(spark):
@@ -320,3 +333,5 @@ def test_stream_and_table_agree_on_turns(spark):
     batch = streams.prepare_turns(df, "reject").collect()
     streamed = streams.run_to_table(streams.prepare_turns(arrivals(spark, df), "reject"), "turns").collect()
     assert batch == streamed and [(r.conv_id, r.role) for r in batch] == [(1, "user")]
+    reasons = streams.rejected_turns(df, "reject").collect()
+    assert [(r.conv_id, r.reason) for r in reasons] == [(1, "special marker"), (2, "missing role or content")]

@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tokenloom.functions import lists
 from tokenloom.functions import vectors as V
 from tokenloom.functions.arrays import whole
 from tokenloom.session import materialize
 
 Matrix = Sequence[Sequence[float]]
-Cell = Callable[[Column, Column], Column]
+Cell = Callable[[np.ndarray, np.ndarray], np.ndarray]  # states and inputs, one row a sequence, to the next states
 STEPS_PER_TABLE = 10
 BLOCK = 1024
 
@@ -95,33 +98,55 @@ def max_pool(df: DataFrame, key: Sequence[str], index: str, channels: Sequence[s
 
 def elman_cell(wx: Matrix, b: Sequence[float], wh: Matrix) -> Cell:
     """h' = relu(Wx x + b + Wh h)"""
-    return lambda h, x: V.activate(V.add(V.dense(x, wx, b), V.dense(h, wh)), V.relu)
+    wx_, b_, wh_ = np.array(wx), np.array(b), np.array(wh)
+    return lambda h, x: np.maximum(x @ wx_.T + b_ + h @ wh_.T, 0.0)
 
 
 def gated_cell(wx: Matrix, b: Sequence[float], wh: Matrix, wxz: Matrix, bz: Sequence[float], whz: Matrix) -> Cell:
     """z = sigmoid(Wxz x + bz + Whz h), c = relu(Wx x + b + Wh h), h' = z h + (1 - z) c"""
     candidate = elman_cell(wx, b, wh)
+    wxz_, bz_, whz_ = np.array(wxz), np.array(bz), np.array(whz)
 
-    def step(h: Column, x: Column) -> Column:
-        gate = V.activate(V.add(V.dense(x, wxz, bz), V.dense(h, whz)), V.sigmoid)
-        mixed = F.zip_with(gate, candidate(h, x), lambda z, c: F.struct(z.alias("z"), c.alias("c")))
-        return F.zip_with(h, mixed, lambda old, m: m["z"] * old + (1.0 - m["z"]) * m["c"])
+    def step(h: np.ndarray, x: np.ndarray) -> np.ndarray:
+        a = x @ wxz_.T + bz_ + h @ whz_.T
+        gate = 0.5 * (1.0 + np.tanh(0.5 * a))  # the sigmoid, without overflow
+        return gate * h + (1.0 - gate) * candidate(h, x)
 
     return step
 
 
 def _gather(pieces: DataFrame, by: Sequence[str]) -> DataFrame:
-    """The steps of each piece in order, as `_s`; the caller has bounded their number."""
-    steps = F.array_sort(F.collect_list(F.struct("_pos", "_x"))).alias("_s")
-    return pieces.groupBy(*by).agg(steps, F.count(F.lit(1)).alias("_n"))
+    """The steps of each piece in order, one after the other in `_s`; the caller has bounded their number."""
+    steps = F.array_sort(F.collect_list(F.struct("_pos", "_x")))
+    out = pieces.groupBy(*by).agg(steps.alias("_s"), F.count(F.lit(1)).alias("_n"))
+    return out.withColumn("_s", F.flatten(F.col("_s._x")))
 
 
 def _zero(hidden: int) -> Column:
     return F.lit([0.0] * hidden).cast("array<double>")
 
 
-def _run(cell: Cell, start: Column) -> Column:
-    return F.aggregate(F.col("_s"), start, lambda h, s: cell(h, s["_x"]))
+def _run(cell: Cell, hidden: int, start: Column) -> Column:
+    """The state after the `_n` steps in `_s`; the sequences of a batch go through the cell side by side."""
+
+    @F.arrow_udf("array<double>")
+    def fold(first: pa.Array, steps: pa.Array, count: pa.Array) -> pa.Array:
+        n = np.asarray(count.fill_null(0))
+        h = lists.numbers(first).reshape(len(n), hidden)
+        x = lists.numbers(steps)
+        rows = int(n.sum())
+        x = x.reshape(rows, len(x) // rows) if rows else x.reshape(0, 1)
+        begin = np.cumsum(n) - n
+        longest_first = np.argsort(-n, kind="stable")
+        begin, ends, state = begin[longest_first], n[longest_first], h[longest_first]
+        for t in range(int(n.max(initial=0))):
+            still = int(np.searchsorted(-ends, -t, side="left"))  # sequences with more than t steps
+            state[:still] = cell(state[:still], x[begin[:still] + t])
+        out = np.empty_like(state)
+        out[longest_first] = state
+        return lists.regroup(out.ravel(), np.full(len(n), hidden), pa.array(np.zeros(len(n), dtype=bool)))
+
+    return fold(start, F.col("_s"), F.col("_n"))
 
 
 def fold_sequences(
@@ -147,7 +172,7 @@ def fold_sequences(
         (F.col(index) % timesteps).alias("_pos"),
         V.doubles(features).alias("_x"),
     )
-    state = _run(cell, _zero(hidden))
+    state = _run(cell, hidden, _zero(hidden))
     h = state if readout is None else V.linear(state, *readout)
     return _gather(pieces, [*key, "seq_no"]).select(*key, "seq_no", F.col("_n").alias("n_steps"), h.alias("h"))
 
@@ -161,7 +186,6 @@ def fold_series(
     hidden: int,
     rows_per_round: int = 100_000,
     readout: tuple[Matrix, Sequence[float]] | None = None,
-    start: DataFrame | None = None,
 ) -> DataFrame:
     """Run a recurrent cell over each key's whole series, carrying the state on.
 
@@ -170,29 +194,23 @@ def fold_series(
     round r-1, so there are as many rounds as the longest series needs and no
     task holds more than n rows of a key. Where sequences may be cut, prefer
     `fold_sequences`, which needs one round.
-
-    `start` may hold earlier states (key, n_steps, h) to go on from; its keys
-    are kept even if `df` has no rows for them.
     """
     rounds = whole(index, rows_per_round).alias("_round")
     rows = df.select(*key, rounds, F.col(index).alias("_pos"), V.doubles(features).alias("_x"))
+    rows = rows.repartition("_round", *key)  # so that a round is not spread over a file of every task
     rows = materialize(rows, "series", partition_by="_round")
     last = rows.agg(F.max("_round").alias("r")).first()["r"]
-    states = None if start is None else start.select(*key, "n_steps", F.col("h").alias("_h"))
+    states = None
     for r in range(0 if last is None else last + 1):
         pieces = _gather(rows.filter(F.col("_round") == r).drop("_round"), key)
         if states is None:
-            states = pieces.select(*key, F.col("_n").alias("n_steps"), _run(cell, _zero(hidden)).alias("_h"))
+            states = pieces.select(*key, F.col("_n").alias("n_steps"), _run(cell, hidden, _zero(hidden)).alias("_h"))
             continue
-        # Only the first round can bring keys that have no state yet.
         named = {k: f"_piece_{k}" for k in key}
         same = [F.col(k).eqNullSafe(F.col(p)) for k, p in named.items()]  # a null key is a series like any other
-        joined = states.join(pieces.withColumnsRenamed(named), same, "full" if r == 0 else "left")
-        joined = joined.withColumns({k: F.coalesce(k, p) for k, p in named.items()})
-        h = F.coalesce("_h", _zero(hidden))
-        n = F.coalesce("n_steps", F.lit(0)) + F.coalesce("_n", F.lit(0))
-        moved = F.when(F.col("_s").isNull(), h).otherwise(_run(cell, h))
-        states = joined.select(*key, n.alias("n_steps"), moved.alias("_h"))
+        joined = states.join(pieces.withColumnsRenamed(named), same, "left")
+        n = F.col("n_steps") + F.coalesce("_n", F.lit(0))
+        states = joined.select(*key, n.alias("n_steps"), _run(cell, hidden, F.col("_h")).alias("_h"))
         if (r + 1) % STEPS_PER_TABLE == 0 and r < last:
             states = materialize(states, "states")
     if states is None:

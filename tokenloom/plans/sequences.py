@@ -141,6 +141,9 @@ def _fold_sql(cell) -> str:
     return f"list_reduce(xs, lambda h, x: [{step}], [0, 0, 0]::DOUBLE[])"
 
 
+GATED_FOLD_SQL = _fold_sql(_gated_sql)
+ELMAN_FOLD_SQL = _fold_sql(_elman_sql)
+
 FEATURES_SQL = f"""{INDEXED_SQL}, f AS (SELECT user_id, idx,
         [value / 100, CASE WHEN event_type = 'purchase' THEN 1.0 ELSE 0.0 END]::DOUBLE[] AS x FROM i)"""
 
@@ -177,16 +180,26 @@ def gated_sequences(spark: SparkSession, sf: str) -> DataFrame:
     return _folded_sequences(spark, sf, R.gated_cell(WX, BX, WH, WXZ, BZ, WHZ))
 
 
-SERIES_SQL = f"""
+def _series_sql(fold: str) -> str:
+    return f"""
     WITH {FEATURES_SQL}, s AS (SELECT user_id, count(*) AS n_steps, list(x ORDER BY idx) AS xs FROM f GROUP BY user_id),
-    r AS (SELECT user_id, n_steps, {_fold_sql(_gated_sql)} AS h FROM s)
+    r AS (SELECT user_id, n_steps, {fold} AS h FROM s)
     SELECT user_id, n_steps, {r_sql('h[1]')} AS h0, {r_sql('h[2]')} AS h1, {r_sql('h[3]')} AS h2 FROM r
     """
 
 
-@query("gated_series", SERIES_SQL)
-def gated_series(spark: SparkSession, sf: str) -> DataFrame:
-    """The gated fold over each user's whole series, 32 rows a round."""
-    cell = R.gated_cell(WX, BX, WH, WXZ, BZ, WHZ)
+def _folded_series(spark: SparkSession, sf: str, cell: R.Cell) -> DataFrame:
     out = R.fold_series(_series(spark, sf), ["user_id"], "idx", features(), cell, 3, rows_per_round=32)
     return out.select("user_id", "n_steps", *[rounded(F.col("h")[i]).alias(f"h{i}") for i in range(3)])
+
+
+@query("gated_series", _series_sql(GATED_FOLD_SQL))
+def gated_series(spark: SparkSession, sf: str) -> DataFrame:
+    """The gated fold over each user's whole series, 32 rows a round."""
+    return _folded_series(spark, sf, R.gated_cell(WX, BX, WH, WXZ, BZ, WHZ))
+
+
+@query("elman_series", _series_sql(ELMAN_FOLD_SQL))
+def elman_series(spark: SparkSession, sf: str) -> DataFrame:
+    """The plain fold over each user's whole series."""
+    return _folded_series(spark, sf, R.elman_cell(WX, BX, WH))

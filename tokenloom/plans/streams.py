@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.functions import arrays, text
 from tokenloom.operators import series as R
 from tokenloom.operators.vocabulary import encode, fit_vocabulary
 from tokenloom.plans import sequences as Q
-from tokenloom.plans.batches import BATCHED_SQL
-from tokenloom.plans.preparation import TURN_SQL
-from tokenloom.plans.registry import DOC_IDS_SQL, PAD_ID, TOKENS_SQL, list_md5, query, rounded
-from tokenloom.session import scratch_path
+from tokenloom.plans.preparation import TURN_SQL, utf8_bytes
+from tokenloom.plans.registry import DOC_IDS_SQL, PAD_ID, TOKENS_SQL, list_md5, query, r_sql, rounded
+from tokenloom.session import materialize, scratch_path
 from tokenloom.sources.corpus import documents, table, table_stream
 from tokenloom.streaming import streams as S
 
@@ -33,48 +34,134 @@ def streamed_turns(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _in_two_arrivals(rows: DataFrame, second: Column, run: Callable[[DataFrame], None]) -> None:
+    """Let `run` take the rows up as they arrive: first all but the `second` ones, then, restarted, these."""
+    spark = rows.sparkSession
+    folder = scratch_path(spark, "arriving")
+    for part in (rows.filter(~second), rows.filter(second)):
+        part.write.mode("append").parquet(folder)
+        run(spark.readStream.schema(rows.schema).parquet(folder))
+
+
+NESTED_SQL = f"""last AS (SELECT conv_id, max(turn) AS last_turn, arg_max(role, turn) AS last_role FROM conversations GROUP BY conv_id),
+    chats AS (SELECT c.conv_id, string_agg({TURN_SQL}, '' ORDER BY turn) AS whole,
+                     coalesce(string_agg({TURN_SQL}, '' ORDER BY turn) FILTER (turn < last_turn), '') AS prompt
+              FROM conversations c JOIN last l ON l.conv_id = c.conv_id WHERE last_role = 'assistant' GROUP BY c.conv_id)"""
+
+
+@query(
+    "streamed_examples",
+    f"""
+    WITH {NESTED_SQL}
+    SELECT conv_id, octet_length(encode(whole))::BIGINT AS n_ids, octet_length(encode(prompt))::BIGINT AS n_masked,
+           md5(whole) AS ids_md5
+    FROM chats
+    """,
+)
+def streamed_examples(spark: SparkSession, sf: str) -> DataFrame:
+    """Nested conversations in the from/value form, to examples as they arrive; half of them arrive later."""
+    turns = table(spark, sf, "conversations")
+    shared = F.when(F.col("role") == "user", "human").when(F.col("role") == "assistant", "gpt").otherwise(F.col("role"))
+    entry = F.struct("turn", shared.alias("from"), F.col("text").alias("value"))
+    entries = F.array_sort(F.collect_list(entry))
+    nested = turns.groupBy("conv_id").agg(
+        F.transform(entries, lambda m: F.struct(m["from"].alias("from"), m["value"].alias("value"))).alias("conversations")
+    )
+    path = scratch_path(spark, "examples")
+
+    def run(stream: DataFrame) -> None:
+        S.run_to_table(S.prepare_examples(stream, text.batch_tokenizer(utf8_bytes), format_change=True), path=path)
+
+    _in_two_arrivals(nested, F.col("conv_id") % 2 == 1, run)
+    as_hex = F.array_join(F.transform("input_ids", lambda b: F.lpad(F.hex(b), 2, "0")), "")
+    return spark.read.parquet(path).select(
+        "conv_id",
+        F.size("input_ids").cast("bigint").alias("n_ids"),
+        (F.size("labels") - F.size(arrays.supervised(F.col("labels")))).cast("bigint").alias("n_masked"),
+        F.md5(F.unhex(as_hex)).alias("ids_md5"),
+    )
+
+
 @query(
     "streamed_padding",
     f"""
-    WITH {DOC_IDS_SQL}, b AS {BATCHED_SQL.format(n=8, source='ids')},
-    w AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS width FROM b)
-    SELECT doc_id, batch_id, width,
+    WITH {DOC_IDS_SQL},
+    b AS (SELECT *, (row_number() OVER (PARTITION BY chunk ORDER BY doc_id) - 1) // 8 AS batch_id
+          FROM (SELECT *, (doc_id % 3 = 0)::BIGINT AS chunk FROM ids)),
+    w AS (SELECT *, max(len(ids)) OVER (PARTITION BY chunk, batch_id) AS width FROM b)
+    SELECT doc_id, chunk, batch_id, width,
            {list_md5(f"list_concat(ids, list_transform(range(width - len(ids)), lambda i: {PAD_ID}::BIGINT))")} AS padded_md5
     FROM w
     """,
 )
 def streamed_padding(spark: SparkSession, sf: str) -> DataFrame:
-    """Batch and pad the documents of each arriving chunk; here all arrive in one."""
+    """Batch and pad the documents of each arriving chunk; every third document arrives later."""
     docs = documents(spark, sf)
     tokens = text.tokens(F.col("text"))
-    ids = encode(docs, ["doc_id"], tokens, fit_vocabulary(docs, tokens))
-    arriving, path = scratch_path(spark, "ids"), scratch_path(spark, "padded")
-    ids.write.parquet(arriving)
-    S.pad_arrivals(spark.readStream.schema(ids.schema).parquet(arriving), "doc_id", "ids", 8, path)
-    out = spark.read.parquet(path)
-    return out.select(
-        "doc_id", "batch_id", F.col("width").cast("bigint").alias("width"),
+    ids = materialize(encode(docs, ["doc_id"], tokens, fit_vocabulary(docs, tokens)), "ids")
+    path = scratch_path(spark, "padded")
+    _in_two_arrivals(ids, F.col("doc_id") % 3 == 0, lambda stream: S.pad_arrivals(stream, "doc_id", "ids", 8, path))
+    return spark.read.parquet(path).select(
+        "doc_id", F.col("chunk").cast("bigint").alias("chunk"), "batch_id", F.col("width").cast("bigint").alias("width"),
         F.md5(arrays.as_text(F.col("ids"))).alias("padded_md5"),
     )
 
 
-@query("streamed_fold", Q.SERIES_SQL)
+@query(
+    "streamed_fold",
+    f"""
+    WITH e AS (SELECT *, ts >= TIMESTAMP '2024-01-15' OR event_id % 5 = 0 AS later,
+                      [value / 100, CASE WHEN event_type = 'purchase' THEN 1.0 ELSE 0.0 END]::DOUBLE[] AS x FROM events),
+    seen AS (SELECT user_id, max(ROW(ts, event_id)) AS last FROM e WHERE NOT later GROUP BY user_id),
+    m AS (SELECT e.*, later AND coalesce(ROW(ts, event_id) <= last, false) AS late
+          FROM e LEFT JOIN seen s ON s.user_id = e.user_id),
+    s AS (SELECT user_id, count(*) FILTER (NOT late) AS n_steps, count(*) FILTER (late) AS n_late,
+                 coalesce(list(x ORDER BY ts, event_id) FILTER (NOT late), []) AS xs FROM m GROUP BY user_id),
+    r AS (SELECT user_id, n_steps, n_late, {Q.GATED_FOLD_SQL} AS h FROM s)
+    SELECT user_id, n_steps, n_late, {', '.join(f"{r_sql(f'h[{i + 1}]')} AS h{i}" for i in range(3))} FROM r
+    """,
+)
 def streamed_fold(spark: SparkSession, sf: str) -> DataFrame:
-    """The gated fold with state carried from chunk to chunk, per user."""
-    events = table_stream(spark, sf, "events", maxFilesPerTrigger="1")
+    """The gated fold with states carried over two arrivals; the second also brings events that come too late."""
+    events = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
     cell = R.gated_cell(Q.WX, Q.BX, Q.WH, Q.WXZ, Q.BZ, Q.WHZ)
     path = scratch_path(spark, "folded")
-    out = S.fold_stream(events, "user_id", "event_id", Q.features(), cell, 3, path)
-    return out.select("user_id", "n_steps", *[rounded(F.col("h")[i]).alias(f"h{i}") for i in range(3)])
+    later = (F.col("ts") >= F.to_timestamp(F.lit("2024-01-15 00:00:00"))) | (F.col("event_id") % 5 == 0)
+    _in_two_arrivals(
+        events, later, lambda stream: S.fold_stream(stream, "user_id", ["ts", "event_id"], Q.features(), cell, 3, path)
+    )
+    out = S.fold_states(spark, "user_id", path)
+    return out.select("user_id", "n_steps", "n_late", *[rounded(F.col("h")[i]).alias(f"h{i}") for i in range(3)])
+
+
+# Every event is written three times: two copies in the first arrival, of which
+# the later one in the table comes first by `write`, and one in the second.
+# An event of more than 10 days before the last one is forgotten by then.
+WRITES_SQL = """latest AS (SELECT max(ts) AS t FROM events),
+    w AS (SELECT event_id, user_id, ts, ts < t - INTERVAL 10 DAY AS forgotten FROM events, latest)"""
 
 
 @query(
     "streamed_first_writes",
-    "SELECT event_id, user_id, event_type FROM events",
+    f"""
+    WITH {WRITES_SQL}
+    SELECT event_id, user_id, 1::BIGINT AS copy, 0::BIGINT AS chunk, 1::BIGINT AS n_dropped FROM w
+    UNION ALL SELECT event_id, user_id, 2, 1, 0 FROM w WHERE forgotten
+    UNION ALL SELECT event_id, user_id, NULL, 1, 1 FROM w WHERE NOT forgotten
+    """,
 )
 def streamed_first_writes(spark: SparkSession, sf: str) -> DataFrame:
-    """Every event arrives twice; the second arrival is dropped."""
-    events = table_stream(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
-    twice = events.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("copy"))
-    out = S.run_to_table(S.first_writes_stream(twice, ["event_id"], "ts", "40 days"), "firsts")
-    return out.select("event_id", "user_id", "event_type")
+    """Which copy of every event won, and how many were dropped; memory lasts 10 days of event time."""
+    events = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id")
+    copies = events.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(2).cast("bigint"))).alias("copy"))
+    writes = copies.withColumn("write", F.when(F.col("copy") == 2, 2).otherwise(1 - F.col("copy")))
+    path = scratch_path(spark, "firsts")
+    _in_two_arrivals(
+        writes,
+        F.col("copy") == 2,
+        lambda stream: S.first_writes_arrivals(stream, ["event_id", "user_id"], "write", "ts", "10 DAYS", path),
+    )
+    firsts = spark.read.parquet(f"{path}/firsts")
+    dropped = spark.read.parquet(f"{path}/dropped").withColumn("copy", F.lit(None).cast("bigint"))
+    columns = ["event_id", "user_id", "copy", F.col("chunk").cast("bigint").alias("chunk"), "n_dropped"]
+    return firsts.select(*columns).unionByName(dropped.select(*columns))

@@ -2,35 +2,61 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tokenloom.functions import arrays, text
+from tokenloom.functions.vectors import doubles
 from tokenloom.operators.batching import pad_batches, with_batch
-from tokenloom.operators.conversations import guard_markers
-from tokenloom.operators.joins import lookup
-from tokenloom.operators.order import with_row_index
-from tokenloom.operators.series import Cell, fold_series
+from tokenloom.operators.conversations import build_examples, check_messages, guard_markers
+from tokenloom.operators.series import Cell
 from tokenloom.session import materialize, scratch_path
 
 
 def prepare_turns(turns: DataFrame, marker_mode: str = "allow") -> DataFrame:
     """Role mapping, marker guard, rendering and tokenizing of single turns.
 
-    Row by row throughout, so the same call serves tables and streams.
+    Row by row throughout, so the same call serves tables and streams. Turns
+    without a role or a text are left out; `rejected_turns` has them.
     """
     role = text.map_role(F.col("role"))
-    out = guard_markers(turns.filter(role.isNotNull() & F.col("text").isNotNull()), "text", marker_mode)
+    out = guard_markers(turns.filter("role is not null and text is not null"), "text", marker_mode)
     rendered = text.render_turn(role, F.col("text"))
     return out.select("conv_id", "turn", role.alias("role"), text.tokens(rendered).alias("tokens"))
 
 
-def run_to_table(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Run a stream over what has arrived, into a new table, and read that back."""
+def rejected_turns(turns: DataFrame, marker_mode: str = "allow") -> DataFrame:
+    """The turns that `prepare_turns` leaves out, with the `reason`."""
+    missing = F.col("role").isNull() | F.col("text").isNull()
+    reason = F.when(missing, "missing role or content")
+    if marker_mode == "reject":
+        reason = reason.when(F.size(text.found_markers(F.col("text"))) > 0, "special marker")
+    return turns.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+
+
+def prepare_examples(rows: DataFrame, tokenizer: Callable[[Column], Column], **flags: bool | str) -> DataFrame:
+    """Nested conversations to `input_ids` and `labels`, row by row, on a table or a stream.
+
+    Conversations that cannot be trained on are left out; `check_messages`
+    gives them with the reason.
+    """
+    shown = F.col("conversations")
+    checked = rows.withColumn("_checked", text.map_messages(shown) if flags.get("format_change") else shown)
+    return build_examples(check_messages(checked, "_checked").kept.drop("_checked"), tokenizer, pre_conv=True, **flags)
+
+
+def run_to_table(stream: DataFrame, name: str = "stream", mode: str = "append", path: str | None = None) -> DataFrame:
+    """Run a stream over what has arrived, into a table, and read that back.
+
+    The table is a new one unless `path` names one that an earlier run began.
+    """
     spark = stream.sparkSession
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     query = (
         stream.writeStream.format("parquet")
         .outputMode(mode)
@@ -43,6 +69,17 @@ def run_to_table(stream: DataFrame, name: str, mode: str = "append") -> DataFram
     return spark.read.schema(stream.schema).parquet(path)
 
 
+def _each_arrival(stream: DataFrame, path: str, one_chunk: Callable[[DataFrame, int], None]) -> None:
+    """Hand every arriving chunk over with its number; a restart below the same `path` goes on where it ended."""
+    query = (
+        stream.writeStream.foreachBatch(one_chunk)
+        .option("checkpointLocation", f"{path}-progress")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def pad_arrivals(stream: DataFrame, order: str, ids: str, size: int, path: str, pad: int = arrays.PAD_ID) -> None:
     """Batch and pad each arriving chunk by itself.
 
@@ -54,74 +91,113 @@ def pad_arrivals(stream: DataFrame, order: str, ids: str, size: int, path: str,
         padded = pad_batches(with_batch(chunk, order, size), ids, pad)
         padded.write.mode("overwrite").parquet(f"{path}/chunk={number}")
 
-    query = (
-        stream.writeStream.foreachBatch(one_chunk)
-        .option("checkpointLocation", f"{path}-progress")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-
+    _each_arrival(stream, path, one_chunk)
 
-def first_writes_stream(stream: DataFrame, key: Sequence[str], time: str, delay: str) -> DataFrame:
-    """First write wins per key, remembering keys for `delay` of event time."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(key))
 
+def first_writes_arrivals(
+    stream: DataFrame, key: Sequence[str], order: str, time: str, delay: str, path: str
+) -> None:
+    """First write wins per key, across arrivals; a key is remembered for `delay` of event time.
 
-def fold_stream(
-    stream: DataFrame,
-    key: str,
-    order: str,
-    features: Column,
-    cell: Cell,
-    hidden: int,
-    path: str,
-    rows_per_round: int = 100_000,
-) -> DataFrame:
-    """Recurrent fold whose states are carried from chunk to chunk.
-
-    The states after chunk n are the table `chunk=n` below `path`: key,
-    n_steps, n_late, last_order, h. Each chunk goes on from the table of the
-    chunk before and replaces its own when it is run again, so a retry changes
-    nothing. Within a chunk rows are put in order, however many a key has. A
-    row that arrives after a later row of an earlier chunk can no longer be
-    folded in; it is counted in `n_late`. Returns the last states.
+    Within an arrival the write with the smallest `order` (unique within a key)
+    wins; against earlier arrivals the one already stored does. A stored key
+    is forgotten once its time lies more than `delay` before the latest time
+    of the earlier arrivals, and its next write is a first one again. Rows
+    without a time cannot be forgotten. Below `path`, `firsts` has the winning
+    rows by arrival, with `n_dropped` copies of the same arrival; `dropped`
+    has the copies that met a stored key. One partial aggregate per arrival,
+    then a join on the keys that are remembered.
     """
-    spark = stream.sparkSession
-    latest = []
+    key = list(key)
+    schema = stream.schema
 
     def one_chunk(chunk: DataFrame, number: int) -> None:
-        rows = materialize(chunk.select(key, order, features.alias("_features")), "chunk")
-        earlier = rows.sparkSession.read.parquet(f"{path}/chunk={number - 1}") if number else None
-        if earlier is None:
-            marked = rows.withColumn("_late", F.lit(False))
-        else:
-            seen = lookup(rows, earlier.select(key, "last_order"), [key], null_safe=True)
-            marked = seen.withColumn("_late", F.coalesce(F.col(order) <= F.col("last_order"), F.lit(False)))
-        indexed = with_row_index(marked.filter(~F.col("_late")).select(key, order, "_features"), order, key, "_idx")
-        folded = fold_series(
-            indexed, [key], "_idx", F.col("_features"), cell, hidden, rows_per_round, start=earlier
+        spark = chunk.sparkSession
+        row = F.struct(*[F.col(f"`{c}`") for c in schema.names])
+        best = chunk.groupBy(*[F.col(k).alias(f"_{k}") for k in key]).agg(
+            F.min_by(row, F.col(order)).alias("_row"), F.count(F.lit(1)).alias("_n"), F.max(time).alias("_latest")
         )
-        new = marked.groupBy(key).agg(
-            F.max(F.when(~F.col("_late"), F.col(order))).alias("_last"), F.sum(F.col("_late").cast("bigint")).alias("_late")
-        )
-        states = folded.join(new, key, "left")
-        if earlier is None:
-            states = states.withColumn("n_late", F.lit(0).cast("bigint")).withColumn("last_order", F.col("_last"))
+        best = materialize(best, "arrival")
+        if number == 0:
+            new, met = best, best.limit(0)
         else:
-            states = states.join(earlier.select(key, "n_late", "last_order"), key, "left")
-        late = F.coalesce("n_late", F.lit(0)) + F.coalesce("_late", F.lit(0))
-        last = F.greatest("last_order", "_last")
-        out = states.select(key, "n_steps", late.alias("n_late"), last.alias("last_order"), "h")
-        out.write.mode("overwrite").parquet(f"{path}/chunk={number}")
-        latest.append(number)
+            stored = spark.read.parquet(f"{path}/firsts").filter(F.col("chunk") < number)
+            latest = spark.read.parquet(f"{path}/latest").filter(F.col("chunk") < number).agg(F.max("latest")).first()[0]
+            if latest is not None:
+                stored = stored.filter(F.col(time).isNull() | (F.col(time) >= F.lit(latest) - F.expr(f"INTERVAL {delay}")))
+            known = stored.select(*[F.col(k).alias(f"_{k}") for k in key]).distinct()
+            same = [best[f"_{k}"].eqNullSafe(known[f"_{k}"]) for k in key]
+            new, met = best.join(known, same, "left_anti"), best.join(known, same, "left_semi")
+        firsts = new.select("_row.*", (F.col("_n") - 1).alias("n_dropped"))
+        firsts.write.mode("overwrite").parquet(f"{path}/firsts/chunk={number}")
+        met.select(*[F.col(f"_{k}").alias(k) for k in key], F.col("_n").alias("n_dropped")).write.mode(
+            "overwrite"
+        ).parquet(f"{path}/dropped/chunk={number}")
+        best.agg(F.max("_latest").alias("latest")).write.mode("overwrite").parquet(f"{path}/latest/chunk={number}")
+
+    _each_arrival(stream, path, one_chunk)
+
+
+def fold_stream(
+    stream: DataFrame, key: str, order: Sequence[str], features: Column, cell: Cell, hidden: int, path: str
+) -> None:
+    """Recurrent fold whose states Spark's state store carries from arrival to arrival.
+
+    `order` are columns of whole numbers or times that put the rows of a key in
+    order. Within an arrival rows are sorted; one that comes after a later row
+    of an earlier arrival can no longer be folded in and is counted in
+    `n_late`. What a task holds is the rows of one key in one arrival, which
+    the source bounds (`maxFilesPerTrigger`, `maxBytesPerTrigger`). Every
+    arrival writes the new states of the keys it brought to its own folder
+    below `path`; `fold_states` reads the latest ones.
+    """
+    kinds = {c: stream.schema[c].dataType.typeName() for c in order}
+    places = [F.unix_micros(c) if kinds[c] == "timestamp" else F.col(c).cast("bigint") for c in order]
+    names = [f"_o{i}" for i in range(len(order))]
+    rows = stream.select(key, *[p.alias(n) for p, n in zip(places, names)], doubles(features).alias("_x"))
+    kind = stream.schema[key].dataType.simpleString()
+    last = ", ".join(f"{n} bigint" for n in names)
+
+    def step(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        chunk = pd.concat(frames).sort_values(names)
+        h, n_steps, n_late, *before = state.get if state.exists else ([0.0] * hidden, 0, 0, *[None] * len(names))
+        if n_steps:
+            late = [tuple(p) <= tuple(before) for p in chunk[names].itertuples(index=False)]
+            n_late += sum(late)
+            chunk = chunk[~np.array(late, dtype=bool)]
+        moved = np.array([h], dtype=float)
+        for x in chunk["_x"]:
+            moved = cell(moved, np.array([x], dtype=float))
+        if len(chunk):
+            before = [int(v) for v in chunk[names].iloc[-1]]
+        now = (moved[0].tolist(), n_steps + len(chunk), int(n_late), *before)
+        state.update(now)
+        out = pd.DataFrame({"h": [now[0]], "n_steps": [now[1]], "n_late": [now[2]]})
+        out.insert(0, key, pd.Series([group[0]], dtype=object))
+        yield out
+
+    states = rows.groupBy(key).applyInPandasWithState(
+        step,
+        f"`{key}` {kind}, h array<double>, n_steps bigint, n_late bigint",
+        f"h array<double>, n_steps bigint, n_late bigint, {last}",
+        "update",
+        GroupStateTimeout.NoTimeout,
+    )
+
+    def one_chunk(chunk: DataFrame, number: int) -> None:
+        chunk.write.mode("overwrite").parquet(f"{path}/chunk={number}")
 
     query = (
-        stream.writeStream.foreachBatch(one_chunk)
+        states.writeStream.foreachBatch(one_chunk)
+        .outputMode("update")
         .option("checkpointLocation", f"{path}-progress")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    last = latest[-1] if latest else spark.read.parquet(path).agg(F.max("chunk")).first()[0]
-    return spark.read.parquet(f"{path}/chunk={last}")
+
+
+def fold_states(spark: SparkSession, key: str, path: str) -> DataFrame:
+    """The latest state of every key: key, n_steps, n_late, h."""
+    latest = F.max_by(F.struct("n_steps", "n_late", "h"), "chunk").alias("_s")
+    return spark.read.parquet(path).groupBy(key).agg(latest).select(key, "_s.*")
