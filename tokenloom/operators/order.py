@@ -18,7 +18,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROWS_PER_RANGE = 2_000
+from tokenloom.operators.joins import lookup
+from tokenloom.session import materialize
+
+ROWS_PER_RANGE = 400
 MAX_RANGES = 10_000
 SAMPLES_PER_RANGE = 200
 EXACT_DOUBLE = float(2**53)
@@ -106,14 +109,24 @@ def with_running_total(
 
     `order` must be unique within a group. `df` is shuffled once, by group and
     range. What came before each range joins it as one extra first row, so
-    that a single running sum inside the range gives the answer.
+    that a single running sum inside the range gives the answer. Only groups
+    of more rows than a range has are cut; the others are a range each.
     """
     order, group = _names(order), _names(group)
     out, ranges = cut_into_ranges(df, order, rows_per_range)
+    if group and ranges > 1:
+        sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
+        limit = max(rows_per_range, df.count() // MAX_RANGES)  # what a range holds
+        large = materialize(sizes.filter(F.col("_size") > limit), "large_groups")
+        out = lookup(out, large, group, null_safe=True)
+        out = out.withColumn("_range", F.when(F.col("_size").isNotNull(), F.col("_range")).otherwise(F.lit(0)))
     out = out.withColumn("_measure", measure.cast("long")).withColumn("_row", F.lit(1))
     keys = [*group, "_range"]
     if ranges > 1:
-        totals = out.groupBy(*keys).agg(F.sum("_measure").alias("_total"))
+        cut = out
+        if group:
+            cut, out = out.filter(F.col("_size").isNotNull()), out.drop("_size")
+        totals = cut.groupBy(*keys).agg(F.sum("_measure").alias("_total"))
         # At most one row per range in each of these windows.
         earlier = W.partitionBy(*(group or [F.lit(0)])).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
         before = totals.select(*keys, F.sum("_total").over(earlier).alias("_measure"), F.lit(0).alias("_row"))
