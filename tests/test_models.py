@@ -12,7 +12,7 @@ from tokenloom.operators import learning as L
 from tokenloom.operators import ngrams as N
 from tokenloom.operators import series as R
 from tokenloom.operators import statistics as S
-from tokenloom.operators.attention import attention, cut_sequences
+from tokenloom.operators.attention import attention, cut_sequences, group_attention
 from tokenloom.operators.vocabulary import encode, fit_vocabulary
 from tokenloom.plans import sequences as Q
 from tokenloom.session import scratch_path
@@ -113,6 +113,38 @@ def test_attention_against_matrices(spark, causal, heads):
             assert got[start + i] == pytest.approx(row.tolist())
 
 
+@pytest.mark.parametrize("causal", [False, True])
+@pytest.mark.parametrize("block", [3, 64])
+def test_group_attention_against_matrices(spark, causal, block):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(23, 4)) * 8
+    mats = {n: rng.normal(size=(4, 4)) for n in "qkvo"}
+    offsets = {n: rng.normal(size=4) for n in "qkvo"}
+    rows = [(i, None if i < 17 else "g", i % 3 != 0, v.tolist()) for i, v in enumerate(x)] + [(99, "g", True, None)]
+    df = spark.createDataFrame(rows, "id int, g string, open boolean, v array<double>")
+    got = group_attention(
+        df, ["g"], "id", "v", ["id"], 2, causal, {n: m.tolist() for n, m in mats.items()},
+        {n: b.tolist() for n, b in offsets.items()}, "open", block=block, fan=2,
+    )
+    assert got.columns == ["g", "id", "attended"]
+    got = {r.id: r.attended for r in got.collect()}
+    assert len(got) == 24 and got[99] is None
+    for ids in (range(17), range(17, 23)):
+        q, k, v = (x[list(ids)] @ mats[n].T + offsets[n] for n in "qkv")
+        for row, i in enumerate(ids):
+            keys = [j for j, other in enumerate(ids) if other % 3 and (j <= row or not causal)]
+            mixed = np.zeros(4)
+            for cut in (slice(0, 2), slice(2, 4)):
+                if keys:
+                    mixed[cut] = softmax_rows(q[row:row + 1, cut] @ k[keys][:, cut].T / math.sqrt(2)) @ v[keys][:, cut]
+            assert got[i] == pytest.approx((mixed @ mats["o"].T + offsets["o"]).tolist())
+
+
+def test_group_attention_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "id int, g string, v array<double>")
+    assert group_attention(df, ["g"], "id", "v", ["id"]).count() == 0
+
+
 def convolved(x, w, b, stride, padding):
     padded = np.pad(x, ((0, 0), (padding, padding)))
     k = w.shape[2]

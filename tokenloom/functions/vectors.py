@@ -72,11 +72,15 @@ def tanh(x: Column) -> Column:
     return F.tanh(x)
 
 
+# Fixed values of Abramowitz and Stegun 7.1.26, highest power first.
+ERF_SERIES = (1.061405429, -1.453152027, 1.421413741, -0.284496736, 0.254829592)
+
+
 def erf(x: Column) -> Column:
     """Error function; absolute error below 1.5e-7 (Abramowitz and Stegun 7.1.26)."""
     t = 1.0 / (1.0 + 0.3275911 * F.abs(x))
     series = F.lit(0.0)
-    for c in (1.061405429, -1.453152027, 1.421413741, -0.284496736, 0.254829592):
+    for c in ERF_SERIES:
         series = (series + c) * t
     return F.signum(x) * (1.0 - series * F.exp(-x * x))
 

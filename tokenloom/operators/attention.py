@@ -1,16 +1,17 @@
-"""Similarity-weighted averages over ordered sequences of vectors.
-
-Attention compares every row of a sequence with every other one. The length of
-a sequence is therefore a parameter, `context`, as it is for a model that
-reads fixed-length input: an ordered series is cut every `context` rows, each
-piece is one sequence, and every row belongs to exactly one. Work grows with
-rows x context; a group that holds a third of the table is simply many
-sequences, spread over all tasks.
+"""Similarity-weighted averages over ordered vectors, of whole groups or of sequences of a stated length.
+
+Attention compares every row with every other one. `group_attention` does so
+within whole groups of any size: each group is cut into blocks, every pair of
+blocks is a task's work of its own, and what a block of rows has seen so far
+(largest score, sum and weighted sum) is merged a few blocks at a time.
+`attention` is the cheaper form for input of a fixed length: an ordered series
+is cut every `context` rows, each piece is one sequence, and every row belongs
+to exactly one. In neither does a pair of rows become a row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +20,13 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions import lists
 from tokenloom.functions.arrays import whole
-from tokenloom.functions.vectors import Layer, layer_norm, perceptron
+from tokenloom.functions.vectors import Layer, doubles, layer_norm, perceptron
+from tokenloom.operators.joins import lookup
 from tokenloom.operators.order import with_row_index
+from tokenloom.session import materialize
+
+Weights = Mapping[str, Sequence[Sequence[float]]] | None
+Biases = Mapping[str, Sequence[float]] | None
 
 
 def cut_sequences(df: DataFrame, order: str, context: int, group: str | Sequence[str] = ()) -> DataFrame:
@@ -30,12 +36,80 @@ def cut_sequences(df: DataFrame, order: str, context: int, group: str | Sequence
     return out.drop("_idx")
 
 
-def _attend(q: np.ndarray, k: np.ndarray, v: np.ndarray, causal: bool) -> np.ndarray:
+def _projector(weights: Weights, biases: Biases) -> Callable[[np.ndarray, str], np.ndarray]:
+    given = {name: np.asarray(m, dtype=float) for name, m in (weights or {}).items()}
+    added = {name: np.asarray(b, dtype=float) for name, b in (biases or {}).items()}
+    if (set(given) | set(added)) - set("qkvo"):
+        raise ValueError("weights and biases may hold q, k, v and o")
+
+    def project(x: np.ndarray, name: str) -> np.ndarray:
+        return (x @ given[name].T if name in given else x) + added.get(name, 0.0)
+
+    return project
+
+
+def _by_head(x: np.ndarray, heads: int) -> np.ndarray:
+    if x.shape[1] % heads:
+        raise ValueError("vector width is not a multiple of heads")
+    return x.reshape(len(x), heads, -1).swapaxes(0, 1)
+
+
+def _look(q: np.ndarray, k: np.ndarray, v: np.ndarray, hidden: np.ndarray) -> np.ndarray:
+    """Per head and row: largest score, sum of weights, weighted sum of `v`, over the keys that are not hidden."""
     scores = q @ k.swapaxes(-1, -2) / np.sqrt(q.shape[-1])
-    if causal:
-        scores[..., np.triu(np.ones(scores.shape[-2:], dtype=bool), 1)] = -np.inf
-    weights = np.exp(scores - scores.max(axis=-1, keepdims=True))
-    return weights / weights.sum(axis=-1, keepdims=True) @ v
+    scores = np.where(hidden, -np.inf, scores)
+    top = scores.max(axis=-1, keepdims=True)
+    w = np.exp(scores - np.where(np.isfinite(top), top, 0.0))
+    return np.concatenate([top, w.sum(axis=-1, keepdims=True), w @ v], axis=-1)
+
+
+def _merge(parts: np.ndarray) -> np.ndarray:
+    """One such look out of several (first axis) at different keys."""
+    top = parts[..., :1].max(axis=0)
+    share = np.exp(parts[..., :1] - np.where(np.isfinite(top), top, 0.0))
+    return np.concatenate([top, (parts[..., 1:] * share).sum(axis=0)], axis=-1)
+
+
+def _mean(look: np.ndarray) -> np.ndarray:
+    """rows x width; zeros for a row that sees nothing."""
+    weight = look[..., 1:2]
+    mean = np.divide(look[..., 2:], weight, out=np.zeros_like(look[..., 2:]), where=weight > 0)
+    return mean.swapaxes(0, 1).reshape(mean.shape[1], -1)
+
+
+def _hidden(rows: int, seen: np.ndarray, later: bool) -> np.ndarray:
+    """rows x keys: keys that are not `seen` and, with `later`, those after the row."""
+    out = np.broadcast_to(~seen, (rows, len(seen)))
+    return out | np.triu(np.ones(out.shape, dtype=bool), 1) if later else out
+
+
+def _split(flat: pa.Array) -> list[np.ndarray]:
+    return np.split(lists.numbers(flat), np.cumsum(lists.lengths(flat))[:-1])
+
+
+def _flags(flat: pa.Array) -> list[np.ndarray]:
+    return [x.astype(bool) for x in _split(flat)]
+
+
+def _join(out: list[np.ndarray], flat: pa.Array) -> pa.Array:
+    return lists.regroup(np.concatenate(out), np.array([len(y) for y in out]), flat.is_null())
+
+
+def _members(vector: str, keep: Sequence[str], seen: str | None) -> Column:
+    """The rows of a sequence by place, with the vector and a flag of 1 where others may see it."""
+    flag = F.lit(1) if seen is None else F.coalesce(F.col(seen), F.lit(False)).cast("int")
+    return F.array_sort(F.collect_list(F.struct("pos", *keep, doubles(F.col(vector)).alias("_v"), flag.alias("_s"))))
+
+
+def _spread(df: DataFrame, sequence: Sequence[str], keep: Sequence[str], out: str) -> DataFrame:
+    """Back to rows: member i of `_m` gets the i-th part of `_y`."""
+    width = F.floor(F.size("_y") / F.size("_m")).cast("int")
+
+    def row(m: Column, i: Column) -> Column:
+        kept = [m[c].alias(c) for c in ("pos", *keep)]
+        return F.struct(*kept, F.slice(F.col("_y"), i * width + 1, width).alias(out))
+
+    return df.select(*sequence, F.inline(F.transform("_m", row)))
 
 
 def attention(
@@ -45,51 +119,127 @@ def attention(
     keep: Sequence[str],
     heads: int = 1,
     causal: bool = False,
-    weights: dict[str, Sequence[Sequence[float]]] | None = None,
+    weights: Weights = None,
+    biases: Biases = None,
+    seen: str | None = None,
     out: str = "attended",
 ) -> DataFrame:
     """Replace each vector by the softmax(q.k / sqrt(width))-weighted mean of its sequence.
 
     Rows come from `cut_sequences`: `sequence` names their sequence, `pos` the
-    place. `weights` may hold matrices `q`, `k`, `v` (applied to the vectors)
-    and `o` (applied to the result); without them q = k = v. With `heads`, the
-    vector is cut into that many equal parts which attend separately. `causal`
-    lets a row see itself and earlier rows only.
+    place. `weights` and `biases` may hold matrices and offsets `q`, `k`, `v`
+    (applied to the vectors) and `o` (applied to the result); without them
+    q = k = v. With `heads`, the vector is cut into that many equal parts which
+    attend separately. `causal` lets a row see itself and earlier rows only;
+    `seen` names a boolean column, and rows where it is not true are seen by
+    none. A row that sees nothing has the mean zero.
 
     A sequence is gathered into one row (its length is bounded by the cut) and
-    worked on as one matrix; no pair of rows ever becomes a row.
+    worked on as one matrix.
     """
-    given = {name: np.asarray(m, dtype=float) for name, m in (weights or {}).items()}
-    if set(given) - set("qkvo"):
-        raise ValueError("weights may hold q, k, v and o")
+    project = _projector(weights, biases)
+
+    def one(x: np.ndarray, flags: np.ndarray) -> np.ndarray:
+        q, k, v = (_by_head(project(x, n), heads) for n in "qkv")
+        return project(_mean(_look(q, k, v, _hidden(len(x), flags, causal))), "o").ravel()
+
+    @F.arrow_udf("array<double>")
+    def run(flat: pa.Array, flags: pa.Array) -> pa.Array:
+        return _join([one(x.reshape(len(s), -1), s) for x, s in zip(_split(flat), _flags(flags))], flat)
+
+    gathered = df.groupBy(*sequence).agg(_members(vector, keep, seen).alias("_m"))
+    mixed = gathered.withColumn("_y", run(F.flatten(F.col("_m")["_v"]), F.col("_m")["_s"]))
+    return _spread(mixed, sequence, keep, out)
 
-    def project(x: np.ndarray, name: str) -> np.ndarray:
-        return x @ given[name].T if name in given else x
 
-    def one(x: np.ndarray) -> np.ndarray:
-        q, k, v = (project(x, n) for n in "qkv")
-        if q.shape[1] % heads:
-            raise ValueError("vector width is not a multiple of heads")
-        split = [m.reshape(len(x), heads, -1).swapaxes(0, 1) for m in (q, k, v)]
-        return project(_attend(*split, causal).swapaxes(0, 1).reshape(len(x), -1), "o").ravel()
+def group_attention(
+    df: DataFrame,
+    group: Sequence[str],
+    order: str,
+    vector: str,
+    keep: Sequence[str],
+    heads: int = 1,
+    causal: bool = False,
+    weights: Weights = None,
+    biases: Biases = None,
+    seen: str | None = None,
+    block: int = 256,
+    fan: int = 16,
+    out: str = "attended",
+) -> DataFrame:
+    """As `attention`, exactly, over whole groups of any size; gives `group`, `keep` and `out`.
+
+    A group is cut along `order` into blocks of `block` rows. Every block of
+    rows meets every block of keys of its group by an equality join on group
+    and key block, so a hot group spreads over as many tasks as it has blocks.
+    The looks at different key blocks are merged `fan` at a time, level by
+    level, so no task ever holds more than `fan` of them. Rows without a vector
+    see nothing and are seen by none; their result is null. Work is quadratic
+    in a group's rows, as the formula is.
+    """
+    if not group:
+        return group_attention(
+            df.withColumn("_all", F.lit(0)), ["_all"], order, vector, keep, heads, causal, weights, biases, seen, block, fan, out
+        ).drop("_all")
+    project = _projector(weights, biases)
+
+    def projection(name: str) -> Callable[[Column, Column], Column]:
+        @F.arrow_udf("array<double>")
+        def run(flat: pa.Array, n: pa.Array) -> pa.Array:
+            return _join([project(x.reshape(m, -1), name).ravel() for x, m in zip(_split(flat), n.to_numpy())], flat)
+
+        return run
 
     @F.arrow_udf("array<double>")
-    def run(flat: pa.Array, rows: pa.Array) -> pa.Array:
-        ends = np.cumsum(lists.lengths(flat))[:-1]
-        parts = np.split(lists.numbers(flat), ends)
-        out = [one(x.reshape(n, -1)) for x, n in zip(parts, rows.to_numpy())]
-        return lists.regroup(np.concatenate(out), np.array([len(y) for y in out]), flat.is_null())
-
-    members = F.array_sort(F.collect_list(F.struct("pos", *keep, F.col(vector).alias("_v"))))
-    gathered = df.groupBy(*sequence).agg(members.alias("_m"))
-    mixed = gathered.withColumn("_y", run(F.flatten(F.col("_m")["_v"]), F.size("_m")))
-    width = F.floor(F.size("_y") / F.size("_m")).cast("int")
+    def look(q: pa.Array, n: pa.Array, k: pa.Array, v: pa.Array, flags: pa.Array, same: pa.Array) -> pa.Array:
+        found = []
+        for x, m, y, z, s, own in zip(_split(q), n.to_numpy(), _split(k), _split(v), _flags(flags), same.to_pylist()):
+            x, y, z = _by_head(x.reshape(m, -1), heads), _by_head(y.reshape(len(s), -1), heads), _by_head(z.reshape(len(s), -1), heads)
+            found.append(_look(x, y, z, _hidden(m, s, causal and own)).ravel())
+        return _join(found, q)
 
-    def row(m: Column, i: Column) -> Column:
-        kept = [m[c].alias(c) for c in ("pos", *keep)]
-        return F.struct(*kept, F.slice(F.col("_y"), i * width + 1, width).alias(out))
+    @F.arrow_udf("array<double>")
+    def merge(flat: pa.Array, parts: pa.Array, n: pa.Array) -> pa.Array:
+        shaped = (x.reshape(p, heads, m, -1) for x, p, m in zip(_split(flat), parts.to_numpy(), n.to_numpy()))
+        return _join([_merge(x).ravel() for x in shaped], flat)
+
+    @F.arrow_udf("array<double>")
+    def finish(flat: pa.Array, n: pa.Array) -> pa.Array:
+        looks = (x.reshape(heads, m, -1) for x, m in zip(_split(flat), n.to_numpy()))
+        return _join([project(_mean(x), "o").ravel() for x in looks], flat)
+
+    given = df.filter(F.col(vector).isNotNull())
+    rows = cut_sequences(given, order, block, group)
+    blocks = rows.groupBy(*group, "seq_no").agg(_members(vector, keep, seen).alias("_m"))
+    flat, n = F.flatten(F.col("_m")["_v"]), F.size("_m").cast("bigint")
+    blocks = blocks.select("*", n.alias("_n"), F.col("_m")["_s"].alias("_s"), *[projection(c)(flat, n).alias(f"_{c}") for c in "qkv"])
+    blocks = materialize(blocks, "blocks")
+
+    sizes = materialize(blocks.groupBy(*group).agg(F.max("seq_no").alias("_last")), "group_blocks")
+    asking = lookup(blocks.select(*group, "seq_no", "_n", "_q"), sizes, list(group), null_safe=True)
+    last = F.col("seq_no") if causal else F.col("_last")
+    asking = asking.withColumn("key_no", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).drop("_last")
+    keys = blocks.select(*group, F.col("seq_no").alias("key_no"), "_k", "_v", "_s")
+    met = lookup(asking, keys, [*group, "key_no"], "inner", null_safe=True)
+    seen_so_far = look("_q", "_n", "_k", "_v", "_s", F.col("seq_no") == F.col("key_no")).alias("_p")
+    looks = met.select(*group, "seq_no", "_n", F.col("key_no"), seen_so_far)
+
+    most = (sizes.agg(F.max("_last")).first()[0] or 0) + 1
+    while most > 1:
+        parts = F.array_sort(F.collect_list(F.struct("key_no", "_p")))
+        upper = looks.withColumn("upper_no", whole("key_no", fan)).groupBy(*group, "seq_no", "_n", "upper_no")
+        merged = upper.agg(parts.alias("_ps"))
+        one = merge(F.flatten(F.col("_ps")["_p"]), F.size("_ps").cast("bigint"), "_n")
+        looks = merged.select(*group, "seq_no", "_n", F.col("upper_no").alias("key_no"), one.alias("_p"))
+        most = -(-most // fan)
 
-    return mixed.select(*sequence, F.inline(F.transform("_m", row)))
+    names = [F.col(c).alias(f"__{c}") for c in (*group, "seq_no")]
+    ended = looks.select(*names, finish("_p", "_n").alias("_y"))
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"`__{c}`")) for c in (*group, "seq_no")]
+    mixed = blocks.select(*group, "seq_no", "_m").join(ended, same)
+    found = _spread(mixed, list(group), keep, out).drop("pos")
+    absent = df.filter(F.col(vector).isNull()).select(*group, *keep, F.lit(None).cast("array<double>").alias(out))
+    return found.unionByName(absent)
 
 
 def encoder_layer(
@@ -100,14 +250,15 @@ def encoder_layer(
     feed_forward: Sequence[Layer],
     heads: int = 1,
     causal: bool = False,
-    weights: dict[str, Sequence[Sequence[float]]] | None = None,
+    weights: Weights = None,
+    biases: Biases = None,
 ) -> DataFrame:
     """Score a stored encoder layer: attention, then a feed-forward net, each added to its input and normalized.
 
     `feed_forward` are layers as for `vectors.perceptron`; the last one must
     give back the width of the vectors.
     """
-    mixed = attention(df, sequence, vector, [*keep, vector], heads, causal, weights, out="_a")
+    mixed = attention(df, sequence, vector, [*keep, vector], heads, causal, weights, biases, out="_a")
     first = mixed.withColumn("_a", layer_norm(F.col("_a"), F.col(vector)))
     fed = first.withColumn("_f", perceptron(F.col("_a"), feed_forward))
     return fed.withColumn(vector, layer_norm(F.col("_f"), F.col("_a"))).drop("_a", "_f")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenloom.functions import text
 from tokenloom.functions import vectors as V
 from tokenloom.operators import statistics as S
-from tokenloom.operators.attention import attention, cut_sequences, encoder_layer
+from tokenloom.operators.attention import attention, cut_sequences, encoder_layer, group_attention
 from tokenloom.operators.vocabulary import fit_vocabulary, token_ids
 from tokenloom.plans.registry import DOC_IDS_SQL, query, r_sql, rounded, vector_marks, vector_marks_sql
 from tokenloom.session import scratch_path
@@ -18,7 +18,8 @@ from tokenloom.sources import stores
 from tokenloom.sources.corpus import documents, table
 
 E_SQL = "e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings)"
-CONTEXT = 128
+# Short enough that groups are longer than a sequence, or a block, in small tables too.
+CONTEXT = 16
 
 
 def _embeddings(spark: SparkSession, sf: str) -> DataFrame:
@@ -172,23 +173,58 @@ def multi_head_attention(spark: SparkSession, sf: str) -> DataFrame:
     return _attended(spark, sf, heads=8)
 
 
+@query(
+    "whole_group_attention",
+    f"""
+    WITH {E_SQL}, h AS (SELECT vec_id, label, head, v[head * 8 + 1:(head + 1) * 8] AS part
+                        FROM e, (SELECT unnest(range(8)) AS head)),
+    p AS (SELECT q.vec_id, q.head, k.part, list_inner_product(q.part, k.part) / sqrt(8::DOUBLE) AS score
+          FROM h q JOIN h k ON k.label IS NOT DISTINCT FROM q.label AND k.head = q.head),
+    w AS (SELECT vec_id, head, part, exp(score - max(score) OVER (PARTITION BY vec_id, head)) AS w FROM p),
+    x AS (SELECT vec_id, head, w, unnest(part) AS x, generate_subscripts(part, 1) AS d FROM w),
+    y AS (SELECT vec_id, head, d, sum(w * x) / sum(w) AS y FROM x GROUP BY vec_id, head, d),
+    a AS (SELECT vec_id, list(y ORDER BY head, d) AS a FROM y GROUP BY vec_id)
+    SELECT label, vec_id, {vector_marks_sql('a')} FROM a JOIN e USING (vec_id)
+    """,
+)
+def whole_group_attention(spark: SparkSession, sf: str) -> DataFrame:
+    """Eight heads over all vectors of a label."""
+    out = group_attention(_embeddings(spark, sf), ["label"], "vec_id", "v", ["vec_id"], heads=8, block=CONTEXT)
+    return _marked(out, "attended", "label", "vec_id")
+
+
 X_SQL = "((value - 10) / 10)"
 
 
+def _erf_sql(x: str) -> str:
+    """The same approximation of the error function as `vectors.erf`, for x of either sign."""
+    t, series = f"(1 / (1 + 0.3275911::DOUBLE * abs({x})))", "0::DOUBLE"
+    for c in V.ERF_SERIES:
+        series = f"(({series}) + ({c!r})::DOUBLE) * {t}"
+    return f"sign({x}) * (1 - ({series}) * exp(-{x} * {x}))"
+
+
+GELU_SQL = f"0.5::DOUBLE * {X_SQL} * (1 + {_erf_sql(f'({X_SQL} / {math.sqrt(2.0)!r}::DOUBLE)')})"
+
+
 @query(
     "activations",
     f"""
     SELECT event_id, {r_sql(f'greatest({X_SQL}, 0)')} AS relu,
            {r_sql(f'CASE WHEN {X_SQL} > 0 THEN {X_SQL} ELSE 0.2::DOUBLE * {X_SQL} END')} AS leaky_relu,
            {r_sql(f'1 / (1 + exp(-{X_SQL}))')} AS sigmoid, {r_sql(f'tanh({X_SQL})')} AS tanh,
-           {r_sql(f"0.5::DOUBLE * {X_SQL} * (1 + tanh({math.sqrt(2 / math.pi)!r}::DOUBLE * ({X_SQL} + 0.044715::DOUBLE * {X_SQL} * {X_SQL} * {X_SQL})))")} AS gelu_tanh
+           {r_sql(f"0.5::DOUBLE * {X_SQL} * (1 + tanh({math.sqrt(2 / math.pi)!r}::DOUBLE * ({X_SQL} + 0.044715::DOUBLE * {X_SQL} * {X_SQL} * {X_SQL})))")} AS gelu_tanh,
+           {r_sql(GELU_SQL)} AS gelu
     FROM events
     """,
 )
 def activations(spark: SparkSession, sf: str) -> DataFrame:
-    """Each activation of the centred event value. `gelu` itself is tested against the error function."""
+    """Each activation of the centred event value. The error function inside `gelu` has a unit test."""
     x = (F.col("value") - 10) / 10
-    named = {"relu": V.relu, "leaky_relu": V.leaky_relu, "sigmoid": V.sigmoid, "tanh": V.tanh, "gelu_tanh": V.gelu_tanh}
+    named = {
+        "relu": V.relu, "leaky_relu": V.leaky_relu, "sigmoid": V.sigmoid, "tanh": V.tanh,
+        "gelu_tanh": V.gelu_tanh, "gelu": V.gelu,
+    }
     return table(spark, sf, "events").select("event_id", *[rounded(f(x)).alias(n) for n, f in named.items()])
 
 
@@ -236,6 +272,33 @@ def weight_sql(rows: int, columns: int, salt: int, v: str) -> str:
     return f"list_transform(range({rows}), lambda i: list_inner_product({row}, {v}) + i::DOUBLE / 100)"
 
 
+@query(
+    "masked_attention",
+    f"""
+    WITH {E_SQL}, m AS (SELECT vec_id, label, vec_id % 5 <> 0 AS seen, {weight_sql(64, 64, 1, 'v')} AS q,
+                               {weight_sql(64, 64, 2, 'v')} AS k, {weight_sql(64, 64, 3, 'v')} AS v FROM e),
+    p AS (SELECT q.vec_id, k.v, list_inner_product(q.q, k.k) / sqrt(64::DOUBLE) AS score
+          FROM m q JOIN m k ON k.label IS NOT DISTINCT FROM q.label AND k.vec_id <= q.vec_id AND k.seen),
+    w AS (SELECT vec_id, v, exp(score - max(score) OVER (PARTITION BY vec_id)) AS w FROM p),
+    x AS (SELECT vec_id, w, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM w),
+    y AS (SELECT vec_id, d, sum(w * x) / sum(w) AS y FROM x GROUP BY vec_id, d),
+    a AS (SELECT vec_id, list(y ORDER BY d) AS a FROM y GROUP BY vec_id),
+    z AS (SELECT label, vec_id, coalesce(a, list_transform(range(64), lambda i: 0::DOUBLE)) AS a FROM e LEFT JOIN a USING (vec_id)),
+    o AS (SELECT label, vec_id, {weight_sql(64, 64, 4, 'a')} AS o FROM z)
+    SELECT label, vec_id, {vector_marks_sql('o')} FROM o
+    """,
+)
+def masked_attention(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole labels, earlier rows only, every fifth row hidden, with weights and biases."""
+    rows = _embeddings(spark, sf).withColumn("seen", F.col("vec_id") % 5 != 0)
+    weights = {name: weight_rule(64, 64, salt) for salt, name in enumerate("qkvo", 1)}
+    biases = {name: [i / 100 for i in range(64)] for name in "qkvo"}
+    out = group_attention(
+        rows, ["label"], "vec_id", "v", ["vec_id"], causal=True, weights=weights, biases=biases, seen="seen", block=CONTEXT, fan=2
+    )
+    return _marked(out, "attended", "label", "vec_id")
+
+
 @query(
     "perceptron_scores",
     f"""
