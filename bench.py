@@ -47,7 +47,7 @@ HEADLINE = [
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     chosen = os.environ.get("BENCH_QUERIES")
     conf = {
         "spark.sql.shuffle.partitions": cpus if cpus.isdigit() else "8",

@@ -1,21 +1,24 @@
 """Next-token model, attention, series, statistics, learning, stores and streams."""
 
 import math
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tokenloom import session
 from tokenloom.functions import text as X
 from tokenloom.functions import vectors as V
 from tokenloom.operators import learning as L
 from tokenloom.operators import ngrams as N
 from tokenloom.operators import series as R
 from tokenloom.operators import statistics as S
+from tokenloom.operators.batching import cosine_rate
 from tokenloom.operators.attention import attention, cut_sequences, group_attention
 from tokenloom.operators.vocabulary import encode, fit_vocabulary
 from tokenloom.plans import sequences as Q
-from tokenloom.session import scratch_path
+from tokenloom.session import materialize, scratch_path
 from tokenloom.sources import corpus, stores
 from tokenloom.streaming import streams
 
@@ -140,6 +143,25 @@ def test_group_attention_against_matrices(spark, causal, block):
             assert got[i] == pytest.approx((mixed @ mats["o"].T + offsets["o"]).tolist())
 
 
+def test_scratch_tables_share_a_folder(spark):
+    df = materialize(spark.range(3), "three")
+    assert df.count() == 3
+    folder = Path(df.inputFiles()[0].removeprefix("file://")).parents[1]
+    assert folder.is_dir() and folder.parent.name == spark.sparkContext.applicationId
+
+
+def test_scratch_tables_go(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "_own_folder", lambda _: f"file://{tmp_path}/own")
+    materialize(spark.range(3), "three")
+    assert (tmp_path / "own").is_dir() and session.remove_scratch(spark)
+    assert not (tmp_path / "own").exists() and not session.remove_scratch(spark)
+
+
+def test_rate_falls_on_a_half_cosine(spark):
+    steps = spark.range(5).select(cosine_rate(F.col("id"), F.lit(4), 2.0, 1.0).alias("r")).collect()
+    assert [s.r for s in steps] == pytest.approx([1.5 + math.cos(math.pi * i / 4) / 2 for i in range(5)])
+
+
 def test_group_attention_of_an_empty_table(spark):
     df = spark.createDataFrame([], "id int, g string, v array<double>")
     assert group_attention(df, ["g"], "id", "v", ["id"]).count() == 0

@@ -101,6 +101,8 @@ def test_assembled_examples_lose_nothing(spark):
 def test_batches_pad_only_at_the_end(spark):
     df = spark.range(20).select("id", F.array_repeat(F.col("id"), (F.col("id") % 5).cast("int")).alias("ids"))
     rows = B.pad_batches(B.with_batch(df, "id", 8), "ids").collect()
+    at_once = B.padded_batches(df, "id", "ids", 8).select(*B.pad_batches(B.with_batch(df, "id", 8), "ids").columns).collect()
+    assert sorted(map(str, at_once)) == sorted(map(str, rows))
     assert {r.batch_id for r in rows} == {0, 1, 2}
     assert sum(r.batch_id == 2 for r in rows) == 4
     for r in rows:

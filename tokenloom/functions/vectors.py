@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.functions import lists
@@ -101,12 +101,28 @@ def softmax(v: Column) -> Column:
     return once(weights, lambda w: once(total(w), lambda z: F.transform(w, lambda x: x / z)))
 
 
-def layer_norm(v: Column, residual: Column | None = None, eps: float = NORM_EPS) -> Column:
-    """Normalize one row to mean 0 and variance 1, after adding the residual."""
+def layer_norm(
+    v: Column,
+    residual: Column | None = None,
+    eps: float = NORM_EPS,
+    gain: Sequence[float] | None = None,
+    shift: Sequence[float] | None = None,
+) -> Column:
+    """Normalize one row to mean 0 and variance 1, after adding the residual.
+
+    Stored `gain` and `shift`, one number per entry, are applied to the result.
+    """
     v = doubles(v) if residual is None else add(doubles(v), doubles(residual))
     n = F.size(v)
     centred = once(total(v) / n, lambda mean: F.transform(v, lambda x: x - mean))
-    return once(centred, lambda c: once(1.0 / F.sqrt(sum_of_squares(c) / n + eps), lambda f: scale(c, f)))
+    normal = once(centred, lambda c: once(1.0 / F.sqrt(sum_of_squares(c) / n + eps), lambda f: scale(c, f)))
+    if gain is not None:
+        normal = F.zip_with(normal, _numbers(gain), lambda x, g: x * g)
+    return normal if shift is None else add(normal, _numbers(shift))
+
+
+def _numbers(values: Sequence[float]) -> Column:
+    return F.lit([float(x) for x in values]).cast("array<double>")
 
 
 def _layer(weight: Sequence[Sequence[float]], bias: Sequence[float] | None) -> tuple[list[list[float]], list[float]]:
@@ -174,6 +190,12 @@ def position_vector(pos: Column, width: int, odd: str = "cos", base: float = 100
     return F.array(*entries)
 
 
+def position_table(spark: SparkSession, length: int, width: int, odd: str = "cos") -> DataFrame:
+    """The features of the places 0 to `length` - 1 as a table `pos`, `dim`, `value`."""
+    places = spark.range(length).withColumnRenamed("id", "pos")
+    return places.select("pos", F.posexplode(position_vector(F.col("pos"), width, odd)).alias("dim", "value"))
+
+
 def quantize(v: Column, group: int = 32, bits: int = 4) -> Column:
     """Symmetric low-bit codes per `group` neighbouring entries.
 

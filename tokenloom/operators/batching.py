@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tokenloom.functions import arrays
+from tokenloom.operators.joins import lookup
 from tokenloom.operators.order import row_slice, with_row_index
+from tokenloom.session import materialize
 
 
 def with_batch(df: DataFrame, order: str | Sequence[str], size: int) -> DataFrame:
@@ -44,6 +47,19 @@ def pad_batches(df: DataFrame, ids: str, pad: int = arrays.PAD_ID) -> DataFrame:
     return df.withColumn("width", width).withColumn(ids, arrays.pad_right(F.col(ids), F.col("width"), pad))
 
 
+def padded_batches(df: DataFrame, order: str, ids: str, size: int, pad: int = arrays.PAD_ID) -> DataFrame:
+    """`with_batch` and `pad_batches` in one, along the unique key `order`.
+
+    `df` is written once. Batches and widths are worked out on keys and lengths
+    alone; the arrays move only if that table is too large to broadcast.
+    """
+    stored = materialize(df.withColumn("_length", F.size(ids)), "sequences")
+    places = with_batch(stored.select(order, "_length"), order, size)
+    places = places.withColumn("width", F.max("_length").over(W.partitionBy("batch_id"))).drop("_length")
+    out = lookup(stored.drop("_length"), materialize(places, "places"), [order], null_safe=True)
+    return out.withColumn(ids, arrays.pad_right(F.col(ids), F.col("width"), pad))
+
+
 def first_batches(df: DataFrame, order: str, size: int, batches: int) -> DataFrame:
     """The rows of the first `batches` batches, with `batch_id` and `slot`; only they are indexed in full."""
     return with_batch(row_slice(df, order, 0, size * batches), order, size)
@@ -76,6 +92,11 @@ def accumulate(
     return out if keep_incomplete else out.filter(F.col("n_rows") == steps)
 
 
+def cosine_rate(step: Column, steps: Column, start: float, end: float = 0.0) -> Column:
+    """The learning rate of a step on a half cosine from `start` at step 0 to `end` at step `steps`."""
+    return F.lit(end) + (start - end) * (1.0 + F.cos(math.pi * step / steps)) / 2.0
+
+
 def shape_report(df: DataFrame, ids: str) -> DataFrame:
     """Rows, width, real slots and fill ratio of each batch."""
     out = df.groupBy("batch_id").agg(

@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions import arrays, text
 from tokenloom.operators.joins import lookup
-from tokenloom.operators.order import with_running_total
-from tokenloom.operators.packing import pack
+from tokenloom.operators.packing import pack, place_arrays
 from tokenloom.session import materialize
 
 
@@ -183,5 +182,5 @@ def assemble_examples(labelled: DataFrame, chunk: int) -> DataFrame:
     consecutive rows `chunk_no` = 0, 1, ..., so no row grows without bound and
     no token is lost.
     """
-    placed = with_running_total(labelled, "turn", F.size("input_ids"), "start", group="conv_id")
-    return pack(placed, ["input_ids", "labels"], chunk, start="start", group=["conv_id"], name="chunk_no")
+    placed = place_arrays(labelled, ["conv_id", "turn"], "turn", "input_ids", group=["conv_id"])
+    return pack(placed, ["input_ids", "labels"], chunk, start="_start", group=["conv_id"], name="chunk_no")

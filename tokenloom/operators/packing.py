@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions.arrays import whole
+from tokenloom.operators.joins import lookup
 from tokenloom.operators.order import with_running_total
+from tokenloom.session import materialize
 
 
 def pack(
@@ -41,7 +43,20 @@ def pack(
     return packs.select(*group, name, *[F.flatten(F.col("_p")[c]).alias(c) for c in columns])
 
 
+def place_arrays(df: DataFrame, key: Sequence[str], order: str, array: str, group: Sequence[str] = ()) -> DataFrame:
+    """Add `_start`, the number of entries of `array` in all earlier rows along `order`, per `group` if given.
+
+    `df` is written once, so whatever made its arrays runs once. The starts are
+    worked out on keys and lengths alone and looked up by the unique `key`; the
+    arrays move only if the table of starts is too large to broadcast.
+    """
+    stored = materialize(df.withColumn("_length", F.size(array)), "arrays")
+    lengths = stored.select(*key, "_length")
+    starts = with_running_total(lengths, order, F.col("_length"), "_start", group=group).drop("_length")
+    return lookup(stored.drop("_length"), materialize(starts, "starts"), list(key), null_safe=True)
+
+
 def pack_sequences(df: DataFrame, order: str, tokens: str, size: int = 512) -> DataFrame:
-    """Concatenate token arrays along `order` and cut every `size` tokens."""
-    placed = with_running_total(df.select(order, tokens), order, F.size(tokens), "_start")
+    """Concatenate token arrays along the unique key `order` and cut every `size` tokens."""
+    placed = place_arrays(df.select(order, tokens), [order], order, tokens)
     return pack(placed, [tokens], size, start="_start")

@@ -165,8 +165,8 @@ def accumulated_steps(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def padded_batches(spark: SparkSession, sf: str) -> DataFrame:
-    batched = B.with_batch(_doc_ids(spark, sf).withColumn("n_real", F.size("ids").cast("bigint")), "doc_id", 8)
-    return B.pad_batches(batched, "ids").select(
+    ids = _doc_ids(spark, sf).withColumn("n_real", F.size("ids").cast("bigint"))
+    return B.padded_batches(ids, "doc_id", "ids", 8).select(
         "doc_id", "batch_id", F.col("width").cast("bigint").alias("width"), "n_real",
         F.md5(arrays.as_text(F.col("ids"))).alias("padded_md5"),
     )

@@ -11,9 +11,10 @@ from tokenloom.functions import text
 from tokenloom.functions import vectors as V
 from tokenloom.operators import statistics as S
 from tokenloom.operators.attention import attention, cut_sequences, encoder_layer, group_attention
+from tokenloom.operators.joins import lookup
 from tokenloom.operators.vocabulary import fit_vocabulary, token_ids
 from tokenloom.plans.registry import DOC_IDS_SQL, query, r_sql, rounded, vector_marks, vector_marks_sql
-from tokenloom.session import scratch_path
+from tokenloom.session import materialize, scratch_path
 from tokenloom.sources import stores
 from tokenloom.sources.corpus import documents, table
 
@@ -103,6 +104,22 @@ def normalized_rows(spark: SparkSession, sf: str) -> DataFrame:
     return _marked(e.withColumn("v", V.layer_norm(F.col("v"), F.reverse("v"))), "v", "vec_id")
 
 
+@query(
+    "scaled_normal_rows",
+    f"""
+    WITH {E_SQL}, m AS (SELECT vec_id, list_transform(v, lambda x: x - list_sum(v) / 64) AS c FROM e),
+    z AS (SELECT vec_id, list_transform(c, lambda x, i: x / sqrt(list_sum(list_transform(c, lambda y: y * y)) / 64 + 1e-5)
+                                                        * (1 + i::DOUBLE / 64) - i::DOUBLE / 100) AS w FROM m)
+    SELECT vec_id, {vector_marks_sql('w')} FROM z
+    """,
+)
+def scaled_normal_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Layer normalization with a stored gain and shift."""
+    gain, shift = [1 + i / 64 for i in range(1, 65)], [-i / 100 for i in range(1, 65)]
+    e = _embeddings(spark, sf)
+    return _marked(e.withColumn("v", V.layer_norm(F.col("v"), gain=gain, shift=shift)), "v", "vec_id")
+
+
 @query(
     "embedded_tokens",
     f"""
@@ -114,19 +131,20 @@ def normalized_rows(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def embedded_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    """Look up a vector for every token of every document."""
+    """Look up a vector for every token of every document; of the vectors, what the sums need."""
     docs, vectors = documents(spark, sf), table(spark, sf, "embeddings")
+    v = V.doubles(F.col("embedding"))
+    needed = vectors.select("vec_id", F.struct(V.total(v).alias("total"), v[0].alias("first")).alias("marks"))
     tokens = text.tokens(F.col("text"))
     vocabulary = fit_vocabulary(docs, tokens)
     long = docs.select("doc_id", F.posexplode(tokens).alias("pos", "token"))
     ids = token_ids(long, "token", vocabulary).withColumn("vec_id", F.col("id") % vectors.count())
-    found = S.embed_ids(ids, "vec_id", vectors, "vec_id", "embedding")
-    v = V.doubles(F.col("embedding"))
+    found = S.embed_ids(ids, "vec_id", materialize(needed, "vector_marks"), "vec_id", "marks")
     return found.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_tokens"),
-        F.count("embedding").alias("n_found"),
-        rounded(F.sum(V.total(v))).alias("v_sum"),
-        rounded(F.sum((F.col("pos") + 1) * v[0])).alias("first_by_place"),
+        F.count("marks").alias("n_found"),
+        rounded(F.sum("marks.total")).alias("v_sum"),
+        rounded(F.sum((F.col("pos") + 1) * F.col("marks.first"))).alias("first_by_place"),
     )
 
 
@@ -353,6 +371,30 @@ def position_features(spark: SparkSession, sf: str) -> DataFrame:
     return _marked(e.withColumn("v", placed), "v", "vec_id")
 
 
+@query(
+    "placed_entries",
+    f"""
+    WITH {E_SQL}, i AS (SELECT *, (row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1) % {CONTEXT} AS pos FROM e),
+    x AS (SELECT vec_id, pos, generate_subscripts(v, 1) - 1 AS dim, unnest(v) AS x FROM i),
+    p AS (SELECT *, x + CASE WHEN dim % 2 = 0 THEN sin(pos / pow(10000.0::DOUBLE, dim / 64.0::DOUBLE))
+                             ELSE sin(pos / pow(10000.0::DOUBLE, (dim - 1) / 64.0::DOUBLE)) END AS y FROM x)
+    SELECT vec_id, pos, count(*) AS width, {r_sql('sum(y)')} AS v_sum, {r_sql('sum(y * (dim + 1))')} AS v_weighted
+    FROM p GROUP BY vec_id, pos
+    """,
+)
+def placed_entries(spark: SparkSession, sf: str) -> DataFrame:
+    """Add the position table, sine in all entries, to vectors in long form by place and entry."""
+    rows = cut_sequences(_embeddings(spark, sf), "vec_id", CONTEXT, "label")
+    long = rows.select("vec_id", "pos", F.posexplode(V.doubles(F.col("v"))).alias("dim", "x"))
+    features = V.position_table(spark, CONTEXT, 64, odd="sin")
+    y = F.col("x") + F.col("value")
+    return lookup(long, features, ["pos", "dim"]).groupBy("vec_id", "pos").agg(
+        F.count(F.lit(1)).alias("width"),
+        rounded(F.sum(y)).alias("v_sum"),
+        rounded(F.sum(y * (F.col("dim") + 1))).alias("v_weighted"),
+    )
+
+
 @query(
     "quantized_vectors",
     f"""

@@ -68,8 +68,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/tokenloom/{uuid.uuid4().hex}/{name}"
+    """A new, unused path below this application's part of the shared folder."""
+    return f"{_own_folder(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/tokenloom/{spark.sparkContext.applicationId}"
+
+
+def remove_scratch(spark: SparkSession) -> bool:
+    """Remove every intermediate table that this application wrote; False if there was none.
+
+    To be called when no DataFrame that reads one is needed any more, such as
+    after the results are written. Tables of other applications stay.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
