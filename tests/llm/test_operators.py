@@ -165,6 +165,15 @@ def test_runs_equal_brute_force(spark):
     assert {s for t in got.values() for s in t.split("\n")[:-1]} == whole  # nothing is lost everywhere
 
 
+def test_runs_of_short_lines_go(spark):
+    words = "".join(f"word{k}\n" for k in range(32))
+    commas = ", ".join(f"item{k}" for k in range(40)) + ". "
+    rows = [(1, "Own start.\n" + words * 3 + "End of one.\n"), (2, "Here: " + commas + "End of two.\n"), (3, "There are " + commas + "And three.\n")]
+    found = {r["doc_id"]: (r["text"], r["__deleted"]) for r in line_dedup.without_repeats(frame(spark, rows)).collect()}
+    assert found[1] == ("Own start.\n" + words + "End of one.\n", 64)
+    assert found[2][1] == 0 and found[3] == ("There are item0, And three.\n", 39)
+
+
 def test_archives_hold_every_payload(spark, tmp_path):
     magic = "WARC/1.1\r\n"
     pages = [(1, "http://a/", "x" * 5000), (2, "http://b/\r\nX: 1", "x" * 5000), (3, None, None), (4, "u", ""), (5, "u", magic + "a\r\n\r\n" + magic * 3), (6, "u", "é" * 900), (6, "u", "é" * 900)]

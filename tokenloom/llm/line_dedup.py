@@ -16,7 +16,6 @@ LINE_END = r"[\n.,!?](?:(?<=\n)| )"
 BARE_END = r"[\n.,!?](?:(?<=\n)|[ \n]|\z)"
 GRAM = 2  # lines hashed together
 WINDOW = 3  # grams of which one is selected: any shared run of GRAM + WINDOW - 1 lines has a shared fingerprint
-MIN_GRAM = 40  # bytes; fewer are no fingerprint: very short lines meet by chance everywhere
 MIN_BYTES = 150  # without line ends; a shorter run stays
 
 
@@ -46,11 +45,7 @@ def fingerprints(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, min_by
     rows = docs.filter("text is not null").select("d", bare_lines(F.col("text")).alias("s"))
     rows = rows.select("d", F.transform("s", lambda x: F.xxhash64(x)).alias("h"), F.transform("s", F.octet_length).alias("n"))
     upto = lambda n: F.when(n >= 0, F.sequence(F.lit(0), n)).otherwise(F.array().cast("array<int>"))
-    size = lambda i: sum((F.get("n", i + j) for j in range(1, gram)), F.get("n", i))
-    grams = F.transform(
-        upto(F.size("h") - gram),
-        lambda i: F.when(size(i) >= MIN_GRAM, F.xxhash64(*[F.get("h", i + j) for j in range(gram)])),
-    )
+    grams = F.transform(upto(F.size("h") - gram), lambda i: F.xxhash64(*[F.get("h", i + j) for j in range(gram)]))
     rows = rows.select("d", "h", "n", grams.alias("g"))
 
     def minimum(i: Column) -> Column:
