@@ -174,6 +174,14 @@ def test_runs_of_short_lines_go(spark):
     assert found[2][1] == 0 and found[3] == ("There are item0, And three.\n", 39)
 
 
+def test_a_stray_earlier_fragment_hides_no_repeat(spark):
+    a, b, c, d = ("".join(x * 45) + "\n" for x in "abcd")
+    rows = [(1, f"{a}{b}"[:-1]), (2, f"{c}{d}"[:-1]), (3, f"{b}{c}"[:-1])]  # every pair of lines, and nothing else
+    rows += [(4, f"four\n{a}{b}{c}{d}end four\n"), (5, f"five\n{a}{b}{c}{d}end five\n")]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.without_repeats(frame(spark, rows)).collect()}
+    assert [got[i] for i in (1, 2, 3, 4)] == [t for _, t in rows[:4]] and got[5] == "five\nend five\n"
+
+
 def test_archives_hold_every_payload(spark, tmp_path):
     magic = "WARC/1.1\r\n"
     pages = [(1, "http://a/", "x" * 5000), (2, "http://b/\r\nX: 1", "x" * 5000), (3, None, None), (4, "u", ""), (5, "u", magic + "a\r\n\r\n" + magic * 3), (6, "u", "é" * 900), (6, "u", "é" * 900)]

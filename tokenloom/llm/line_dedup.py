@@ -1,4 +1,4 @@
-"""Repeated passages: winnowed fingerprints over line hashes, joined and extended both ways."""
+"""Repeated passages: winnowed fingerprints over line hashes, and around those that come again whole runs, joined."""
 
 from __future__ import annotations
 
@@ -16,6 +16,7 @@ LINE_END = r"[\n.,!?](?:(?<=\n)| )"
 BARE_END = r"[\n.,!?](?:(?<=\n)|[ \n]|\z)"
 GRAM = 2  # lines hashed together
 WINDOW = 3  # grams of which one is selected: any shared run of GRAM + WINDOW - 1 lines has a shared fingerprint
+CHUNK = 512  # lines whose sizes are summed up in one go
 MIN_BYTES = 150  # without line ends; a shorter run stays
 
 
@@ -61,42 +62,98 @@ def fingerprints(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, min_by
     return rows.select("d", F.explode(F.concat(chosen, alone)).alias("x")).select("d", "x.fp", "x.pos")
 
 
+def _with(value: Column, body) -> Column:
+    """`body` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _offsets(n: Column) -> Column:
+    """Sums of `n` in front of each line, and of all: in chunks, so that a text of very many lines stays cheap."""
+    add = lambda at, x: F.array_append(at, F.element_at(at, -1) + x)
+    part = lambda k: F.slice(n, k * CHUNK + 1, CHUNK)
+    last = F.floor(F.size(n) / CHUNK).cast("int")
+    chunks = F.sequence(F.lit(0), last)
+    whole = F.transform(chunks, lambda k: F.aggregate(part(k), F.lit(0), lambda x, y: x + y))
+    bases = F.aggregate(whole, F.array(F.lit(0)), add)
+    inner = lambda base, k: F.aggregate(part(k), F.array(base), add)
+    sums = lambda base, k: F.when(k == last, inner(base, k)).otherwise(F.slice(inner(base, k), 1, CHUNK))
+    return _with(bases, lambda at: F.flatten(F.transform(chunks, lambda k: sums(F.get(at, k), k))))
+
+
+def windows(rows: DataFrame, min_bytes: int) -> DataFrame:
+    """d, fp, start, end: the shortest runs of `min_bytes` bytes in which a line of `hot` lies; `rows` are d, h, n, hot.
+
+    One from every line on, and one up to every line: whichever line of a
+    longer run is taken, one of the two holds it and does not leave the run.
+    `hot` are sorted positions.
+    """
+    following = F.flatten(F.transform("hot", lambda p, k: F.array_repeat(p, p - F.coalesce(F.get("hot", k - 1), F.lit(-1)))))
+    before = F.flatten(F.transform("hot", lambda p, k: F.array_repeat(p, F.coalesce(F.get("hot", k + 1), F.size("h")) - p)))
+    before = F.concat(F.array_repeat(F.lit(-1), F.get("hot", F.lit(0)) + 1), before)
+    rows = rows.select("d", "h", _offsets(F.col("n")).alias("at"), following.alias("following"), before.alias("before"))
+    rows = materialize(rows, "touched_lines")
+
+    at = lambda i: F.get("at", i)
+    lines = F.size("h")
+    powers = F.transform(F.sequence(F.ceil(F.log2(lines + 1)).cast("int"), F.lit(0)), lambda k: F.pow(F.lit(2), k).cast("int"))
+    furthest = lambda start, fits, steps: F.aggregate(steps, start, lambda i, p: F.when(fits(at(i + p)), i + p).otherwise(i))
+
+    def onward(steps: Column) -> Column:
+        starts = F.filter(
+            F.sequence(F.lit(0), lines - 1),
+            lambda i: (at(lines) - at(i) >= min_bytes) & (at(F.get("following", i)) - at(i) < min_bytes),
+        )
+        end = lambda i: _with(at(i) + min_bytes, lambda x: furthest(i, lambda y: y < x, steps) + 1)
+        return F.transform(starts, lambda i: F.struct(i.alias("start"), end(i).alias("end")))
+
+    def upto(steps: Column) -> Column:
+        ends = F.filter(
+            F.sequence(F.lit(1), lines),
+            lambda j: (at(j) >= min_bytes) & (F.get("before", j) >= 0) & (at(j) - at(F.get("before", j) + 1) < min_bytes),
+        )
+        start = lambda j: _with(at(j) - min_bytes, lambda x: furthest(F.lit(-1), lambda y: y <= x, steps))
+        runs = F.transform(ends, lambda j: F.struct(start(j).alias("start"), j.alias("end")))
+        return F.filter(runs, lambda r: at(r["end"] - 1) - at(r["start"]) >= min_bytes)  # else it is one of the others
+
+    found = _with(powers, lambda steps: F.concat(onward(steps), upto(steps)))
+    rows = rows.select("d", "h", F.explode(found).alias("r"))
+    return rows.select("d", F.xxhash64(F.slice("h", F.col("r.start") + 1, F.col("r.end") - F.col("r.start"))).alias("fp"), "r.start", "r.end")
+
+
+def _merged(runs: Column) -> Column:
+    """Sorted runs joined where they touch. Neither their starts nor their ends go back."""
+    opens = lambda r, k: F.coalesce(r["start"] > F.get(runs, k - 1)["end"], F.lit(True))
+    heads = F.filter(F.transform(runs, lambda r, k: F.when(opens(r, k), k).otherwise(-1)), lambda k: k >= 0)
+    end = lambda heads, j: F.get(runs, F.coalesce(F.get(heads, j + 1), F.size(runs)) - 1)["end"]
+    return _with(
+        heads,
+        lambda heads: F.transform(heads, lambda k, j: F.struct(F.get(runs, k)["start"].alias("start"), end(heads, j).alias("end"))),
+    )
+
+
 def repeated_runs(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, min_bytes: int = MIN_BYTES) -> DataFrame:
     """d, runs (start, end): the lines of each document of `docs` (d, text) that repeat earlier ones.
 
-    A fingerprint's earliest place, by key and position, is met by all its
-    later places: as many rows as places, however common a line is. Places at
-    one distance from the same earlier document are one alignment; along it the
-    match is extended both ways to the ends of all equal runs, and those of at
-    least `min_bytes` bytes count.
+    Fingerprints that come again tell where runs may repeat. There, every
+    shortest run of `min_bytes` bytes is hashed whole and meets the earliest
+    place of its like, by key and position: as many rows as places, however
+    common a line is. All lines of a longer run lie in such short ones, so an
+    earlier place that goes on otherwise hides nothing, and together they are
+    the match extended both ways.
     """
     found = materialize(fingerprints(docs, gram, window, min_bytes), "line_fingerprints")
-    firsts = found.groupBy("fp").agg(F.min(F.struct("d", "pos")).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    later = found.join(firsts.select("fp", "first"), "fp").filter("not (d <=> first.d and pos = first.pos)")
-    aligned = later.select("d", F.col("first.d").alias("e"), (F.col("pos") - F.col("first.pos")).alias("shift")).distinct()
-    aligned = materialize(aligned, "alignments")
-
-    touched = materialize(aligned.select("d").union(aligned.select(F.col("e").alias("d"))).distinct(), "touched")
-    held = lookup(docs, touched, ["d"], "inner").distinct().select("d", bare_lines(F.col("text")).alias("s"))
-    held = held.select("d", F.transform("s", lambda x: F.xxhash64(x)).alias("h"), F.transform("s", F.octet_length).alias("n"))
-    held = materialize(held, "touched_lines")
-    earlier = held.select(F.col("d").alias("e"), F.col("h").alias("h0"))
-    pairs = aligned.join(held, "d").join(earlier, "e")
-
-    a = F.greatest("shift", F.lit(0))
-    b = a - F.col("shift")
-    size = F.least(F.size("h") - a, F.size("h0") - b)
-    pairs = pairs.select("d", "n", a.alias("a"), size.alias("size"), F.slice("h", a + 1, size).alias("x"), F.slice("h0", b + 1, size).alias("y"))
-    differ = F.filter(F.transform(F.arrays_zip("x", "y"), lambda p, i: F.when(p["x"] != p["y"], i)), lambda i: i.isNotNull())
-    pairs = pairs.select("d", "n", "a", F.concat(F.array(F.lit(-1)), differ, F.array("size")).alias("cuts"))
-    runs = F.transform(
-        F.sequence(F.lit(0), F.size("cuts") - 2),
-        lambda j: F.struct((F.col("a") + F.get("cuts", j) + 1).alias("start"), (F.col("a") + F.get("cuts", j + 1)).alias("end")),
-    )
-    runs = F.filter(runs, lambda r: r["end"] > r["start"])
-    chars = lambda r: F.aggregate(F.slice("n", r["start"] + 1, r["end"] - r["start"]), F.lit(0), lambda x, y: x + y)
-    runs = pairs.select("d", F.explode(F.filter(runs, lambda r: chars(r) >= min_bytes)).alias("run"))
-    return runs.groupBy("d").agg(F.sort_array(F.collect_set("run")).alias("runs"))
+    again = found.groupBy("fp").count().filter("count > 1").select("fp")
+    hot = found.join(again, "fp", "left_semi").groupBy("d").agg(F.sort_array(F.collect_set("pos")).alias("hot"))
+    hot = materialize(hot, "touched")
+
+    held = lookup(docs, hot, ["d"], "inner").select("d", "hot", bare_lines(F.col("text")).alias("s"))
+    held = held.select("d", "hot", F.transform("s", lambda x: F.xxhash64(x)).alias("h"), F.transform("s", F.octet_length).alias("n"))
+    short = materialize(windows(held, min_bytes), "windows")
+    place = F.struct("d", "start")
+    firsts = short.groupBy("fp").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    later = short.join(firsts.select("fp", "first"), "fp").filter("not (d <=> first.d and start = first.start)")
+    runs = later.groupBy("d").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("runs"))
+    return materialize(runs, "later_windows").select("d", _merged(F.col("runs")).alias("runs"))
 
 
 def without_repeats(
