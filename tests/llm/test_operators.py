@@ -182,6 +182,30 @@ def test_a_stray_earlier_fragment_hides_no_repeat(spark):
     assert [got[i] for i in (1, 2, 3, 4)] == [t for _, t in rows[:4]] and got[5] == "five\nend five\n"
 
 
+def test_all_repeated_runs_equal_brute_force(spark):
+    rng = random.Random(12)
+    pool = ["".join(rng.choice("abcdefgh") for _ in range(rng.choice([0, 1, 8, 40, 70, 90, 120, 149, 150]))) + "\n" for _ in range(60)]
+    texts = []
+    for _ in range(120):
+        own = lambda: "".join(rng.choice("xyz") for _ in range(30)) + "\n"
+        old = rng.choice(texts).split("\n")[:-1] if texts else [""]
+        at = rng.randrange(len(old))
+        runs = [f"{x}\n" for x in old[at : at + rng.randrange(1, 5)]] + [own()] + rng.choices(pool, k=rng.randrange(1, 6))
+        texts.append("".join(([own()] if rng.random() < 0.8 else []) + runs * rng.choice([1, 1, 1, 3])))
+    got = {r["doc_id"]: r["text"] for r in line_dedup.without_repeats(frame(spark, list(enumerate(texts)))).collect()}
+    seen, want = set(), {}
+    for k, text in enumerate(texts):
+        x, gone = text.split("\n"), set()
+        for i in range(len(x)):
+            for j in range(i + 1, len(x) + 1):
+                if sum(map(len, x[i:j])) >= line_dedup.MIN_BYTES:
+                    if tuple(x[i:j]) in seen:
+                        gone |= set(range(i, j))
+                    seen.add(tuple(x[i:j]))
+        want[k] = "".join(f"{s}\n" for i, s in enumerate(x[:-1]) if i not in gone)
+    assert got == want and sum(map(len, want.values())) < 0.9 * sum(map(len, texts))
+
+
 def test_archives_hold_every_payload(spark, tmp_path):
     magic = "WARC/1.1\r\n"
     pages = [(1, "http://a/", "x" * 5000), (2, "http://b/\r\nX: 1", "x" * 5000), (3, None, None), (4, "u", ""), (5, "u", magic + "a\r\n\r\n" + magic * 3), (6, "u", "é" * 900), (6, "u", "é" * 900)]

@@ -15,7 +15,7 @@ MARK = "\x00"
 LINE_END = r"[\n.,!?](?:(?<=\n)| )"
 BARE_END = r"[\n.,!?](?:(?<=\n)|[ \n]|\z)"
 GRAM = 2  # lines hashed together
-WINDOW = 3  # grams of which one is selected: any shared run of GRAM + WINDOW - 1 lines has a shared fingerprint
+WINDOW = 3  # grams of which one is selected; shorter runs of MIN_BYTES have fingerprints of their own
 CHUNK = 512  # lines whose sizes are summed up in one go
 MIN_BYTES = 150  # without line ends; a shorter run stays
 
@@ -38,10 +38,12 @@ def _documents(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """d, fp, pos: window minima of the gram hashes, and every line that alone is long enough.
+    """d, fp, pos: any two equal runs of `min_bytes` bytes share one of these.
 
-    Of equal minima the leftmost is selected. Short texts are one window; texts
-    with fewer than `gram` lines have long lines only.
+    Window minima of the gram hashes, of equal ones the leftmost: a run of
+    `gram` + `window` - 1 lines holds a whole window. A shorter run may not, so
+    every gram from which fewer lines reach `min_bytes` is there too, and every
+    run of fewer than `gram` lines that does.
     """
     rows = docs.filter("text is not null").select("d", bare_lines(F.col("text")).alias("s"))
     rows = rows.select("d", F.transform("s", lambda x: F.xxhash64(x)).alias("h"), F.transform("s", F.octet_length).alias("n"))
@@ -56,10 +58,14 @@ def fingerprints(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, min_by
         behind = [F.coalesce(x <= F.get("g", i + j), F.lit(True)) for j in range(1, window)]
         return x.isNotNull() & any_of([all_of(before[:k] + behind[: window - 1 - k]) for k in range(window)])
 
-    chosen = F.transform(F.filter(upto(F.size("g") - 1), minimum), lambda i: F.struct(F.get("g", i).alias("fp"), i.alias("pos")))
-    alone = F.filter(F.transform("n", lambda c, i: F.when(c >= min_bytes, i).otherwise(-1)), lambda i: i >= 0)
-    alone = F.transform(alone, lambda i: F.struct(F.xxhash64(F.get("h", i), F.lit("alone")).alias("fp"), i.alias("pos")))
-    return rows.select("d", F.explode(F.concat(chosen, alone)).alias("x")).select("d", "x.fp", "x.pos")
+    reach = lambda i, m: sum((F.coalesce(F.get("n", i + j), F.lit(0)) for j in range(1, m)), F.get("n", i)) >= min_bytes
+    chosen = F.filter(upto(F.size("g") - 1), lambda i: reach(i, gram + window - 2) | minimum(i))
+    found = [F.transform(chosen, lambda i: F.struct(F.get("g", i).alias("fp"), i.alias("pos")))]
+    for m in range(1, gram):
+        alone = F.filter(upto(F.size("h") - m), lambda i: reach(i, m))  # noqa: B023
+        hashed = lambda i: F.xxhash64(*[F.get("h", i + j) for j in range(m)], F.lit("alone"))  # noqa: B023, E731
+        found.append(F.transform(alone, lambda i: F.struct(hashed(i).alias("fp"), i.alias("pos"))))  # noqa: B023
+    return rows.select("d", F.explode(F.concat(*found)).alias("x")).select("d", "x.fp", "x.pos")
 
 
 def _with(value: Column, body) -> Column:
