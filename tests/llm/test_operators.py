@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import textwrap
 from itertools import groupby
 
 import numpy as np
@@ -126,6 +127,21 @@ def test_licence_rules_want_their_order(spark):
     assert found == {1: ["MIT"], 2: [], 3: ["BSD-3-Clause"], 4: []}
 
 
+def test_licences_broken_over_lines(spark):
+    def broken(ids, width, sign=""):
+        paragraphs = ["\n".join(textwrap.wrap(f"{licenses.SENTENCES[i]}.", width, break_long_words=False, break_on_hyphens=False)) for i in ids]
+        return "".join(f"{sign}{line}".rstrip() + "\n" for line in "\n\n".join(paragraphs).split("\n"))
+
+    prose = "This is no licence\nReleased under the MIT License\nand more.\n"
+    texts = [broken([2, 3, 4], 72), broken([30, 31, 32, 33], 40, " * "), "Copyright 2020 A\n" + broken([21, 22, 24], 72, "# "), broken([11, 12, 13], 30, "// "), broken([2, 3, 4], 72).replace("\n", "\r\n")]
+    texts += [prose, "x\n" + broken([4, 3, 2], 72), broken([2], 72).replace("\n", "\n\n") + broken([3, 4], 72), "not " + broken([2, 3, 4], 72)]
+    rows = frame(spark, list(enumerate(texts)))
+    found = {r["doc_id"]: (r["sentence_ids"], r["licenses"]) for r in licenses.scan(rows).collect()}
+    want = [([2, 3, 4], ["MIT"]), ([30, 31, 32, 33], ["BSD-3-Clause"]), ([21, 22, 24], ["GPL-3.0-or-later"]), ([11, 12, 13], ["Apache-2.0"]), ([2, 3, 4], ["MIT"])]
+    want += [([1], ["MIT"]), ([4, 3, 2], []), ([3, 4], []), ([3, 4], [])]
+    assert found == dict(enumerate(want))
+
+
 def test_later_runs_go_and_all_else_stays(spark):
     rows = [(1, "Own start here. " + RUN + "\nEnd of one."), (2, "Set into a line and " + RUN + "tail of two."), (3, "clean, short. text, of three.\n"), (4, "x\x00y. " + RUN + "\n\n")]
     found = {r["doc_id"]: r for r in line_dedup.without_repeats(frame(spark, rows)).collect()}

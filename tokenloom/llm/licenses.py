@@ -10,6 +10,7 @@ from tokenloom.session import materialize
 
 END = "\x00"  # stands behind the last sentence of every text
 SENTENCE_END = r"[.!?;:]*\s*\n\s*|[.!?;:]+\s+|[.!?;:]+$"
+HARD_END = r"[.!?;:]+\s+|[.!?;:]+$|\n\s*\n\s*"  # what a sentence broken over lines does not go across
 NO_WORD = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # Sentences of public licences and their usual notices, by identifier.
@@ -67,6 +68,25 @@ def sentences(text: Column) -> Column:
     return F.array_append(F.split(cut, "\n"), F.lit(END))
 
 
+def wrapped_sentences(text: Column, known: list[str]) -> Column:
+    """As `sentences`, and in front of its lines each known sentence that is broken over several.
+
+    A single line break, comment signs behind it or not, is a blank there; a
+    blank line, and a sentence mark before white space, end the sentence. It
+    begins and ends with a line. `known` are normalised.
+    """
+    lowered = F.lower(F.coalesce(text, F.lit("")))
+    cut = F.regexp_replace(F.regexp_replace(lowered, HARD_END, "\n\n"), NO_WORD, " ")
+    cut = F.concat(F.lit("\n"), F.regexp_replace(cut, " *\n *", "\n"), F.lit("\n"))
+    cut = F.regexp_replace(cut, "\n +| +\n", "\n")
+    either = "|".join(s.replace(" ", r"[ \n]") for s in sorted(known, key=len, reverse=True))
+    parts = F.split(F.regexp_replace(cut, rf"(?<=\n)(?:{either})(?=\n)", f"{END}$0{END}"), END)
+    pieces = lambda x: F.split(x, "\n")
+    broken = lambda x, k: (k % 2 == 1) & F.contains(x, F.lit("\n"))
+    whole = lambda x: F.concat(F.array(F.translate(x, "\n", " ")), pieces(x))
+    return F.array_append(F.flatten(F.transform(parts, lambda x, k: F.when(broken(x, k), whole(x)).otherwise(pieces(x)))), F.lit(END))
+
+
 def sentence_table(spark: SparkSession, known: dict[int, str] | None = None) -> DataFrame:
     """sentence, id: the known sentences, normalised as texts are."""
     rows = spark.createDataFrame(list((known or SENTENCES).items()), "id int, raw string")
@@ -85,16 +105,17 @@ def scan(
 
     One row per row of `docs`. Null, empty and unlicensed texts have empty
     lists. Rows that repeat key and text get the same lists; a null key is a key
-    like any other. Sentences meet the table in a join of checked size, and
+    like any other. Sentences may be broken over lines. They meet the table in a join of checked size, and
     only known ones are shuffled.
     """
     spark = docs.sparkSession
     table = sentence_table(spark, known).union(spark.createDataFrame([(0, END)], "id int, sentence string"))
     table = materialize(table.select("sentence", "id"), "known_sentences")
+    whole = [r["sentence"] for r in table.filter("id <> 0 and sentence <> ''").select("sentence").distinct().collect()]
     body = F.col(text).cast("string")
     rows = docs.select(
         F.struct(F.col(key).alias("id"), F.xxhash64(body).alias("copy")).alias("d"),
-        F.posexplode(sentences(body)).alias("pos", "_raw"),
+        F.posexplode(wrapped_sentences(body, whole)).alias("pos", "_raw"),
     )
     found = lookup(rows.select("d", "pos", F.btrim("_raw").alias("sentence")), table, ["sentence"], "inner")
     each = found.groupBy("d").agg(
