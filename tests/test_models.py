@@ -1,9 +1,11 @@
 """Next-token model, attention, series, statistics, learning, stores and streams."""
 
 import math
+import weakref
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -349,6 +351,22 @@ def test_fold_carries_state_over_arrivals(spark):
     assert [out[u].n_late for u in (0, 1, 7, 8)] == [1, 0, 0, 0]
 
 
+def test_a_key_is_folded_in_bounded_memory():
+    rng = np.random.default_rng(3)
+    alive, most = [], []
+
+    def frames():
+        for k in range(80):
+            frame = pd.DataFrame({"_o0": rng.integers(0, 50, 20), "_o1": np.arange(20) + 20 * k, "_x": [[float(k)]] * 20})
+            alive.append(weakref.ref(frame))
+            most.append(sum(r() is not None for r in alive))
+            yield frame
+
+    rows = list(streams.ordered_rows(frames(), ["_o0", "_o1"]))
+    assert len(rows) == 1600 and [r[:2] for r in rows] == sorted(r[:2] for r in rows) and all(r[2] == [float(r[1] // 20)] for r in rows)
+    assert max(most) <= 4 and list(streams.ordered_rows(iter([]), ["_o0"])) == []
+
+
 def test_padding_per_arrival(spark):
     df = spark.range(20).select("id", F.array_repeat(F.col("id"), (F.col("id") % 5).cast("int")).alias("ids"))
     path = scratch_path(spark, "padded")

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+import os
+import pickle
+import tempfile
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from heapq import merge
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -17,6 +22,9 @@ from tokenloom.operators.conversations import build_examples, check_messages, gu
 from tokenloom.operators.series import Cell
 from tokenloom.session import materialize, scratch_path
 
+RUNS = 32  # sorted runs merged at a time
+PIECE = 1024  # rows of a run held at a time
+
 
 def prepare_turns(turns: DataFrame, marker_mode: str = "allow") -> DataFrame:
     """Role mapping, marker guard, rendering and tokenizing of single turns.
@@ -138,6 +146,45 @@ def first_writes_arrivals(
     _each_arrival(stream, path, one_chunk)
 
 
+def _stored(rows: Iterable[tuple], folder: str) -> str:
+    """A file with `rows`, in pieces."""
+    rows = iter(rows)
+    with tempfile.NamedTemporaryFile(dir=folder, delete=False) as file:
+        while piece := list(islice(rows, PIECE)):
+            pickle.dump(piece, file)
+    return file.name
+
+
+def _read(path: str) -> Iterator[tuple]:
+    with open(path, "rb") as file:
+        while file.peek(1):
+            yield from pickle.load(file)
+    os.remove(path)
+
+
+def ordered_rows(frames: Iterable[pd.DataFrame], names: list[str]) -> Iterator[tuple]:
+    """The rows of all frames in the order of `names`, their first columns.
+
+    Held are the rows of one frame, or a piece of each run that is merged; the
+    sorted runs lie on the task's own disk until they are read.
+    """
+    place = lambda row: row[: len(names)]
+    runs = (frame.sort_values(names).itertuples(index=False, name=None) for frame in frames)
+    first = next(runs, ())
+    second = next(runs, None)
+    if second is None:
+        yield from first
+        return
+    with tempfile.TemporaryDirectory() as folder:
+        paths = [_stored(first, folder), _stored(second, folder)]
+        del first, second
+        paths += [_stored(run, folder) for run in runs]
+        while len(paths) > RUNS:
+            parts = [paths[i : i + RUNS] for i in range(0, len(paths), RUNS)]
+            paths = [_stored(merge(*map(_read, part), key=place), folder) for part in parts]
+        yield from merge(*map(_read, paths), key=place)
+
+
 def fold_stream(
     stream: DataFrame, key: str, order: Sequence[str], features: Column, cell: Cell, hidden: int, path: str
 ) -> None:
@@ -146,9 +193,9 @@ def fold_stream(
     `order` are columns of whole numbers or times that put the rows of a key in
     order. Within an arrival rows are sorted; one that comes after a later row
     of an earlier arrival can no longer be folded in and is counted in
-    `n_late`. What a task holds is the rows of one key in one arrival, which
-    the source bounds (`maxFilesPerTrigger`, `maxBytesPerTrigger`). Every
-    arrival writes the new states of the keys it brought to its own folder
+    `n_late`. A task reads the rows of a key in Arrow batches and sorts them
+    by runs on its own disk, so what it holds is bounded however many rows one
+    key has in an arrival. Every arrival writes the new states of the keys it brought to its own folder
     below `path`; `fold_states` reads the latest ones.
     """
     kinds = {c: stream.schema[c].dataType.typeName() for c in order}
@@ -159,18 +206,14 @@ def fold_stream(
     last = ", ".join(f"{n} bigint" for n in names)
 
     def step(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        chunk = pd.concat(frames).sort_values(names)
         h, n_steps, n_late, *before = state.get if state.exists else ([0.0] * hidden, 0, 0, *[None] * len(names))
-        if n_steps:
-            late = [tuple(p) <= tuple(before) for p in chunk[names].itertuples(index=False)]
-            n_late += sum(late)
-            chunk = chunk[~np.array(late, dtype=bool)]
-        moved = np.array([h], dtype=float)
-        for x in chunk["_x"]:
-            moved = cell(moved, np.array([x], dtype=float))
-        if len(chunk):
-            before = [int(v) for v in chunk[names].iloc[-1]]
-        now = (moved[0].tolist(), n_steps + len(chunk), int(n_late), *before)
+        moved, known, last = np.array([h], dtype=float), tuple(before) if n_steps else None, before
+        for *at, x in ordered_rows((f[[*names, "_x"]] for f in frames), names):
+            if known is not None and tuple(at) <= known:
+                n_late += 1
+                continue
+            moved, n_steps, last = cell(moved, np.array([x], dtype=float)), n_steps + 1, at
+        now = (moved[0].tolist(), int(n_steps), int(n_late), *[None if v is None else int(v) for v in last])
         state.update(now)
         out = pd.DataFrame({"h": [now[0]], "n_steps": [now[1]], "n_late": [now[2]]})
         out.insert(0, key, pd.Series([group[0]], dtype=object))
