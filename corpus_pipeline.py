@@ -44,12 +44,14 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id; rows without an id stay."""
+    """Of each group of near copies the document with the smallest id, then text hash; rows without an id stay."""
     ship_package(spark)
-    found = simhash.near_duplicates(docs)
-    firsts = materialize(found.filter("doc_id <=> component").select("doc_id").distinct(), "kept_ids")
-    kept = docs.filter("doc_id is not null").join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+    named = _named(docs).withColumn("__row", F.when(F.col("doc_id").isNotNull(), F.col("__row")))
+    found = simhash.near_duplicates(named, key="__row")
+    firsts = found.filter("__row is not null and __row <=> component").select("__row").distinct()
+    firsts = materialize(firsts, "kept_rows")
+    kept = named.filter("doc_id is not null").join(firsts, "__row", "left_semi").dropDuplicates(["__row"])
+    return kept.select(*docs.columns).unionByName(docs.filter("doc_id is null")).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -345,6 +345,16 @@ def test_tries_find_every_close_pair(rows):
         assert any(all(not differ >> s & ((1 << w) - 1) for s, w in order[:lead]) for order in orders)
 
 
+def test_near_copies_are_told_by_id_and_text(spark):
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    one, two, three = (" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(60)) for _ in range(3))
+    rows = [(1, one), (2, two), (2, one), (2, three), (2, three), (None, one), (3, two)]
+    kept = corpus_pipeline.one_of_each(spark, frame(spark, rows), "").collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == sorted([(1, one), (2, two), (2, three), (0, one)])
+
+
 def test_pipeline_on_planted_documents(spark, tmp_path):
     import corpus_pipeline
 
