@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import bpe, decontamination, embedding_dedup, licenses, line_dedup, pii, simhash, toxicity, url_filter, warc
+from tokenloom.llm import bpe, collocations, decontamination, embedding_dedup, filter_audit, language, licenses, line_dedup, pii, simhash, toxicity, url_filter, warc
 from tokenloom.session import materialize, scratch_path, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -241,6 +241,83 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+@query("op11_language_id")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    fourth = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    model = language.fit(docs, fourth != 2)
+    found = language.predict(docs, model)
+    return found.select("doc_id", F.coalesce(fourth == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
+AUDIT_WORDS_SQL = r"regexp_extract_all(t, '[^\x20\x09-\x0D]+')"
+
+
+@query(
+    "op12_filter_audit",
+    f"""
+    WITH marks AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+                   FROM labels GROUP BY doc_id),
+    d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+    w AS (SELECT *, {AUDIT_WORDS_SQL} AS w FROM d),
+    f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, [len(w) < 200,
+                 100 * len(list_distinct(w)) < 50 * len(w),
+                 100 * (length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 2 * length(t),
+                 regexp_matches(t, '[#$%&*|]'),
+                 coalesce(w.doc_id > min(w.doc_id) OVER (PARTITION BY t), false)] AS fails
+          FROM w LEFT JOIN marks ON marks.doc_id = w.doc_id),
+    kinds AS (SELECT part, good, toxic, fails, count(*) AS n FROM f GROUP BY ALL),
+    letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+    perms AS (SELECT a.x || b.x || c.x || d.x || e.x AS o FROM letters a, letters b, letters c, letters d, letters e
+              WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+    cases AS (SELECT *, list_transform(range(1, 6), lambda k: fails[strpos('ABCDE', o[k])]) AS by_step FROM kinds, perms),
+    steps AS (SELECT *, list_position(by_step, true) AS first, len(list_filter(fails, lambda b: b)) AS n_fails,
+                     unnest(range(1, 6)) AS step FROM cases),
+    counted AS (SELECT part, o AS filter_order, step,
+           sum(n) FILTER (first IS NULL OR first = 0 OR first > step) AS kept, sum(n) FILTER (first = step) AS removed,
+           sum(n) FILTER (by_step[step] AND first < step) AS redundant, sum(n) FILTER (by_step[step] AND n_fails = 1) AS unique_fails,
+           sum(n) FILTER (first = step AND good) AS good_lost, sum(n) FILTER (first = step AND toxic) AS toxic_lost
+           FROM steps GROUP BY ALL)
+    SELECT part, filter_order, step::INTEGER AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+           coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+           coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+           coalesce(sum(removed) OVER (PARTITION BY part, filter_order[step]), 0)::BIGINT AS shapley
+    FROM counted
+    """,
+)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.corpus_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query(
+    "op13_collocations",
+    f"""
+    WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWER_SQL.format('text')}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+    totals AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM w GROUP BY lang),
+    grams AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS g, count(*)::HUGEINT AS f FROM
+              (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS m) WHERE len(w) >= m)
+              GROUP BY ALL HAVING count(*) >= 100),
+    c AS (SELECT lang, g, f, string_split(g, ' ') AS w FROM grams),
+    cuts AS (SELECT lang, g, w, f, unnest(range(1, len(w))) AS k FROM c WHERE len(w) >= 2),
+    scores AS (SELECT cuts.lang, cuts.g, cuts.f AS a, k, x.f AS l, y.f AS r, n, (1000 * cuts.f * n) // (x.f * y.f) AS score
+               FROM cuts JOIN totals ON totals.lang = cuts.lang
+               JOIN grams x ON x.lang = cuts.lang AND x.g = array_to_string(w[:k], ' ')
+               JOIN grams y ON y.lang = cuts.lang AND y.g = array_to_string(w[k + 1:], ' ')),
+    best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+    inside AS (SELECT lang, f, array_to_string(w[i:i + m - 1], ' ') AS g FROM
+               (SELECT lang, w, f, m, unnest(range(1, len(w) - m + 2)) AS i FROM c, (SELECT unnest(range(2, 5)) AS m) WHERE len(w) > m)),
+    covered AS (SELECT lang, g, max(f) AS f FROM inside GROUP BY lang, g),
+    ranked AS (SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.g) AS rank, b.g AS phrase, a, l, r, n, score
+               FROM best b LEFT JOIN covered v ON v.lang = b.lang AND v.g = b.g WHERE v.f IS NULL OR 100 * v.f < 100 * a)
+    SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+    FROM ranked WHERE rank <= 2000
+    """,
+)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
