@@ -226,7 +226,7 @@ def test_phrases_equal_brute_force(spark, cover, top, limits):
 
 def test_stretches_of_a_text_are_joined_without_loss(spark, monkeypatch):
     docs = phrase_docs()
-    for name, value in (("STEP", 7), ("CHUNK", 16), ("WORDS_HELD", 3)):
+    for name, value in (("STEP", 7), ("CHUNK", 16), ("ROW_IDS", 4), ("WORDS_HELD", 3)):
         monkeypatch.setattr(collocations, name, value)
     got = collocations.collocations(frame(spark, docs), min_count=20, max_words=3, top=5).collect()
     assert sorted(tuple(r) for r in got) == sorted(brute_phrases(docs, 20, 100, 5, 3))

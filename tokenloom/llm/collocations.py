@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -26,9 +27,10 @@ from tokenloom.session import materialize
 
 VOCABULARY_BYTES = 32 << 20  # a larger vocabulary is joined word by word instead of being sent to the tasks
 PAIR_BYTES = 64 << 20  # more pairs than this are not sent to the tasks; longer phrases then count without their help
-WORDS_HELD = 300_000  # different words a task holds before it hands their counts on
+WORDS_HELD = 150_000  # different words a task holds before it hands their counts on
 STEP = 1 << 20  # bytes of a text cut into words at a time
-CHUNK = 2_000_000  # places whose phrases are counted at a time
+CHUNK = 500_000  # places whose phrases are counted at a time
+ROW_IDS = 1024  # words of a stored row, up to the next break; readers hold thousands of rows at a time
 SALTS = 64
 UNKNOWN_LANG = "und"
 
@@ -103,7 +105,7 @@ def numbered(words: DataFrame) -> tuple[DataFrame, int]:
 
 
 def encoded_texts(rows: DataFrame, vocabulary: DataFrame, max_bytes: int = VOCABULARY_BYTES) -> DataFrame:
-    """`ids`: the words of one or more texts in order, -1 where no phrase may go on.
+    """`ids`: the words of texts in order, -1 where no phrase may go on, and at the end of each row.
 
     A vocabulary of up to `max_bytes` goes to the tasks. A larger one is joined
     word by word and the words of each text are put in order again.
@@ -124,16 +126,16 @@ def encoded_texts(rows: DataFrame, vocabulary: DataFrame, max_bytes: int = VOCAB
             for lang, text in zip(batch.column(0).to_pylist(), texts, strict=True):
                 get = known.get(lang, none).get
                 for words in pieces_of(text.as_py()):
-                    held.append(np.array([get(w, -1) for w in words], dtype=np.int64))
+                    held.append(np.array([get(w, -1) for w in words], dtype=np.int32))
                     size += len(words)
-                held.append(np.full(1, -1))
-                if size > CHUNK // 4:
+                held.append(np.full(1, -1, dtype=np.int32))
+                if size > CHUNK:
                     yield _id_rows(held)
                     held, size = [], 0
             if held:
                 yield _id_rows(held)
 
-    return rows.select("lang", "text").mapInArrow(run, "ids array<bigint>")
+    return rows.select("lang", "text").mapInArrow(run, "ids array<int>")
 
 
 def _id_rows(held: list[np.ndarray]) -> pa.RecordBatch:
@@ -141,7 +143,10 @@ def _id_rows(held: list[np.ndarray]) -> pa.RecordBatch:
     keep = np.ones(len(ids), dtype=bool)
     keep[1:] = (ids[1:] >= 0) | (ids[:-1] >= 0)  # one break is enough
     ids = ids[keep]
-    return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(ids))], names=["ids"])
+    breaks = np.flatnonzero(ids < 0) + 1
+    ends = breaks[np.searchsorted(breaks, np.arange(ROW_IDS, len(ids), ROW_IDS))]
+    offsets = np.unique(np.concatenate([[0], ends, [len(ids)]])).astype(np.int32)
+    return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))], names=["ids"])
 
 
 def _joined_ids(rows: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -169,9 +174,9 @@ def _joined_ids(rows: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
     def step(x: Column, i: Column) -> Column:
         before = F.get(F.col("p"), i - 1)["place"]
-        return F.when(x["place"] - before > 1, F.array(F.lit(-1).cast("long"), x["id"])).otherwise(F.array(x["id"]))
+        return F.when(x["place"] - before > 1, F.array(F.lit(-1), x["id"].cast("int"))).otherwise(F.array(x["id"].cast("int")))
 
-    return placed.select(F.flatten(F.transform("p", step)).alias("ids"))
+    return placed.select(F.concat(F.flatten(F.transform("p", step)), F.array(F.lit(-1))).alias("ids"))
 
 
 def phrases_in(ids: np.ndarray, size: int, low: int, high: int, pairs: np.ndarray | None) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
@@ -201,32 +206,22 @@ def phrases_in(ids: np.ndarray, size: int, low: int, high: int, pairs: np.ndarra
 
 def phrase_counts(encoded: DataFrame, size: int, low: int, high: int, pairs: np.ndarray | None = None) -> DataFrame:
     """w1, w2, ... (-1 behind the end), words, n: counted inside the tasks, then by phrase."""
-    if size >= 1 << 31:
-        raise ValueError("more words than fit into half of a whole number")
     shared = encoded.sparkSession.sparkContext.broadcast(pairs)
     names = [f"w{i + 1}" for i in range(high)]
 
-    def counted(held: list[np.ndarray]):
-        gap = np.full(1, -1)
-        ids = np.concatenate([part for row in held for part in (row, gap)])
-        for columns, n in phrases_in(ids, size, low, high, shared.value):
-            words = np.full(len(n), len(columns), dtype=np.int32)
-            columns = columns + [np.full(len(n), -1)] * (high - len(columns))
-            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(words), pa.array(n)], names=[*names, "words", "n"])
-
     def run(batches):
-        held, total = [], 0
         for batch in batches:
             lists = batch.column(0)
-            for k in range(len(lists)):
-                row = lists[k].values.to_numpy()
-                held.append(row)
-                total += len(row)
-                if total >= CHUNK:
-                    yield from counted(held)
-                    held, total = [], 0
-        if held:
-            yield from counted(held)
+            flat = lists.flatten().to_numpy()
+            ends = np.cumsum(pc.list_value_length(lists).to_numpy())
+            start = 0
+            while start < len(flat):
+                end = int(ends[min(np.searchsorted(ends, start + CHUNK), len(ends) - 1)])
+                for columns, n in phrases_in(flat[start:end].astype(np.int64), size, low, high, shared.value):
+                    words = np.full(len(n), len(columns), dtype=np.int32)
+                    columns = columns + [np.full(len(n), -1)] * (high - len(columns))
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(words), pa.array(n)], names=[*names, "words", "n"])
+                start = end
 
     schema = ", ".join(f"{name} bigint" for name in names) + ", words int, n bigint"
     return encoded.select("ids").mapInArrow(run, schema).groupBy(*names, "words").agg(F.sum("n").alias("n"))
@@ -352,6 +347,8 @@ def collocations(
     counts = materialize(word_counts(rows), "word_counts")
     totals = materialize(counts.groupBy("lang").agg(F.sum("n").alias("total")), "totals")
     vocabulary, size = numbered(counts.filter(F.col("n") >= min_count))
+    if size >= 1 << 31:
+        raise ValueError("more frequent words than a stored number of 32 bits tells apart; raise min_count")
     encoded = materialize(encoded_texts(rows, vocabulary, vocabulary_bytes), "encoded")
     phrases = frequent_phrases(encoded, max(size, 1), min_count, max_words, pair_bytes)
     scored = scored_phrases(phrases, vocabulary, totals, max_words, cover)
