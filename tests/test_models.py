@@ -1,11 +1,9 @@
 """Next-token model, attention, series, statistics, learning, stores and streams."""
 
 import math
-import weakref
 from pathlib import Path
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -332,41 +330,6 @@ def arrivals(spark, *parts):
     return spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-def test_fold_carries_state_over_arrivals(spark):
-    rng = np.random.default_rng(9)
-    x = rng.normal(size=(60, 2))
-    rows = [(i % 3, i, v.tolist()) for i, v in enumerate(x)]
-    schema = "u int, t bigint, v array<double>"
-    # user 7 comes in the first part only, user 8 in the second only
-    early = spark.createDataFrame(rows[:31] + [(7, 5, [1.0, 2.0])], schema)
-    later = spark.createDataFrame(rows[31:] + [(0, 2, [9.0, 9.0]), (8, 1, [0.5, 0.5])], schema)
-    cell = R.gated_cell(Q.WX, Q.BX, Q.WH, Q.WXZ, Q.BZ, Q.WHZ)
-    path = scratch_path(spark, "folded")
-    streams.fold_stream(arrivals(spark, early, later), "u", ["t"], F.col("v"), cell, 3, path)
-    out = {r.u: r for r in streams.fold_states(spark, "u", path).collect()}
-    assert set(out) == {0, 1, 2, 7, 8}
-    for u in range(3):
-        assert out[u].n_steps == 20 and out[u].h == pytest.approx(gated(x[u::3]).tolist())
-    assert out[7].h == pytest.approx(gated([np.array([1.0, 2.0])]).tolist()) and out[8].n_steps == 1
-    assert [out[u].n_late for u in (0, 1, 7, 8)] == [1, 0, 0, 0]
-
-
-def test_a_key_is_folded_in_bounded_memory():
-    rng = np.random.default_rng(3)
-    alive, most = [], []
-
-    def frames():
-        for k in range(80):
-            frame = pd.DataFrame({"_o0": rng.integers(0, 50, 20), "_o1": np.arange(20) + 20 * k, "_x": [[float(k)]] * 20})
-            alive.append(weakref.ref(frame))
-            most.append(sum(r() is not None for r in alive))
-            yield frame
-
-    rows = list(streams.ordered_rows(frames(), ["_o0", "_o1"]))
-    assert len(rows) == 1600 and [r[:2] for r in rows] == sorted(r[:2] for r in rows) and all(r[2] == [float(r[1] // 20)] for r in rows)
-    assert max(most) <= 4 and list(streams.ordered_rows(iter([]), ["_o0"])) == []
-
-
 def test_padding_per_arrival(spark):
     df = spark.range(20).select("id", F.array_repeat(F.col("id"), (F.col("id") % 5).cast("int")).alias("ids"))
     path = scratch_path(spark, "padded")
@@ -376,27 +339,6 @@ def test_padding_per_arrival(spark):
     assert all(len(r.ids) == r.width and r.ids[: r.id % 5] == [r.id] * (r.id % 5) for r in rows)
 
 
-def test_first_writes_on_a_stream(spark):
-    df = spark.range(40).selectExpr("id % 10 AS k", "timestamp_seconds(1700000000 + id) AS t", "id")
-    late = spark.sql("SELECT bigint(0) AS k, timestamp_seconds(1700000000) AS t, bigint(-5) AS id UNION ALL SELECT null, null, 50 UNION ALL SELECT null, null, 49")
-    path = scratch_path(spark, "firsts")
-    stream = arrivals(spark, df.filter("id < 20"), df.filter("id >= 20").union(late))
-    streams.first_writes_arrivals(stream, ["k"], "id", "t", "1 HOUR", path)
-    firsts = {r.k: (r.id, r.chunk, r.n_dropped) for r in spark.read.parquet(f"{path}/firsts").collect()}
-    assert firsts == {**{k: (k, 0, 1) for k in range(10)}, None: (49, 1, 1)}
-    dropped = {r.k: r.n_dropped for r in spark.read.parquet(f"{path}/dropped").collect()}
-    assert dropped == {k: 3 if k == 0 else 2 for k in range(10)}
-
-
-def test_a_first_write_is_forgotten_after_the_delay(spark):
-    df = spark.range(40).selectExpr("id % 10 AS k", "timestamp_seconds(1700000000 + id) AS t", "id")
-    path = scratch_path(spark, "firsts")
-    stream = arrivals(spark, df.filter("id < 20"), df.filter("id >= 20"))
-    streams.first_writes_arrivals(stream, ["k"], "id", "t", "12 SECONDS", path)
-    firsts = sorted((r.chunk, r.id) for r in spark.read.parquet(f"{path}/firsts").collect())
-    assert firsts == [(0, k) for k in range(10)] + [(1, 20 + k) for k in range(7)]  # 19 - 12 = 7 is still known
-
-
 def test_stream_and_table_agree_on_turns(spark):
     df = spark.createDataFrame(
         [(1, 0, "human", "a b"), (1, 1, "gpt", "c <|im_end|>"), (2, 0, "tool", None)],

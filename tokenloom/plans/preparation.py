@@ -11,6 +11,7 @@ from tokenloom.operators.order import every_nth, row_slice, with_row_index
 from tokenloom.operators.vocabulary import encode, fit_vocabulary
 from tokenloom.plans.registry import TOKENS_SQL, list_md5, query, vocabulary_sql
 from tokenloom.sources.corpus import documents, read_corpus, table
+from tokenloom.sources.positions import file_slice, with_file_position
 
 TURN_SQL = "'<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10)"
 LAST_SQL = "(SELECT conv_id, max(turn) AS last_turn, arg_max(role, turn) AS last_role FROM conversations GROUP BY conv_id)"
@@ -53,6 +54,26 @@ def supervised_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return C.supervised_tokens(table(spark, sf, "conversations"))
 
 
+# Both engines read a stored table in the order of its files and rows.
+@query("file_row_positions", "SELECT doc_id, source, row_number() OVER () - 1 AS idx FROM documents")
+def file_row_positions(spark: SparkSession, sf: str) -> DataFrame:
+    """Each document's place in the stored table; no key, no shuffle."""
+    return with_file_position(table(spark, sf, "documents").select("doc_id", "source"))
+
+
+@query(
+    "file_row_slice",
+    """
+    SELECT l_orderkey, l_linenumber, l_partkey, l_quantity::DOUBLE AS l_quantity, idx
+    FROM (SELECT *, row_number() OVER () - 1 AS idx FROM lineitem) WHERE idx >= 100 AND idx < 200
+    """,
+)
+def file_row_slice(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows 100 to 199 as stored, of a table without a key of one column."""
+    rows = file_slice(spark, f"{sf}/lineitem.parquet", 100, 200, "idx")
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("double").alias("l_quantity"), "idx")
+
+
 @query("corpus_read", "SELECT doc_id, length(text) AS n_chars, md5(text) AS text_md5 FROM documents")
 def corpus_read(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_corpus(spark, f"{sf}/documents.parquet")

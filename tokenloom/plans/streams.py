@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from tokenloom.plans.registry import DOC_IDS_SQL, PAD_ID, TOKENS_SQL, list_md5,
 from tokenloom.session import materialize, scratch_path
 from tokenloom.sources.corpus import documents, table, table_stream
 from tokenloom.streaming import streams as S
+from tokenloom.streaming.folds import fold_states, fold_stream
 
 
 @query(
@@ -107,38 +109,44 @@ def streamed_padding(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+DAY = 86_400_000
+WAIT = 5  # days that the fold waits for rows
+
+
 @query(
     "streamed_fold",
     f"""
-    WITH e AS (SELECT *, ts >= TIMESTAMP '2024-01-15' OR event_id % 5 = 0 AS later,
+    WITH e AS (SELECT *, ts >= TIMESTAMP '2024-01-15' OR event_id % 5 = 0 AS later, (epoch_ms(ts) // {DAY} + 1) * {DAY} AS day_end,
                       [value / 100, CASE WHEN event_type = 'purchase' THEN 1.0 ELSE 0.0 END]::DOUBLE[] AS x FROM events),
-    seen AS (SELECT user_id, max(ROW(ts, event_id)) AS last FROM e WHERE NOT later GROUP BY user_id),
-    m AS (SELECT e.*, later AND coalesce(ROW(ts, event_id) <= last, false) AS late
-          FROM e LEFT JOIN seen s ON s.user_id = e.user_id),
-    s AS (SELECT user_id, count(*) FILTER (NOT late) AS n_steps, count(*) FILTER (late) AS n_late,
-                 coalesce(list(x ORDER BY ts, event_id) FILTER (NOT late), []) AS xs FROM m GROUP BY user_id),
-    r AS (SELECT user_id, n_steps, n_late, {Q.GATED_FOLD_SQL} AS h FROM s)
-    SELECT user_id, n_steps, n_late, {', '.join(f"{r_sql(f'h[{i + 1}]')} AS h{i}" for i in range(3))} FROM r
+    passed AS (SELECT epoch_ms(max(ts) FILTER (NOT later)) - {WAIT * DAY} AS first, epoch_ms(max(ts)) - {WAIT * DAY} AS last FROM e),
+    m AS (SELECT e.*, later AND day_end <= passed.first AS late, day_end > passed.last AS waits FROM e, passed),
+    s AS (SELECT user_id, count(*) FILTER (NOT late AND NOT waits) AS n_steps, count(*) FILTER (late) AS n_late,
+                 count(*) FILTER (waits) AS n_pending,
+                 coalesce(list(x ORDER BY ts, event_id) FILTER (NOT late AND NOT waits), []) AS xs FROM m GROUP BY user_id),
+    r AS (SELECT user_id, n_steps, n_late, n_pending, {Q.GATED_FOLD_SQL} AS h FROM s)
+    SELECT user_id, n_steps, n_late, n_pending, {', '.join(f"{r_sql(f'h[{i + 1}]')} AS h{i}" for i in range(3))} FROM r
     """,
 )
 def streamed_fold(spark: SparkSession, sf: str) -> DataFrame:
-    """The gated fold with states carried over two arrivals; the second also brings events that come too late."""
+    """The gated fold over two arrivals; of what the second brings, some belongs before waiting rows and some is too late."""
     events = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
     cell = R.gated_cell(Q.WX, Q.BX, Q.WH, Q.WXZ, Q.BZ, Q.WHZ)
     path = scratch_path(spark, "folded")
     later = (F.col("ts") >= F.to_timestamp(F.lit("2024-01-15 00:00:00"))) | (F.col("event_id") % 5 == 0)
-    _in_two_arrivals(
-        events, later, lambda stream: S.fold_stream(stream, "user_id", ["ts", "event_id"], Q.features(), cell, 3, path)
-    )
-    out = S.fold_states(spark, "user_id", path)
-    return out.select("user_id", "n_steps", "n_late", *[rounded(F.col("h")[i]).alias(f"h{i}") for i in range(3)])
+
+    def run(stream: DataFrame) -> None:
+        fold_stream(stream, "user_id", "ts", ["event_id"], Q.features(), cell, 3, path, f"{WAIT} DAYS", timedelta(days=1))
+
+    _in_two_arrivals(events, later, run)
+    out = fold_states(spark, "user_id", path)
+    return out.select("user_id", "n_steps", "n_late", "n_pending", *[rounded(F.col("h")[i]).alias(f"h{i}") for i in range(3)])
 
 
 # Every event is written three times: two copies in the first arrival, of which
-# the later one in the table comes first by `write`, and one in the second.
-# An event of more than 10 days before the last one is forgotten by then.
-WRITES_SQL = """latest AS (SELECT max(ts) AS t FROM events),
-    w AS (SELECT event_id, user_id, ts, ts < t - INTERVAL 10 DAY AS forgotten FROM events, latest)"""
+# the later one in the table comes first by `write`, and one in the second, 15
+# days later. Keys are remembered for 10 days of event time.
+WRITES_SQL = f"""passed AS (SELECT (epoch_ms(max(ts)) - {10 * DAY}) * 1000 AS w FROM events),
+    w AS (SELECT event_id, user_id, epoch_us(ts) + {15 * DAY * 1000} > w AND epoch_us(ts) + {10 * DAY * 1000} <= w AS again FROM events, passed)"""
 
 
 @query(
@@ -146,19 +154,21 @@ WRITES_SQL = """latest AS (SELECT max(ts) AS t FROM events),
     f"""
     WITH {WRITES_SQL}
     SELECT event_id, user_id, 1::BIGINT AS copy, 0::BIGINT AS chunk, 1::BIGINT AS n_dropped FROM w
-    UNION ALL SELECT event_id, user_id, 2, 1, 0 FROM w WHERE forgotten
-    UNION ALL SELECT event_id, user_id, NULL, 1, 1 FROM w WHERE NOT forgotten
+    UNION ALL SELECT event_id, user_id, 2, 1, 0 FROM w WHERE again
+    UNION ALL SELECT event_id, user_id, NULL, 1, 1 FROM w WHERE NOT again
     """,
 )
 def streamed_first_writes(spark: SparkSession, sf: str) -> DataFrame:
-    """Which copy of every event won, and how many were dropped; memory lasts 10 days of event time."""
+    """Which copy of every event won, and how many were dropped: known, forgotten and too late ones in the second arrival."""
     events = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id")
     copies = events.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(2).cast("bigint"))).alias("copy"))
-    writes = copies.withColumn("write", F.when(F.col("copy") == 2, 2).otherwise(1 - F.col("copy")))
+    second = F.col("copy") == 2
+    writes = copies.withColumn("write", F.when(second, 2).otherwise(1 - F.col("copy")))
+    writes = writes.withColumn("ts", F.when(second, F.col("ts") + F.expr("INTERVAL 15 DAYS")).otherwise(F.col("ts")))
     path = scratch_path(spark, "firsts")
     _in_two_arrivals(
         writes,
-        F.col("copy") == 2,
+        second,
         lambda stream: S.first_writes_arrivals(stream, ["event_id", "user_id"], "write", "ts", "10 DAYS", path),
     )
     firsts = spark.read.parquet(f"{path}/firsts")

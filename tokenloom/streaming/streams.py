@@ -2,28 +2,16 @@
 
 from __future__ import annotations
 
-import os
-import pickle
-import tempfile
-from collections.abc import Callable, Iterable, Iterator, Sequence
-from heapq import merge
-from itertools import islice
-
-import numpy as np
-import pandas as pd
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import types as T
 
 from tokenloom.functions import arrays, text
-from tokenloom.functions.vectors import doubles
 from tokenloom.operators.batching import pad_batches, with_batch
 from tokenloom.operators.conversations import build_examples, check_messages, guard_markers
-from tokenloom.operators.series import Cell
-from tokenloom.session import materialize, scratch_path
-
-RUNS = 32  # sorted runs merged at a time
-PIECE = 1024  # rows of a run held at a time
+from tokenloom.session import scratch_path
 
 
 def prepare_turns(turns: DataFrame, marker_mode: str = "allow") -> DataFrame:
@@ -102,145 +90,66 @@ def pad_arrivals(stream: DataFrame, order: str, ids: str, size: int, path: str,
     _each_arrival(stream, path, one_chunk)
 
 
+def _complete(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def first_writes_arrivals(
     stream: DataFrame, key: Sequence[str], order: str, time: str, delay: str, path: str
 ) -> None:
-    """First write wins per key, across arrivals; a key is remembered for `delay` of event time.
-
-    Within an arrival the write with the smallest `order` (unique within a key)
-    wins; against earlier arrivals the one already stored does. A stored key
-    is forgotten once its time lies more than `delay` before the latest time
-    of the earlier arrivals, and its next write is a first one again. Rows
-    without a time cannot be forgotten. Below `path`, `firsts` has the winning
-    rows by arrival, with `n_dropped` copies of the same arrival; `dropped`
-    has the copies that met a stored key. One partial aggregate per arrival,
-    then a join on the keys that are remembered.
+    """First write wins per key, across arrivals; Spark's own state remembers a key for `delay` of event time.
+
+    Of an arrival's writes of a key the one with the smallest `order` (unique
+    within a key) goes on, with the latest time of them all. A second stream
+    takes these up, arrival by arrival, and lets a key through if its state
+    does not know it. It forgets a key once `delay` has passed from that time
+    to the watermark, which is the latest time of earlier arrivals less
+    `delay`; the next write is a first one again. Writes not later than the
+    watermark come too late and are dropped. Those without a time count as of
+    the latest time of their arrival.
+
+    Below `path`, `firsts` has the writes that won, by `chunk`, with
+    `n_dropped` copies of the same arrival; `dropped` has the number of writes
+    of each key that met a remembered one or came too late. Earlier results are
+    never read again. A restart below the same `path` goes on; an arrival that
+    was cut short is taken up where it stopped.
     """
-    key = list(key)
-    schema = stream.schema
-
-    def one_chunk(chunk: DataFrame, number: int) -> None:
-        spark = chunk.sparkSession
-        row = F.struct(*[F.col(f"`{c}`") for c in schema.names])
-        best = chunk.groupBy(*[F.col(k).alias(f"_{k}") for k in key]).agg(
-            F.min_by(row, F.col(order)).alias("_row"), F.count(F.lit(1)).alias("_n"), F.max(time).alias("_latest")
+    key, spark, columns = list(key), stream.sparkSession, stream.columns
+    arrivals, firsts = f"{path}/arrivals", f"{path}/firsts"
+    fields = T.StructType([*stream.schema.fields, T.StructField("n_dropped", T.LongType()), T.StructField("_time", T.TimestampType()), T.StructField("chunk", T.LongType())])
+
+    def let_through() -> None:
+        """What has arrived and is not known yet, with its state kept between calls."""
+        rows = spark.readStream.schema(fields).parquet(f"{arrivals}/*")
+        new = rows.withWatermark("_time", delay).dropDuplicatesWithinWatermark(key).drop("_time")
+        query = (
+            new.writeStream.format("parquet")
+            .partitionBy("chunk")
+            .option("path", firsts)
+            .option("checkpointLocation", f"{firsts}-progress")
+            .trigger(availableNow=True)
+            .start()
         )
-        best = materialize(best, "arrival")
-        if number == 0:
-            new, met = best, best.limit(0)
-        else:
-            stored = spark.read.parquet(f"{path}/firsts").filter(F.col("chunk") < number)
-            latest = spark.read.parquet(f"{path}/latest").filter(F.col("chunk") < number).agg(F.max("latest")).first()[0]
-            if latest is not None:
-                stored = stored.filter(F.col(time).isNull() | (F.col(time) >= F.lit(latest) - F.expr(f"INTERVAL {delay}")))
-            known = stored.select(*[F.col(k).alias(f"_{k}") for k in key]).distinct()
-            same = [best[f"_{k}"].eqNullSafe(known[f"_{k}"]) for k in key]
-            new, met = best.join(known, same, "left_anti"), best.join(known, same, "left_semi")
-        firsts = new.select("_row.*", (F.col("_n") - 1).alias("n_dropped"))
-        firsts.write.mode("overwrite").parquet(f"{path}/firsts/chunk={number}")
-        met.select(*[F.col(f"_{k}").alias(k) for k in key], F.col("_n").alias("n_dropped")).write.mode(
-            "overwrite"
-        ).parquet(f"{path}/dropped/chunk={number}")
-        best.agg(F.max("_latest").alias("latest")).write.mode("overwrite").parquet(f"{path}/latest/chunk={number}")
-
-    _each_arrival(stream, path, one_chunk)
-
-
-def _stored(rows: Iterable[tuple], folder: str) -> str:
-    """A file with `rows`, in pieces."""
-    rows = iter(rows)
-    with tempfile.NamedTemporaryFile(dir=folder, delete=False) as file:
-        while piece := list(islice(rows, PIECE)):
-            pickle.dump(piece, file)
-    return file.name
-
-
-def _read(path: str) -> Iterator[tuple]:
-    with open(path, "rb") as file:
-        while file.peek(1):
-            yield from pickle.load(file)
-    os.remove(path)
-
-
-def ordered_rows(frames: Iterable[pd.DataFrame], names: list[str]) -> Iterator[tuple]:
-    """The rows of all frames in the order of `names`, their first columns.
-
-    Held are the rows of one frame, or a piece of each run that is merged; the
-    sorted runs lie on the task's own disk until they are read.
-    """
-    place = lambda row: row[: len(names)]
-    runs = (frame.sort_values(names).itertuples(index=False, name=None) for frame in frames)
-    first = next(runs, ())
-    second = next(runs, None)
-    if second is None:
-        yield from first
-        return
-    with tempfile.TemporaryDirectory() as folder:
-        paths = [_stored(first, folder), _stored(second, folder)]
-        del first, second
-        paths += [_stored(run, folder) for run in runs]
-        while len(paths) > RUNS:
-            parts = [paths[i : i + RUNS] for i in range(0, len(paths), RUNS)]
-            paths = [_stored(merge(*map(_read, part), key=place), folder) for part in parts]
-        yield from merge(*map(_read, paths), key=place)
-
-
-def fold_stream(
-    stream: DataFrame, key: str, order: Sequence[str], features: Column, cell: Cell, hidden: int, path: str
-) -> None:
-    """Recurrent fold whose states Spark's state store carries from arrival to arrival.
-
-    `order` are columns of whole numbers or times that put the rows of a key in
-    order. Within an arrival rows are sorted; one that comes after a later row
-    of an earlier arrival can no longer be folded in and is counted in
-    `n_late`. A task reads the rows of a key in Arrow batches and sorts them
-    by runs on its own disk, so what it holds is bounded however many rows one
-    key has in an arrival. Every arrival writes the new states of the keys it brought to its own folder
-    below `path`; `fold_states` reads the latest ones.
-    """
-    kinds = {c: stream.schema[c].dataType.typeName() for c in order}
-    places = [F.unix_micros(c) if kinds[c] == "timestamp" else F.col(c).cast("bigint") for c in order]
-    names = [f"_o{i}" for i in range(len(order))]
-    rows = stream.select(key, *[p.alias(n) for p, n in zip(places, names)], doubles(features).alias("_x"))
-    kind = stream.schema[key].dataType.simpleString()
-    last = ", ".join(f"{n} bigint" for n in names)
-
-    def step(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        h, n_steps, n_late, *before = state.get if state.exists else ([0.0] * hidden, 0, 0, *[None] * len(names))
-        moved, known, last = np.array([h], dtype=float), tuple(before) if n_steps else None, before
-        for *at, x in ordered_rows((f[[*names, "_x"]] for f in frames), names):
-            if known is not None and tuple(at) <= known:
-                n_late += 1
-                continue
-            moved, n_steps, last = cell(moved, np.array([x], dtype=float)), n_steps + 1, at
-        now = (moved[0].tolist(), int(n_steps), int(n_late), *[None if v is None else int(v) for v in last])
-        state.update(now)
-        out = pd.DataFrame({"h": [now[0]], "n_steps": [now[1]], "n_late": [now[2]]})
-        out.insert(0, key, pd.Series([group[0]], dtype=object))
-        yield out
-
-    states = rows.groupBy(key).applyInPandasWithState(
-        step,
-        f"`{key}` {kind}, h array<double>, n_steps bigint, n_late bigint",
-        f"h array<double>, n_steps bigint, n_late bigint, {last}",
-        "update",
-        GroupStateTimeout.NoTimeout,
-    )
+        query.awaitTermination()
 
     def one_chunk(chunk: DataFrame, number: int) -> None:
-        chunk.write.mode("overwrite").parquet(f"{path}/chunk={number}")
-
-    query = (
-        states.writeStream.foreachBatch(one_chunk)
-        .outputMode("update")
-        .option("checkpointLocation", f"{path}-progress")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-
+        folder = f"{arrivals}/{number:09d}"
+        if not _complete(spark, folder):
+            row = F.struct(*[F.col(f"`{c}`") for c in columns])
+            best = chunk.groupBy(*[F.col(k).alias(f"_{k}") for k in key]).agg(
+                F.min_by(row, F.col(order)).alias("_row"),
+                (F.count(F.lit(1)) - 1).alias("n_dropped"),
+                F.max(F.col(time).cast("timestamp")).alias("_time"),
+            )
+            latest = F.lit(chunk.agg(F.max(time)).first()[0]).cast("timestamp")
+            placed = best.select("_row.*", "n_dropped", F.coalesce("_time", latest).alias("_time"))
+            placed.withColumn("chunk", F.lit(number).cast("long")).write.mode("overwrite").parquet(folder)
+        let_through()
+        came = spark.read.schema(fields).parquet(folder)
+        won = spark.read.schema(fields).parquet(firsts).filter(F.col("chunk") == number).select(*[F.col(k).alias(f"_{k}") for k in key])
+        same = [came[k].eqNullSafe(won[f"_{k}"]) for k in key]
+        lost = came.join(won, same, "left_anti").select(*key, (F.col("n_dropped") + 1).alias("n_dropped"))
+        lost.write.mode("overwrite").parquet(f"{path}/dropped/chunk={number}")
 
-def fold_states(spark: SparkSession, key: str, path: str) -> DataFrame:
-    """The latest state of every key: key, n_steps, n_late, h."""
-    latest = F.max_by(F.struct("n_steps", "n_late", "h"), "chunk").alias("_s")
-    return spark.read.parquet(path).groupBy(key).agg(latest).select(key, "_s.*")
+    _each_arrival(stream, path, one_chunk)
