@@ -9,6 +9,7 @@ from itertools import groupby
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -69,6 +70,25 @@ def test_toxic_words_are_scored_and_found(spark):
         assert found == ({"scum"} if row["doc_id"] % 2 == 0 else set())
 
 
+def test_scores_of_a_column_equal_those_of_a_table(spark, monkeypatch):
+    model = toxicity.fit(["a bad bad word", "a good word"] * 3, [1, 0] * 3)
+    model.slope, model.offset, model.known = 0.3, 0.1, True
+    monkeypatch.setattr(toxicity, "BATCH_TOKENS", 40)
+    docs = frame(spark, [*ODD, *((k, f"a bad {k} word. good") for k in range(10, 40))])
+    column = docs.select("doc_id", toxicity.scorer(model)(F.col("text")).alias("score"))
+    assert sorted(map(str, column.collect())) == sorted(map(str, toxicity.score(docs, model).collect()))
+    assert docs.limit(0).filter(toxicity.scorer(model)(F.col("text")) < 2).count() == 0
+
+
+def test_the_tokenizer_forgets_at_the_end_of_a_task():
+    coder = bpe.Tokenizer(bpe.read_ranks(public_tokenizers.path(RANKS)), public_tokenizers.PATTERN)
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["zyx wvu tsr"])], names=["key", "text"])
+    run = bpe._encoded(coder, [batch])
+    next(run)
+    assert coder and coder.held
+    assert list(run) == [] and not coder and not coder.older and coder.held == 0
+
+
 def test_marginals_equal_all_paths():
     e, moves = np.array([0.3, -1.0, 2.0, 0.5]), np.array([[0.2, -0.4], [0.1, 0.9]])
     odds, expected = toxicity.chains(e, np.array([0]), moves, counts=True)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SHORT = 64  # bytes; a longer pre-token goes through the rank queue and is not remembered
-CACHE_ROWS = 240_000  # pre-tokens of one generation; a worker remembers two
+CACHE_BYTES = 16 << 20  # of pre-tokens and ids in one generation, with 100 for each entry; a task remembers two
 OUT_BYTES = 2 << 20
 STEP = 100_000  # pre-tokens of a text handled at a time
 
@@ -123,6 +123,7 @@ class Tokenizer(dict):
     def __init__(self, file: bytes, pattern: str):
         super().__init__()
         self.older: dict[str, bytes] = {}
+        self.held = 0
         rows = [line.split() for line in file.splitlines() if line.strip()]
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in rows}
         self.size = max(self.ranks.values(), default=0) + 1
@@ -140,12 +141,20 @@ class Tokenizer(dict):
             else:
                 ids = merge_short(piece, self.ranks)
             packed = np.array(ids, dtype="<i4").tobytes()
-        if len(self) >= CACHE_ROWS:
+        size = len(token) + len(packed) + 100
+        if self.held + size > CACHE_BYTES:
             self.older = dict(self)
             self.clear()
+            self.held = 0
+        self.held += size
         self[token] = packed
         return packed
 
+    def forget(self) -> None:
+        """Drop what is remembered: a Python worker outlives the task."""
+        self.clear()
+        self.older, self.held = {}, 0
+
     def encode(self, text: str) -> bytes:
         """Ids as packed 32-bit integers."""
         if len(text) < STEP:
@@ -191,15 +200,18 @@ def _slices(sizes: list[int]) -> Iterator[tuple[int, int]]:
 
 def _encoded(coder: Tokenizer, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """key, ids of batches of key, text; batches are cut by size, so long texts do not pile up."""
-    for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
-        for start, end in _slices(sizes):
-            part = batch.slice(start, end - start)
-            packed = [coder.encode(x or "") for x in part.column(1).to_pylist()]
-            ends = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int32)
-            flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(packed))])
-            lists = pa.ListArray.from_arrays(pa.array(ends), flat)
-            yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["key", "ids"])
+    try:
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+            for start, end in _slices(sizes):
+                part = batch.slice(start, end - start)
+                packed = [coder.encode(x or "") for x in part.column(1).to_pylist()]
+                ends = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int32)
+                flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(packed))])
+                lists = pa.ListArray.from_arrays(pa.array(ends), flat)
+                yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["key", "ids"])
+    finally:
+        coder.forget()
 
 
 def _decoded(coder: Tokenizer, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TOKEN = re.compile(r"[^\W\d_]+|[.!?\n]")
@@ -234,6 +235,36 @@ def fit_on(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     return fit([r["text"] or "" for r in found], [int(r["y"]) for r in found])
 
 
+def scorer(model: Model) -> Callable[[Column], Column]:
+    """`score` as a function of a text column, for tables whose other columns need not leave the JVM."""
+
+    @F.arrow_udf("double")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        cache = _Emissions(model)
+        for batch in batches:
+            yield pa.array(np.concatenate([np.zeros(0), *(_scores(part, model, cache) for _, part in _parts(batch))]))
+
+    return lambda text: run(text.cast("string"))
+
+
+def _parts(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """Where each part begins, and its texts: about BATCH_TOKENS bytes, at least one text a part."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+    start = 0
+    while start < len(sizes):
+        end, held = start, 0
+        while end < len(sizes) and (end == start or held + sizes[end] <= BATCH_TOKENS):
+            held += sizes[end]
+            end += 1
+        yield start, [x or "" for x in texts.slice(start, end - start).to_pylist()]
+        start = end
+
+
+def _scores(texts: list[str], model: Model, cache: _Emissions) -> np.ndarray:
+    odds = log_odds(texts, model, cache)
+    return 1 / (1 + np.exp(-np.clip(model.slope * odds + model.offset, -30, 30))) if model.known else np.zeros(len(texts))
+
+
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", with_spans: bool = False) -> DataFrame:
     """key, score (0 to 1), and on demand spans (start, end, p): every whole text, one pass, no shuffle.
 
