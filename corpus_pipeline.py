@@ -29,9 +29,7 @@ def _named(docs: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below 0.5 by a model of the labelled ones; null and empty texts stay."""
     ship_package(spark)
-    rows = docs.withColumn("__all", F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
-    scored = toxicity.score(rows, toxicity_model(spark, sf_dir), key="__all")
-    return scored.filter("score < 0.5").select("__all.*")
+    return docs.filter(toxicity.scorer(toxicity_model(spark, sf_dir))(F.col("text")) < 0.5)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
