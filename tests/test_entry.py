@@ -6,7 +6,7 @@ from tokenloom.plans import QUERIES
 
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert len(QUERIES) == 92 and set(QUERIES) <= set(entry.queries())
+    assert len(QUERIES) == 93 and set(QUERIES) <= set(entry.queries())
 
 
 def test_entry_gives_the_flagship_rows(spark):

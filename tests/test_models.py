@@ -188,6 +188,34 @@ def test_convolution_against_matrices(spark, monkeypatch, kernel, stride, paddin
     assert np.allclose([[r.y0, r.y1] for r in out], want.T)
 
 
+@pytest.mark.parametrize("kernel, stride, padding, block", [(3, 1, 1, 8), (2, 2, 0, 8), (4, 3, 2, 16), (1, 1, 2, 8), (3, 2, 5, 1024)])
+def test_wide_convolution_against_the_narrow_one(spark, monkeypatch, kernel, stride, padding, block):
+    monkeypatch.setattr(R, "BLOCK", block)
+    rng = np.random.default_rng(4)
+    x, w, b = rng.normal(size=(3, 33)), rng.normal(size=(5, 3, kernel)), rng.normal(size=5)
+    rows = [(None if i > 20 else "u", i % 21, x[:, i].tolist()) for i in range(33)]
+    df = spark.createDataFrame(rows, "k string, idx bigint, v array<double>")
+    narrow = df.select("k", "idx", *[F.col("v")[c].alias(f"c{c}") for c in range(3)])
+    want = R.convolve(narrow, ["k"], "idx", ["c0", "c1", "c2"], w.tolist(), b.tolist(), stride, padding, V.relu).collect()
+    got = R.convolve_vectors(df, ["k"], "idx", "v", w, b, stride, padding, V.relu).collect()
+    order = lambda rows: sorted(rows, key=lambda r: (str(r.k), r.idx))
+    assert [(r.k, r.idx) for r in order(got)] == [(r.k, r.idx) for r in order(want)]
+    assert np.allclose([r.y for r in order(got)], [[r[f"y{o}"] for o in range(5)] for r in order(want)])
+    assert R.convolve_vectors(df.limit(0), ["k"], "idx", "v", w, b, stride, padding).count() == 0
+
+
+def test_whole_sequences_of_vectors(spark, monkeypatch):
+    monkeypatch.setattr(S, "EMBEDDED_TOKENS", 3)
+    vectors = spark.createDataFrame([(5, [1.0, 2.0]), (-1, [3.0, 4.0]), (7, None), (None, [9.0, 9.0])], "id int, v array<float>")
+    df = spark.createDataFrame([(1, [5, -1, 6, 5]), (2, []), (3, None), (4, [7, None]), (None, [-1] * 9)], "k bigint, ids array<bigint>")
+    a, b = [1.0, 2.0], [3.0, 4.0]
+    want = {1: [a, b, None, a], 2: [], 3: None, 4: [None, None], None: [b] * 9}
+    for limit in (1 << 20, 0):
+        got = {r.k: r.vectors for r in S.embed_sequences(df, "k", "ids", vectors, "id", "v", 2, max_bytes=limit).collect()}
+        assert got == want
+    assert {tuple(r.vectors) for r in S.embed_sequences(df.filter("k = 4"), "k", "ids", vectors.limit(0), "id", "v", 2).collect()} == {(None, None)}
+
+
 def test_thirty_two_values_give_thirty_three_then_sixteen(spark):
     df = spark.range(32).selectExpr("'u' AS k", "id AS idx", "double(id) AS x")
     out = R.convolve(df, ["k"], "idx", ["x"], [[[1.0, 10.0]]], padding=1, activation=V.gelu)

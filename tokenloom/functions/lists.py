@@ -17,7 +17,7 @@ def numbers(lists: pa.ListArray) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).astype(float)
 
 
-def regroup(flat: pa.Array | np.ndarray, sizes: np.ndarray, missing: pa.BooleanArray) -> pa.ListArray:
-    """Cut `flat` into lists of the given sizes; `missing` ones stay missing."""
+def regroup(flat: pa.Array | np.ndarray, sizes: np.ndarray, missing: pa.BooleanArray | None) -> pa.ListArray:
+    """Cut `flat` into lists of the given sizes; `missing` ones, if any, stay missing."""
     offsets = np.concatenate([[0], np.cumsum(sizes)]).astype("int32")
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=missing)

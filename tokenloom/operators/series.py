@@ -89,6 +89,78 @@ def convolve(
     return out.filter(F.col("_pos") % stride == 0).select(*key, whole("_pos", stride).alias("idx"), *names)
 
 
+def convolve_vectors(
+    df: DataFrame,
+    key: Sequence[str],
+    index: str,
+    vector: str,
+    weight: np.ndarray | Sequence[Matrix],
+    bias: Sequence[float] | None = None,
+    stride: int = 1,
+    padding: int = 0,
+    activation: V.Activation | None = None,
+) -> DataFrame:
+    """`convolve` for many channels: `vector` holds a row's input channels, `y` its output channels.
+
+    The series is cut into the same overlapping blocks, one row each. In a
+    task the windows of a block are gathered into one matrix and multiplied by
+    the kernels as another, so the plan is the same for any number of channels
+    and taps. A null vector or entry makes the windows over it NaN.
+    """
+    w = np.asarray(weight, dtype=float)
+    outputs, inputs, kernel = w.shape
+    b = np.zeros(outputs) if bias is None else np.asarray(bias, dtype=float)
+    p = padding
+    if padding < 0 or stride < 1:
+        raise ValueError("padding must not be negative, stride must be positive")
+    size, reach = max(BLOCK, 4 * kernel), max(kernel - 1, 1)
+
+    index_of = F.col(index).cast("bigint")
+    places = F.when(index_of == 0, F.sequence(F.lit(0), F.lit(p)).cast("array<bigint>")).otherwise(F.array(index_of + p))
+    entries = F.coalesce(V.doubles(F.col(vector)), F.array_repeat(F.lit(float("nan")), inputs))
+    raw = df.select(*key, F.explode(places).alias("_pos"), entries.alias("_v"))
+    padded = raw.select(*key, "_pos", F.when(F.col("_pos") < p, F.array_repeat(F.lit(0.0), inputs)).otherwise(F.col("_v")).alias("_v"))
+    own = whole("_pos", size)
+    also_before = (F.col("_pos") % size < reach) & (own > 0)
+    rows = padded.withColumn("_block", F.explode(F.when(also_before, F.array(own, own - 1)).otherwise(F.array(own))))
+    held = F.array_sort(F.collect_list(F.struct("_pos", "_v")))  # at most `size` + `reach` rows
+    blocks = rows.groupBy(*key, "_block").agg(held.alias("_rows"))
+    kernels = w.transpose(1, 2, 0).reshape(inputs * kernel, outputs)
+
+    def windows(first: int, block: int, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the windows of one block begin, and their outputs; `x` begins at place `first`."""
+        after = (block + 1) * size - first  # rows from here on belong to the next block
+        n, needed = min(len(x), after), max(kernel - 1 - p, 0)
+        starts = np.arange(min(n, len(x) - needed))
+        starts = starts[(starts + first) % stride == 0]
+        ahead = np.concatenate([x, np.zeros((kernel, inputs))])
+        seen = np.lib.stride_tricks.sliding_window_view(ahead, kernel, axis=0)[starts]
+        found = seen.reshape(len(starts), inputs * kernel) @ kernels + b
+        if p >= kernel and len(x) <= after:  # windows in the padding behind the last row
+            more = np.arange(len(x), len(x) + p - kernel + 1)
+            more = more[(more + first) % stride == 0]
+            starts, found = np.concatenate([starts, more]), np.concatenate([found, np.tile(b, (len(more), 1))])
+        return starts + first, found
+
+    @F.arrow_udf("array<struct<idx:bigint,y:array<double>>>")
+    def worked(block: pa.Array, held: pa.Array) -> pa.Array:
+        sizes, flat = lists.lengths(held), held.flatten()
+        at = flat.field("_pos").to_numpy(zero_copy_only=False)
+        x = lists.numbers(flat.field("_v"))
+        if len(x) != len(at) * inputs:
+            raise ValueError(f"vectors do not all have {inputs} entries")
+        x, ends = x.reshape(len(at), inputs), np.cumsum(sizes)
+        made = [windows(int(at[e - n]), k, x[e - n : e]) for k, n, e in zip(block.to_pylist(), sizes, ends, strict=True)]
+        idx = np.concatenate([np.zeros(0, dtype=np.int64), *(m[0] for m in made)]) // stride
+        y = np.concatenate([np.zeros((0, outputs)), *(m[1] for m in made)])
+        vectors = lists.regroup(y.ravel(), np.full(len(idx), outputs), None)
+        found = pa.StructArray.from_arrays([pa.array(idx), vectors], names=["idx", "y"])
+        return lists.regroup(found, np.array([len(m[0]) for m in made], dtype=int), None)
+
+    out = blocks.select(*key, F.inline(worked("_block", "_rows")))
+    return out if activation is None else out.withColumn("y", F.transform("y", activation))
+
+
 def max_pool(df: DataFrame, key: Sequence[str], index: str, channels: Sequence[str], size: int) -> DataFrame:
     """Largest value of each `size` consecutive positions; an incomplete tail is left out."""
     block = whole(index, size).alias("idx")

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tokenloom.functions import lists
 from tokenloom.functions import vectors as V
-from tokenloom.operators.joins import lookup
+from tokenloom.operators.joins import BROADCAST_BYTES, lookup, table_bytes
 from tokenloom.session import materialize
 
 # Fixed value: keeps the division defined for a zero norm.
 CLIP_EPS = 1e-6
+EMBEDDED_TOKENS = 16_384  # tokens whose vectors a task makes at a time
 
 
 def global_norm(df: DataFrame, vector: str, by: Sequence[str] = ()) -> DataFrame:
@@ -93,3 +97,54 @@ def embed_ids(
     """Add each row's vector by its id; unknown ids keep a missing vector."""
     keyed = table.select(F.col(table_id).alias(id_column), F.col(vector).alias(vector))
     return lookup(long, keyed, [id_column], "left")
+
+
+def embed_sequences(
+    df: DataFrame, key: str, ids: str, table: DataFrame, table_id: str, vector: str, width: int, out: str = "vectors", max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """key and `out`: the vectors of a whole sequence of ids, in order; null for unknown and null ids.
+
+    `table` has one vector of `width` numbers per id, and `key` is unique. A
+    table of up to `max_bytes` is sent to the tasks as one matrix, from which
+    they gather; nothing is shuffled. A larger one is joined to the tokens, and
+    the rows of each sequence are put in order again. Null sequences stay null.
+    """
+    known = table.select(F.col(table_id).cast("bigint").alias("_id"), F.col(vector).cast("array<double>").alias("_v"))
+    known = known.filter(F.col("_id").isNotNull() & F.col("_v").isNotNull())
+    if table_bytes(known) > max_bytes:
+        long = df.select(key, F.col(ids).isNull().alias("_none"), F.posexplode_outer(ids).alias("_pos", "_id"))
+        placed = F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_v"))
+        found = lookup(long, known, ["_id"], "left", 0).groupBy(key)
+        found = found.agg(F.array_sort(F.collect_list(placed)).alias("_s"), F.max("_none").alias("_none"))
+        return found.select(key, F.when(~F.col("_none"), F.col("_s")["_v"]).alias(out))
+    rows = known.toArrow()
+    order = np.argsort(rows.column(0).to_numpy(), kind="stable")
+    numbers = rows.column(1).combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float)
+    if len(numbers) != len(order) * width:
+        raise ValueError(f"vectors do not all have {width} entries")
+    shared = df.sparkSession.sparkContext.broadcast((rows.column(0).to_numpy()[order], numbers.reshape(-1, width)[order]))
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, vectors = shared.value
+        for batch in batches:
+            ends = np.cumsum(lists.lengths(batch.column(1)))
+            start = 0
+            while start < len(ends):
+                before = ends[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, before + EMBEDDED_TOKENS, side="right")))
+                part = batch.slice(start, stop - start)
+                wanted = part.column(1).flatten()
+                missing = wanted.is_null().to_numpy(zero_copy_only=False)
+                number = wanted.fill_null(0).to_numpy(zero_copy_only=False)
+                at = np.minimum(np.searchsorted(names, number), max(len(names) - 1, 0))
+                hit = (names[at] == number) & ~missing if len(names) else np.zeros(len(number), dtype=bool)
+                sizes = np.where(hit, width, 0)
+                each = lists.regroup(vectors[at[hit]].ravel(), sizes, pa.array(~hit))
+                whole = lists.regroup(each, lists.lengths(part.column(1)), part.column(1).is_null())
+                yield pa.RecordBatch.from_arrays([part.column(0), whole], names=["key", "vectors"])
+                start = stop
+
+    coded = df.select(F.col(key).alias("key"), F.col(ids).cast("array<bigint>").alias("ids"))
+    kind = coded.schema["key"].dataType.simpleString()
+    made = coded.mapInArrow(gather, f"key {kind}, vectors array<array<double>>")
+    return made.select(F.col("key").alias(key), F.col("vectors").alias(out))

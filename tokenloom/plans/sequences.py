@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tokenloom.functions import vectors as V
 from tokenloom.operators import series as R
 from tokenloom.operators.order import with_row_index
-from tokenloom.plans.registry import query, r_sql, rounded
+from tokenloom.plans.registry import query, r_sql, rounded, vector_marks, vector_marks_sql
 from tokenloom.sources.corpus import table
 
 INDEXED_SQL = """i AS (SELECT user_id, value, event_type,
@@ -112,6 +112,30 @@ def convolved_and_pooled(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("user_id", "idx", rounded(F.col("y0")).alias("y0"), rounded(F.col("y1")).alias("y1"))
 
 
+WIDE_IN, WIDE_OUT, TAPS = 64, 128, 3
+WIDE = [[[((7 * o + 3 * c + 5 * j) % 11 - 5) / 64 for j in range(TAPS)] for c in range(WIDE_IN)] for o in range(WIDE_OUT)]
+
+
+@query(
+    "wide_convolution",
+    f"""
+    WITH e AS (SELECT label, embedding::DOUBLE[] AS v, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS idx FROM embeddings),
+    zero AS (SELECT list_transform(range({WIDE_IN}), lambda c: 0.0::DOUBLE) AS z),
+    x AS (SELECT label, idx, list_concat(list_concat(coalesce(lag(v) OVER s, z), v), coalesce(lead(v) OVER s, z)) AS x FROM e, zero
+          WINDOW s AS (PARTITION BY label ORDER BY idx)),
+    k AS (SELECT o, list_transform(range({TAPS * WIDE_IN}), lambda i: ((7 * o + 3 * (i % {WIDE_IN}) + 5 * (i // {WIDE_IN})) % 11 - 5) / 64.0::DOUBLE) AS w
+          FROM (SELECT unnest(range({WIDE_OUT})) AS o)),
+    y AS (SELECT label, idx, list(greatest(list_inner_product(x, w), 0) ORDER BY o) AS y FROM x, k WHERE idx % 2 = 0 GROUP BY label, idx)
+    SELECT label, idx // 2 AS idx, {vector_marks_sql('y')} FROM y
+    """,
+)
+def wide_convolution(spark: SparkSession, sf: str) -> DataFrame:
+    """From 64 to 128 channels with three taps, every second place, rectified, along the vectors of each label."""
+    rows = with_row_index(table(spark, sf, "embeddings").select("vec_id", "label", "embedding"), "vec_id", "label")
+    out = R.convolve_vectors(rows, ["label"], "idx", "embedding", WIDE, stride=2, padding=1, activation=V.relu)
+    return out.select("label", "idx", *vector_marks(F.col("y")))
+
+
 # A recurrent cell with two inputs, three state entries and two outputs.
 WX = [[0.5, -0.25], [0.25, 0.75], [-0.5, 0.5]]
 BX = [0.1, 0.0, 0.2]

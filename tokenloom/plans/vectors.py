@@ -12,7 +12,7 @@ from tokenloom.functions import vectors as V
 from tokenloom.operators import statistics as S
 from tokenloom.operators.attention import attention, cut_sequences, encoder_layer, group_attention
 from tokenloom.operators.joins import lookup
-from tokenloom.operators.vocabulary import fit_vocabulary, token_ids
+from tokenloom.operators.vocabulary import encode, fit_vocabulary
 from tokenloom.plans.registry import DOC_IDS_SQL, query, r_sql, rounded, vector_marks, vector_marks_sql
 from tokenloom.session import materialize, scratch_path
 from tokenloom.sources import stores
@@ -21,6 +21,7 @@ from tokenloom.sources.corpus import documents, table
 E_SQL = "e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings)"
 # Short enough that groups are longer than a sequence, or a block, in small tables too.
 CONTEXT = 16
+WIDTH = 64
 
 
 def _embeddings(spark: SparkSession, sf: str) -> DataFrame:
@@ -120,31 +121,33 @@ def scaled_normal_rows(spark: SparkSession, sf: str) -> DataFrame:
     return _marked(e.withColumn("v", V.layer_norm(F.col("v"), gain=gain, shift=shift)), "v", "vec_id")
 
 
+# Every entry of every token's vector counts, each place with another weight.
 @query(
     "embedded_tokens",
     f"""
     WITH {DOC_IDS_SQL}, {E_SQL}, n AS (SELECT count(*) AS n FROM embeddings),
-    hit AS (SELECT c.doc_id, c.pos, e.v FROM coded c CROSS JOIN n LEFT JOIN e ON e.vec_id = c.id % n.n)
-    SELECT doc_id, count(*) AS n_tokens, count(v) AS n_found,
-           {r_sql('sum(list_sum(v))')} AS v_sum, {r_sql('sum(pos * v[1])')} AS first_by_place
-    FROM hit GROUP BY doc_id
+    hit AS (SELECT c.doc_id, c.pos, e.v FROM coded c CROSS JOIN n LEFT JOIN e ON e.vec_id = c.id % n.n),
+    flat AS (SELECT doc_id, count(*) AS n_tokens, count(v) AS n_found, flatten(list(v ORDER BY pos)) AS x FROM hit GROUP BY doc_id)
+    SELECT doc_id, n_tokens, n_found, {r_sql('list_sum(x)')} AS v_sum,
+           {r_sql('list_sum(list_transform(x, lambda y, i: y * ((i - 1) % 97 + 1)))')} AS v_weighted
+    FROM flat
     """,
 )
 def embedded_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    """Look up a vector for every token of every document; of the vectors, what the sums need."""
+    """The whole vectors of all tokens of every document, in order."""
     docs, vectors = documents(spark, sf), table(spark, sf, "embeddings")
-    v = V.doubles(F.col("embedding"))
-    needed = vectors.select("vec_id", F.struct(V.total(v).alias("total"), v[0].alias("first")).alias("marks"))
     tokens = text.tokens(F.col("text"))
-    vocabulary = fit_vocabulary(docs, tokens)
-    long = docs.select("doc_id", F.posexplode(tokens).alias("pos", "token"))
-    ids = token_ids(long, "token", vocabulary).withColumn("vec_id", F.col("id") % vectors.count())
-    found = S.embed_ids(ids, "vec_id", materialize(needed, "vector_marks"), "vec_id", "marks")
-    return found.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n_tokens"),
-        F.count("marks").alias("n_found"),
-        rounded(F.sum("marks.total")).alias("v_sum"),
-        rounded(F.sum((F.col("pos") + 1) * F.col("marks.first"))).alias("first_by_place"),
+    ids = encode(docs, ["doc_id"], tokens, fit_vocabulary(docs, tokens))
+    n = vectors.count()
+    ids = ids.filter(F.size("ids") > 0).select("doc_id", F.transform("ids", lambda i: i % n).alias("ids"))
+    found = S.embed_sequences(ids, "doc_id", "ids", vectors, "vec_id", "embedding", WIDTH)
+    x = F.flatten("vectors")
+    return found.select(
+        "doc_id",
+        F.size("vectors").cast("bigint").alias("n_tokens"),
+        F.size(F.filter("vectors", lambda v: v.isNotNull())).cast("bigint").alias("n_found"),
+        rounded(V.total(x)).alias("v_sum"),
+        rounded(V.total(F.transform(x, lambda y, i: y * (i % 97 + 1)))).alias("v_weighted"),
     )
 
 
