@@ -36,6 +36,8 @@ HEADLINE = [
     "convolved_and_pooled",
     "gated_sequences",
     "causal_attention",
+    "whole_group_attention",
+    "wide_convolution",
     "standardized_columns",
     "quantized_vectors",
     "perceptron_scores",
