@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import textwrap
+import time
 from itertools import groupby
 
 import numpy as np
@@ -162,6 +163,52 @@ def test_licences_broken_over_lines(spark):
     assert found == dict(enumerate(want))
 
 
+LONG_RUNS = ["7" * 1_000_000, "." * 1_000_000, " " * 1_000_000, "@" * 1_000_000, "+" * 1_000_000, "+1" + "(" * 1_000_000, "1." * 500_000, "1 " * 500_000, "\n" * 1_000_000 + "x", "\n" + " " * 1_000_000 + "x"]
+
+
+def test_long_runs_are_read_once(spark):
+    for text in [*LONG_RUNS, "a@b.co 212-555-0199 tel 212-555-0188 " * 30_000]:
+        begun = time.process_time()
+        pii.spans_of(text)
+        assert time.process_time() - begun < 10, text[:40]
+    assert pii.spans_of("7" * 100_000 + ".1.2.3") == [] and pii.spans_of("x1.2.3.4" + "7" * 100_000) == []
+    begun = time.monotonic()
+    rows = licenses.scan(frame(spark, list(enumerate(LONG_RUNS)))).collect()
+    assert len(rows) == len(LONG_RUNS) and not any(r["licenses"] for r in rows)
+    repeated = "".join(f"{licenses.SENTENCES[i]}.\n" for i in (30, 31, 32)) * 2_000  # no end of the longest rule
+    (row,) = licenses.scan(frame(spark, [(1, repeated)])).collect()
+    assert row["licenses"] == ["BSD-2-Clause"] and len(row["sentence_ids"]) == 6_000
+    assert time.monotonic() - begun < 90
+
+
+def test_sentence_ends_equal_the_plain_patterns(spark):
+    """The plain forms, of quadratic time on long runs, cut the same way."""
+    rng = random.Random(11)
+    texts = ["".join(rng.choice(".!?;:  \n\r\tab") for _ in range(rng.randrange(40))) for _ in range(3000)]
+    pairs = [
+        (licenses.SENTENCE_END, r"[.!?;:]*\s*\n\s*|[.!?;:]+\s+|[.!?;:]+\z"),
+        (licenses.HARD_END, r"[.!?;:]+\s+|[.!?;:]+\z|\n\s*\n\s*"),
+    ]
+    rows = frame(spark, list(enumerate(texts)))
+    for quick, plain in pairs:
+        assert rows.filter(F.regexp_replace("text", quick, "#") != F.regexp_replace("text", plain, "#")).count() == 0
+
+
+def test_rules_in_order_equal_brute_force():
+    rng = random.Random(12)
+    for _ in range(3000):
+        path, order = [rng.randrange(1, 14) for _ in range(rng.randrange(12))], [rng.randrange(1, 14) for _ in range(rng.randrange(1, 4))]
+        rest = iter(path)
+        held = all(i in rest for i in order)
+        assert bool(re.search(licenses.in_order(order), "," + "".join(f"{i}," for i in path))) == held
+
+
+def test_redacted_texts(spark):
+    rows = frame(spark, [(1, "Write to a.b@c.de or +1 212 555 0199."), (2, None), (3, ""), (3, ""), (None, "none")])
+    found = sorted((str(r["doc_id"]), r["text"]) for r in pii.redacted(rows).collect())
+    assert found == sorted([("1", "Write to <email> or <phone>."), ("2", None), ("3", ""), ("3", ""), ("None", "none")], key=lambda x: x[0])
+
+
 def test_later_runs_go_and_all_else_stays(spark):
     rows = [(1, "Own start here. " + RUN + "\nEnd of one."), (2, "Set into a line and " + RUN + "tail of two."), (3, "clean, short. text, of three.\n"), (4, "x\x00y. " + RUN + "\n\n")]
     found = {r["doc_id"]: r for r in line_dedup.without_repeats(frame(spark, rows)).collect()}

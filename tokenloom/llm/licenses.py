@@ -9,8 +9,10 @@ from tokenloom.operators.joins import lookup
 from tokenloom.session import materialize
 
 END = "\x00"  # stands behind the last sentence of every text
-SENTENCE_END = r"[.!?;:]*\s*\n\s*|[.!?;:]+\s+|[.!?;:]+$"
-HARD_END = r"[.!?;:]+\s+|[.!?;:]+$|\n\s*\n\s*"  # what a sentence broken over lines does not go across
+# A run of marks or white space is matched from its beginning and never given back, so each is read once.
+MARKED_END = r"(?<![.!?;:])[.!?;:]++(?:\s++|\z)"
+SENTENCE_END = MARKED_END + r"|(?<!\s)[^\S\n]*+\n\s*+"
+HARD_END = MARKED_END + r"|\n\s*\n\s*"  # what a sentence broken over lines does not go across
 NO_WORD = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # Sentences of public licences and their usual notices, by identifier.
@@ -87,6 +89,11 @@ def wrapped_sentences(text: Column, known: list[str]) -> Column:
     return F.array_append(F.flatten(F.transform(parts, lambda x, k: F.when(broken(x, k), whole(x)).otherwise(pieces(x)))), F.lit(END))
 
 
+def in_order(ids: list[int]) -> str:
+    """Pattern of paths `,1,2,` that hold `ids` in this order: each is taken at its first place and never given back."""
+    return "^,(?>" + ")(?>".join(f"(?:.*?,)??{i}," for i in ids) + ")"
+
+
 def sentence_table(spark: SparkSession, known: dict[int, str] | None = None) -> DataFrame:
     """sentence, id: the known sentences, normalised as texts are."""
     rows = spark.createDataFrame(list((known or SENTENCES).items()), "id int, raw string")
@@ -124,9 +131,7 @@ def scan(
     )
     each = each.select("d", F.transform("s", lambda x: x["id"]).alias("sentence_ids"), F.explode(F.sequence(F.lit(1), "copies")))
     path = F.concat(F.lit(","), F.array_join(F.col("sentence_ids").cast("array<string>"), ","), F.lit(","))
-    named = F.array(
-        *[F.when(path.rlike("," + "(?:.*,)?".join(f"{i}," for i in order)), name) for name, order in rules or RULES]
-    )
+    named = F.array(*[F.when(path.rlike(in_order(order)), name) for name, order in rules or RULES])
     licenses = F.array_sort(F.array_distinct(F.filter(named, lambda x: x.isNotNull())))
     for more, less in COVERS:
         licenses = F.when(F.array_contains(licenses, more), F.array_remove(licenses, less)).otherwise(licenses)

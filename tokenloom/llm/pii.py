@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,7 +19,7 @@ NEAR = 40  # code points before a span in which context words are looked for
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)+")  # begins only where a run of digits does, so that each is read once
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{2,4}){3,8}(?![A-Za-z0-9])")
@@ -109,6 +111,8 @@ def spans_of(text: str | None) -> list[tuple[str, int, int, float]]:
         if "+" in text:
             found += [("phone", m.start(), m.end()) for m in PHONE.finditer(text) if 10 <= len(_digits(m.group())) <= 15]
         taken = sorted((s, e) for _, s, e in found)
+        starts, reach = [s for s, _ in taken], list(accumulate((e for _, e in taken), max))
+        free = lambda s, e: not (k := bisect_left(starts, e)) or reach[k - 1] <= s
         added = []
         for m in IBAN.finditer(text):
             plain = m.group().replace(" ", "")
@@ -119,7 +123,7 @@ def spans_of(text: str | None) -> list[tuple[str, int, int, float]]:
             if area not in ("000", "666") and area < "900" and group != "00" and serial != "0000":
                 added.append(("ssn", m.start(), m.end()))
         added += [("local_phone", m.start(), m.end()) for m in LOCAL_PHONE.finditer(text)]
-        found += [x for x in added if not any(s < x[2] and x[1] < e for s, e in taken)]
+        found += [x for x in added if free(x[1], x[2])]
     out = []
     for kind, start, end in found:
         before = text[max(0, start - NEAR) : start].lower()
@@ -146,7 +150,10 @@ def find_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
 
 def redacted(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, text with every span replaced by its kind in angle brackets; overlapping spans become one."""
+    """key, text with every span replaced by its kind in angle brackets; overlapping spans become one.
+
+    One row per row of `docs`. Null texts stay null, empty ones empty.
+    """
 
     def run(batches):
         for batch in batches:
