@@ -16,7 +16,9 @@ LINE_END = r"[\n.,!?](?:(?<=\n)| )"
 BARE_END = r"[\n.,!?](?:(?<=\n)|[ \n]|\z)"
 GRAM = 2  # lines hashed together
 WINDOW = 3  # grams of which one is selected; shorter runs of MIN_BYTES have fingerprints of their own
-CHUNK = 512  # lines whose sizes are summed up in one go
+CHUNK = 32  # lines whose sizes are summed up in one go: an array grows by copying, so longer chunks cost more a line
+NEAR = 16  # lines within which most runs of MIN_BYTES end; longer ones are searched for in the whole text
+HOT = 1000  # windows that are equal and more than this many meet their first place without a shuffle
 MIN_BYTES = 150  # without line ends; a shorter run stays
 
 
@@ -103,13 +105,15 @@ def windows(rows: DataFrame, min_bytes: int) -> DataFrame:
     lines = F.size("h")
     powers = F.transform(F.sequence(F.ceil(F.log2(lines + 1)).cast("int"), F.lit(0)), lambda k: F.pow(F.lit(2), k).cast("int"))
     furthest = lambda start, fits, steps: F.aggregate(steps, start, lambda i, p: F.when(fits(at(i + p)), i + p).otherwise(i))
+    few = F.array(*[F.lit(NEAR >> k) for k in range(1, NEAR.bit_length())])  # NEAR / 2, ..., 1
 
     def onward(steps: Column) -> Column:
         starts = F.filter(
             F.sequence(F.lit(0), lines - 1),
             lambda i: (at(lines) - at(i) >= min_bytes) & (at(F.get("following", i)) - at(i) < min_bytes),
         )
-        end = lambda i: _with(at(i) + min_bytes, lambda x: furthest(i, lambda y: y < x, steps) + 1)
+        found = lambda i, x: F.when(at(i + NEAR) < x, furthest(i, lambda y: y < x, steps)).otherwise(furthest(i, lambda y: y < x, few))
+        end = lambda i: _with(at(i) + min_bytes, lambda x: found(i, x) + 1)
         return F.transform(starts, lambda i: F.struct(i.alias("start"), end(i).alias("end")))
 
     def upto(steps: Column) -> Column:
@@ -117,7 +121,8 @@ def windows(rows: DataFrame, min_bytes: int) -> DataFrame:
             F.sequence(F.lit(1), lines),
             lambda j: (at(j) >= min_bytes) & (F.get("before", j) >= 0) & (at(j) - at(F.get("before", j) + 1) < min_bytes),
         )
-        start = lambda j: _with(at(j) - min_bytes, lambda x: furthest(F.lit(-1), lambda y: y <= x, steps))
+        found = lambda j, x: F.when(at(j - NEAR) <= x, furthest(j - NEAR, lambda y: y <= x, few)).otherwise(furthest(F.lit(-1), lambda y: y <= x, steps))
+        start = lambda j: _with(at(j) - min_bytes, lambda x: found(j, x))
         runs = F.transform(ends, lambda j: F.struct(start(j).alias("start"), j.alias("end")))
         return F.filter(runs, lambda r: at(r["end"] - 1) - at(r["start"]) >= min_bytes)  # else it is one of the others
 
@@ -157,7 +162,12 @@ def repeated_runs(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, min_b
     short = materialize(windows(held, min_bytes), "windows")
     place = F.struct("d", "start")
     firsts = short.groupBy("fp").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    later = short.join(firsts.select("fp", "first"), "fp").filter("not (d <=> first.d and start = first.start)")
+    firsts = materialize(firsts, "first_windows")
+    hot = firsts.filter(F.col("n") > HOT).select("fp", "first")  # no more than a HOT-th of the windows
+    marked = lookup(short, hot, ["fp"])
+    rest = marked.filter("first is null").drop("first").join(firsts.filter(F.col("n") <= HOT).select("fp", "first"), "fp")
+    met = marked.filter("first is not null").unionByName(rest)
+    later = met.filter("not (d <=> first.d and start = first.start)")
     runs = later.groupBy("d").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("runs"))
     return materialize(runs, "later_windows").select("d", _merged(F.col("runs")).alias("runs"))
 
