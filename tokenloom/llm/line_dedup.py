@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import all_of, any_of
+from tokenloom.llm.common import all_of
 from tokenloom.operators.joins import lookup
 from tokenloom.session import materialize
 
@@ -18,7 +18,7 @@ GRAM = 2  # lines hashed together
 WINDOW = 3  # grams of which one is selected; shorter runs of MIN_BYTES have fingerprints of their own
 CHUNK = 32  # lines whose sizes are summed up in one go: an array grows by copying, so longer chunks cost more a line
 NEAR = 16  # lines within which most runs of MIN_BYTES end; longer ones are searched for in the whole text
-HOT = 1000  # windows that are equal and more than this many meet their first place without a shuffle
+HOT = 1000  # rows of one fingerprint beyond which they are not shuffled by it
 MIN_BYTES = 150  # without line ends; a shorter run stays
 
 
@@ -39,16 +39,20 @@ def _documents(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.struct(F.col(key).alias("id"), F.xxhash64(body).alias("copy")).alias("d"), body.alias("text"))
 
 
-def fingerprints(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """d, fp, pos: any two equal runs of `min_bytes` bytes share one of these.
+def hashed_lines(docs: DataFrame) -> DataFrame:
+    """d, h, n: hash and bytes of each line of `docs` (d, text); none of a null text."""
+    rows = docs.filter("text is not null").select("d", bare_lines(F.col("text")).alias("s"))
+    return rows.select("d", F.transform("s", lambda x: F.xxhash64(x)).alias("h"), F.transform("s", F.octet_length).alias("n"))
+
+
+def fingerprints(rows: DataFrame, gram: int = GRAM, window: int = WINDOW, min_bytes: int = MIN_BYTES) -> DataFrame:
+    """d, fp, pos of `rows` (d, h, n): any two equal runs of `min_bytes` bytes share one of these.
 
     Window minima of the gram hashes, of equal ones the leftmost: a run of
     `gram` + `window` - 1 lines holds a whole window. A shorter run may not, so
     every gram from which fewer lines reach `min_bytes` is there too, and every
     run of fewer than `gram` lines that does.
     """
-    rows = docs.filter("text is not null").select("d", bare_lines(F.col("text")).alias("s"))
-    rows = rows.select("d", F.transform("s", lambda x: F.xxhash64(x)).alias("h"), F.transform("s", F.octet_length).alias("n"))
     upto = lambda n: F.when(n >= 0, F.sequence(F.lit(0), n)).otherwise(F.array().cast("array<int>"))
     grams = F.transform(upto(F.size("h") - gram), lambda i: F.xxhash64(*[F.get("h", i + j) for j in range(gram)]))
     rows = rows.select("d", "h", "n", grams.alias("g"))
@@ -58,7 +62,10 @@ def fingerprints(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, min_by
         x = F.get("g", i)
         before = [F.coalesce(x < F.get("g", i - j), F.lit(True)) for j in range(1, window)]
         behind = [F.coalesce(x <= F.get("g", i + j), F.lit(True)) for j in range(1, window)]
-        return x.isNotNull() & any_of([all_of(before[:k] + behind[: window - 1 - k]) for k in range(window)])
+        found = F.lit(True)
+        for k in reversed(range(window - 1)):  # the first k before are larger: then so must the rest of a window be behind
+            found = F.when(before[k], found).otherwise(all_of(behind[: window - 1 - k]))
+        return found
 
     reach = lambda i, m: sum((F.coalesce(F.get("n", i + j), F.lit(0)) for j in range(1, m)), F.get("n", i)) >= min_bytes
     chosen = F.filter(upto(F.size("g") - 1), lambda i: reach(i, gram + window - 2) | minimum(i))
@@ -142,6 +149,17 @@ def _merged(runs: Column) -> Column:
     )
 
 
+def _meet(rows: DataFrame, common: DataFrame) -> DataFrame:
+    """`rows` joined to `common` (fp, times, ...) by fp; `times` is how many rows have it.
+
+    Those with a fingerprint of more than HOT rows, of which there are few,
+    aren't shuffled by it, so that no task gets all rows of a common one.
+    """
+    hot = lookup(rows, common.filter(F.col("times") > HOT), ["fp"])
+    rest = hot.filter("times is null").select(*rows.columns).join(common.filter(F.col("times") <= HOT), "fp")
+    return hot.filter("times is not null").unionByName(rest)
+
+
 def repeated_runs(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, min_bytes: int = MIN_BYTES) -> DataFrame:
     """d, runs (start, end): the lines of each document of `docs` (d, text) that repeat earlier ones.
 
@@ -152,22 +170,15 @@ def repeated_runs(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, min_b
     earlier place that goes on otherwise hides nothing, and together they are
     the match extended both ways.
     """
-    found = materialize(fingerprints(docs, gram, window, min_bytes), "line_fingerprints")
-    again = found.groupBy("fp").count().filter("count > 1").select("fp")
-    hot = found.join(again, "fp", "left_semi").groupBy("d").agg(F.sort_array(F.collect_set("pos")).alias("hot"))
+    rows = materialize(hashed_lines(docs), "hashed_lines")
+    found = materialize(fingerprints(rows, gram, window, min_bytes), "line_fingerprints")
+    again = materialize(found.groupBy("fp").agg(F.count("*").alias("times")).filter("times > 1"), "common_fingerprints")
+    hot = _meet(found, again).groupBy("d").agg(F.sort_array(F.collect_set("pos")).alias("hot"))
     hot = materialize(hot, "touched")
 
-    held = lookup(docs, hot, ["d"], "inner").select("d", "hot", bare_lines(F.col("text")).alias("s"))
-    held = held.select("d", "hot", F.transform("s", lambda x: F.xxhash64(x)).alias("h"), F.transform("s", F.octet_length).alias("n"))
-    short = materialize(windows(held, min_bytes), "windows")
-    place = F.struct("d", "start")
-    firsts = short.groupBy("fp").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    firsts = materialize(firsts, "first_windows")
-    hot = firsts.filter(F.col("n") > HOT).select("fp", "first")  # no more than a HOT-th of the windows
-    marked = lookup(short, hot, ["fp"])
-    rest = marked.filter("first is null").drop("first").join(firsts.filter(F.col("n") <= HOT).select("fp", "first"), "fp")
-    met = marked.filter("first is not null").unionByName(rest)
-    later = met.filter("not (d <=> first.d and start = first.start)")
+    short = materialize(windows(lookup(rows, hot, ["d"], "inner"), min_bytes), "windows")
+    firsts = short.groupBy("fp").agg(F.min(F.struct("d", "start")).alias("first"), F.count("*").alias("times")).filter("times > 1")
+    later = _meet(short, materialize(firsts, "first_windows")).filter("not (d <=> first.d and start = first.start)")
     runs = later.groupBy("d").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("runs"))
     return materialize(runs, "later_windows").select("d", _merged(F.col("runs")).alias("runs"))
 
