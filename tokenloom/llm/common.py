@@ -126,6 +126,5 @@ def components(edges: DataFrame, a: str, b: str, rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
-
 def all_of(conditions: list[Column]) -> Column:
     return reduce(lambda x, y: x & y, conditions, F.lit(True))
