@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterable, Iterator
 from heapq import heappop, heappush
 from itertools import islice
@@ -14,107 +15,92 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SHORT = 64  # bytes; a longer pre-token goes through the rank queue and is not remembered
+KEPT = 64  # bytes; the ids of a longer pre-token are not remembered
 CACHE_BYTES = 16 << 20  # of pre-tokens and ids in one generation, with 100 for each entry; a task remembers two
 OUT_BYTES = 2 << 20
 STEP = 100_000  # pre-tokens of a text handled at a time
 
 
 class RankQueue:
-    """Waiting positions by rank; three levels of 64-bit words say which ranks have any."""
+    """Merges picked from buckets of waiting positions, one bucket a rank.
 
-    def __init__(self, ranks: int):
-        words = (ranks + 63) // 64
-        self.bits = [0] * words
-        self.above = [0] * ((words + 63) // 64)
-        self.top = 0
-        self.waiting: dict[int, list[int]] = {}
-
-    def push(self, rank: int, at: int) -> None:
-        bucket = self.waiting.get(rank)
-        if bucket:
-            heappush(bucket, at)
-            return
-        self.waiting[rank] = [at]
-        word, block = rank >> 6, rank >> 12
-        self.bits[word] |= 1 << (rank & 63)
-        self.above[block] |= 1 << (word & 63)
-        self.top |= 1 << block
-
-    def pop(self) -> tuple[int, int] | None:
-        """The leftmost position of the lowest rank; find-first-set goes down the levels."""
-        if not self.top:
-            return None
-        block = (self.top & -self.top).bit_length() - 1
-        mask = self.above[block]
-        word = (block << 6) + (mask & -mask).bit_length() - 1
-        mask = self.bits[word]
-        rank = (word << 6) + (mask & -mask).bit_length() - 1
-        bucket = self.waiting[rank]
-        at = heappop(bucket)
-        if not bucket:
-            del self.waiting[rank]
-            self.bits[word] &= ~(1 << (rank & 63))
-            if not self.bits[word]:
-                self.above[block] &= ~(1 << (word & 63))
-                if not self.above[block]:
-                    self.top &= ~(1 << block)
-        return rank, at
-
-
-def merge_short(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """As `merge`, by a plain scan for the lowest rank: the quicker way for a word."""
-    none = 1 << 31
-    get = ranks.get
-    parts = [piece[i : i + 1] for i in range(len(piece))]
-    pair = [get(piece[i : i + 2], none) for i in range(len(piece) - 1)]
-    while pair and (lowest := min(pair)) < none:
-        at = pair.index(lowest)
-        parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        del pair[at]
-        if at < len(pair):
-            pair[at] = get(parts[at] + parts[at + 1], none)
-        if at:
-            pair[at - 1] = get(parts[at - 1] + parts[at], none)
-    return [ranks[part] for part in parts]
-
-
-def merge(piece: bytes, ranks: dict[bytes, int], size: int) -> list[int]:
-    """Ids of one pre-token: always the lowest rank, the leftmost of equals.
-
-    Tokens are a linked list over the piece. An entry is stale once its
-    position's pair has another rank, or none; it is skipped.
+    Two levels of 256-bit words say which ranks have a bucket; the lowest set
+    bit of the upper and then of the lower word is the next rank. The queue is
+    empty again behind every pre-token, so one serves all of a tokenizer.
     """
-    n = len(piece)
-    after, before = list(range(1, n + 2)), list(range(-1, n + 1))
-    pair = [-1] * (n + 1)
-    queue = RankQueue(size)
-
-    def look(at: int) -> None:
-        second = after[at]
-        rank = ranks.get(piece[at : after[second]], -1) if second < n else -1
-        pair[at] = rank
-        if rank >= 0:
-            queue.push(rank, at)
-
-    for at in range(n - 1):
-        look(at)
-    while (entry := queue.pop()) is not None:
-        rank, at = entry
-        if pair[at] != rank:
-            continue
-        gone = after[at]
-        after[at] = after[gone]
-        before[after[at]] = at
-        pair[gone] = -1
-        look(at)
-        if at:
-            look(before[at])
-    out, at = [], 0
-    while at < n:
-        out.append(ranks[piece[at : after[at]]])
-        at = after[at]
-    return out
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+        words = (max(ranks.values(), default=0) >> 8) + 1
+        self.bits = [0] * words
+        self.one = [1 << i for i in range(max(256, words))]
+        self.waiting: dict[int, int | list[int]] = {}  # a single position as it is, several as a heap
+
+    def merge(self, piece: bytes) -> list[int]:
+        """Ids of one pre-token: always the lowest rank, the leftmost of equals.
+
+        Tokens are a linked list over the piece. An entry is stale once its
+        position's pair has another rank, or none; it is skipped.
+        """
+        get, bits, one, waiting = self.ranks.get, self.bits, self.one, self.waiting
+        n, top = len(piece), 0
+        after, before = list(range(1, n + 2)), list(range(-1, n + 1))
+        pair = [get(piece[at : at + 2], -1) for at in range(n - 1)]
+        pair += (-1, -1)
+        for at, rank in enumerate(pair):
+            if rank >= 0:
+                if rank in waiting:
+                    if type(bucket := waiting[rank]) is list:
+                        bucket.append(at)
+                    else:
+                        waiting[rank] = [bucket, at]
+                else:
+                    waiting[rank] = at
+                    word = rank >> 8
+                    bits[word] |= one[rank & 255]
+                    top |= one[word]
+        while top:
+            word = (top & -top).bit_length() - 1
+            mask = bits[word]
+            low = mask & -mask
+            rank = (word << 8) + low.bit_length() - 1
+            at = waiting[rank]
+            if type(at) is list:
+                bucket = at
+                at = heappop(bucket)
+                if len(bucket) == 1:
+                    waiting[rank] = bucket[0]
+            else:
+                del waiting[rank]
+                bits[word] = mask = mask ^ low
+                if not mask:
+                    top ^= one[word]
+            if pair[at] != rank:
+                continue
+            gone = after[at]
+            end = after[at] = after[gone]
+            before[end] = at
+            pair[gone] = -1
+            for at in (at, before[at]) if at else (0,):
+                second = after[at]
+                pair[at] = rank = get(piece[at : after[second]], -1) if second < n else -1
+                if rank < 0:
+                    continue
+                if rank not in waiting:
+                    waiting[rank] = at
+                    word = rank >> 8
+                    bits[word] |= one[rank & 255]
+                    top |= one[word]
+                elif type(bucket := waiting[rank]) is list:
+                    heappush(bucket, at)
+                else:
+                    waiting[rank] = [bucket, at] if bucket < at else [at, bucket]
+        ids, at = [], 0
+        while at < n:
+            end = after[at]
+            ids.append(self.ranks[piece[at:end]])
+            at = end
+        return ids
 
 
 class Tokenizer(dict):
@@ -126,7 +112,7 @@ class Tokenizer(dict):
         self.held = 0
         rows = [line.split() for line in file.splitlines() if line.strip()]
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in rows}
-        self.size = max(self.ranks.values(), default=0) + 1
+        self.queue = RankQueue(self.ranks)
         self.bytes = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern)
 
@@ -136,11 +122,11 @@ class Tokenizer(dict):
             piece = token.encode()
             if (whole := self.ranks.get(piece)) is not None:
                 ids = [whole]
-            elif len(piece) > SHORT:
-                return np.array(merge(piece, self.ranks, self.size), dtype="<i4").tobytes()
             else:
-                ids = merge_short(piece, self.ranks)
-            packed = np.array(ids, dtype="<i4").tobytes()
+                ids = self.queue.merge(piece)
+            packed = array("i", ids).tobytes()
+            if len(piece) > KEPT:
+                return packed
         size = len(token) + len(packed) + 100
         if self.held + size > CACHE_BYTES:
             self.older = dict(self)
