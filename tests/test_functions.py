@@ -131,3 +131,44 @@ def test_quantization_error_is_half_a_step(spark):
     steps = np.repeat([g.scale for g in groups], [32, 32, 6])
     assert (np.abs(back - v) <= steps / 2 + 1e-12).all()
     assert max(abs(c) for g in groups for c in g.codes) == 7
+
+
+def test_packed_codes_come_back(spark):
+    rng = np.random.default_rng(5)
+    for width in (1, 31, 32, 70):
+        v = rng.normal(size=width)
+        packed = vec(spark, V.pack_groups(V.quantize(F.col("v"), 32, 4)), v)
+        assert [len(g.packed) for g in packed] == [(g.n + 1) // 2 for g in packed] and sum(g.n for g in packed) == width
+        codes = vec(spark, V.unpack_groups(V.pack_groups(V.quantize(F.col("v"), 32, 4))), v)
+        assert [g.codes for g in codes] == [g.codes for g in vec(spark, V.quantize(F.col("v"), 32, 4), v)]
+
+
+def test_packed_codes_at_the_edges(spark):
+    rows = spark.createDataFrame([(0, [-8, 7, 0]), (1, []), (2, None), (3, [1, None]), (4, [-1])], "k int, c array<int>")
+    packed = rows.withColumn("p", V.pack_codes(F.col("c"))).withColumn("u", V.unpack_codes(F.col("p"), F.size("c")))
+    got = {r.k: (r.p and bytes(r.p).hex(), r.u) for r in packed.collect()}
+    assert got[0] == ("0f88", [-8, 7, 0]) and got[4] == ("78", [-1])
+    assert got[1][1] == [] and got[2] == (None, None) and got[3] == (None, None)
+    with pytest.raises(Exception, match="four bits"):
+        spark.createDataFrame([([8],)], "c array<int>").select(V.pack_codes(F.col("c"))).collect()
+
+
+def test_low_bit_layer_stays_inside_its_bound(spark):
+    rng = np.random.default_rng(6)
+    weight, bias = rng.normal(size=(5, 64)), rng.normal(size=5)
+    weight[2, :32] = 0.0
+    packed = V.PackedWeights(weight.tolist(), 32)
+    assert len(packed.packed) == 5 * 64 // 2 and np.abs(packed.codes()).max() == 7
+    vectors = [*(rng.normal(size=64) * s for s in (1e-3, 1.0, 50.0)), np.zeros(64)]
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(8, None), (9, [None] + [1.0] * 63)]
+    df = spark.createDataFrame(rows, "k int, v array<double>")
+    out = {r.k: r for r in df.select("k", V.low_bit_linear(F.col("v"), packed, bias).alias("y"), packed.error_bound(F.col("v")).alias("b")).collect()}
+    for i, v in enumerate(vectors):
+        step = np.abs(v).max() / 127 or 1.0
+        codes = (np.sign(v) * np.floor(np.abs(v) / step + 0.5)).reshape(2, 32)
+        want = (np.einsum("ogi,gi->og", packed.codes(), codes) * packed.scales).sum(axis=1) * step + bias
+        assert np.allclose(out[i].y, want, atol=1e-12)
+        assert np.abs(np.array(out[i].y) - (weight @ v + bias)).max() <= out[i].b + 1e-12
+    assert out[8].y is None and out[9].y is None
+    with pytest.raises(Exception, match="64 entries"):
+        spark.createDataFrame([([1.0],)], "v array<double>").select(V.low_bit_linear(F.col("v"), packed)).collect()

@@ -5,11 +5,13 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions import arrays as A
 from tokenloom.functions import text as X
+from tokenloom.functions import vectors as V
 from tokenloom.operators import batching as B
 from tokenloom.operators import conversations as C
 from tokenloom.operators.packing import pack_sequences
 from tokenloom.operators.vocabulary import decode, encode, fit_vocabulary
 from tokenloom.plans.preparation import utf8_bytes
+from tokenloom.sources import stores
 
 CONV = f"id int, messages {X.MESSAGES}"
 
@@ -170,3 +172,29 @@ def test_large_vocabulary_is_cut_exactly(spark):
     want = sorted(counts, key=lambda w: (-counts[w], w))[:196]
     got = fit_vocabulary(df, F.col("t"), size=200).table.filter("n > 0").orderBy("id").collect()
     assert [r.token for r in got] == want
+
+
+def test_length_batches_keep_every_row_and_fill_better(spark):
+    lengths = [5] * 400 + [(i * 37) % 90 for i in range(500)] + [None] * 3 + [0] * 4
+    rows = [(7 * i, None if n is None else list(range(n))) for i, n in enumerate(lengths)]
+    df = spark.createDataFrame(rows, "k long, ids array<int>").repartition(5)
+    got = B.length_batches(df, "k", "ids", 16, pad=-1).collect()
+    order = sorted(rows, key=lambda r: (-len(r[1] or ()), r[0]))
+    place = {k: i for i, (k, _) in enumerate(order)}
+    assert sorted(r.k for r in got) == [k for k, _ in rows]
+    for r in got:
+        ids = dict(rows)[r.k]
+        members = [len(x or ()) for _, x in order[r.batch_id * 16 : r.batch_id * 16 + 16]]
+        assert r.idx == r.k // 7 and r.batch_id * 16 + r.slot == place[r.k] and r.width == max(members)
+        assert r.ids == (None if ids is None else ids + [-1] * (r.width - len(ids)))
+    assert B.length_batches(df.limit(0), "k", "ids", 16).count() == 0
+    plain = B.padded_batches(df.filter("ids IS NOT NULL"), "k", "ids", 16)
+    slots = lambda rows: rows.agg(F.sum(F.size("ids"))).first()[0]
+    assert slots(B.length_batches(df.filter("ids IS NOT NULL"), "k", "ids", 16)) < slots(plain)
+
+
+def test_every_layer_is_captured_once(spark):
+    layers = [([[1.0, -1.0], [2.0, 0.0], [0.0, 0.5]], [0.0, 1.0, 0.0], V.relu), ([[1.0, 1.0, 2.0]], None, V.identity)]
+    df = spark.createDataFrame([(1, [3.0, 4.0], "x"), (2, None, "y")], "id int, v array<double>, layer string")
+    got = {(r.id, r.layer): r.activation for r in stores.capture_layers(df, ["id"], F.col("v"), layers).collect()}
+    assert got == {(1, "layer_1"): [0.0, 7.0, 2.0], (1, "layer_2"): [11.0], (2, "layer_1"): None, (2, "layer_2"): None}

@@ -221,3 +221,104 @@ def quantize(v: Column, group: int = 32, bits: int = 4) -> Column:
 
 def dequantize(groups: Column) -> Column:
     return F.flatten(F.transform(groups, lambda g: F.transform(g["codes"], lambda c: c * g["scale"])))
+
+
+def pack_codes(codes: Column) -> Column:
+    """Codes from -8 to 7 as binary, two a byte, the first of a pair in the high half.
+
+    Behind an odd number stands a zero code. Null if any code is null; a code
+    that needs more than four bits stops the job.
+    """
+    digits = F.array_join(F.transform(codes, lambda c: F.hex((c + 8).cast("bigint"))), "")
+    even = F.when(F.size(codes) % 2 == 1, F.concat(digits, F.lit("8"))).otherwise(digits)
+    wide = F.raise_error(F.lit("a packed code has four bits")).cast("binary")
+    packed = F.when(F.exists(codes, lambda c: ~c.between(-8, 7)), wide).otherwise(F.unhex(even))
+    return F.when(~F.exists(codes, lambda c: c.isNull()), packed)
+
+
+def unpack_codes(packed: Column, n: Column) -> Column:
+    """The first `n` codes of a packed column."""
+    digits = F.slice(F.split(F.hex(packed), ""), F.lit(1), n)
+    return F.transform(digits, lambda d: (F.position(d, F.lit("0123456789ABCDEF")) - 9).cast("tinyint"))
+
+
+def pack_groups(groups: Column) -> Column:
+    """The groups of `quantize` with at most four bits as `{scale, n, packed}`: half a byte an entry."""
+    return F.transform(
+        groups,
+        lambda g: F.struct(g["scale"].alias("scale"), F.size(g["codes"]).alias("n"), pack_codes(g["codes"]).alias("packed")),
+    )
+
+
+def unpack_groups(packed: Column) -> Column:
+    """Back to the groups of `quantize`."""
+    return F.transform(
+        packed, lambda g: F.struct(g["scale"].alias("scale"), unpack_codes(g["packed"], g["n"]).alias("codes"))
+    )
+
+
+class PackedWeights:
+    """A weight matrix as rows of four-bit codes, two a byte, with one scale per `group` neighbouring entries."""
+
+    def __init__(self, weight: Sequence[Sequence[float]], group: int = 32):
+        rows = np.array(_layer(weight, None)[0])
+        if group < 1 or rows.shape[1] % group:
+            raise ValueError("the width of the matrix must be a multiple of the group")
+        self.height, self.width, self.group = *rows.shape, group
+        parts = rows.reshape(self.height, -1, group)
+        largest = np.abs(parts).max(axis=2)
+        self.scales = np.where(largest > 0, largest / 7, 1.0)
+        ratio = parts / self.scales[:, :, None]
+        codes = (np.sign(ratio) * np.floor(np.abs(ratio) + 0.5) + 8).astype(np.uint8).ravel()
+        codes = np.append(codes, [8] * (codes.size % 2)).astype(np.uint8)
+        self.packed = (codes[::2] << 4 | codes[1::2]).tobytes()
+
+    def codes(self) -> np.ndarray:
+        """Codes as whole numbers by row, group and entry."""
+        both = np.frombuffer(self.packed, np.uint8)
+        flat = np.stack([both >> 4, both & 15], axis=1).ravel()[: self.height * self.width]
+        return flat.reshape(self.height, -1, self.group).astype(np.int64) - 8
+
+    def error_bound(self, v: Column) -> Column:
+        """What no entry of `low_bit_linear(v, self)` is further from the exact product than.
+
+        A weight is off by at most half its scale, an entry of `v` by at most
+        half the row's step; each error meets the other factor once.
+        """
+        heaviest = float((np.abs(self.codes()).sum(axis=2) * self.scales).sum(axis=1).max())
+        sizes = F.transform(doubles(v), lambda x: F.abs(x))
+        halves = _numbers(np.repeat(self.scales.max(axis=0) / 2, self.group).tolist())
+        return dot(sizes, halves) + F.array_max(sizes) / 127.0 / 2.0 * heaviest
+
+
+def low_bit_linear(v: Column, weights: PackedWeights, bias: Sequence[float] | None = None) -> Column:
+    """`weights @ v + bias` with eight-bit entries and four-bit weights.
+
+    Each vector has one step, its largest entry by 127. Codes are multiplied and
+    added per group as whole numbers, which a double holds exactly, and only
+    the sums are scaled. A null vector, or one with a null or NaN entry, gives
+    null; one of another length stops the job.
+    """
+    width = weights.width
+    fits = v.isNull() | (F.size(v) == width)
+    v = F.when(fits, v).otherwise(F.raise_error(F.lit(f"the layer takes vectors of {width} entries")))
+    offsets = np.zeros(weights.height) if bias is None else np.array([float(b) for b in bias])
+    if offsets.shape != (weights.height,):
+        raise ValueError("need one bias per row")
+
+    @F.arrow_udf("array<double>")
+    def product(v: pa.Array) -> pa.Array:
+        x = lists.numbers(v).reshape(-1, width)  # a null entry is NaN here
+        known = ~np.isnan(x).any(axis=1)
+        largest = np.abs(x).max(axis=1, initial=0.0)
+        step = np.where(largest > 0, largest / 127, 1.0)[:, None]
+        codes = (np.sign(x) * np.floor(np.abs(x) / step + 0.5)).reshape(len(x), width // weights.group, weights.group)
+        out = np.zeros((len(x), weights.height))
+        for k, (kernel, scales) in enumerate(zip(weights.codes().transpose(1, 2, 0), weights.scales.T)):
+            out += codes[:, k] @ kernel.astype(float) * scales
+        out = out * step + offsets
+        missing = v.is_null().to_numpy(zero_copy_only=False).copy()
+        missing[~missing] = ~known
+        return lists.regroup(out[known].ravel(), np.where(missing, 0, weights.height), pa.array(missing))
+
+    return product(v)

@@ -60,6 +60,25 @@ def padded_batches(df: DataFrame, order: str, ids: str, size: int, pad: int = ar
     return out.withColumn(ids, arrays.pad_right(F.col(ids), F.col("width"), pad))
 
 
+def length_batches(
+    df: DataFrame, order: str, ids: str, size: int, pad: int = arrays.PAD_ID, name: str = "idx"
+) -> DataFrame:
+    """Padded batches of rows of like length, longest first; `name` is a row's place along the unique key `order`.
+
+    Adds `batch_id`, `slot`, `width` and `name`, by which the rows can be put
+    back in order. Ties in length follow `order`. Null arrays count as empty
+    and stay null. As in `padded_batches`, lengths alone are put in order: they
+    are cut into ranges, one that many rows share by the key as well, and the
+    arrays move only if the table of places is too large to broadcast.
+    """
+    stored = materialize(df.withColumn("_length", F.coalesce(F.array_size(ids), F.lit(0))), "sequences")
+    keys = with_row_index(stored.select(order, (-F.col("_length")).alias("_shorter")), order, name=name)
+    places = with_batch(keys, ["_shorter", order], size)
+    places = places.withColumn("width", F.max(-F.col("_shorter")).over(W.partitionBy("batch_id"))).drop("_shorter")
+    out = lookup(stored.drop("_length"), materialize(places, "places"), [order], null_safe=True)
+    return out.withColumn(ids, arrays.pad_right(F.col(ids), F.col("width"), pad))
+
+
 def first_batches(df: DataFrame, order: str, size: int, batches: int) -> DataFrame:
     """The rows of the first `batches` batches, with `batch_id` and `slot`; only they are indexed in full."""
     return with_batch(row_slice(df, order, 0, size * batches), order, size)

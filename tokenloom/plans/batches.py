@@ -11,6 +11,7 @@ from tokenloom.operators.packing import pack_sequences
 from tokenloom.operators.vocabulary import decode, encode, fit_vocabulary
 from tokenloom.plans.preparation import PAIRS_SQL, _pairs
 from tokenloom.plans.registry import DOC_IDS_SQL, PAD_ID, TOKENS_SQL, list_md5, query, r_sql, rounded, vector_marks, vector_marks_sql
+from tokenloom.session import materialize
 from tokenloom.sources.corpus import documents, table
 
 BATCHED_SQL = "(SELECT *, (row_number() OVER (ORDER BY doc_id) - 1) // {n} AS batch_id FROM {source})"
@@ -186,6 +187,57 @@ def batch_shapes(spark: SparkSession, sf: str) -> DataFrame:
     return report.withColumn("fill", rounded(F.col("fill")))
 
 
+BY_LENGTH_SQL = """(SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS idx,
+        (row_number() OVER (ORDER BY len(ids) DESC, doc_id) - 1) // 8 AS batch_id,
+        (row_number() OVER (ORDER BY len(ids) DESC, doc_id) - 1) % 8 AS slot FROM ids)"""
+
+
+@query(
+    "length_batches",
+    f"""
+    WITH {DOC_IDS_SQL}, b AS {BY_LENGTH_SQL}, w AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS width FROM b)
+    SELECT doc_id, idx, batch_id, slot, width,
+           {list_md5(f"list_concat(ids, list_transform(range(width - len(ids)), lambda i: {PAD_ID}::BIGINT))")} AS padded_md5
+    FROM w
+    """,
+)
+def length_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches of documents of like length, each row with its place in the order of documents."""
+    return B.length_batches(_doc_ids(spark, sf), "doc_id", "ids", 8).select(
+        "doc_id", "idx", "batch_id", "slot", F.col("width").cast("bigint").alias("width"),
+        F.md5(arrays.as_text(F.col("ids"))).alias("padded_md5"),
+    )
+
+
+@query(
+    "batch_fill",
+    f"""
+    WITH {DOC_IDS_SQL}, b AS (SELECT 'in order' AS plan, batch_id, len(ids) AS n FROM {BATCHED_SQL.format(n=8, source='ids')}
+                              UNION ALL SELECT 'by length', batch_id, len(ids) FROM {BY_LENGTH_SQL}),
+    w AS (SELECT plan, batch_id, count(*) AS n_rows, sum(n) AS n_real, count(*) * max(n) AS n_slots FROM b GROUP BY plan, batch_id)
+    SELECT plan, count(*) AS n_batches, sum(n_rows)::BIGINT AS n_rows, sum(n_real)::BIGINT AS n_real,
+           sum(n_slots)::BIGINT AS n_slots, {r_sql('sum(n_real) / sum(n_slots)')} AS fill
+    FROM w GROUP BY plan
+    """,
+)
+def batch_fill(spark: SparkSession, sf: str) -> DataFrame:
+    """How much of the padded batches is real, with rows in order and by length."""
+    ids = _doc_ids(spark, sf).select("doc_id", F.size("ids").alias("n"))
+    ids = materialize(ids.withColumn("shorter", -F.col("n")), "lengths")
+    plans = [
+        B.with_batch(ids, order, 8).withColumn("plan", F.lit(plan)).select("plan", "batch_id", "n")
+        for plan, order in (("in order", ["doc_id"]), ("by length", ["shorter", "doc_id"]))
+    ]
+    batches = plans[0].unionByName(plans[1]).groupBy("plan", "batch_id").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum("n").alias("n_real"),
+        (F.count(F.lit(1)) * F.max("n")).alias("n_slots"),
+    )
+    sums = [F.sum(c).alias(c) for c in ("n_rows", "n_real", "n_slots")]
+    out = batches.groupBy("plan").agg(F.count(F.lit(1)).alias("n_batches"), *sums)
+    return out.withColumn("fill", rounded(F.col("n_real") / F.col("n_slots")))
+
+
 @query(
     "columnar_rows",
     f"""

@@ -428,6 +428,95 @@ def quantized_vectors(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "packed_vectors",
+    f"""
+    WITH {E_SQL}, g AS (SELECT vec_id, grp, v[grp * 32 + 1:(grp + 1) * 32] AS part FROM e, (SELECT unnest([0, 1]) AS grp)),
+    s AS (SELECT *, list_max(list_transform(part, lambda x: abs(x))) / 7 AS step FROM g),
+    q AS (SELECT vec_id, grp, part, CASE WHEN step > 0 THEN step ELSE 1 END AS step FROM s),
+    c AS (SELECT *, list_transform(part, lambda x: round(x / step)::BIGINT) AS codes FROM q)
+    SELECT vec_id, grp AS group_no, 16::BIGINT AS n_bytes, {r_sql('step / 2')} AS bound,
+           array_to_string(list_transform(codes, lambda x: substr('0123456789ABCDEF', x + 9, 1)), '') AS packed,
+           {r_sql('list_max(list_transform(part, lambda x, i: abs(x - codes[i] * step)))')} AS worst_error
+    FROM c
+    """,
+)
+def packed_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Two four-bit codes a byte per 32 entries, and how far the unpacked vector is off."""
+    e = _embeddings(spark, sf).select("vec_id", V.doubles(F.col("v")).alias("v"))
+    packed = e.withColumn("q", V.pack_groups(V.quantize(F.col("v"), 32, 4)))
+    off = F.zip_with("v", V.dequantize(V.unpack_groups(F.col("q"))), lambda x, y: F.abs(x - y))
+    rows = packed.withColumn("off", off).select("vec_id", "off", F.posexplode("q").alias("group_no", "g"))
+    return rows.select(
+        "vec_id",
+        "group_no",
+        F.octet_length("g.packed").cast("bigint").alias("n_bytes"),
+        rounded(F.col("g.scale") / 2).alias("bound"),
+        F.hex("g.packed").alias("packed"),
+        rounded(F.array_max(F.slice("off", F.col("group_no") * 32 + 1, 32))).alias("worst_error"),
+    )
+
+
+# The weights of a rule have all their eleven values in any 32 neighbours, so every group has the same scale.
+_STEP_SQL = "(5::DOUBLE / 64 / 7)"
+_CODE_SQL = f"round(((i * 7 + j * 3 + 7) % 11 - 5)::DOUBLE / 64 / {_STEP_SQL})"
+_CODES_SQL = f"list_transform(range(64), lambda j: {_CODE_SQL})"
+
+
+@query(
+    "low_bit_products",
+    f"""
+    WITH {E_SQL}, m AS (SELECT *, list_max(list_transform(v, lambda x: abs(x))) / 127 AS step FROM e),
+    s AS (SELECT vec_id, v, CASE WHEN step > 0 THEN step ELSE 1 END AS step FROM m),
+    c AS (SELECT *, list_transform(v, lambda x: round(x / step)) AS codes, {weight_sql(16, 64, 7, 'v')} AS exact FROM s),
+    y AS (SELECT *, list_transform(range(16), lambda i:
+            list_inner_product({_CODES_SQL}, codes) * {_STEP_SQL} * step + i::DOUBLE / 100) AS y FROM c)
+    SELECT vec_id, {vector_marks_sql('y')},
+           {r_sql('list_max(list_transform(y, lambda x, i: abs(x - exact[i])))')} AS worst_error,
+           {r_sql(f"""list_sum(list_transform(v, lambda x: abs(x))) * {_STEP_SQL} / 2 + list_max(list_transform(v, lambda x: abs(x))) / 127 / 2
+               * list_max(list_transform(range(16), lambda i: list_sum(list_transform({_CODES_SQL}, lambda w: abs(w))))) * {_STEP_SQL}""")} AS bound
+    FROM y
+    """,
+)
+def low_bit_products(spark: SparkSession, sf: str) -> DataFrame:
+    """A layer of packed four-bit weights on eight-bit vectors, with its largest error and the bound on it."""
+    weight, bias = weight_rule(16, 64, 7), [i / 100 for i in range(16)]
+    packed = V.PackedWeights(weight)
+    e = _embeddings(spark, sf).select("vec_id", V.doubles(F.col("v")).alias("v"))
+    both = e.withColumn("y", V.low_bit_linear(F.col("v"), packed, bias)).withColumn("exact", V.dense(F.col("v"), weight, bias))
+    return both.select(
+        "vec_id",
+        *vector_marks(F.col("y")),
+        rounded(F.array_max(F.zip_with("y", "exact", lambda a, b: F.abs(a - b)))).alias("worst_error"),
+        rounded(packed.error_bound(F.col("v"))).alias("bound"),
+    )
+
+
+_RELU_SQL = "list_transform({}, lambda x: greatest(x, 0))"
+
+
+@query(
+    "captured_layers",
+    f"""
+    WITH {E_SQL}, a AS (SELECT vec_id, {_RELU_SQL.format('a')} AS a FROM (SELECT vec_id, {weight_sql(32, 64, 1, 'v')} AS a FROM e)),
+    b AS (SELECT vec_id, {_RELU_SQL.format('b')} AS b FROM (SELECT vec_id, {weight_sql(16, 32, 2, 'a')} AS b FROM a)),
+    c AS (SELECT vec_id, {weight_sql(10, 16, 3, 'b')} AS c FROM b),
+    captured AS (SELECT vec_id, 'layer_1' AS layer, a AS x FROM a UNION ALL SELECT vec_id, 'layer_2', b FROM b
+                 UNION ALL SELECT vec_id, 'layer_3', c FROM c)
+    SELECT vec_id, layer, {vector_marks_sql('x')} FROM captured
+    """,
+)
+def captured_layers(spark: SparkSession, sf: str) -> DataFrame:
+    """Each layer's activations of a stored net, kept once per vector in a folder per layer and read back."""
+    shapes = [(32, 64, 1, V.relu), (16, 32, 2, V.relu), (10, 16, 3, V.identity)]
+    layers = [(weight_rule(r, c, s), [i / 100 for i in range(r)], act) for r, c, s, act in shapes]
+    path = scratch_path(spark, "layers")
+    long = stores.capture_layers(_embeddings(spark, sf), ["vec_id"], F.col("v"), layers)
+    kept = stores.first_writes(long.withColumn("seq", F.lit(0)), ["vec_id", "layer"], "seq", ["activation"])
+    stores.save_cache(kept.select("vec_id", "layer", "activation"), path)
+    return _marked(stores.read_cache(spark, path), "activation", "vec_id", "layer")
+
+
 def _captured(spark: SparkSession, sf: str) -> DataFrame:
     """Two layers of activations per vector, each written twice; the later copy is shifted."""
     e = _embeddings(spark, sf).select("vec_id", V.doubles(F.col("v")).alias("v"))

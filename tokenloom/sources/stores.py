@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.functions import text
+from tokenloom.functions import vectors as V
 
 METRICS = "run string, epoch int, step bigint, name string, value double"
 
@@ -44,6 +45,20 @@ def first_writes(df: DataFrame, key: Sequence[str], order: str, columns: Sequenc
     return out.select(*key, *[F.col("_f")[c].alias(c) for c in (order, *columns)], "n_dropped")
 
 
+def capture_layers(df: DataFrame, key: Sequence[str], v: Column, layers: Sequence[V.Layer]) -> DataFrame:
+    """key, layer, activation: what every layer of a stored net makes of each vector, in one pass.
+
+    Layers are named `layer_1` and on. A layer takes the stored result of the
+    one before, so none is worked out twice; a null vector has null activations.
+    """
+    out = df.select(*key, V.doubles(v).alias("_0"))
+    for i, layer in enumerate(layers):
+        made = V.perceptron(F.col(f"_{i}"), [layer])
+        out = out.withColumn(f"_{i + 1}", F.when(F.col(f"_{i}").isNotNull(), made))
+    rows = [F.struct(F.lit(f"layer_{i + 1}").alias("layer"), F.col(f"_{i + 1}").alias("activation")) for i in range(len(layers))]
+    return out.select(*key, F.inline(F.array(*rows)))
+
+
 def save_cache(df: DataFrame, path: str, layer: str = "layer") -> None:
     """Write a (sample, layer, activation) table with one folder per layer."""
     df.write.partitionBy(layer).parquet(path)
