@@ -48,8 +48,8 @@ def first_writes(df: DataFrame, key: Sequence[str], order: str, columns: Sequenc
 def capture_layers(df: DataFrame, key: Sequence[str], v: Column, layers: Sequence[V.Layer]) -> DataFrame:
     """key, layer, activation: what every layer of a stored net makes of each vector, in one pass.
 
-    Layers are named `layer_1` and on. A layer takes the stored result of the
-    one before, so none is worked out twice; a null vector has null activations.
+    Layers are named `layer_1` and on. A layer takes the column of the one
+    before; a null vector has null activations.
     """
     out = df.select(*key, V.doubles(v).alias("_0"))
     for i, layer in enumerate(layers):
