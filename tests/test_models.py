@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tokenloom import session
 from tokenloom.functions import text as X
 from tokenloom.functions import vectors as V
+from tokenloom.operators import attention as attention_module
 from tokenloom.operators import learning as L
 from tokenloom.operators import ngrams as N
 from tokenloom.operators import series as R
@@ -377,3 +378,23 @@ def test_stream_and_table_agree_on_turns(spark):
     assert batch == streamed and [(r.conv_id, r.role) for r in batch] == [(1, "user")]
     reasons = streams.rejected_turns(df, "reject").collect()
     assert [(r.conv_id, r.reason) for r in reasons] == [(1, "special marker"), (2, "missing role or content")]
+
+
+def test_group_attention_moves_rows_not_pairs_of_blocks(spark, monkeypatch):
+    """What is written between the stages grows with the rows, whatever the block; small tiles give the same means."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(600, 4))
+    df = spark.createDataFrame([(i, 1, v.tolist()) for i, v in enumerate(x)], "id int, g int, v array<double>")
+    tables = []
+    monkeypatch.setattr(attention_module, "materialize", lambda d, name: tables.append(materialize(d, name)) or tables[-1])
+    for causal in (False, True):
+        got = group_attention(df, ["g"], "id", "v", ["id"], 2, causal, block=2, fan=2)
+        assert sum(t.count() for t in tables) <= 2 * len(x)  # 300 blocks meet in 90,000 pairs
+        assert got._jdf.queryExecution().optimizedPlan().toString().count("collect_list") == 0
+        got = {r.id: r.attended for r in got.collect()}
+        tables.clear()
+        for i in (0, 7, 300, 599):
+            keys, mixed = x[: i + 1] if causal else x, np.zeros(4)
+            for part in (slice(0, 2), slice(2, 4)):
+                mixed[part] = softmax_rows(x[i : i + 1, part] @ keys[:, part].T / math.sqrt(2)) @ keys[:, part]
+            assert got[i] == pytest.approx(mixed.tolist())

@@ -1,9 +1,9 @@
 """Similarity-weighted averages over ordered vectors, of whole groups or of sequences of a stated length.
 
 Attention compares every row with every other one. `group_attention` does so
-within whole groups of any size: each group is cut into blocks, every pair of
-blocks is a task's work of its own, and what a block of rows has seen so far
-(largest score, sum and weighted sum) is merged a few blocks at a time.
+within whole groups of any size: each group is cut into tiles, the rows that a
+tile sees pass by it one after the other, and what it has seen so far (largest
+score, sum and weighted sum) is all that is kept of them.
 `attention` is the cheaper form for input of a fixed length: an ordered series
 is cut every `context` rows, each piece is one sequence, and every row belongs
 to exactly one. In neither does a pair of rows become a row.
@@ -11,12 +11,13 @@ to exactly one. In neither does a pair of rows become a row.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tokenloom.functions import lists
 from tokenloom.functions.arrays import whole
@@ -27,6 +28,9 @@ from tokenloom.session import materialize
 
 Weights = Mapping[str, Sequence[Sequence[float]]] | None
 Biases = Mapping[str, Sequence[float]] | None
+TILE_ROWS = 4096  # a task holds so many rows of a group at most
+TILES = 64  # and a table is cut into about so many tiles, unless they would be larger
+SCORES = 1 << 20  # scores that are worked out at once
 
 
 def cut_sequences(df: DataFrame, order: str, context: int, group: str | Sequence[str] = ()) -> DataFrame:
@@ -83,6 +87,48 @@ def _hidden(rows: int, seen: np.ndarray, later: bool) -> np.ndarray:
     return out | np.triu(np.ones(out.shape, dtype=bool), 1) if later else out
 
 
+class _Tile:
+    """Rows of a group that lie together, and what they have seen so far."""
+
+    def __init__(self, name: tuple[int, int], project: Callable[[np.ndarray, str], np.ndarray], heads: int, causal: bool, fan: int):
+        self.name, self.project, self.heads, self.causal, self.fan = name, project, heads, causal, fan
+        self.rows: list[np.ndarray] = []
+        self.flags: list[np.ndarray] = []
+        self.places: list[np.ndarray] = []
+        self.looks: list[np.ndarray] = []
+        self.q: np.ndarray | None = None
+
+    def add(self, x: np.ndarray, seen: np.ndarray, places: np.ndarray) -> None:
+        """Rows of the tile itself, in order; all of them come before the first `see`."""
+        self.rows.append(x)
+        self.flags.append(seen)
+        self.places.append(places)
+
+    def see(self, x: np.ndarray, seen: np.ndarray | None = None) -> None:
+        """Rows of other tiles, or of the tile itself with the flags of those that may be seen."""
+        if self.q is None:
+            own = np.concatenate(self.rows)
+            self.rows, self.q = [], _by_head(self.project(own, "q"), self.heads)
+            self.see(own, np.concatenate(self.flags))
+        rows = self.q.shape[1]
+        step = max(1, SCORES // (self.heads * rows))
+        for start in range(0, len(x), step):
+            k, v = (_by_head(self.project(x[start : start + step], name), self.heads) for name in "kv")
+            hidden = np.zeros((1, k.shape[1]), dtype=bool)
+            if seen is not None:
+                hidden = np.broadcast_to(~seen[start : start + step], (rows, k.shape[1]))
+                if self.causal:
+                    hidden = hidden | (np.arange(start, start + k.shape[1]) > np.arange(rows)[:, None])
+            self.looks.append(_look(self.q, k, v, hidden))
+            if len(self.looks) == self.fan:
+                self.looks = [_merge(np.stack(self.looks))]
+
+    def look(self) -> np.ndarray:
+        if self.q is None:
+            self.see(np.empty((0, self.rows[0].shape[1])))
+        return _merge(np.stack(self.looks))
+
+
 def _split(flat: pa.Array) -> list[np.ndarray]:
     return np.split(lists.numbers(flat), np.cumsum(lists.lengths(flat))[:-1])
 
@@ -169,11 +215,12 @@ def group_attention(
 ) -> DataFrame:
     """As `attention`, exactly, over whole groups of any size; gives `group`, `keep` and `out`.
 
-    A group is cut along `order` into blocks of `block` rows. Every block of
-    rows meets every block of keys of its group by an equality join on group
-    and key block, so a hot group spreads over as many tasks as it has blocks.
-    The looks at different key blocks are merged `fan` at a time, level by
-    level, so no task ever holds more than `fan` of them. Rows without a vector
+    A group is cut along `order` into tiles of `block` rows or more: of so many
+    that a table has about `TILES` of them, and of `TILE_ROWS` at most. Every
+    tile is sent its own rows and, one after the other, those that it sees, so
+    a hot group spreads over as many tasks as it has tiles and a row moves once
+    per tile that sees it. What the keys so far give is merged whenever `fan`
+    looks have come together; they never leave the task. Rows without a vector
     see nothing and are seen by none; their result is null. Work is quadratic
     in a group's rows, as the formula is.
     """
@@ -183,61 +230,58 @@ def group_attention(
         ).drop("_all")
     project = _projector(weights, biases)
 
-    def projection(name: str) -> Callable[[Column, Column], Column]:
-        @F.arrow_udf("array<double>")
-        def run(flat: pa.Array, n: pa.Array) -> pa.Array:
-            return _join([project(x.reshape(m, -1), name).ravel() for x, m in zip(_split(flat), n.to_numpy())], flat)
-
-        return run
-
-    @F.arrow_udf("array<double>")
-    def look(q: pa.Array, n: pa.Array, k: pa.Array, v: pa.Array, flags: pa.Array, same: pa.Array) -> pa.Array:
-        found = []
-        for x, m, y, z, s, own in zip(_split(q), n.to_numpy(), _split(k), _split(v), _flags(flags), same.to_pylist()):
-            x, y, z = _by_head(x.reshape(m, -1), heads), _by_head(y.reshape(len(s), -1), heads), _by_head(z.reshape(len(s), -1), heads)
-            found.append(_look(x, y, z, _hidden(m, s, causal and own)).ravel())
-        return _join(found, q)
-
-    @F.arrow_udf("array<double>")
-    def merge(flat: pa.Array, parts: pa.Array, n: pa.Array) -> pa.Array:
-        shaped = (x.reshape(p, heads, m, -1) for x, p, m in zip(_split(flat), parts.to_numpy(), n.to_numpy()))
-        return _join([_merge(x).ravel() for x in shaped], flat)
-
-    @F.arrow_udf("array<double>")
-    def finish(flat: pa.Array, n: pa.Array) -> pa.Array:
-        looks = (x.reshape(heads, m, -1) for x, m in zip(_split(flat), n.to_numpy()))
-        return _join([project(_mean(x), "o").ravel() for x in looks], flat)
+    def finish(tile: _Tile) -> pa.RecordBatch:
+        y = project(_mean(tile.look()), "o")
+        each = lists.regroup(y.ravel(), np.full(len(y), y.shape[1]), None)
+        ids = [pa.array(np.full(len(y), x)) for x in tile.name]
+        return pa.RecordBatch.from_arrays([*ids, pa.array(np.concatenate(tile.places)), each], names=["_g", "seq_no", "pos", out])
+
+    def attend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile = None
+        for batch in batches:
+            names = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype("int64") for c in ("_g", "_to", "_other")])
+            starts = np.flatnonzero(np.any(names[:, 1:] != names[:, :-1], axis=0)) + 1
+            for start, stop in zip([0, *starts], [*starts, batch.num_rows]):
+                if start == stop:
+                    continue
+                g, to, other = names[:, start]
+                if tile is None or tile.name != (g, to):
+                    if tile is not None:
+                        yield finish(tile)
+                    tile = _Tile((g, to), project, heads, causal, max(2, fan))
+                part = batch.slice(start, stop - start)
+                x = lists.numbers(part.column("_v")).reshape(stop - start, -1)
+                if other:
+                    tile.see(x)
+                else:
+                    tile.add(x, part.column("_s").to_numpy(zero_copy_only=False).astype(bool), part.column("pos").to_numpy())
+        if tile is not None:
+            yield finish(tile)
 
     given = df.filter(F.col(vector).isNotNull())
-    rows = cut_sequences(given, order, block, group)
-    blocks = rows.groupBy(*group, "seq_no").agg(_members(vector, keep, seen).alias("_m"))
-    flat, n = F.flatten(F.col("_m")["_v"]), F.size("_m").cast("bigint")
-    blocks = blocks.select("*", n.alias("_n"), F.col("_m")["_s"].alias("_s"), *[projection(c)(flat, n).alias(f"_{c}") for c in "qkv"])
-    blocks = materialize(blocks, "blocks")
-
-    sizes = materialize(blocks.groupBy(*group).agg(F.max("seq_no").alias("_last")), "group_blocks")
-    asking = lookup(blocks.select(*group, "seq_no", "_n", "_q"), sizes, list(group), null_safe=True)
-    last = F.col("seq_no") if causal else F.col("_last")
-    asking = asking.withColumn("key_no", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).drop("_last")
-    keys = blocks.select(*group, F.col("seq_no").alias("key_no"), "_k", "_v", "_s")
-    met = lookup(asking, keys, [*group, "key_no"], "inner", null_safe=True)
-    seen_so_far = look("_q", "_n", "_k", "_v", "_s", F.col("seq_no") == F.col("key_no")).alias("_p")
-    looks = met.select(*group, "seq_no", "_n", F.col("key_no"), seen_so_far)
-
-    most = (sizes.agg(F.max("_last")).first()[0] or 0) + 1
-    while most > 1:
-        parts = F.array_sort(F.collect_list(F.struct("key_no", "_p")))
-        upper = looks.withColumn("upper_no", whole("key_no", fan)).groupBy(*group, "seq_no", "_n", "upper_no")
-        merged = upper.agg(parts.alias("_ps"))
-        one = merge(F.flatten(F.col("_ps")["_p"]), F.size("_ps").cast("bigint"), "_n")
-        looks = merged.select(*group, "seq_no", "_n", F.col("upper_no").alias("key_no"), one.alias("_p"))
-        most = -(-most // fan)
-
-    names = [F.col(c).alias(f"__{c}") for c in (*group, "seq_no")]
-    ended = looks.select(*names, finish("_p", "_n").alias("_y"))
-    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"`__{c}`")) for c in (*group, "seq_no")]
-    mixed = blocks.select(*group, "seq_no", "_m").join(ended, same)
-    found = _spread(mixed, list(group), keep, out).drop("pos")
+    size = max(block, min(TILE_ROWS, -(-given.count() // TILES)))
+    v, kind = F.col(vector), given.schema[vector].dataType
+    v = v if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType) else doubles(v)
+    flag = F.lit(True) if seen is None else F.coalesce(F.col(seen), F.lit(False))
+    kept = [F.col(c).alias(f"_k{i}") for i, c in enumerate((*group, *keep))]
+    cut = cut_sequences(given, order, size, group)
+    rows = materialize(cut.select(*kept, "seq_no", "pos", v.alias("_v"), flag.alias("_s")), "rows")
+    by = [f"_k{i}" for i in range(len(group))]
+    sizes = rows.groupBy(*by).agg(F.max("seq_no").alias("_last")).withColumn("_g", F.monotonically_increasing_id())
+    sizes = materialize(sizes, "group_tiles")
+    rows = lookup(rows, sizes, by, "inner", null_safe=True)
+
+    first = F.col("seq_no") if causal else F.lit(0).cast("bigint")
+    sent = rows.select("_g", "seq_no", "pos", "_v", "_s", F.explode(F.sequence(first, F.col("_last"))).alias("_to"))
+    sent = sent.withColumn("_other", F.col("_to") != F.col("seq_no")).filter("_s or not _other")
+    tiles = sizes.agg(F.sum(F.col("_last") + 1)).first()[0] or 1
+    spark = df.sparkSession
+    tasks = max(6 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = sent.repartition(min(2 * tiles, tasks), "_g", "_to").sortWithinPartitions("_g", "_to", "_other", "seq_no", "pos")
+    made = dealt.mapInArrow(attend, f"_g bigint, seq_no bigint, pos bigint, `{out}` array<double>")
+    place = ["_g", "seq_no", "pos"]
+    found = rows.drop("_v", "_s", "_last").join(made, place)
+    found = found.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate((*group, *keep))], out)
     absent = df.filter(F.col(vector).isNull()).select(*group, *keep, F.lit(None).cast("array<double>").alias(out))
     return found.unionByName(absent)
 
