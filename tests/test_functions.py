@@ -3,12 +3,14 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tokenloom.functions import arrays as A
 from tokenloom.functions import text as X
 from tokenloom.functions import vectors as V
+from tokenloom.operators import vocabulary as vocabulary_module
 
 
 def one(spark, column, **values):
@@ -172,3 +174,24 @@ def test_low_bit_layer_stays_inside_its_bound(spark):
     assert out[8].y is None and out[9].y is None
     with pytest.raises(Exception, match="64 entries"):
         spark.createDataFrame([([1.0],)], "v array<double>").select(V.low_bit_linear(F.col("v"), packed)).collect()
+
+
+def test_batch_tokenizer_is_given_few_characters_at_a_time(spark):
+    together = X.batch_tokenizer(lambda texts: [[sum(map(len, texts))] for _ in texts])
+    rows = [(i, None if i == 7 else "x" * (3_000_000 if i == 5 else 200_000)) for i in range(20)]
+    df = spark.createDataFrame(rows, "i int, t string").coalesce(1).select("i", together("t").alias("n"))
+    got = {r.i: r.n for r in df.collect()}
+    assert len(got) == 20 and got.pop(7) is None and got.pop(5) == [3_000_000]
+    assert all(0 < n[0] <= X.CODED_CHARACTERS for n in got.values())
+
+
+def test_tokens_are_looked_up_in_pieces(spark):
+    df = spark.createDataFrame([("a b b",)], "t string")
+    vocabulary = vocabulary_module.fit_vocabulary(df, X.tokens(F.col("t")), size=9)
+    lists = [["b"] * 300_000, None, ["a", "?"], [], ["b"] * 300_000, ["a"] * 600_000]
+    coded = list(vocabulary_module._encoder(vocabulary).func(iter([pa.array(lists, pa.list_(pa.string()))])))
+    assert [len(c) for c in coded] == [4, 1, 1]
+    ids = pa.concat_arrays(coded)
+    assert ids[:4].to_pylist()[1:] == [None, [1, vocabulary.unknown_id], []] and set(ids[5].as_py()) == {1}
+    named = list(vocabulary_module._decoder(vocabulary).func(iter([ids])))
+    assert [len(c) for c in named] == [4, 1, 1] and named[0].to_pylist()[0] == lists[0]
