@@ -3,6 +3,7 @@
 from datetime import timedelta
 
 import numpy as np
+import pandas as pd
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -166,3 +167,53 @@ def test_places_of_one_file_and_of_none(spark):
     path = scratch_path(spark, "empty")
     spark.range(0).write.parquet(path)
     assert with_file_position(spark.read.parquet(path)).count() == 0 and file_slice(spark, path, 0, 3, "idx").columns == ["id", "idx"]
+
+
+class Values:
+    """A processor's state and timers in memory, counting its calls."""
+
+    def __init__(self):
+        self.held, self.timers, self.folded, self.calls = {}, [], None, 0
+
+    def getValueState(self, name, schema):
+        return type("Folded", (), {"get": lambda _: self.folded, "update": lambda _, new: setattr(self, "folded", new)})()
+
+    def getMapState(self, name, key, value):
+        return self
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def keys(self):
+        self.calls += 1
+        return iter(list(self.held))
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.held.get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.held[key] = value
+
+    def removeKey(self, key):
+        self.calls += 1
+        del self.held[key]
+
+
+def test_one_timer_folds_all_slots_that_are_over():
+    at = lambda ms: type("Now", (), {"getCurrentWatermarkInMs": lambda _: ms})()
+    rows = lambda *ms: iter([pd.DataFrame({"row_ms": ms, "row_known": True, "place": ms, "row_x": [[1.0, 2.0]] * len(ms)})])
+    state = Values()
+    fold = folds.OrderedFold("u", ["place"], R.gated_cell(Q.WX, Q.BX, Q.WH, Q.WXZ, Q.BZ, Q.WHZ), 3, 10)
+    fold.init(state)
+    list(fold.handleInputRows((1,), rows(*range(95, 15, -2)), at(0)))
+    assert state.timers == [20] and len(state.held) == 9 and state.calls == 9
+    list(fold.handleInputRows((1,), rows(5, 17), at(0)))  # before the first that waits
+    assert state.timers == [20, 10] and sorted(state.held)[0] == (0,)
+    state.calls = 0
+    out = list(fold.handleExpiredTimer((1,), at(50), None))
+    assert len(out) == 1 and sorted(state.held) == [(s,) for s in range(5, 10)] and state.timers == [20, 10, 60]
+    n = int(out[0].n_steps[0])
+    assert n + int(out[0].n_pending[0]) == 42 and out[0].h[0] == pytest.approx(gated([[1.0, 2.0]] * n)) and state.calls == 11
+    assert list(fold.handleExpiredTimer((1,), at(50), None)) == []  # the second timer finds all done
