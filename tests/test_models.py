@@ -398,3 +398,16 @@ def test_group_attention_moves_rows_not_pairs_of_blocks(spark, monkeypatch):
             for part in (slice(0, 2), slice(2, 4)):
                 mixed[part] = softmax_rows(x[i : i + 1, part] @ keys[:, part].T / math.sqrt(2)) @ keys[:, part]
             assert got[i] == pytest.approx(mixed.tolist())
+
+
+def test_scores_with_common_pairs_sent_and_rare_ones_joined(spark, lm):
+    encoded, model = lm
+    odd = encoded.unionByName(spark.createDataFrame([(3, [0, None, 1]), (4, None), (5, [])], "id int, ids array<bigint>"))
+    common = N._common_pairs(model, 2).collect()
+    assert 0 < len(common) <= 2 and min(r.n for r in common) > 1 and N._common_pairs(model, 0).count() == 0
+    want = {r.id: r for r in N.score_sequences(odd, "id", "ids", model).collect()}
+    for size in (0, 2 * N.PAIR_BYTES):
+        got = N.score_sequences(odd, "id", "ids", model, max_bytes=size).collect()
+        assert sorted(r.id for r in got) == sorted(want)
+        for r in got:
+            assert tuple(r) == pytest.approx(tuple(want[r.id]))
