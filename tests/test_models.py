@@ -217,6 +217,17 @@ def test_whole_sequences_of_vectors(spark, monkeypatch):
     assert {tuple(r.vectors) for r in S.embed_sequences(df.filter("k = 4"), "k", "ids", vectors.limit(0), "id", "v", 2).collect()} == {(None, None)}
 
 
+def test_only_the_vectors_that_sequences_name_are_sent(spark):
+    """A table too large to send whole is cut to the named vectors; no vector is shuffled for every token."""
+    vectors = spark.range(500).selectExpr("id", "array(float(id), float(0.1)) AS v")
+    df = spark.createDataFrame([(1, [5, 7, 5]), (2, [7, 999, None]), (3, None)], "k bigint, ids array<bigint>")
+    got = S.embed_sequences(df, "k", "ids", vectors, "id", "v", 2, max_bytes=1000)
+    tenth = float(np.float32(0.1))
+    five, seven = [5.0, tenth], [7.0, tenth]
+    assert {r.k: r.vectors for r in got.collect()} == {1: [five, seven, five], 2: [seven, None, None], 3: None}
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_thirty_two_values_give_thirty_three_then_sixteen(spark):
     df = spark.range(32).selectExpr("'u' AS k", "id AS idx", "double(id) AS x")
     out = R.convolve(df, ["k"], "idx", ["x"], [[[1.0, 10.0]]], padding=1, activation=V.gelu)
