@@ -224,6 +224,17 @@ def test_phrases_equal_brute_force(spark, cover, top, limits):
     assert sorted(tuple(r) for r in got) == sorted(want) and len(want) > 30
 
 
+def test_only_phrases_of_frequent_triples_are_counted():
+    """Words 0 to 3 follow each other in many ways; 0 1 2 3 is all frequent, 3 0 1 2 has frequent pairs but a rare triple."""
+    ids = np.array([0, 1, 2, 3, -1, 0, 1, 2, 3, 0, 1, -1, 3, 0, 1, 2, -1, 2, 3, 0, -1])
+    pairs = np.array([0 * 4 + 1, 1 * 4 + 2, 2 * 4 + 3, 3 * 4 + 0])
+    triples = np.array([0 * 4 + 2, 1 * 4 + 3])  # 0 1 2 and 1 2 3, by the place of their pair
+    found = [(tuple(int(c[i]) for c in columns), int(n[i])) for columns, n in collocations.phrases_in(ids, 4, 3, 5, pairs, triples) for i in range(len(n))]
+    assert found == [((0, 1, 2), 3), ((1, 2, 3), 2), ((0, 1, 2, 3), 2)]
+    alone = [columns for columns, n in collocations.phrases_in(ids, 4, 4, 5, pairs, triples[:0]) if len(n)]
+    assert alone == [] and not any(len(n) for _, n in collocations.phrases_in(ids[:0], 4, 4, 5, pairs, triples))
+
+
 def test_stretches_of_a_text_are_joined_without_loss(spark, monkeypatch):
     docs = phrase_docs()
     for name, value in (("STEP", 7), ("CHUNK", 16), ("ROW_IDS", 4), ("WORDS_HELD", 3)):

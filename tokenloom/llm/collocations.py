@@ -2,8 +2,8 @@
 
 Words are counted first. Only words of `min_count` occurrences can be in a
 phrase of that many, so texts are written once more as whole numbers with
-breaks at cuts and rarer words; pairs and longer phrases are counted from
-these. The phrases that remain hold all their own beginnings and endings. In
+breaks at cuts and rarer words; pairs, triples and longer phrases are counted
+from these, each where the ones before are frequent. The phrases that remain hold all their own beginnings and endings. In
 prefix order the counts of a phrase's beginnings, and of what extends it to the
 right, lie in the same stretch of the stream; in suffix order those of its
 endings and of what extends it to the left. So one pass over each stream, with
@@ -179,20 +179,37 @@ def _joined_ids(rows: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return placed.select(F.concat(F.flatten(F.transform("p", step)), F.array(F.lit(-1))).alias("ids"))
 
 
-def phrases_in(ids: np.ndarray, size: int, low: int, high: int, pairs: np.ndarray | None) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+def _listed(keys: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of `keys` in the sorted `known`, and which of them are there."""
+    found = np.searchsorted(known, keys)
+    if not len(known):
+        return found, np.zeros(len(keys), dtype=bool)
+    return found, known[np.minimum(found, len(known) - 1)] == keys
+
+
+def phrases_in(
+    ids: np.ndarray, size: int, low: int, high: int, pairs: np.ndarray | None, triples: np.ndarray | None = None
+) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
     """Of each number of words from `low` to `high`: the different phrases in `ids`, a list of columns, and their counts.
 
     `size` is that of the vocabulary. With `pairs` (first * size + second,
-    sorted) only phrases all of whose pairs are listed are counted.
+    sorted) only phrases all of whose pairs are listed are counted. With
+    `triples` too (place of the pair in `pairs` * size + third, sorted) only
+    those of three words and more all of whose triples are.
     """
     at = np.flatnonzero(ids[:-1] >= 0) if len(ids) else np.zeros(0, dtype=np.int64)
     at = at[ids[at + 1] >= 0]
     if pairs is not None:
-        key = ids[at] * size + ids[at + 1]
-        found = np.searchsorted(pairs, key)
-        at = at[(found < len(pairs)) & (pairs[np.minimum(found, len(pairs) - 1)] == key)] if len(pairs) else at[:0]
+        found, known = _listed(ids[at] * size + ids[at + 1], pairs)
+        at, found = at[known], found[known]
     linked = np.zeros(len(ids), dtype=bool)  # a phrase may go on from here to the next place
     linked[at] = True
+    if triples is not None:
+        on = linked[at + 1]
+        at, found = at[on], found[on]
+        at = at[_listed(found * size + ids[at + 2], triples)[1]]
+        linked = np.zeros(len(ids), dtype=bool)  # or from the place before to the next but one
+        linked[at + 1] = True
     code, columns = ids[at], None
     for words in range(2, high + 1):
         key, back = np.unique(code * size + ids[at + words - 1], return_inverse=True)
@@ -204,9 +221,11 @@ def phrases_in(ids: np.ndarray, size: int, low: int, high: int, pairs: np.ndarra
         at, code = at[on], back[on]
 
 
-def phrase_counts(encoded: DataFrame, size: int, low: int, high: int, pairs: np.ndarray | None = None) -> DataFrame:
+def phrase_counts(
+    encoded: DataFrame, size: int, low: int, high: int, pairs: np.ndarray | None = None, triples: np.ndarray | None = None
+) -> DataFrame:
     """w1, w2, ... (-1 behind the end), words, n: counted inside the tasks, then by phrase."""
-    shared = encoded.sparkSession.sparkContext.broadcast(pairs)
+    shared = encoded.sparkSession.sparkContext.broadcast((pairs, triples))
     names = [f"w{i + 1}" for i in range(high)]
 
     def run(batches):
@@ -217,7 +236,7 @@ def phrase_counts(encoded: DataFrame, size: int, low: int, high: int, pairs: np.
             start = 0
             while start < len(flat):
                 end = int(ends[min(np.searchsorted(ends, start + CHUNK), len(ends) - 1)])
-                for columns, n in phrases_in(flat[start:end].astype(np.int64), size, low, high, shared.value):
+                for columns, n in phrases_in(flat[start:end].astype(np.int64), size, low, high, *shared.value):
                     words = np.full(len(n), len(columns), dtype=np.int32)
                     columns = columns + [np.full(len(n), -1)] * (high - len(columns))
                     yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(words), pa.array(n)], names=[*names, "words", "n"])
@@ -227,23 +246,43 @@ def phrase_counts(encoded: DataFrame, size: int, low: int, high: int, pairs: np.
     return encoded.select("ids").mapInArrow(run, schema).groupBy(*names, "words").agg(F.sum("n").alias("n"))
 
 
+def _sorted_keys(phrases: DataFrame, size: int, pairs: np.ndarray | None = None) -> np.ndarray:
+    """Pairs or, with `pairs`, triples as `phrases_in` takes them; call only after a check of the size."""
+    first, second, *third = (c.to_numpy() for c in phrases.toArrow().columns)
+    keys = first * size + second
+    return np.sort(keys if pairs is None else _listed(keys, pairs)[0] * size + third[0])
+
+
 def frequent_phrases(encoded: DataFrame, size: int, min_count: int, max_words: int, pair_bytes: int = PAIR_BYTES) -> DataFrame:
     """w1 ... (-1 behind the end), words, n: all phrases of 2 to `max_words` words that occur `min_count` times.
 
-    Longer phrases are only counted where all their pairs are frequent, if the
-    frequent pairs are few enough to be sent to the tasks; else everywhere.
+    Triples are only counted where both their pairs are frequent, and longer
+    phrases where all their triples are, if the frequent pairs and triples are
+    few enough to be sent to the tasks; else everywhere that the pairs allow,
+    or everywhere.
     """
-    pairs = materialize(phrase_counts(encoded, size, 2, 2).filter(F.col("n") >= min_count), "pairs")
-    none = [F.lit(-1).cast("long").alias(f"w{i + 1}") for i in range(2, max_words)]
-    short = pairs.select("w1", "w2", *none, "words", "n")
+    names = [f"w{i + 1}" for i in range(max_words)]
+
+    def kept(counts: DataFrame, name: str) -> DataFrame:
+        frequent = counts.filter(F.col("n") >= min_count)
+        none = [F.lit(-1).cast("long").alias(w) for w in names if w not in counts.columns]
+        return materialize(frequent.select(*[w for w in names if w in counts.columns], *none, "words", "n"), name)
+
+    out = kept(phrase_counts(encoded, size, 2, 2), "pairs")
     if max_words == 2:
-        return short
-    listed = None
-    if table_bytes(pairs.select("w1", "w2")) <= pair_bytes:
-        found = pairs.select("w1", "w2").toArrow()
-        listed = np.sort(found.column(0).to_numpy() * size + found.column(1).to_numpy())
-    longer = phrase_counts(encoded, size, 3, max_words, listed).filter(F.col("n") >= min_count)
-    return materialize(short.unionByName(longer), "phrases")
+        return out
+    pairs = triples = None
+    if table_bytes(out.select("w1", "w2")) <= pair_bytes:
+        pairs = _sorted_keys(out.select("w1", "w2"), size)
+    if pairs is None:
+        return out.unionByName(kept(phrase_counts(encoded, size, 3, max_words), "longer"))
+    three = kept(phrase_counts(encoded, size, 3, 3, pairs), "triples")
+    out = out.unionByName(three)
+    if max_words > 3:
+        if table_bytes(three.select("w1", "w2", "w3")) <= pair_bytes:
+            triples = _sorted_keys(three.select("w1", "w2", "w3"), size, pairs)
+        out = out.unionByName(kept(phrase_counts(encoded, size, 4, max_words, pairs, triples), "longer"))
+    return out
 
 
 def _in_step(phrases: DataFrame, columns: list[str], tag: str) -> DataFrame:
