@@ -459,3 +459,29 @@ def test_pipeline_on_planted_documents(spark, tmp_path):
     kept = {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert {90_001, 90_002} <= kept and 90_003 not in kept and (90_004 in kept) != (90_005 in kept)
     assert 700 < len(kept) < 900
+
+
+def test_a_queue_of_many_pretokens_and_lists_decoded_together():
+    """Pre-tokens in one queue do not touch; ids of lists are decoded in one take, nulls and gaps in the ranks included."""
+    rng = random.Random(9)
+    tokens = {bytes([c]) for c in b"abc"} | {bytes(rng.choices(b"abc", k=rng.randrange(2, 5))) for _ in range(30)}
+    order = sorted(tokens)
+    rng.shuffle(order)
+    for spacing in (1, 97):
+        ranks = {token: rank * spacing for rank, token in enumerate(order)}
+        queue = bpe.RankQueue(ranks)
+        pieces = [bytes(rng.choices(b"abc", k=rng.randrange(9))) for _ in range(300)]
+        packed = queue.merge_all(pieces)
+        assert [np.frombuffer(p, "<i4").tolist() for p in packed] == [scanned(p, ranks) for p in pieces]
+        assert not queue.waiting and not any(queue.bits) and queue.merge_all([]) == []
+        file = b"\n".join(base64.b64encode(t) + b" %d" % r for t, r in ranks.items())
+        coder = bpe.Tokenizer(file, public_tokenizers.PATTERN)
+        texts = [p.decode() for p in pieces]
+        whole = [[ranks[p]] if p in ranks else scanned(p, ranks) for p in pieces]  # a pre-token that is a token is not merged
+        assert [np.frombuffer(p, "<i4").tolist() for p in coder.encode_all(texts)] == whole
+        lists = pa.array([scanned(pieces[0], ranks), None, [], *[scanned(p, ranks) for p in pieces]], pa.list_(pa.int32()))
+        assert coder.decode_lists(lists).to_pylist() == [pieces[0], b"", b"", *pieces]
+        assert coder.decode_lists(lists.slice(2, 9)).to_pylist() == [b"", *pieces[:8]]
+        for wrong in ([-1], [None], [max(ranks.values()) + 1]):
+            with pytest.raises(KeyError):
+                coder.decode_lists(pa.array([wrong], pa.list_(pa.int32())))
