@@ -185,6 +185,14 @@ def test_batch_tokenizer_is_given_few_characters_at_a_time(spark):
     assert all(0 < n[0] <= X.CODED_CHARACTERS for n in got.values())
 
 
+def test_batch_tokenizer_takes_a_quarter_million_characters_and_keeps_nulls(spark):
+    together = X.batch_tokenizer(lambda texts: [[len(texts), sum(map(len, texts))] for _ in texts])
+    rows = [(0, None), (1, ""), (2, "é" * 150_000), (3, "x" * 150_000), (4, None), (5, "y")]
+    df = spark.createDataFrame(rows, "i int, t string").coalesce(1).select("i", together("t").alias("n"))
+    got = {r.i: r.n for r in df.collect()}
+    assert got == {0: None, 1: [2, 150_000], 2: [2, 150_000], 3: [2, 150_001], 4: None, 5: [2, 150_001]}
+
+
 def test_tokens_are_looked_up_in_pieces(spark):
     df = spark.createDataFrame([("a b b",)], "t string")
     vocabulary = vocabulary_module.fit_vocabulary(df, X.tokens(F.col("t")), size=9)
