@@ -485,3 +485,16 @@ def test_a_queue_of_many_pretokens_and_lists_decoded_together():
         for wrong in ([-1], [None], [max(ranks.values()) + 1]):
             with pytest.raises(KeyError):
                 coder.decode_lists(pa.array([wrong], pa.list_(pa.int32())))
+
+
+def test_pre_tokens_of_many_texts_share_few_queues(monkeypatch):
+    ranks = {bytes([i]): i for i in range(256)} | {b"ab": 256, b"ba": 257, b" a": 258, b" ab": 259}
+    file = b"\n".join(base64.b64encode(t) + b" %d" % r for t, r in ranks.items())
+    coder, sizes = bpe.Tokenizer(file, r" ?\w+"), []
+    merge_all = coder.queue.merge_all
+    monkeypatch.setattr(coder.queue, "merge_all", lambda pieces: sizes.append(sum(map(len, pieces))) or merge_all(pieces))
+    texts = ["".join(f" ab{i}ba{j}" for j in range(2_000)) for i in range(10)]
+    assert sum(map(len, texts)) > 150_000
+    packed = coder.encode_all(texts)
+    assert max(sizes) < 20_000 and len(sizes) <= 20  # not one for every four thousand bytes
+    assert [coder.decode(np.frombuffer(p, dtype=np.int32).tolist()) for p in packed] == [t.encode() for t in texts]

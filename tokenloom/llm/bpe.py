@@ -19,8 +19,8 @@ KEPT = 64  # bytes; the ids of a longer pre-token are not remembered
 CACHE_BYTES = 16 << 20  # of pre-tokens and ids in one generation, with 100 for each entry; a task remembers two
 OUT_BYTES = 2 << 20
 STEP = 100_000  # pre-tokens of a text handled at a time
-TOGETHER = 32_000  # characters of texts whose pre-tokens are merged together, or one longer text
-MERGED = 1 << 12  # bytes of pre-tokens that lie in one queue, or a single longer one
+TOGETHER = 256_000  # characters of texts whose pre-tokens are merged together, or one longer text
+MERGED = 1 << 14  # bytes of pre-tokens that lie in one queue, or a single longer one
 NO_RANK, GONE = -1, -2
 
 
