@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tokenloom.functions import arrays, text
 from tokenloom.operators import batching as B
 from tokenloom.operators.packing import pack_sequences
-from tokenloom.operators.vocabulary import decode, encode, fit_vocabulary
+from tokenloom.operators.vocabulary import decode, encode_texts, fit_text_vocabulary
 from tokenloom.plans.preparation import PAIRS_SQL, _pairs
 from tokenloom.plans.registry import DOC_IDS_SQL, PAD_ID, TOKENS_SQL, list_md5, query, r_sql, rounded, vector_marks, vector_marks_sql
 from tokenloom.session import materialize
@@ -22,9 +22,8 @@ def _doc_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _doc_ids(spark: SparkSession, sf: str) -> DataFrame:
-    docs = documents(spark, sf)
-    tokens = text.tokens(F.col("text"))
-    return encode(docs, ["doc_id"], tokens, fit_vocabulary(docs, tokens))
+    docs, words = documents(spark, sf), F.col("text")
+    return encode_texts(docs, ["doc_id"], words, fit_text_vocabulary(docs, words))
 
 
 @query(
@@ -55,10 +54,9 @@ def document_ids(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def detokenized_documents(spark: SparkSession, sf: str) -> DataFrame:
-    docs = documents(spark, sf)
-    tokens = text.tokens(F.col("text"))
-    vocabulary = fit_vocabulary(docs, tokens)
-    back = decode(encode(docs, ["doc_id"], tokens, vocabulary), ["doc_id"], F.col("ids"), vocabulary)
+    docs, words = documents(spark, sf), F.col("text")
+    vocabulary = fit_text_vocabulary(docs, words)
+    back = decode(encode_texts(docs, ["doc_id"], words, vocabulary), ["doc_id"], F.col("ids"), vocabulary)
     return back.select("doc_id", F.md5("text").alias("text_md5"))
 
 

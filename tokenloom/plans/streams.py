@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions import arrays, text
 from tokenloom.operators import series as R
-from tokenloom.operators.vocabulary import encode, fit_vocabulary
+from tokenloom.operators.vocabulary import encode_texts, fit_text_vocabulary
 from tokenloom.plans import sequences as Q
 from tokenloom.plans.preparation import TURN_SQL, utf8_bytes
 from tokenloom.plans.registry import DOC_IDS_SQL, PAD_ID, TOKENS_SQL, list_md5, query, r_sql, rounded
@@ -98,9 +98,8 @@ def streamed_examples(spark: SparkSession, sf: str) -> DataFrame:
 )
 def streamed_padding(spark: SparkSession, sf: str) -> DataFrame:
     """Batch and pad the documents of each arriving chunk; every third document arrives later."""
-    docs = documents(spark, sf)
-    tokens = text.tokens(F.col("text"))
-    ids = materialize(encode(docs, ["doc_id"], tokens, fit_vocabulary(docs, tokens)), "ids")
+    docs, words = documents(spark, sf), F.col("text")
+    ids = materialize(encode_texts(docs, ["doc_id"], words, fit_text_vocabulary(docs, words)), "ids")
     path = scratch_path(spark, "padded")
     _in_two_arrivals(ids, F.col("doc_id") % 3 == 0, lambda stream: S.pad_arrivals(stream, "doc_id", "ids", 8, path))
     return spark.read.parquet(path).select(
