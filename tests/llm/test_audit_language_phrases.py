@@ -235,6 +235,36 @@ def test_only_phrases_of_frequent_triples_are_counted():
     assert alone == [] and not any(len(n) for _, n in collocations.phrases_in(ids[:0], 4, 4, 5, pairs, triples))
 
 
+def test_tasks_hand_on_each_phrase_once_and_fives_only_of_frequent_fours(spark, monkeypatch):
+    """0 1 2 3 4 has frequent triples, but 1 2 3 4 is no frequent four."""
+    rows = [([0, 1, 2, 3, -1, 2, 3, 4, -1, 0, 1, 2, 3, 4, -1, 5, 6, 7, 8, 9, -1],)] * 6
+    encoded = spark.createDataFrame(rows, "ids array<int>").coalesce(1)
+    monkeypatch.setattr(collocations, "CHUNK", 16)  # some pieces a task
+    met, real = [], collocations.phrase_counts
+
+    def counted(*args):
+        out = real(*args)
+        met.append((len(out.columns) - 2, out.count()))
+        return out
+
+    monkeypatch.setattr(collocations, "phrase_counts", counted)
+    got = {tuple(w for w in r[:5] if w >= 0): r["n"] for r in collocations.frequent_phrases(encoded, 10, 7, 5).collect()}
+    assert got == {(0, 1): 12, (1, 2): 12, (2, 3): 18, (3, 4): 12, (0, 1, 2): 12, (1, 2, 3): 12, (2, 3, 4): 12, (0, 1, 2, 3): 12}
+    assert met == [(2, 8), (3, 3), (4, 2), (5, 0)]  # fours and fives, three rows, in one go before
+    parts = [([np.array([0, 2]), np.array([1, 3])], np.array([4, 1])), ([np.array([2, 2]), np.array([3, 9])], np.array([5, 6]))]
+    columns, n = collocations.merged(parts, 10)
+    assert [c.tolist() for c in columns] == [[0, 2, 2], [1, 3, 9]] and n.tolist() == [4, 6, 6]
+
+
+def test_parts_of_four_words_end_a_phrase():
+    ids = np.array([0, 1, 2, 3, 4, 5, -1, 1, 2, 3, 4, -1])
+    pairs = np.array([k * 6 + k + 1 for k in range(5)])
+    triples = np.array([k * 6 + k + 2 for k in range(4)])
+    fours = np.array([0 * 6 + 3, 1 * 6 + 4])  # 0 1 2 3 and 1 2 3 4, not 2 3 4 5
+    found = [(tuple(int(c[i]) for c in columns), int(n[i])) for columns, n in collocations.phrases_in(ids, 6, 4, 6, pairs, triples, fours) for i in range(len(n))]
+    assert found == [((0, 1, 2, 3), 1), ((1, 2, 3, 4), 2), ((0, 1, 2, 3, 4), 1)]
+
+
 def test_stretches_of_a_text_are_joined_without_loss(spark, monkeypatch):
     docs = phrase_docs()
     for name, value in (("STEP", 7), ("CHUNK", 16), ("ROW_IDS", 4), ("WORDS_HELD", 3)):

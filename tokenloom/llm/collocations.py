@@ -3,7 +3,7 @@
 Words are counted first. Only words of `min_count` occurrences can be in a
 phrase of that many, so texts are written once more as whole numbers with
 breaks at cuts and rarer words; pairs, triples and longer phrases are counted
-from these, each where the ones before are frequent. The phrases that remain hold all their own beginnings and endings. In
+from these in turn, each where the ones before are frequent. The phrases that remain hold all their own beginnings and endings. In
 prefix order the counts of a phrase's beginnings, and of what extends it to the
 right, lie in the same stretch of the stream; in suffix order those of its
 endings and of what extends it to the left. So one pass over each stream, with
@@ -30,6 +30,7 @@ PAIR_BYTES = 64 << 20  # more pairs than this are not sent to the tasks; longer
 WORDS_HELD = 150_000  # different words a task holds before it hands their counts on
 STEP = 1 << 20  # bytes of a text cut into words at a time
 CHUNK = 500_000  # places whose phrases are counted at a time
+PHRASES_HELD = 1 << 18  # different phrases a task holds before it hands their counts on
 ROW_IDS = 1024  # words of a stored row, up to the next break; readers hold thousands of rows at a time
 SALTS = 64
 UNKNOWN_LANG = "und"
@@ -188,28 +189,36 @@ def _listed(keys: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def phrases_in(
-    ids: np.ndarray, size: int, low: int, high: int, pairs: np.ndarray | None, triples: np.ndarray | None = None
+    ids: np.ndarray, size: int, low: int, high: int, pairs: np.ndarray | None, *longer: np.ndarray | None
 ) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
     """Of each number of words from `low` to `high`: the different phrases in `ids`, a list of columns, and their counts.
 
     `size` is that of the vocabulary. With `pairs` (first * size + second,
-    sorted) only phrases all of whose pairs are listed are counted. With
-    `triples` too (place of the pair in `pairs` * size + third, sorted) only
-    those of three words and more all of whose triples are.
+    sorted) only phrases all of whose pairs are listed are counted. `longer`
+    are triples (place of the pair in `pairs` * size + third, sorted), phrases
+    of four words by the place of their triple, and so on: with these only
+    phrases of as many words and more all of whose parts of as many are listed.
     """
     at = np.flatnonzero(ids[:-1] >= 0) if len(ids) else np.zeros(0, dtype=np.int64)
     at = at[ids[at + 1] >= 0]
     if pairs is not None:
         found, known = _listed(ids[at] * size + ids[at + 1], pairs)
         at, found = at[known], found[known]
-    linked = np.zeros(len(ids), dtype=bool)  # a phrase may go on from here to the next place
+    linked = np.zeros(len(ids), dtype=bool)  # a listed phrase begins here
     linked[at] = True
-    if triples is not None:
+    reach = 0
+    for words, listed in enumerate(longer, 3):
+        if listed is None:
+            break
         on = linked[at + 1]
         at, found = at[on], found[on]
-        at = at[_listed(found * size + ids[at + 2], triples)[1]]
-        linked = np.zeros(len(ids), dtype=bool)  # or from the place before to the next but one
-        linked[at + 1] = True
+        found, known = _listed(found * size + ids[at + words - 1], listed)
+        at, found = at[known], found[known]
+        linked = np.zeros(len(ids), dtype=bool)
+        linked[at] = True
+        reach = words - 2
+    linked = np.zeros(len(ids), dtype=bool)  # a phrase that long may go on from the last but one word of a listed part
+    linked[at + reach] = True
     code, columns = ids[at], None
     for words in range(2, high + 1):
         key, back = np.unique(code * size + ids[at + words - 1], return_inverse=True)
@@ -217,18 +226,45 @@ def phrases_in(
         columns = [first, final] if columns is None else [*[c[first] for c in columns], final]
         if words >= low:
             yield columns, np.bincount(back, minlength=len(key))
-        on = linked[at + words - 1]
+        on = linked[at + words - 1] if words > reach else slice(None)
         at, code = at[on], back[on]
 
 
-def phrase_counts(
-    encoded: DataFrame, size: int, low: int, high: int, pairs: np.ndarray | None = None, triples: np.ndarray | None = None
-) -> DataFrame:
-    """w1, w2, ... (-1 behind the end), words, n: counted inside the tasks, then by phrase."""
-    shared = encoded.sparkSession.sparkContext.broadcast((pairs, triples))
+def merged(parts: list[tuple[list[np.ndarray], np.ndarray]], size: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Phrases of one number of words, a list of columns and counts each, with equal ones put together."""
+    columns = [np.concatenate(c) for c in zip(*(columns for columns, _ in parts), strict=True)]
+    n = np.concatenate([n for _, n in parts])
+    code = columns[0]
+    for column in columns[1:]:
+        code = np.unique(code * size + column, return_inverse=True)[1]
+    different, at = np.unique(code, return_index=True)
+    return [c[at] for c in columns], np.bincount(code, weights=n, minlength=len(different)).astype(np.int64)
+
+
+def phrase_counts(encoded: DataFrame, size: int, low: int, high: int, *listed: np.ndarray | None) -> DataFrame:
+    """w1, w2, ... (-1 behind the end), words, n: counted inside the tasks, then by phrase.
+
+    A task puts the counts of its pieces together until it holds `PHRASES_HELD`.
+    """
+    shared = encoded.sparkSession.sparkContext.broadcast(listed or (None,))
     names = [f"w{i + 1}" for i in range(high)]
 
     def run(batches):
+        held: dict[int, list] = {}
+
+        def holds():
+            return sum(len(n) for parts in held.values() for _, n in parts)
+
+        def flushed():
+            for columns, n in (part for parts in held.values() for part in parts):
+                words = np.full(len(n), len(columns), dtype=np.int32)
+                columns = columns + [np.full(len(n), -1)] * (high - len(columns))
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(words), pa.array(n)], names=[*names, "words", "n"])
+            held.clear()
+
+        def merge():
+            held.update({words: [merged(parts, size)] for words, parts in held.items() if len(parts) > 1})
+
         for batch in batches:
             lists = batch.column(0)
             flat = lists.flatten().to_numpy()
@@ -237,29 +273,35 @@ def phrase_counts(
             while start < len(flat):
                 end = int(ends[min(np.searchsorted(ends, start + CHUNK), len(ends) - 1)])
                 for columns, n in phrases_in(flat[start:end].astype(np.int64), size, low, high, *shared.value):
-                    words = np.full(len(n), len(columns), dtype=np.int32)
-                    columns = columns + [np.full(len(n), -1)] * (high - len(columns))
-                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(words), pa.array(n)], names=[*names, "words", "n"])
+                    held.setdefault(len(columns), []).append((columns, n))
                 start = end
+                if holds() > PHRASES_HELD:
+                    merge()
+                    if holds() > PHRASES_HELD // 2:
+                        yield from flushed()
+        merge()
+        yield from flushed()
 
     schema = ", ".join(f"{name} bigint" for name in names) + ", words int, n bigint"
     return encoded.select("ids").mapInArrow(run, schema).groupBy(*names, "words").agg(F.sum("n").alias("n"))
 
 
-def _sorted_keys(phrases: DataFrame, size: int, pairs: np.ndarray | None = None) -> np.ndarray:
-    """Pairs or, with `pairs`, triples as `phrases_in` takes them; call only after a check of the size."""
-    first, second, *third = (c.to_numpy() for c in phrases.toArrow().columns)
-    keys = first * size + second
-    return np.sort(keys if pairs is None else _listed(keys, pairs)[0] * size + third[0])
+def _sorted_keys(phrases: DataFrame, size: int, *listed: np.ndarray) -> np.ndarray:
+    """Phrases of one number of words as `phrases_in` takes them, `listed` being those of fewer; call only after a check of the size."""
+    first, *rest = (c.to_numpy() for c in phrases.toArrow().columns)
+    keys = first * size + rest[0]
+    for known, word in zip(listed, rest[1:], strict=True):
+        keys = _listed(keys, known)[0] * size + word
+    return np.sort(keys)
 
 
 def frequent_phrases(encoded: DataFrame, size: int, min_count: int, max_words: int, pair_bytes: int = PAIR_BYTES) -> DataFrame:
     """w1 ... (-1 behind the end), words, n: all phrases of 2 to `max_words` words that occur `min_count` times.
 
-    Triples are only counted where both their pairs are frequent, and longer
-    phrases where all their triples are, if the frequent pairs and triples are
-    few enough to be sent to the tasks; else everywhere that the pairs allow,
-    or everywhere.
+    Phrases of each number of words are only counted where all their parts of
+    one word less are frequent, if these are few enough to be sent to the
+    tasks; else all longer ones are counted together, wherever what was sent
+    allows.
     """
     names = [f"w{i + 1}" for i in range(max_words)]
 
@@ -268,20 +310,15 @@ def frequent_phrases(encoded: DataFrame, size: int, min_count: int, max_words: i
         none = [F.lit(-1).cast("long").alias(w) for w in names if w not in counts.columns]
         return materialize(frequent.select(*[w for w in names if w in counts.columns], *none, "words", "n"), name)
 
-    out = kept(phrase_counts(encoded, size, 2, 2), "pairs")
-    if max_words == 2:
-        return out
-    pairs = triples = None
-    if table_bytes(out.select("w1", "w2")) <= pair_bytes:
-        pairs = _sorted_keys(out.select("w1", "w2"), size)
-    if pairs is None:
-        return out.unionByName(kept(phrase_counts(encoded, size, 3, max_words), "longer"))
-    three = kept(phrase_counts(encoded, size, 3, 3, pairs), "triples")
-    out = out.unionByName(three)
-    if max_words > 3:
-        if table_bytes(three.select("w1", "w2", "w3")) <= pair_bytes:
-            triples = _sorted_keys(three.select("w1", "w2", "w3"), size, pairs)
-        out = out.unionByName(kept(phrase_counts(encoded, size, 4, max_words, pairs, triples), "longer"))
+    out = found = kept(phrase_counts(encoded, size, 2, 2), "phrases_2")
+    listed: list[np.ndarray] = []
+    for words in range(3, max_words + 1):
+        shorter = found.select(*names[: words - 1])
+        if table_bytes(shorter) > pair_bytes:
+            return out.unionByName(kept(phrase_counts(encoded, size, words, max_words, *listed), "longer"))
+        listed.append(_sorted_keys(shorter, size, *listed))
+        found = kept(phrase_counts(encoded, size, words, words, *listed), f"phrases_{words}")
+        out = out.unionByName(found)
     return out
 
 
