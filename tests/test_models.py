@@ -4,6 +4,7 @@ import math
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -217,6 +218,37 @@ def test_whole_sequences_of_vectors(spark, monkeypatch):
     assert {tuple(r.vectors) for r in S.embed_sequences(df.filter("k = 4"), "k", "ids", vectors.limit(0), "id", "v", 2).collect()} == {(None, None)}
 
 
+def test_whole_sequences_of_vectors_are_summed_where_they_are(spark, monkeypatch):
+    """A fold meets the same vectors as Spark would, in the task: the plan has no array of vectors."""
+    monkeypatch.setattr(S, "EMBEDDED_TOKENS", 3)
+    rng = np.random.default_rng(5)
+    table = {i: rng.normal(size=3).astype(np.float32).tolist() for i in range(20)}
+    vectors = spark.createDataFrame([*table.items(), (30, None)], "id int, v array<float>")
+    rows = [(k, rng.integers(0, 20, k * 5).tolist()) for k in range(6)] + [(7, [1, 30]), (8, [2, None, 3]), (9, None), (None, [4, 4])]
+    df = spark.createDataFrame(rows, "k bigint, ids array<bigint>")
+    fold = (lambda whole: S.sequence_sums(whole, 7)), S.SEQUENCE_SUMS
+    for limit in (1 << 20, 0):
+        made = S.embed_sequences(df, "k", "ids", vectors, "id", "v", 3, max_bytes=limit, fold=fold)
+        got = {r.k: tuple(r)[1:] for r in made.collect()}
+        assert len(got) == len(rows)
+        for k, ids in rows:
+            if ids is None:
+                assert got[k] == (None,) * 4
+                continue
+            found = [table[i] for i in ids if i in table]
+            total = weighted = 0.0
+            for at, x in enumerate(x for v in found for x in v):
+                total, weighted = total + x, weighted + x * (at % 7 + 1)
+            assert got[k] == (len(ids), len(found), *((total, weighted) if len(found) == len(ids) else (None, None)))
+    monkeypatch.setattr(S, "SUMMED_NUMBERS", 10)
+    assert S.sequence_sums(pa.array([[[1.0] * 30], None]), 4) == [pa.array(x) for x in ([1, None], [1, None], [30.0, None], [73.0, None])]
+    plan = S.embed_sequences(df, "k", "ids", vectors, "id", "v", 3, fold=fold)._jdf.queryExecution().executedPlan().toString()
+    assert "array<array" not in plan
+    hole = S.sequence_sums(pa.array([[[1.0, None, 2.0]], [[1.0, 2.0]], [], [None]]), 7)
+    assert [x.to_pylist() for x in hole] == [[1, 1, 0, 1], [1, 1, 0, 0], [None, 3.0, 0.0, None], [None, 5.0, 0.0, None]]
+    assert S.embed_sequences(df.limit(0), "k", "ids", vectors, "id", "v", 3, fold=fold).count() == 0
+
+
 def test_only_the_vectors_that_sequences_name_are_sent(spark):
     """A table too large to send whole is cut to the named vectors; no vector is shuffled for every token."""
     vectors = spark.range(500).selectExpr("id", "array(float(id), float(0.1)) AS v")
