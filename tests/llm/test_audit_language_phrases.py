@@ -7,6 +7,7 @@ from collections import Counter
 from itertools import permutations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -256,6 +257,83 @@ def test_tasks_hand_on_each_phrase_once_and_fives_only_of_frequent_fours(spark,
     assert [c.tolist() for c in columns] == [[0, 2, 2], [1, 3, 9]] and n.tolist() == [4, 6, 6]
 
 
+def test_phrases_are_handed_on_as_arrays_and_put_together_by_part(spark, monkeypatch):
+    """No row a phrase before it is counted to the end: with 8 parts, 3 tasks hand on 24 rows of each length at most."""
+    monkeypatch.setattr(collocations, "PHRASES_HELD", 50_000)
+    rng = np.random.default_rng(8)
+    rows = [(rng.integers(0, 50, 400).tolist() + [-1],) for _ in range(60)]
+    encoded = spark.createDataFrame(rows, "ids array<int>").repartition(3)
+    want = {}
+    for (ids,) in rows:
+        for words in (2, 3, 4):
+            for at in range(400 - words + 1):
+                key = tuple(ids[at : at + words])
+                want[key] = want.get(key, 0) + 1
+    got = collocations.phrase_counts(encoded, 50, 2, 4)
+    found = {tuple(w for w in r[:4] if w >= 0): (r["words"], r["n"]) for r in got.collect()}
+    assert found == {p: (len(p), n) for p, n in want.items()} and len(found) > 20_000
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "Aggregate" not in plan and plan.count("MapInArrow") == 2
+    assert got.rdd.getNumPartitions() == 8
+    monkeypatch.setattr(collocations, "PART_PLACES", 1000)  # 24,060 places
+    assert collocations.phrase_counts(encoded, 50, 2, 2).rdd.getNumPartitions() == 25
+
+
+def test_longest_phrases_go_on_from_the_place_of_their_listed_part():
+    rng = np.random.default_rng(9)
+    size, ids = 5, rng.integers(-1, 5, 4000)
+    places, listed = {}, []
+    for words in (2, 3, 4):
+        seen = sorted({tuple(ids[i : i + words].tolist()) for i in range(len(ids) - words + 1) if (ids[i : i + words] >= 0).all()})
+        kept = [p for p in seen if rng.random() < 0.8 and (words == 2 or {p[:-1], p[1:]} <= places[words - 1].keys())]
+        listed.append(np.array([(p[0] if words == 2 else places[words - 1][p[:-1]]) * size + p[-1] for p in kept]))
+        places[words] = {p: k for k, p in enumerate(kept)}
+        want = {}
+        for i in range(len(ids) - words):
+            p = tuple(ids[i : i + words + 1].tolist())
+            if p[:-1] in places[words] and p[1:] in places[words]:
+                want[p] = want.get(p, 0) + 1
+        ((columns, n),) = collocations.phrases_in(ids, size, words + 1, words + 1, *listed)
+        assert {tuple(int(c[i]) for c in columns): int(n[i]) for i in range(len(n))} == want and want
+    wide = 1 << 30  # codes of three words would not fit
+    columns, n = collocations.merged([([np.array([wide - 1, 0])] * 3, np.array([1, 2])), ([np.array([wide - 1])] * 3, np.array([4]))], wide)
+    assert [c.tolist() for c in columns] == [[0, wide - 1]] * 3 and n.tolist() == [2, 5]
+
+
+def test_words_of_many_texts_are_split_as_those_of_each(monkeypatch):
+    texts = ["Red blau, é\tzz\x01", "", "..", "solo", ", a b.c\n\nD ", "x" * 30 + " y", "to be\ror"]
+    langs = ["en", "de", "en", "en", "de", "en", "de"]
+    for step in (3, 1 << 20):
+        monkeypatch.setattr(collocations, "STEP", step)
+        for lang in ("en", "de"):
+            want = []  # None where a phrase may not go on
+            for one, text in zip(langs, texts):
+                if one == lang:
+                    want += [None if w == collocations.BREAK else w for part in collocations.pieces_of(text.encode()) for w in part] + [None]
+            want = [w for i, w in enumerate(want) if w is not None or i and want[i - 1] is not None]
+            got = []
+            for one, words, broken in collocations.words_in(pa.array(langs), pa.array(texts)):
+                if one == lang:
+                    for word, cut in zip([*words.to_pylist(), None], broken):
+                        got += [None] * bool(cut) + [word] * (word is not None)
+            got = [w for i, w in enumerate(got) if w is not None or i and got[i - 1] is not None]
+            assert got == want
+
+
+def test_a_text_of_many_stretches_is_coded_without_a_break_between(monkeypatch):
+    for name, value in (("STEP", 9), ("CHUNK", 4), ("ROW_IDS", 4)):
+        monkeypatch.setattr(collocations, name, value)
+    texts = ["a b c d a b, c d a b c d a rare b c d a", "d " * 40, "rare", "a b" * 5, "d"]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 5), pa.array(texts)], names=["lang", "text"])
+    known = {"en": (pa.array([b"a", b"b", b"c", b"d"]), np.arange(4, dtype=np.int32))}
+    rows = [r for b in collocations._coded([batch, batch], known) for r in b.column(0).to_pylist()]
+    pieces = []
+    for r in rows:
+        assert r[-1] == -1  # no phrase goes on in the next row
+        pieces += [p for p in "".join("abcd"[i] if i >= 0 else " " for i in r).split()]
+    assert pieces == ["abcdab", "cdabcda", "bcda", "d" * 40, "a", "b", "d"] * 2
+
+
 def test_parts_of_four_words_end_a_phrase():
     ids = np.array([0, 1, 2, 3, 4, 5, -1, 1, 2, 3, 4, -1])
     pairs = np.array([k * 6 + k + 1 for k in range(5)])

@@ -12,7 +12,6 @@ its running groups in step, gives all counts a score needs.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tokenloom.functions.lists import binary_lengths, pieces
 from tokenloom.operators.joins import lookup, table_bytes
 from tokenloom.session import materialize
 
@@ -31,6 +31,7 @@ WORDS_HELD = 150_000  # different words a task holds before it hands their count
 STEP = 1 << 20  # bytes of a text cut into words at a time
 CHUNK = 500_000  # places whose phrases are counted at a time
 PHRASES_HELD = 1 << 18  # different phrases a task holds before it hands their counts on
+PART_PLACES = 1 << 20  # places whose phrases are put together at a time
 ROW_IDS = 1024  # words of a stored row, up to the next break; readers hold thousands of rows at a time
 SALTS = 64
 UNKNOWN_LANG = "und"
@@ -59,31 +60,68 @@ def pieces_of(text: bytes) -> Iterator[list[bytes]]:
         at = end
 
 
+def words_in(langs: pa.Array, texts: pa.Array) -> Iterator[tuple[str, pa.BinaryArray, np.ndarray]]:
+    """The words of `pieces_of`, for all texts of a language together, about `STEP` bytes at a time.
+
+    Each stretch comes as language, words, and whether a piece or a text ends
+    before each word, with one entry more for behind the last.
+    """
+    codes = langs.dictionary_encode()
+    for code, lang in enumerate(codes.dictionary.to_pylist()):
+        mine = texts.filter(pc.equal(codes.indices, code)).cast(pa.binary())
+        for start, stop in pieces(binary_lengths(mine), STEP):
+            whole = (BREAK.join(mine.slice(start, stop - start).to_pylist()) + BREAK).translate(TABLE)
+            at = 0
+            while at < len(whole):
+                end = at + STEP
+                if end < len(whole):
+                    found = [x for x in (whole.find(b" ", end), whole.find(BREAK, end)) if x >= 0]
+                    end = min(found, default=len(whole))
+                data = np.frombuffer(whole, np.uint8)[at:end]
+                ends = data == BREAK[0]
+                inside = ~(ends | (data == ord(" ")))
+                starts = np.flatnonzero(inside & ~np.append(False, inside[:-1]))
+                before, ended = np.cumsum(inside, dtype=np.int32), np.cumsum(ends, dtype=np.int32)
+                offsets = np.append(before[starts] - 1, before[-1]).astype(np.int32)
+                buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])]
+                broken = np.diff(ended[starts], prepend=0, append=ended[-1]) > 0
+                yield lang, pa.BinaryArray.from_buffers(pa.binary(), len(starts), buffers), broken
+                at = end
+
+
 def word_counts(rows: DataFrame) -> DataFrame:
     """lang, word, n of `lang` and `text`: counted inside the tasks, then by word."""
 
     def run(batches):
-        held: dict[str, Counter] = {}
+        held: dict[str, list[pa.Table]] = {}
+        room = WORDS_HELD
+
+        def holds():
+            return sum(len(t) for tables in held.values() for t in tables)
+
+        def merge():
+            for lang, tables in held.items():
+                if len(tables) > 1:
+                    summed = pa.concat_tables(tables).group_by("word", use_threads=False).aggregate([("n", "sum")])
+                    held[lang] = [pa.table({"word": summed["word"], "n": summed["n_sum"]})]
 
         def flushed():
-            for lang, counts in held.items():
-                counts.pop(BREAK, None)
-                words = pa.array(list(counts), pa.binary()).cast(pa.string())
-                n = pa.array(list(counts.values()), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), words, n], names=["lang", "word", "n"])
+            for lang, tables in held.items():
+                for table in tables:
+                    named = pa.array([lang] * len(table), pa.string())
+                    yield from pa.table({"lang": named, "word": table["word"].cast(pa.string()), "n": table["n"]}).to_batches()
             held.clear()
 
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
-            for lang, text in zip(batch.column(0).to_pylist(), texts, strict=True):
-                counts = held.setdefault(lang, Counter())
-                for words in pieces_of(text.as_py()):
-                    counts.update(words)
-                    if len(counts) > WORDS_HELD:
+            for lang, words, _ in words_in(batch.column(0), batch.column(1)):
+                counts = pc.value_counts(words)
+                held.setdefault(lang, []).append(pa.table({"word": counts.field(0), "n": counts.field(1)}))
+                if holds() > room:
+                    merge()
+                    if holds() > WORDS_HELD:
                         yield from flushed()
-                        counts = held.setdefault(lang, Counter())
-            if sum(map(len, held.values())) > WORDS_HELD:
-                yield from flushed()
+                    room = max(WORDS_HELD, 2 * holds())
+        merge()
         yield from flushed()
 
     counted = rows.select("lang", "text").mapInArrow(run, "lang string, word string, n bigint")
@@ -113,34 +151,39 @@ def encoded_texts(rows: DataFrame, vocabulary: DataFrame, max_bytes: int = VOCAB
     """
     if table_bytes(vocabulary) > max_bytes:
         return _joined_ids(rows, vocabulary)
-    by_lang: dict[str, dict[bytes, int]] = {}
-    entries = vocabulary.select("lang", "word", "id").toArrow()
-    for lang, word, number in zip(*(entries.column(k).to_pylist() for k in range(3)), strict=True):
-        by_lang.setdefault(lang, {})[word.encode()] = number
+    entries = vocabulary.select("lang", "word", "id").toArrow().combine_chunks()
+    by_lang = {}
+    for lang in pc.unique(entries["lang"]).to_pylist():
+        mine = entries.filter(pc.equal(entries["lang"], lang)).combine_chunks()
+        by_lang[lang] = mine["word"].cast(pa.binary()).combine_chunks(), mine["id"].to_numpy().astype(np.int32)
     shared = rows.sparkSession.sparkContext.broadcast(by_lang)
 
-    def run(batches):
-        known, none = shared.value, {}
-        for batch in batches:
-            held, size = [], 0
-            texts = batch.column(1).cast(pa.binary())
-            for lang, text in zip(batch.column(0).to_pylist(), texts, strict=True):
-                get = known.get(lang, none).get
-                for words in pieces_of(text.as_py()):
-                    held.append(np.array([get(w, -1) for w in words], dtype=np.int32))
-                    size += len(words)
-                held.append(np.full(1, -1, dtype=np.int32))
-                if size > CHUNK:
-                    yield _id_rows(held)
-                    held, size = [], 0
-            if held:
-                yield _id_rows(held)
-
-    return rows.select("lang", "text").mapInArrow(run, "ids array<int>")
-
-
-def _id_rows(held: list[np.ndarray]) -> pa.RecordBatch:
-    ids = np.concatenate(held)
+    return rows.select("lang", "text").mapInArrow(lambda batches: _coded(batches, shared.value), "ids array<int>")
+
+
+def _coded(batches: Iterator[pa.RecordBatch], known: dict[str, tuple[pa.BinaryArray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Rows of ids of the batches' texts, each up to a break; `known` has the words and ids of each language."""
+    none = pa.array([], pa.binary()), np.zeros(0, dtype=np.int32)
+    for batch in batches:
+        held, size = [], 0
+        for lang, words, broken in words_in(batch.column(0), batch.column(1)):
+            entries, numbers = known.get(lang, none)
+            at = pc.fill_null(pc.index_in(words, value_set=entries), -1).to_numpy(zero_copy_only=False)
+            ids = np.append(numbers, np.int32(-1))[at]
+            held.append(np.insert(ids, np.flatnonzero(broken), -1))  # the last entry of `broken` is behind the last id
+            size += len(words)
+            if size > CHUNK:  # what is behind the last break goes on in the next stretch
+                whole = np.concatenate(held)
+                end = len(whole) - int(np.argmax(whole[::-1] < 0)) if (whole < 0).any() else 0
+                if end:
+                    yield _id_rows(whole[:end])
+                held, size = [whole[end:]], len(whole) - end
+        if size:
+            yield _id_rows(np.concatenate(held))
+
+
+def _id_rows(ids: np.ndarray) -> pa.RecordBatch:
+    """`ids`, which end in a break, as rows of about `ROW_IDS`."""
     keep = np.ones(len(ids), dtype=bool)
     keep[1:] = (ids[1:] >= 0) | (ids[:-1] >= 0)  # one break is enough
     ids = ids[keep]
@@ -219,51 +262,114 @@ def phrases_in(
         reach = words - 2
     linked = np.zeros(len(ids), dtype=bool)  # a phrase that long may go on from the last but one word of a listed part
     linked[at + reach] = True
-    code, columns = ids[at], None
-    for words in range(2, high + 1):
-        key, back = np.unique(code * size + ids[at + words - 1], return_inverse=True)
+    code, columns, known = ids[at], None, 1
+    if pairs is not None and low > reach + 2:  # the listed ones themselves are not asked for: theirs are the first columns
+        on, known = linked[at + reach + 1], reach + 2
+        at, code = at[on], found[on]
+    for words in range(known + 1, high + 1):
+        key = code * size + ids[at + words - 1]
+        if words < high:
+            key, back = np.unique(key, return_inverse=True)
+            n = np.bincount(back, minlength=len(key))
+        else:
+            key, n = np.unique(key, return_counts=True)
         first, final = np.divmod(key, size)
-        columns = [first, final] if columns is None else [*[c[first] for c in columns], final]
+        if columns is None:
+            columns = [*_spelled(first, size, pairs, *longer[:reach]), final] if known > 1 else [first, final]
+        else:
+            columns = [*[c[first] for c in columns], final]
         if words >= low:
-            yield columns, np.bincount(back, minlength=len(key))
-        on = linked[at + words - 1] if words > reach else slice(None)
-        at, code = at[on], back[on]
+            yield columns, n
+        if words < high:
+            on = linked[at + words - 1] if words > reach else slice(None)
+            at, code = at[on], back[on]
+
+
+def _spelled(places: np.ndarray, size: int, *listed: np.ndarray) -> list[np.ndarray]:
+    """The words of the phrases at `places` of the last of `listed`, a list of columns."""
+    columns = []
+    for known in reversed(listed):
+        places, word = np.divmod(known[places], size)
+        columns.append(word)
+    return [places, *reversed(columns)]
 
 
 def merged(parts: list[tuple[list[np.ndarray], np.ndarray]], size: int) -> tuple[list[np.ndarray], np.ndarray]:
     """Phrases of one number of words, a list of columns and counts each, with equal ones put together."""
     columns = [np.concatenate(c) for c in zip(*(columns for columns, _ in parts), strict=True)]
     n = np.concatenate([n for _, n in parts])
-    code = columns[0]
+    code, below = columns[0], size
     for column in columns[1:]:
-        code = np.unique(code * size + column, return_inverse=True)[1]
-    different, at = np.unique(code, return_index=True)
-    return [c[at] for c in columns], np.bincount(code, weights=n, minlength=len(different)).astype(np.int64)
+        if below * size >= 1 << 63:
+            code, below = np.unique(code, return_inverse=True)[1], len(code)
+        code, below = code * size + column, below * size
+    order = np.argsort(code, kind="stable")
+    code = code[order]
+    starts = np.flatnonzero(np.append(True, code[1:] != code[:-1])[: len(code)])
+    return [c[order[starts]] for c in columns], np.add.reduceat(n[order], starts) if len(starts) else n
+
+
+class _Held:
+    """Counts of phrases, put together whenever there are many pieces of them."""
+
+    def __init__(self, size: int, most: int):
+        self.size, self.most, self.rows, self.kept, self.parts = size, most, 0, 0, {}
+
+    def add(self, columns: list[np.ndarray], n: np.ndarray) -> None:
+        self.parts.setdefault(len(columns), []).append((columns, n))
+        self.rows += len(n)
+        if self.rows > max(self.most, 2 * self.kept):
+            self.merge()
+
+    def merge(self) -> None:
+        self.parts = {words: [merged(parts, self.size)] for words, parts in self.parts.items()}
+        self.rows = self.kept = sum(len(n) for parts in self.parts.values() for _, n in parts)
+
+    def taken(self) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+        self.merge()
+        yield from (part for parts in self.parts.values() for part in parts if len(part[1]))
+        self.rows, self.kept, self.parts = 0, 0, {}
+
+
+def _dealt(columns: list[np.ndarray], parts: int) -> np.ndarray:
+    """The part, below `parts`, that each phrase belongs to."""
+    mixed = np.zeros(len(columns[0]), dtype=np.uint64)
+    for column in columns:
+        mixed = (mixed ^ column.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(32)
+    return (mixed % np.uint64(parts)).astype(np.int32)
 
 
 def phrase_counts(encoded: DataFrame, size: int, low: int, high: int, *listed: np.ndarray | None) -> DataFrame:
     """w1, w2, ... (-1 behind the end), words, n: counted inside the tasks, then by phrase.
 
-    A task puts the counts of its pieces together until it holds `PHRASES_HELD`.
+    A task puts the counts of its pieces together until it holds `PHRASES_HELD`,
+    and hands them on as arrays, one row for each part that phrases are dealt
+    to by their words. Whoever takes over a part puts its arrays together in the
+    same way, so no phrase is a row before it is counted to the end. There is a
+    part for every `PART_PLACES` words, and a place begins one phrase of a
+    length at most, so neither side grows with the table.
     """
-    shared = encoded.sparkSession.sparkContext.broadcast(listed or (None,))
+    spark = encoded.sparkSession
+    shared = spark.sparkContext.broadcast(listed or (None,))
     names = [f"w{i + 1}" for i in range(high)]
+    places = encoded.agg(F.sum(F.size("ids").cast("long")).alias("n")).first()["n"] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-places // PART_PLACES))
 
     def run(batches):
-        held: dict[int, list] = {}
-
-        def holds():
-            return sum(len(n) for parts in held.values() for _, n in parts)
-
-        def flushed():
-            for columns, n in (part for parts in held.values() for part in parts):
-                words = np.full(len(n), len(columns), dtype=np.int32)
-                columns = columns + [np.full(len(n), -1)] * (high - len(columns))
-                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(words), pa.array(n)], names=[*names, "words", "n"])
-            held.clear()
-
-        def merge():
-            held.update({words: [merged(parts, size)] for words, parts in held.items() if len(parts) > 1})
+        held = _Held(size, PHRASES_HELD)
+
+        def blocks():
+            for columns, n in held.taken():
+                part = _dealt(columns, parts)
+                order = np.argsort(part, kind="stable")
+                part = part[order]
+                starts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+                offsets = pa.array(np.append(starts, len(part)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(offsets, pa.array(c[order].astype(np.int32))) for c in columns]
+                lists += [pa.nulls(len(starts), pa.list_(pa.int32()))] * (high - len(columns))
+                lists.append(pa.ListArray.from_arrays(offsets, pa.array(n[order])))
+                yield pa.RecordBatch.from_arrays([pa.array(part[starts]), *lists], names=["part", *names, "n"])
 
         for batch in batches:
             lists = batch.column(0)
@@ -273,17 +379,36 @@ def phrase_counts(encoded: DataFrame, size: int, low: int, high: int, *listed: n
             while start < len(flat):
                 end = int(ends[min(np.searchsorted(ends, start + CHUNK), len(ends) - 1)])
                 for columns, n in phrases_in(flat[start:end].astype(np.int64), size, low, high, *shared.value):
-                    held.setdefault(len(columns), []).append((columns, n))
+                    held.add(columns, n)
                 start = end
-                if holds() > PHRASES_HELD:
-                    merge()
-                    if holds() > PHRASES_HELD // 2:
-                        yield from flushed()
-        merge()
-        yield from flushed()
+                if held.kept > PHRASES_HELD // 2:
+                    yield from blocks()
+        yield from blocks()
 
-    schema = ", ".join(f"{name} bigint" for name in names) + ", words int, n bigint"
-    return encoded.select("ids").mapInArrow(run, schema).groupBy(*names, "words").agg(F.sum("n").alias("n"))
+    def put_together(batches):
+        held = _Held(size, PHRASES_HELD)
+        for batch in batches:
+            for words in range(low, high + 1):  # a block of shorter phrases has no list for its later words
+                here = batch if low == high else batch.filter(_words_of(batch, words, high))
+                if here.num_rows:
+                    columns = [here.column(i + 1).flatten().to_numpy().astype(np.int64) for i in range(words)]
+                    held.add(columns, here.column(high + 1).flatten().to_numpy())
+        for columns, n in held.taken():
+            words = np.full(len(n), len(columns), dtype=np.int32)
+            columns = columns + [np.full(len(n), -1)] * (high - len(columns))
+            whole = pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(words), pa.array(n)], names=[*names, "words", "n"])
+            yield from (whole.slice(at, CHUNK) for at in range(0, len(n), CHUNK))
+
+    schema = ", ".join(f"{name} array<int>" for name in names)
+    blocks = encoded.select("ids").mapInArrow(run, f"part int, {schema}, n array<bigint>")
+    counted = blocks.repartition(parts, "part")
+    return counted.mapInArrow(put_together, ", ".join(f"{name} bigint" for name in names) + ", words int, n bigint")
+
+
+def _words_of(batch: pa.RecordBatch, words: int, high: int) -> pa.Array:
+    """Which blocks are of phrases of so many words."""
+    there = batch.column(words).is_valid()
+    return there if words == high else pc.and_(there, batch.column(words + 1).is_null())
 
 
 def _sorted_keys(phrases: DataFrame, size: int, *listed: np.ndarray) -> np.ndarray:
